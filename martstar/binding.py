@@ -222,3 +222,64 @@ def with_binding(body: str) -> str:
     if not body.startswith(","):
         body = "\n" + body
     return BINDING_SQL.rstrip() + body
+
+
+# --------------------------------------------------------------------------
+# Dirty variant: the clean binding has no quality violations, so the checks
+# run on a deterministic corruption of the whole fact tables.
+
+def dirt_key():
+    return (F.col("stock_id") * 31 + F.col("date_id")) % 97
+
+
+def dirty(t: Tables) -> Tables:
+    """k = (stock_id*31 + date_id) % 97: k=1 high below low, k=2 negative
+    close, k=3 return 60 %, k=4 row twice; rates with date_id % 89 = 1 are 0."""
+    k = dirt_key()
+    p = t.prices.select(
+        "stock_id", "date_id", "opening_price",
+        F.when(k == 1, F.col("low_price") - 1).otherwise(F.col("high_price")).cast(S.PRICE).alias("high_price"),
+        "low_price",
+        F.when(k == 2, -F.col("closing_price")).otherwise(F.col("closing_price")).cast(S.PRICE)
+        .alias("closing_price"),
+        "volume", "adjusted_close",
+        F.when(k == 3, F.lit(60)).otherwise(F.col("daily_return")).cast(S.RETURN_PCT).alias("daily_return"),
+        "created_at", "updated_at")
+    p = p.unionByName(p.where(dirt_key() == 4))
+    r = t.rates.withColumn("exchange_rate", F.when(F.col("date_id") % 89 == 1, F.lit(0))
+                           .otherwise(F.col("exchange_rate")).cast(S.RATE))
+    return t.with_(prices=p, rates=r)
+
+
+def quotes(t: Tables) -> DataFrame:
+    """Daily quotes with bid/ask from the per-order rates of the day:
+    bid = lowest, ask = highest, rate = the last quote of the day."""
+    return (t.exchange_rates.groupBy("from_currency", "to_currency", "date")
+            .agg(F.max_by("rate", "updated_at").alias("rate"),
+                 F.min("rate").alias("bid_rate"), F.max("rate").alias("ask_rate"))
+            .select("from_currency", "to_currency", "date", "rate", "bid_rate", "ask_rate",
+                    F.col("date").cast("timestamp").alias("timestamp"),
+                    F.lit("alpha_vantage").alias("source")))
+
+
+DIRTY_SQL = """,
+dirty_prices0 AS (
+  SELECT stock_id, date_id, opening_price,
+         CAST(CASE WHEN (stock_id*31 + date_id) % 97 = 1 THEN low_price - 1 ELSE high_price END AS DECIMAL(10,4)) AS high_price,
+         low_price,
+         CAST(CASE WHEN (stock_id*31 + date_id) % 97 = 2 THEN -closing_price ELSE closing_price END AS DECIMAL(10,4)) AS closing_price,
+         volume, adjusted_close,
+         CAST(CASE WHEN (stock_id*31 + date_id) % 97 = 3 THEN 60 ELSE daily_return END AS DECIMAL(8,6)) AS daily_return
+  FROM fact_stock_prices),
+dirty_prices AS (SELECT * FROM dirty_prices0 UNION ALL
+                 SELECT * FROM dirty_prices0 WHERE (stock_id*31 + date_id) % 97 = 4),
+dirty_rates AS (
+  SELECT from_currency_id, to_currency_id, date_id,
+         CAST(CASE WHEN date_id % 89 = 1 THEN 0 ELSE exchange_rate END AS DECIMAL(10,6)) AS exchange_rate
+  FROM fact_currency_rates),
+quotes AS (
+  SELECT from_currency, to_currency, date, max_by(rate, updated_at) AS rate,
+         min(rate) AS bid_rate, max(rate) AS ask_rate, CAST(date AS TIMESTAMP) AS timestamp,
+         'alpha_vantage' AS source
+  FROM exchange_rates GROUP BY from_currency, to_currency, date)
+"""

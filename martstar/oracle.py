@@ -233,3 +233,397 @@ JOIN dim_date dd ON f.date_id = dd.date_id
 WHERE ds.is_active AND f.daily_return IS NOT NULL
 ORDER BY f.daily_return DESC, dd.date_value DESC, ds.symbol LIMIT 5
 """)
+
+
+# -- returns, metrics, quality, validation -------------------------------
+from .binding import DIRTY_SQL  # noqa: E402
+
+RESET = """, p0 AS (SELECT stock_id, date_id, closing_price, volume,
+   CASE WHEN date_id >= 20010701 THEN NULL ELSE daily_return END AS daily_return FROM fact_stock_prices)"""
+
+SQL["daily_returns"] = with_binding(RESET + """,
+calc AS (SELECT p0.*, LAG(closing_price) OVER (PARTITION BY stock_id ORDER BY dd.date_value) AS prev
+         FROM p0 JOIN dim_date dd ON p0.date_id = dd.date_id)
+SELECT stock_id, date_id,
+       CAST(COALESCE(daily_return, CAST(ROUND((closing_price - prev) / prev * 100, 6) AS DECIMAL(8,6)))
+            AS DOUBLE) AS daily_return
+FROM calc
+""")
+
+SQL["daily_returns_null_only"] = with_binding(RESET + """,
+calc AS (SELECT p0.stock_id, p0.date_id, p0.closing_price,
+                LAG(closing_price) OVER (PARTITION BY stock_id ORDER BY dd.date_value) AS prev
+         FROM p0 JOIN dim_date dd ON p0.date_id = dd.date_id WHERE p0.daily_return IS NULL)
+SELECT p0.stock_id, p0.date_id,
+       CAST(COALESCE(p0.daily_return, CAST(ROUND((c.closing_price - c.prev) / c.prev * 100, 6) AS DECIMAL(8,6)))
+            AS DOUBLE) AS daily_return
+FROM p0 LEFT JOIN calc c ON p0.stock_id = c.stock_id AND p0.date_id = c.date_id
+""")
+
+SQL["moving_metrics"] = with_binding(f"""
+, m AS (SELECT f.stock_id, f.date_id,
+        {RM('f.closing_price', 4, 6, ' OVER w20')} AS moving_avg_20d,
+        {RM('f.volume', 0, 6, ' OVER w10')} AS avg_volume_10d
+  FROM fact_stock_prices f JOIN dim_date dd ON f.date_id = dd.date_id
+  WINDOW w20 AS (PARTITION BY f.stock_id ORDER BY dd.date_value ROWS BETWEEN 19 PRECEDING AND CURRENT ROW),
+         w10 AS (PARTITION BY f.stock_id ORDER BY dd.date_value ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
+SELECT stock_id, date_id, moving_avg_20d, avg_volume_10d,
+       CAST(to_json({{'moving_avg_20d': moving_avg_20d, 'avg_volume_10d': avg_volume_10d}}) AS VARCHAR)
+         AS additional_metrics
+FROM m
+""")
+
+BAR_D = """CAST(opening_price AS DOUBLE) AS o, CAST(high_price AS DOUBLE) AS h,
+           CAST(low_price AS DOUBLE) AS lo, CAST(closing_price AS DOUBLE) AS c"""
+
+SQL["bar_metrics"] = with_binding(f"""
+, b AS (SELECT stock_id, date_id, {BAR_D} FROM fact_stock_prices)
+SELECT stock_id, date_id,
+       ROUND(CASE WHEN o <> 0 THEN (c - o) / o * 100 END, 6) AS intraday_return_pct,
+       ROUND(CASE WHEN (h + lo) / 2 = 0 THEN 0.0 ELSE (h - lo) / ((h + lo) / 2) * 100 END, 6) AS volatility_pct,
+       (o - lo) / lo * 100 > 2.0 AS is_gap_up, (h - o) / o * 100 > 2.0 AS is_gap_down
+FROM b
+""")
+
+SQL["points_frame"] = with_binding(f"""
+, b AS (SELECT dd.date_value, ds.symbol, {BAR_D}, f.volume
+        FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id
+        JOIN dim_date dd ON f.date_id = dd.date_id WHERE ds.is_active)
+SELECT date_value AS "Date", symbol AS "Symbol", o AS "Open", h AS "High", lo AS "Low", c AS "Close",
+       CAST(volume AS BIGINT) AS "Volume",
+       ROUND(COALESCE(CASE WHEN o <> 0 THEN (c - o) / o * 100 END, 0.0), 6) AS "Daily_Return_Pct",
+       ROUND(CASE WHEN (h + lo) / 2 = 0 THEN 0.0 ELSE (h - lo) / ((h + lo) / 2) * 100 END, 6) AS "Volatility_Pct",
+       'alpha_vantage' AS "Source", 'daily' AS "Data_Type"
+FROM b
+""")
+
+SQL["symbol_summary"] = with_binding(f"""
+SELECT ds.symbol, COUNT(*) AS point_count, MIN(dd.date_value) AS start_date, MAX(dd.date_value) AS end_date,
+       CAST(MIN(f.closing_price) AS DOUBLE) AS min_close, CAST(MAX(f.closing_price) AS DOUBLE) AS max_close,
+       {RM('f.closing_price', 4, 6)} AS avg_close,
+       CAST(max_by(f.closing_price, dd.date_value) AS DOUBLE) AS latest_close,
+       MIN(f.volume) AS min_volume, MAX(f.volume) AS max_volume,
+       {RM('f.volume', 0, 6)} AS avg_volume, CAST(SUM(f.volume) AS BIGINT) AS total_volume
+FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id
+JOIN dim_date dd ON f.date_id = dd.date_id WHERE ds.is_active
+GROUP BY ds.symbol
+""")
+
+
+def INV(x: str) -> str:
+    r = f"CAST({x} * 1000000 AS HUGEINT)"
+    q = f"(1000000000000 // {r})"
+    rem2 = f"(2 * (1000000000000 - {q} * {r}))"
+    return (f"CAST(CASE WHEN {rem2} > {r} OR ({rem2} = {r} AND {q} % 2 = 1) THEN {q} + 1 ELSE {q} END"
+            f" AS DOUBLE) / 1000000.0")
+
+
+SQL["inverse_rates"] = with_binding(DIRTY_SQL + f"""
+SELECT date, source, to_currency AS from_currency, from_currency AS to_currency,
+       {INV('rate')} AS rate, {INV('ask_rate')} AS bid_rate, {INV('bid_rate')} AS ask_rate
+FROM quotes
+""")
+
+SQL["convert_amounts"] = with_binding(DIRTY_SQL + """
+SELECT from_currency, to_currency, date, CAST(1000 AS DOUBLE) AS amount,
+       CAST(CAST(1000 AS DECIMAL(10,2)) * COALESCE(bid_rate, rate) AS DOUBLE) AS converted_amount
+FROM quotes
+""")
+
+SQL["rate_metrics"] = with_binding(DIRTY_SQL + """
+SELECT date, ROUND(CASE WHEN bid_rate IS NOT NULL AND ask_rate IS NOT NULL
+                   THEN (CAST(ask_rate AS DOUBLE) - CAST(bid_rate AS DOUBLE)) / CAST(rate AS DOUBLE) * 100 END, 6)
+         AS spread_pct,
+       epoch(TIMESTAMP '2001-08-01 00:00:00') - epoch(timestamp) > 24 * 3600 AS is_stale,
+       concat(from_currency, to_currency) AS pair_name
+FROM quotes
+""")
+
+DSTAR = """FROM dirty_prices f JOIN dim_date dd ON f.date_id = dd.date_id"""
+
+SQL["quality_checks"] = with_binding(DIRTY_SQL + f"""
+SELECT 'Duplicate stock prices' AS check_name, CAST(COUNT(*) AS BIGINT) AS violation_count, 'CRITICAL' AS severity
+FROM (SELECT stock_id, date_id FROM dirty_prices GROUP BY stock_id, date_id HAVING COUNT(*) > 1) d
+UNION ALL
+SELECT 'Negative stock prices', COUNT(*), 'CRITICAL' FROM dirty_prices
+WHERE opening_price <= 0 OR high_price <= 0 OR low_price <= 0 OR closing_price <= 0
+UNION ALL
+SELECT 'Invalid price relationships', COUNT(*), 'CRITICAL' FROM dirty_prices
+WHERE high_price < low_price OR closing_price > high_price OR closing_price < low_price
+   OR opening_price > high_price OR opening_price < low_price
+UNION ALL
+SELECT 'Extreme daily returns', COUNT(*), 'WARNING' FROM dirty_prices WHERE daily_return < -50 OR daily_return > 50
+UNION ALL
+SELECT 'Invalid currency rates', COUNT(*), 'CRITICAL' FROM dirty_rates WHERE exchange_rate <= 0
+UNION ALL
+SELECT 'Missing recent data', CASE WHEN MAX(dd.date_value) < {AS_OF_SQL} - INTERVAL 7 DAY THEN 1 ELSE 0 END, 'WARNING'
+{DSTAR}
+UNION ALL
+SELECT 'Missing stock data', 7 - COUNT(DISTINCT ds.symbol), 'WARNING'
+FROM dim_stocks ds JOIN dirty_prices f ON ds.stock_id = f.stock_id JOIN dim_date dd ON f.date_id = dd.date_id
+WHERE ds.symbol IN {TRACKED_SQL} AND dd.date_value >= {AS_OF_SQL} - INTERVAL 30 DAY
+""")
+
+SQL["quality_score"] = with_binding(DIRTY_SQL + """
+SELECT 'OVERALL_QUALITY_SCORE' AS metric_name,
+       CAST(CASE WHEN c.n > 0 THEN 0.0 WHEN w.n > 5 THEN 0.7 WHEN w.n > 0 THEN 0.9 ELSE 1.0 END AS DOUBLE)
+         AS quality_score
+FROM (SELECT COUNT(*) AS n FROM dirty_prices
+      WHERE opening_price <= 0 OR high_price <= 0 OR low_price <= 0 OR closing_price <= 0) c,
+     (SELECT COUNT(*) AS n FROM dirty_prices WHERE daily_return < -50 OR daily_return > 50) w
+""")
+
+SQL["quality_status"] = with_binding(DIRTY_SQL + """
+, qm AS (SELECT COUNT(*) AS total_records, COUNT(DISTINCT f.stock_id) AS unique_stocks,
+         COUNT(CASE WHEN f.daily_return IS NULL THEN 1 END) AS null_returns,
+         COUNT(CASE WHEN f.volume = 0 THEN 1 END) AS zero_volume_records
+  FROM dirty_prices f JOIN dim_date dd ON f.date_id = dd.date_id WHERE dd.date_value = DATE '2001-07-31')
+SELECT CASE WHEN unique_stocks < 7 THEN 'FAIL: Missing stock data'
+            WHEN total_records < 7 THEN 'FAIL: Insufficient records'
+            WHEN null_returns > 1 THEN 'WARN: High null return rate'
+            WHEN zero_volume_records > 0 THEN 'WARN: Zero volume detected'
+            ELSE 'PASS: Data quality acceptable' END AS quality_status,
+       total_records, unique_stocks, null_returns, zero_volume_records
+FROM qm
+""")
+
+BARS_IN = """, bi AS (
+  SELECT f.stock_id, f.date_id, upper(replace(ds.symbol, '#', '')) AS symbol,
+         CAST(dd.date_value AS TIMESTAMP) AS timestamp,
+         CAST(CAST(f.opening_price AS DECIMAL(10,2)) AS DECIMAL(20,6)) AS o,
+         CAST(CAST(f.high_price AS DECIMAL(10,2)) AS DECIMAL(20,6)) AS h,
+         CAST(CAST(f.low_price AS DECIMAL(10,2)) AS DECIMAL(20,6)) AS lo,
+         CAST(CAST(f.closing_price AS DECIMAL(10,2)) AS DECIMAL(20,6)) AS c,
+         f.volume AS v, 'alpha_vantage' AS source, 'daily' AS data_type
+  FROM dirty_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id
+  JOIN dim_date dd ON f.date_id = dd.date_id WHERE ds.is_active)"""
+
+
+def PLACES(x: str) -> str:
+    s = f"regexp_replace(CAST(CAST(abs({x}) AS DECIMAL(38,10)) AS VARCHAR), '0+$', '')"
+    return f"(CASE WHEN strpos({s}, '.') > 0 THEN length(split_part({s}, '.', 2)) ELSE 0 END)"
+
+
+def IDIG(x: str) -> str:
+    return f"length(CAST(CAST(floor(abs({x})) AS DECIMAL(38,0)) AS VARCHAR))"
+
+
+def PRICE_RULES(name: str, x: str) -> list[str]:
+    return [
+        f"CASE WHEN {x} IS NULL THEN '{name} is required' END",
+        f"CASE WHEN {x} <= 0 THEN '{name} must be greater than 0' END",
+        f"CASE WHEN {x} > 0 AND {x} < 0.01 THEN 'Price must be at least $0.01' END",
+        f"CASE WHEN {x} > 100000 THEN 'Price cannot exceed $100,000' END",
+        f"CASE WHEN {PLACES(x)} > 2 THEN '{name} must have at most 2 decimal places' END",
+        f"CASE WHEN {PLACES(x)} + {IDIG(x)} > 10 THEN '{name} must have at most 10 digits' END",
+    ]
+
+
+def T(x: str) -> str:
+    return f"CAST(CAST({x} AS DOUBLE) AS VARCHAR)"
+
+
+BAR_RULES = [
+    "CASE WHEN symbol IS NULL OR length(symbol) < 1 OR length(symbol) > 10 THEN 'symbol must have 1 to 10 characters' END",
+    "CASE WHEN NOT regexp_matches(symbol, '^[A-Z0-9.-]+$') THEN 'symbol must match ^[A-Z0-9.-]+$' END",
+    "CASE WHEN upper(trim(symbol)) IN ('', 'NULL', 'NONE', 'N/A') THEN 'Invalid symbol' END",
+    "CASE WHEN timestamp IS NULL THEN 'timestamp is required' END",
+    "CASE WHEN year(timestamp) < 1980 THEN 'Timestamp cannot be before 1980' END",
+    "CASE WHEN timestamp > TIMESTAMP '2001-08-01 00:00:00' THEN 'Timestamp cannot be in the future' END",
+    *PRICE_RULES("open", "o"), *PRICE_RULES("high", "h"), *PRICE_RULES("low", "lo"), *PRICE_RULES("close", "c"),
+    "CASE WHEN v IS NULL THEN 'volume is required' END",
+    "CASE WHEN v < 0 THEN 'volume must be greater than or equal to 0' END",
+    "CASE WHEN v > 10000000000 THEN 'volume must be less than or equal to 10000000000' END",
+    f"CASE WHEN h < lo THEN format('High price ({{}}) cannot be less than low price ({{}})', {T('h')}, {T('lo')}) END",
+    f"CASE WHEN h < o THEN format('High price ({{}}) cannot be less than open price ({{}})', {T('h')}, {T('o')}) END",
+    f"CASE WHEN h < c THEN format('High price ({{}}) cannot be less than close price ({{}})', {T('h')}, {T('c')}) END",
+    f"CASE WHEN lo > o THEN format('Low price ({{}}) cannot be greater than open price ({{}})', {T('lo')}, {T('o')}) END",
+    f"CASE WHEN lo > c THEN format('Low price ({{}}) cannot be greater than close price ({{}})', {T('lo')}, {T('c')}) END",
+    "CASE WHEN v = 0 AND o <> c THEN 'Cannot have price movement with zero volume' END",
+]
+
+
+def ERRS(rules: list[str]) -> str:
+    return "list_filter([" + ",\n  ".join(rules) + "], lambda x: x IS NOT NULL)"
+
+
+SQL["validate_bars"] = with_binding(DIRTY_SQL + BARS_IN + f"""
+, e AS (SELECT stock_id, date_id, {ERRS(BAR_RULES)} AS errs FROM bi)
+SELECT stock_id, date_id, array_to_string(errs, '; ') AS errors, CAST(len(errs) AS INT) AS n_errors FROM e
+""")
+
+SQL["validate_batches"] = with_binding(DIRTY_SQL + BARS_IN + """
+, g AS (SELECT symbol, source, data_type, COUNT(*) AS point_count, COUNT(DISTINCT timestamp) AS distinct_ts,
+               COUNT(DISTINCT symbol) AS symbols FROM bi GROUP BY symbol, source, data_type),
+e AS (SELECT *, list_filter([
+   CASE WHEN point_count > 10000 THEN 'at most 10000 data points' END,
+   CASE WHEN distinct_ts < point_count THEN 'Duplicate timestamps found in data points' END,
+   CASE WHEN symbols > 1 THEN 'Data point symbol does not match the batch symbol' END,
+   CASE WHEN source NOT IN ('alpha_vantage','yahoo','polygon','iex','manual') THEN 'source is not an accepted source' END,
+   CASE WHEN data_type NOT IN ('daily','intraday','weekly','monthly') THEN 'data_type is not an accepted type' END
+  ], lambda x: x IS NOT NULL) AS errs FROM g)
+SELECT symbol, source, data_type, point_count, distinct_ts, symbols,
+       array_to_string(errs, '; ') AS errors, CAST(len(errs) AS INT) AS n_errors FROM e
+""")
+
+SQL["batch_warnings"] = with_binding(DIRTY_SQL + BARS_IN + """
+, w AS (SELECT stock_id, date_id,
+          date_diff('day', CAST(lag(timestamp) OVER (PARTITION BY symbol ORDER BY timestamp) AS DATE),
+                    CAST(timestamp AS DATE)) AS gap,
+          AVG(CAST(v AS DOUBLE)) OVER (PARTITION BY symbol) AS mean_v,
+          COUNT(*) OVER (PARTITION BY symbol) AS n, v, CAST(h AS DOUBLE) AS hd, CAST(lo AS DOUBLE) AS lod,
+          data_type
+        FROM bi),
+e AS (SELECT stock_id, date_id, list_filter([
+   CASE WHEN data_type = 'daily' AND gap > 10 THEN format('gap of {} days', gap) END,
+   CASE WHEN n > 2 AND mean_v > 0 AND v > mean_v * 100.0 THEN 'volume outlier' END,
+   CASE WHEN (hd - lod) > (hd + lod) / 2 * 0.5 THEN 'suspicious daily range' END
+  ], lambda x: x IS NOT NULL) AS ws FROM w)
+SELECT stock_id, date_id, array_to_string(ws, '; ') AS warnings, CAST(len(ws) AS INT) AS n_warnings FROM e
+""")
+
+
+def RATE_BOUNDS(name: str, x: str, required: bool) -> list[str]:
+    out = [f"CASE WHEN {x} IS NULL THEN '{name} is required' END"] if required else []
+    return out + [
+        f"CASE WHEN {x} <= 0 THEN '{name} must be greater than 0' END",
+        f"CASE WHEN {x} > 0 AND {x} < 0.000001 THEN 'Exchange rate too small (minimum 0.000001)' END",
+        f"CASE WHEN {x} > 1000000 THEN 'Exchange rate too large (maximum 1,000,000)' END",
+        f"CASE WHEN {PLACES(x)} > 6 THEN '{name} must have at most 6 decimal places' END",
+        f"CASE WHEN {PLACES(x)} + {IDIG(x)} > 12 THEN '{name} must have at most 12 digits' END",
+    ]
+
+
+RATE_RULES = [
+    "CASE WHEN from_currency IS NULL OR NOT regexp_matches(from_currency, '^[A-Z]{3}$') THEN 'from_currency must be 3 upper-case letters' END",
+    "CASE WHEN to_currency IS NULL OR NOT regexp_matches(to_currency, '^[A-Z]{3}$') THEN 'to_currency must be 3 upper-case letters' END",
+    "CASE WHEN timestamp IS NULL THEN 'timestamp is required' END",
+    "CASE WHEN year(timestamp) < 1990 THEN 'Currency rate timestamp cannot be before 1990' END",
+    "CASE WHEN timestamp > TIMESTAMP '2001-08-01 00:00:00' THEN 'Currency rate timestamp cannot be in the future' END",
+    *RATE_BOUNDS("rate", "r", True), *RATE_BOUNDS("bid_rate", "b", False), *RATE_BOUNDS("ask_rate", "a", False),
+    "CASE WHEN from_currency = to_currency THEN 'Cannot convert currency to itself' END",
+    "CASE WHEN b IS NOT NULL AND a IS NOT NULL AND b >= a THEN 'Bid rate must be less than ask rate' END",
+    "CASE WHEN b IS NOT NULL AND a IS NOT NULL AND b < a AND (r < b OR r > a) THEN 'Exchange rate must be between bid and ask rates' END",
+    "CASE WHEN source NOT IN ('alpha_vantage','yahoo','xe','fixer','manual') THEN 'source is not an accepted source' END",
+]
+
+SQL["validate_rates"] = with_binding(DIRTY_SQL + f"""
+, qi AS (SELECT *, CAST(rate AS DECIMAL(20,8)) AS r, CAST(bid_rate AS DECIMAL(20,8)) AS b,
+                CAST(ask_rate AS DECIMAL(20,8)) AS a FROM quotes),
+e AS (SELECT date, {ERRS(RATE_RULES)} AS errs FROM qi)
+SELECT date, array_to_string(errs, '; ') AS errors, CAST(len(errs) AS INT) AS n_errors FROM e
+""")
+
+KNOWN_SQL = ("('USD','EUR','GBP','JPY','CHF','CAD','AUD','NZD','CNY','INR','BRL','MXN','ZAR','SGD','HKD',"
+             "'NOK','SEK','DKK','PLN','CZK','HUF','RUB','TRY','KRW')")
+
+SQL["rate_warnings"] = with_binding(DIRTY_SQL + f"""
+, e AS (SELECT date, list_filter([
+   CASE WHEN from_currency NOT IN {KNOWN_SQL} THEN format('Unknown currency code: {{}}', from_currency) END,
+   CASE WHEN to_currency NOT IN {KNOWN_SQL} THEN format('Unknown currency code: {{}}', to_currency) END,
+   CASE WHEN (CAST(ask_rate AS DOUBLE) - CAST(bid_rate AS DOUBLE)) / CAST(rate AS DOUBLE) * 100 > 10.0
+        THEN 'wide spread' END], lambda x: x IS NOT NULL) AS ws FROM quotes)
+SELECT date, array_to_string(ws, '; ') AS warnings, CAST(len(ws) AS INT) AS n_warnings FROM e
+""")
+
+SQL["check_response"] = with_binding(DIRTY_SQL + f"""
+, pw AS (SELECT ds.symbol, dd.date_value AS trade_date, f.closing_price AS price_usd,
+                ROUND(f.closing_price * r.exchange_rate, 4) AS price_gbp, r.exchange_rate AS usd_to_gbp_rate,
+                f.volume
+  FROM dirty_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id
+  JOIN dim_date dd ON f.date_id = dd.date_id
+  LEFT JOIN dirty_rates r ON dd.date_id = r.date_id AND r.from_currency_id = {USD} AND r.to_currency_id = {GBP}
+  WHERE ds.is_active),
+e AS (SELECT symbol, trade_date, price_usd, list_filter([
+   CASE WHEN price_usd <= 0 THEN 'price_usd must be positive' END,
+   CASE WHEN volume < 0 THEN 'volume must be non-negative' END,
+   CASE WHEN price_gbp IS NOT NULL AND price_gbp <= 0 THEN 'price_gbp must be positive if provided' END,
+   CASE WHEN usd_to_gbp_rate IS NOT NULL AND usd_to_gbp_rate <= 0 THEN 'usd_to_gbp_rate must be positive if provided' END
+  ], lambda x: x IS NOT NULL) AS errs FROM pw)
+SELECT symbol, trade_date, CAST(price_usd AS DOUBLE) AS price_usd, array_to_string(errs, '; ') AS errors,
+       CAST(len(errs) AS INT) AS n_errors FROM e
+""")
+
+SQL["check_conversion"] = with_binding(f"""
+, cc AS (SELECT ds.symbol, dd.date_value AS rate_date, f.closing_price AS price_usd,
+                r.exchange_rate AS usd_to_gbp_rate, ROUND(f.closing_price * r.exchange_rate, 4) AS price_gbp
+  FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id
+  JOIN dim_date dd ON f.date_id = dd.date_id JOIN fact_currency_rates r ON dd.date_id = r.date_id
+  WHERE r.from_currency_id = {USD} AND r.to_currency_id = {GBP} AND ds.is_active
+    AND dd.date_value = (SELECT MAX(dd2.date_value) FROM dim_date dd2 JOIN fact_currency_rates r2
+                         ON dd2.date_id = r2.date_id WHERE r2.from_currency_id = {USD} AND r2.to_currency_id = {GBP})),
+a AS (SELECT *, CAST(floor((epoch(TIMESTAMP '2001-08-01 00:00:00') - epoch(CAST(rate_date AS TIMESTAMP))) / 3600) AS INT)
+                AS rate_age_hours,
+             CAST(price_usd AS DECIMAL(20,6)) * CAST(usd_to_gbp_rate AS DECIMAL(20,6)) AS expected FROM cc),
+e AS (SELECT symbol, rate_date, rate_age_hours, rate_age_hours > 24 AS is_rate_stale, list_filter([
+   CASE WHEN price_usd <= 0 THEN 'price_usd must be greater than 0' END,
+   CASE WHEN usd_to_gbp_rate <= 0 THEN 'usd_to_gbp_rate must be greater than 0' END,
+   CASE WHEN price_gbp <= 0 THEN 'price_gbp must be greater than 0' END,
+   CASE WHEN abs(CAST(price_gbp AS DECIMAL(20,6)) - expected) > expected * 0.0001
+        THEN 'GBP price doesn''t match conversion within tolerance' END,
+   CASE WHEN rate_age_hours < 0 THEN 'rate_age_hours must be greater than or equal to 0' END
+  ], lambda x: x IS NOT NULL) AS errs FROM a)
+SELECT symbol, rate_date, rate_age_hours, is_rate_stale, array_to_string(errs, '; ') AS errors,
+       CAST(len(errs) AS INT) AS n_errors FROM e
+""")
+
+from .binding import BINDING_SQL  # noqa: E402
+
+_Q3_BODY = SQL["performance_details"][len(BINDING_SQL.rstrip()):]
+SQL["check_performance"] = with_binding(_Q3_BODY.replace(
+    "SELECT sm.symbol, sm.company_name", ", pd AS (SELECT sm.symbol, sm.company_name", 1).rstrip()
+    + """)
+, e AS (SELECT symbol, trade_date, performance_rank, list_filter([
+   CASE WHEN NOT regexp_matches(regexp_replace(upper(trim(symbol)), '[.-]', '', 'g'), '^[A-Z0-9]+$')
+        THEN 'Invalid symbol format' END,
+   CASE WHEN price_usd <= 0 THEN 'price_usd must be greater than 0' END,
+   CASE WHEN price_gbp <= 0 THEN 'price_gbp must be greater than 0' END,
+   CASE WHEN daily_return < -100 OR daily_return > 1000 THEN 'daily_return_pct must be between -100 and 1000' END,
+   CASE WHEN volume < 0 THEN 'volume must be greater than or equal to 0' END,
+   CASE WHEN trade_date > DATE '2001-08-01' THEN 'Trade date cannot be in the future' END,
+   CASE WHEN performance_rank < 1 OR performance_rank > 10 THEN 'performance_rank must be between 1 and 10' END,
+   CASE WHEN volatility_30d < 0 THEN 'volatility_30d must be greater than or equal to 0' END
+  ], lambda x: x IS NOT NULL) AS errs FROM pd)
+SELECT symbol, trade_date, performance_rank, array_to_string(errs, '; ') AS errors,
+       CAST(len(errs) AS INT) AS n_errors FROM e
+""")
+
+
+def _dup(table: str, keys: str) -> str:
+    return (f"(SELECT COALESCE(SUM(n - 1), 0) FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY {keys}) g"
+            f" WHERE n > 1)")
+
+
+def _fk(table: str, col: str, dim: str, dim_col: str) -> str:
+    return f"(SELECT COUNT(*) FROM {table} x WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{dim_col} = x.{col}))"
+
+
+_AUDIT = [
+    ("dim_stocks", "unique symbol", _dup("dim_stocks", "symbol")),
+    ("dim_stocks", "unique stock_id", _dup("dim_stocks", "stock_id")),
+    ("dim_stocks", "symbol not null, length <= 10",
+     "(SELECT COUNT(*) FROM dim_stocks WHERE symbol IS NULL OR length(symbol) > 10)"),
+    ("dim_date", "unique date_value", _dup("dim_date", "date_value")),
+    ("dim_date", "calendar parts not null",
+     "(SELECT COUNT(*) FROM dim_date WHERE year IS NULL OR month IS NULL OR day IS NULL OR is_weekend IS NULL)"),
+    ("dim_currency", "unique currency_code", _dup("dim_currency", "currency_code")),
+    ("dim_currency", "currency_code length = 3",
+     "(SELECT COUNT(*) FROM dim_currency WHERE currency_code IS NULL OR length(currency_code) <> 3)"),
+    ("fact_stock_prices", "unique (stock_id, date_id)", _dup("dirty_prices", "stock_id, date_id")),
+    ("fact_stock_prices", "stock_id references dim_stocks", _fk("dirty_prices", "stock_id", "dim_stocks", "stock_id")),
+    ("fact_stock_prices", "date_id references dim_date", _fk("dirty_prices", "date_id", "dim_date", "date_id")),
+    ("fact_stock_prices", "prices and volume not null",
+     "(SELECT COUNT(*) FROM dirty_prices WHERE opening_price IS NULL OR high_price IS NULL OR low_price IS NULL"
+     " OR closing_price IS NULL OR volume IS NULL)"),
+    ("fact_currency_rates", "unique (from, to, date_id)",
+     _dup("dirty_rates", "from_currency_id, to_currency_id, date_id")),
+    ("fact_currency_rates", "from_currency_id references dim_currency",
+     _fk("dirty_rates", "from_currency_id", "dim_currency", "currency_id")),
+    ("fact_currency_rates", "to_currency_id references dim_currency",
+     _fk("dirty_rates", "to_currency_id", "dim_currency", "currency_id")),
+    ("fact_currency_rates", "date_id references dim_date", _fk("dirty_rates", "date_id", "dim_date", "date_id")),
+    ("fact_currency_rates", "exchange_rate not null",
+     "(SELECT COUNT(*) FROM dirty_rates WHERE exchange_rate IS NULL)"),
+]
+SQL["constraint_audit"] = with_binding(DIRTY_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{r}' AS rule, CAST({q} AS BIGINT) AS violations" for t, r, q in _AUDIT))

@@ -128,3 +128,166 @@ def _x5(spark, sf_dir):
 @register("top_returns_all_time")
 def _x9(spark, sf_dir):
     return edge(A.top_returns_all_time(tables(spark, sf_dir), k=5))
+
+
+# -- returns, metrics, quality --------------------------------------------
+
+from .operators import metrics as M  # noqa: E402
+from .operators import quality as QC  # noqa: E402
+from .operators import returns as R  # noqa: E402
+from .operators import validate as V  # noqa: E402
+from .operators.common import star  # noqa: E402
+
+AS_OF_TS = _dt.datetime(2001, 8, 1)
+RESET_FROM = 20010701  # returns of these days are recomputed by the ETL step
+
+
+def _reset_returns(t):
+    return t.with_(prices=t.prices.withColumn(
+        "daily_return", F.when(F.col("date_id") >= RESET_FROM, F.lit(None))
+        .otherwise(F.col("daily_return")).cast("decimal(8,6)")))
+
+
+@register("daily_returns")
+def _e2(spark, sf_dir):
+    out = R.daily_returns(_reset_returns(tables(spark, sf_dir)), "all", AS_OF_TS)
+    return edge(out.select("stock_id", "date_id", "daily_return"))
+
+
+@register("daily_returns_null_only")
+def _e2b(spark, sf_dir):
+    out = R.daily_returns(_reset_returns(tables(spark, sf_dir)), "null_only", AS_OF_TS)
+    return edge(out.select("stock_id", "date_id", "daily_return"))
+
+
+@register("moving_metrics")
+def _x7(spark, sf_dir):
+    return edge(R.moving_metrics(tables(spark, sf_dir)))
+
+
+@register("bar_metrics")
+def _m1(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return M.bar_metrics(t.prices).select("stock_id", "date_id", "intraday_return_pct",
+                                          "volatility_pct", "is_gap_up", "is_gap_down")
+
+
+@register("points_frame")
+def _s14(spark, sf_dir):
+    return M.points_frame(star(tables(spark, sf_dir)))
+
+
+@register("symbol_summary")
+def _m5(spark, sf_dir):
+    return edge(M.symbol_summary(star(tables(spark, sf_dir))))
+
+
+def _quotes(spark, sf_dir):
+    return binding.quotes(tables(spark, sf_dir))
+
+
+@register("inverse_rates")
+def _m6(spark, sf_dir):
+    return edge(M.inverse_rates(_quotes(spark, sf_dir)).drop("timestamp"))
+
+
+@register("convert_amounts")
+def _m7(spark, sf_dir):
+    q = _quotes(spark, sf_dir).withColumn("amount", F.lit(1000).cast("decimal(10,2)"))
+    return edge(M.convert_amounts(q, use_bid=True).select(
+        "from_currency", "to_currency", "date", "amount", "converted_amount"))
+
+
+@register("rate_metrics")
+def _m8(spark, sf_dir):
+    out = M.rate_metrics(_quotes(spark, sf_dir), AS_OF_TS)
+    return edge(out.select("date", F.round("spread_pct", 6).alias("spread_pct"), "is_stale",
+                           "pair_name"))
+
+
+def _dirty(spark, sf_dir):
+    return binding.dirty(tables(spark, sf_dir))
+
+
+@register("quality_checks")
+def _e3(spark, sf_dir):
+    return QC.quality_checks(_dirty(spark, sf_dir), AS_OF, TRACKED)
+
+
+@register("quality_score")
+def _e7(spark, sf_dir):
+    return QC.quality_score(_dirty(spark, sf_dir))
+
+
+@register("quality_status")
+def _x6(spark, sf_dir):
+    return QC.quality_status(_dirty(spark, sf_dir), _dt.date(2001, 7, 31), expected=len(TRACKED))
+
+
+def _joined_errors(df, col="errors"):
+    return df.withColumn("n_" + col, F.size(col)).withColumn(col, F.array_join(col, "; "))
+
+
+def _bars_input(t):
+    rows = star(t, columns=["opening_price", "high_price", "low_price", "closing_price", "volume"])
+    return rows.select(
+        "stock_id", "date_id", F.upper(F.regexp_replace("symbol", "#", "")).alias("symbol"),
+        F.col("date_value").cast("timestamp").alias("timestamp"),
+        *[F.col(a).cast("decimal(10,2)").alias(b) for a, b in
+          (("opening_price", "open"), ("high_price", "high"), ("low_price", "low"),
+           ("closing_price", "close"))],
+        "volume", F.lit("alpha_vantage").alias("source"), F.lit("daily").alias("data_type"))
+
+
+@register("validate_bars")
+def _c1(spark, sf_dir):
+    out = V.validate_bars(_bars_input(_dirty(spark, sf_dir)), AS_OF_TS)
+    return _joined_errors(out.select("stock_id", "date_id", "errors"))
+
+
+@register("validate_batches")
+def _c2(spark, sf_dir):
+    out = V.validate_batches(_bars_input(_dirty(spark, sf_dir)))
+    return _joined_errors(out)
+
+
+@register("batch_warnings")
+def _c3(spark, sf_dir):
+    out = V.batch_warnings(_bars_input(_dirty(spark, sf_dir)), data_type="data_type")
+    return _joined_errors(out.select("stock_id", "date_id", "warnings"), "warnings")
+
+
+@register("validate_rates")
+def _c5(spark, sf_dir):
+    out = V.validate_rates(_quotes(spark, sf_dir), AS_OF_TS)
+    return _joined_errors(out.select("date", "errors"))
+
+
+@register("rate_warnings")
+def _c6(spark, sf_dir):
+    out = V.rate_warnings(_quotes(spark, sf_dir))
+    return _joined_errors(out.select("date", "warnings"), "warnings")
+
+
+@register("check_response")
+def _p16(spark, sf_dir):
+    out = V.check_response(A.prices_with_currency(_dirty(spark, sf_dir)))
+    return edge(_joined_errors(out.select("symbol", "trade_date", "price_usd", "errors")))
+
+
+@register("check_conversion")
+def _p20(spark, sf_dir):
+    out = V.check_conversion(A.currency_conversion(tables(spark, sf_dir)), AS_OF_TS)
+    return edge(_joined_errors(out.select("symbol", "rate_date", "rate_age_hours",
+                                          "is_rate_stale", "errors")))
+
+
+@register("check_performance")
+def _p21(spark, sf_dir):
+    out = V.check_performance(A.performance_details(tables(spark, sf_dir), TRACKED), AS_OF)
+    return _joined_errors(out.select("symbol", "trade_date", "performance_rank", "errors"))
+
+
+@register("constraint_audit")
+def _d9(spark, sf_dir):
+    return V.constraint_audit(_dirty(spark, sf_dir))
