@@ -627,3 +627,71 @@ _AUDIT = [
 ]
 SQL["constraint_audit"] = with_binding(DIRTY_SQL + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, '{r}' AS rule, CAST({q} AS BIGINT) AS violations" for t, r, q in _AUDIT))
+
+
+# -- payload round trips ----------------------------------------------------
+
+SQL["payload_daily"] = with_binding("""
+SELECT dd.date_value AS "Date", CAST(f.opening_price AS DOUBLE) AS "Open", CAST(f.high_price AS DOUBLE) AS "High",
+       CAST(f.low_price AS DOUBLE) AS "Low", CAST(f.closing_price AS DOUBLE) AS "Close", f.volume AS "Volume",
+       ds.symbol AS "Symbol"
+FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id JOIN dim_date dd ON f.date_id = dd.date_id
+""")
+
+SQL["payload_crypto"] = with_binding("""
+SELECT CAST(dd.date_value AS TIMESTAMP) AS "DateTime", CAST(f.opening_price AS DOUBLE) AS "Open",
+       CAST(f.high_price AS DOUBLE) AS "High", CAST(f.low_price AS DOUBLE) AS "Low",
+       CAST(f.closing_price AS DOUBLE) AS "Close", CAST(f.volume AS DOUBLE) AS "Volume", 0.0 AS "MarketCap",
+       ds.symbol AS "CurrencyCode", 'USD' AS "MarketCode"
+FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id JOIN dim_date dd ON f.date_id = dd.date_id
+""")
+
+SQL["payload_intraday"] = """
+SELECT ts AS "DateTime", value AS "Open", value AS "High", value AS "Low", value AS "Close",
+       CAST(user_id AS BIGINT) AS "Volume", event_type AS "Symbol", '5min' AS "Interval"
+FROM (SELECT event_type, ts, max_by(value, event_id) AS value, max_by(user_id, event_id) AS user_id
+      FROM events GROUP BY event_type, ts) e
+"""
+
+SQL["payload_fx_daily"] = with_binding("""
+SELECT CAST(date AS TIMESTAMP) AS "DateTime", CAST(min_by(rate, updated_at) AS DOUBLE) AS "Open",
+       CAST(max(rate) AS DOUBLE) AS "High", CAST(min(rate) AS DOUBLE) AS "Low",
+       CAST(max_by(rate, updated_at) AS DOUBLE) AS "Close", from_currency AS "FromCurrency", to_currency AS "ToCurrency"
+FROM exchange_rates GROUP BY from_currency, to_currency, date
+""")
+
+SQL["payload_fx_quote"] = with_binding(DIRTY_SQL + """
+SELECT from_currency, to_currency, CAST(rate AS DOUBLE) AS exchange_rate,
+       strftime(date, '%Y-%m-%d') || ' 16:00:00' AS last_refreshed, 'UTC' AS timezone,
+       CAST(bid_rate AS DOUBLE) AS bid_price, CAST(ask_rate AS DOUBLE) AS ask_price
+FROM quotes
+""")
+
+SQL["payload_overview"] = with_binding("""
+, g AS (SELECT ds.symbol, SUM(f.volume) AS shares, max_by(f.closing_price, dd.date_value) AS last
+        FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id
+        JOIN dim_date dd ON f.date_id = dd.date_id GROUP BY ds.symbol)
+SELECT symbol, symbol || ' Inc.' AS company_name, 'TECHNOLOGY' AS sector, CAST(NULL AS VARCHAR) AS industry,
+       CAST(ROUND(last * shares) AS BIGINT) AS market_cap, CAST(NULL AS DOUBLE) AS pe_ratio,
+       CAST(shares AS BIGINT) AS shares_outstanding
+FROM g
+""")
+
+SQL["payload_triage"] = """
+SELECT event_id,
+  CASE event_id % 6 WHEN 0 THEN 'ok' WHEN 1 THEN 'error' WHEN 2 THEN 'rate_limited' WHEN 3 THEN 'daily_limit'
+                    WHEN 4 THEN 'auth' ELSE 'empty' END AS status,
+  CASE event_id % 6
+    WHEN 1 THEN 'Unknown symbol. Please retry or visit the documentation for TIME_SERIES_DAILY.'
+    WHEN 2 THEN 'Thank you for using the API! Our standard API call frequency is 5 calls per minute.'
+    WHEN 3 THEN 'Our standard API rate limit is 25 requests per day.'
+    WHEN 4 THEN 'Invalid API key. Authentication failed.' END AS message
+FROM events
+"""
+
+SQL["payload_structure"] = """
+SELECT event_id,
+  CASE WHEN event_id % 6 = 0 THEN '' ELSE 'Expected key ''Time Series (Daily)'' not found in response' END AS errors,
+  CASE WHEN event_id % 6 = 0 THEN 0 ELSE 1 END AS n_errors
+FROM events
+"""

@@ -291,3 +291,126 @@ def _p21(spark, sf_dir):
 @register("constraint_audit")
 def _d9(spark, sf_dir):
     return V.constraint_audit(_dirty(spark, sf_dir))
+
+
+# -- vendor payloads (built from the data, parsed back) --------------------
+
+from .sources import payloads as PL  # noqa: E402
+
+_PRICE_FIELDS = {PL.OPEN: "o", PL.HIGH: "h", PL.LOW: "lo", PL.CLOSE: "c", PL.VOLUME: "v"}
+
+
+def _bars_named(t):
+    rows = star(t, active_only=False, columns=["opening_price", "high_price", "low_price",
+                                               "closing_price", "volume"])
+    return rows.select("symbol", "date_value", F.col("opening_price").alias("o"),
+                       F.col("high_price").alias("h"), F.col("low_price").alias("lo"),
+                       F.col("closing_price").alias("c"), F.col("volume").alias("v"),
+                       F.date_format("date_value", "yyyy-MM").alias("month"))
+
+
+@register("payload_daily")
+def _s3(spark, sf_dir):
+    b = _bars_named(tables(spark, sf_dir))
+    p = PL.series_payloads(b, ["symbol", "month"], F.date_format("date_value", "yyyy-MM-dd"),
+                           {k: F.col(v) for k, v in _PRICE_FIELDS.items()}, PL.DAILY_KEY)
+    return PL.flatten_daily(p)
+
+
+@register("payload_crypto")
+def _s6(spark, sf_dir):
+    b = _bars_named(tables(spark, sf_dir)).withColumn("market", F.lit("USD"))
+    fields = {"1a. open (USD)": F.col("o"), "2a. high (USD)": F.col("h"), "3a. low (USD)": F.col("lo"),
+              "4a. close (USD)": F.col("c"), PL.VOLUME: F.col("v")}
+    p = PL.series_payloads(b, ["symbol", "market", "month"], F.date_format("date_value", "yyyy-MM-dd"),
+                           fields, PL.CRYPTO_KEY)
+    return PL.flatten_crypto(p, code_col="symbol", market_col="market")
+
+
+def _events(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    # one tick per (type, timestamp); the latest event wins
+    return (ev.groupBy("event_type", "ts")
+            .agg(F.max_by("value", "event_id").alias("value"),
+                 F.max_by("user_id", "event_id").alias("user_id")))
+
+
+@register("payload_intraday")
+def _s4(spark, sf_dir):
+    ev = (_events(spark, sf_dir).withColumn("interval", F.lit("5min"))
+          .withColumn("day", F.to_date("ts")))
+    val = F.col("value")
+    p = PL.series_payloads(
+        ev, ["event_type", "interval", "day"],
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        {PL.OPEN: val, PL.HIGH: val, PL.LOW: val, PL.CLOSE: val, PL.VOLUME: F.col("user_id")},
+        F.lit("Time Series (5min)"))
+    return PL.flatten_intraday(p, symbol_col="event_type")
+
+
+def _fx_days(t):
+    er = t.exchange_rates
+    return (er.groupBy("from_currency", "to_currency", "date")
+            .agg(F.min_by("rate", "updated_at").alias("o"), F.max("rate").alias("h"),
+                 F.min("rate").alias("lo"), F.max_by("rate", "updated_at").alias("c")))
+
+
+@register("payload_fx_daily")
+def _s5(spark, sf_dir):
+    d = _fx_days(tables(spark, sf_dir)).withColumn("month", F.date_format("date", "yyyy-MM"))
+    p = PL.series_payloads(d, ["from_currency", "to_currency", "month"], F.date_format("date", "yyyy-MM-dd"),
+                           {PL.OPEN: F.col("o"), PL.HIGH: F.col("h"), PL.LOW: F.col("lo"),
+                            PL.CLOSE: F.col("c")}, PL.FX_DAILY_KEY)
+    return PL.flatten_fx(p)
+
+
+@register("payload_fx_quote")
+def _s7(spark, sf_dir):
+    q = _quotes(spark, sf_dir)
+    p = PL.quote_payloads(q, F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit(" 16:00:00")))
+    return PL.parse_quote(p)
+
+
+@register("payload_overview")
+def _s8(spark, sf_dir):
+    b = _bars_named(tables(spark, sf_dir))
+    g = b.groupBy("symbol").agg(F.sum("v").alias("shares"), F.max_by("c", "date_value").alias("last"))
+    body = F.to_json(F.create_map(
+        F.lit("Symbol"), F.col("symbol"), F.lit("Name"), F.concat(F.col("symbol"), F.lit(" Inc.")),
+        F.lit("Sector"), F.lit("TECHNOLOGY"), F.lit("SharesOutstanding"), F.col("shares").cast("string"),
+        F.lit("MarketCapitalization"), F.round(F.col("last") * F.col("shares")).cast("bigint").cast("string"),
+        F.lit("PERatio"), F.lit("None")))
+    return PL.parse_overview(g.select(body.alias("body"))).drop("overview")
+
+
+# Fixed texts of the generated error / notice payloads
+_TRIAGE_BODIES = [
+    None,  # case 0: a valid one-point daily series, built from the event
+    '{"Error Message": "Unknown symbol. Please retry or visit the documentation for TIME_SERIES_DAILY."}',
+    '{"Note": "Thank you for using the API! Our standard API call frequency is 5 calls per minute."}',
+    '{"Information": "Our standard API rate limit is 25 requests per day."}',
+    '{"error": "Invalid API key. Authentication failed."}',
+    "{}",
+]
+
+
+def _event_payloads(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "ts", "value")
+    ok = F.concat(F.lit('{"' + PL.DAILY_KEY + '": {"'), F.date_format("ts", "yyyy-MM-dd"),
+                  F.lit('": {"1. open": "'), F.col("value").cast("string"), F.lit('"}}}'))
+    body = F.when(F.col("event_id") % 6 == 0, ok)
+    for i, text in enumerate(_TRIAGE_BODIES):
+        if text is not None:
+            body = body.when(F.col("event_id") % 6 == i, F.lit(text))
+    return ev.select("event_id", body.alias("body"))
+
+
+@register("payload_triage")
+def _s9(spark, sf_dir):
+    return PL.triage(_event_payloads(spark, sf_dir)).select("event_id", "status", "message")
+
+
+@register("payload_structure")
+def _s10(spark, sf_dir):
+    out = PL.check_structure(_event_payloads(spark, sf_dir), PL.DAILY_KEY)
+    return _joined_errors(out.select("event_id", "errors"))
