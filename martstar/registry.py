@@ -414,3 +414,344 @@ def _s9(spark, sf_dir):
 def _s10(spark, sf_dir):
     out = PL.check_structure(_event_payloads(spark, sf_dir), PL.DAILY_KEY)
     return _joined_errors(out.select("event_id", "errors"))
+
+
+# -- dimensions, keyed writes, backfill ------------------------------------
+
+from .functions.calendar import date_of_id  # noqa: E402
+from .operators import backfill as B  # noqa: E402
+from .operators import dims as DM  # noqa: E402
+from .operators import merge as MG  # noqa: E402
+
+CUT = _dt.date(2001, 7, 1)          # target tables hold the days before this
+BATCH_FROM = _dt.date(2001, 6, 15)  # the load batch starts here (overlaps the target)
+PERIOD = (_dt.date(2001, 7, 1), _dt.date(2001, 7, 31))
+DIM_COLS = ["date_id", "date_value", "year", "quarter", "month", "day", "day_of_week", "day_of_year",
+            "week_of_year", "is_weekend", "is_holiday"]
+
+
+@register("seed_dims")
+def _s13(spark, sf_dir):
+    return DM.seed_stocks(spark, tables(spark, sf_dir).dim_stocks).select(
+        "stock_id", "symbol", "company_name", "sector", "market_cap_category", "is_active")
+
+
+@register("ensure_dates")
+def _d4(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    dim = t.dim_date.where(F.col("date_value") < F.lit(CUT))
+    bars_dates = star(t, active_only=False, columns=[]).select(F.col("date_value").alias("date"))
+    return DM.ensure_dates(dim, bars_dates, "date", dow="sunday0").select(*DIM_COLS)
+
+
+@register("calendar")
+def _e1(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return DM.calendar(spark, t.dim_date, AS_OF, ahead=30, dow="sunday0").select(*DIM_COLS)
+
+
+@register("calendar_retention")
+def _e8(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    lo = t.dim_date.agg(F.min("date_value")).scalar()
+    hi = t.dim_date.agg(F.max("date_value")).scalar()
+    full = DM.insert_absent(t.dim_date, DM.calendar_range(spark, lo, hi, dow="sunday0"), ["date_value"])
+    return DM.calendar_retention(spark, t.with_(dim_date=full), AS_OF, years=5, dow="sunday0").select(*DIM_COLS)
+
+
+@register("dims_from_raw")
+def _x8(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    syms, dates = DM.dims_from_raw(t.stock_prices, t.dim_stocks.where(F.col("symbol").isin(list(TRACKED))),
+                                   t.dim_date.where(F.col("date_value") < F.lit(CUT)))
+    return (syms.select(F.lit("symbol").alias("kind"), F.col("symbol").alias("value"))
+            .unionByName(dates.select(F.lit("date").alias("kind"), F.col("date_value").cast("string").alias("value"))))
+
+
+def _price_records(t):
+    """Landing records of the load: bars from BATCH_FROM with close + 1; a
+    later file repeats the days from 2001-07-15 with close + 2 (last wins)."""
+    b = _bars_named(t).where(F.col("date_value") >= F.lit(BATCH_FROM))
+
+    def rec(delta, name):
+        return b.select("symbol", F.col("date_value").cast("string").alias("data_date"),
+                        F.col("o").alias("open_price"), F.col("h").alias("high_price"),
+                        F.col("lo").alias("low_price"), (F.col("c") + delta).alias("close_price"),
+                        F.col("v").alias("volume"), F.lit(name).alias("_file"), F.lit(0).cast("long").alias("_pos"))
+    return rec(1, "stocks_1.json").unionByName(
+        rec(2, "stocks_2.json").where(F.col("data_date") >= "2001-07-15"))
+
+
+def _target(t):
+    return t.with_(prices=t.prices.where(F.col("date_id") < 20010701),
+                   rates=t.rates.where(F.col("date_id") < 20010701))
+
+
+@register("upsert_prices")
+def _d1(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    state, _, _, _ = MG.upsert_prices(_target(t), _price_records(t), AS_OF_TS)
+    return edge(state.select("stock_id", "date_id", "opening_price", "high_price", "low_price",
+                             "closing_price", "volume", "adjusted_close", "updated_at"))
+
+
+@register("upsert_rates")
+def _d2(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    rec = (t.rates.where(F.col("date_id") >= 20010615)
+           .select(F.lit("USD").alias("from_currency"), F.lit("GBP").alias("to_currency"),
+                   date_of_id(F.col("date_id")).cast("string").alias("data_date"),
+                   (F.col("exchange_rate") + F.lit(0.0001).cast("decimal(5,4)")).alias("exchange_rate")))
+    state, _, _, _ = MG.upsert_rates(_target(t), rec, AS_OF_TS)
+    return edge(state.select("from_currency_id", "to_currency_id", "date_id", "exchange_rate", "updated_at"))
+
+
+@register("insert_new_prices")
+def _d3(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    out = MG.insert_new_prices(_target(t), _price_records(t), AS_OF_TS)
+    return edge(out.select("stock_id", "date_id", "closing_price", "volume"))
+
+
+def _latest_stock_prices(t):
+    return MG.latest_per_key(t.stock_prices, ["symbol", "date"],
+                             [F.col("updated_at").desc(), F.col("created_at").desc()])
+
+
+def _latest_exchange_rates(t):
+    return MG.latest_per_key(t.exchange_rates, ["from_currency", "to_currency", "date"],
+                             [F.col("updated_at").desc(), F.col("created_at").desc()])
+
+
+def _stock_staging(t):
+    b = _bars_named(t).where(F.col("date_value") >= F.lit(_dt.date(2001, 6, 1)))
+    return b.select("symbol", F.col("date_value").alias("date"), F.col("o").alias("open_price"),
+                    F.col("h").alias("high_price"), F.col("lo").alias("low_price"),
+                    F.col("c").alias("close_price"), F.col("v").alias("volume"),
+                    F.col("c").alias("adjusted_close"),
+                    F.lit(AS_OF_TS).cast("timestamp").alias("backfill_timestamp"))
+
+
+def _rate_staging(t):
+    d = _fx_days(t).where(F.col("date") >= F.lit(_dt.date(2001, 6, 1)))
+    return d.select("from_currency", "to_currency", "date", F.col("c").alias("exchange_rate"),
+                    F.lit(AS_OF_TS).cast("timestamp").alias("backfill_timestamp"))
+
+
+def _loaded(spark, t):
+    sp = _latest_stock_prices(t).where(F.col("date") < F.lit(CUT))
+    er = _latest_exchange_rates(t).where(F.col("date") < F.lit(CUT))
+    s_state, _, s_log = MG.backfill_load_prices(spark, sp, _stock_staging(t), *PERIOD, AS_OF_TS)
+    r_state, _, r_log = MG.backfill_load_rates(spark, er, _rate_staging(t), *PERIOD, AS_OF_TS)
+    return s_state, r_state, s_log, r_log
+
+
+@register("backfill_load_prices")
+def _b2(spark, sf_dir):
+    s_state, _, _, _ = _loaded(spark, tables(spark, sf_dir))
+    return edge(s_state)
+
+
+@register("backfill_load_rates")
+def _b3(spark, sf_dir):
+    _, r_state, _, _ = _loaded(spark, tables(spark, sf_dir))
+    return edge(r_state)
+
+
+@register("etl_log")
+def _d8(spark, sf_dir):
+    _, _, s_log, r_log = _loaded(spark, tables(spark, sf_dir))
+    dd = MG.dedupe_log(spark, AS_OF_TS, *PERIOD).withColumn("records_loaded", F.lit(None).cast("bigint"))
+    return s_log.unionByName(r_log).unionByName(dd)
+
+
+def _sp_order():
+    return [F.col("updated_at").desc(), F.col("created_at").desc()]
+
+
+@register("dedupe_prices")
+def _b5(spark, sf_dir):
+    out = MG.dedupe(tables(spark, sf_dir).stock_prices, ["symbol", "date"], _sp_order(), *PERIOD)
+    return edge(out.select("symbol", "date", "close_price", "volume", "updated_at"))
+
+
+@register("dedupe_prices_literal")
+def _b5b(spark, sf_dir):
+    out = MG.dedupe(tables(spark, sf_dir).stock_prices, ["symbol", "date"], _sp_order(), *PERIOD, literal=True)
+    return edge(out.select("symbol", "date", "close_price", "volume", "updated_at"))
+
+
+@register("dedupe_rates")
+def _b5c(spark, sf_dir):
+    out = MG.dedupe(tables(spark, sf_dir).exchange_rates, ["from_currency", "to_currency", "date"],
+                    _sp_order(), *PERIOD)
+    return edge(out.select("from_currency", "to_currency", "date", "rate", "updated_at"))
+
+
+@register("backfill_validate_period")
+def _b1(spark, sf_dir):
+    return B.validate_period(spark, tables(spark, sf_dir), *PERIOD, AS_OF)
+
+
+@register("backfill_validate_data")
+def _b4(spark, sf_dir):
+    return B.validate_data(spark, tables(spark, sf_dir), *PERIOD, TRACKED)
+
+
+@register("backfill_report")
+def _b6(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    _, _, s_log, r_log = _loaded(spark, t)
+    logs = s_log.unionByName(r_log).drop("records_loaded")
+    return edge(B.backfill_report(spark, t.with_(etl_logs=logs), *PERIOD, AS_OF, len(TRACKED)))
+
+
+# -- status -----------------------------------------------------------------
+
+from .operators import status as ST  # noqa: E402
+
+
+@register("table_inventory")
+def _s16(spark, sf_dir):
+    return ST.table_inventory(spark, tables(spark, sf_dir))
+
+
+@register("freshness")
+def _i7(spark, sf_dir):
+    return ST.freshness(tables(spark, sf_dir))
+
+
+@register("stale_symbols")
+def _i8(spark, sf_dir):
+    return ST.stale_symbols(tables(spark, sf_dir), AS_OF, days=2)
+
+
+@register("missing_dates")
+def _i9(spark, sf_dir):
+    return ST.missing_dates(tables(spark, sf_dir), AS_OF, days=10)
+
+
+@register("missing_counts")
+def _i9b(spark, sf_dir):
+    return ST.missing_counts(tables(spark, sf_dir), AS_OF, days=5)
+
+
+@register("latest_rate")
+def _i10(spark, sf_dir):
+    return edge(ST.latest_rate(tables(spark, sf_dir)))
+
+
+@register("ingestion_status")
+def _i11(spark, sf_dir):
+    return edge(ST.ingestion_status(spark, tables(spark, sf_dir), AS_OF, TRACKED))
+
+
+@register("archive_split")
+def _e9(spark, sf_dir):
+    keep, archive = ST.archive_split(tables(spark, sf_dir), AS_OF, years=2)
+    return (keep.select(F.lit("keep").alias("part"), "stock_id", "date_id")
+            .unionByName(archive.select(F.lit("archive").alias("part"), "stock_id", "date_id")))
+
+
+# -- conform, prepare, presentation -------------------------------------------
+
+from .operators import conform as CF  # noqa: E402
+from .operators import presentation as PR  # noqa: E402
+
+
+def _text_records(t):
+    """Bars as all-text landing records; deterministic bad values by
+    k = (stock_id * 7 + date_id) % 11: 0 -> open 'invalid', 1 -> close '',
+    2 -> volume NULL, 3 -> date 'not-a-date'."""
+    rows = star(t, active_only=False, columns=["opening_price", "high_price", "low_price",
+                                               "closing_price", "volume"])
+    k = (F.col("stock_id") * 7 + F.col("date_id")) % 11
+    return rows.select(
+        "symbol",
+        F.when(k == 3, F.lit("not-a-date")).otherwise(F.col("date_value").cast("string")).alias("data_date"),
+        F.when(k == 0, F.lit("invalid")).otherwise(F.col("opening_price").cast("string")).alias("open_price"),
+        F.col("high_price").cast("string").alias("high_price"),
+        F.col("low_price").cast("string").alias("low_price"),
+        F.when(k == 1, F.lit("")).otherwise(F.col("closing_price").cast("string")).alias("close_price"),
+        F.when(k == 2, F.lit(None)).otherwise(F.col("volume").cast("string")).alias("volume"))
+
+
+@register("lenient_cast")
+def _p1(spark, sf_dir):
+    out = CF.lenient_cast(_text_records(tables(spark, sf_dir)), AS_OF,
+                          floats=["open_price", "high_price", "low_price", "close_price"],
+                          ints=["volume"], dates=["data_date"])
+    return out.withColumn("conversion_errors", F.array_join("conversion_errors", "; "))
+
+
+def _daily_frames(spark, sf_dir):
+    return _s3(spark, sf_dir)  # the flattened daily payloads
+
+
+@register("conform_stock")
+def _p3(spark, sf_dir):
+    out = CF.conform_stock(_daily_frames(spark, sf_dir), AS_OF, AS_OF_TS)
+    return out.withColumn("conversion_errors", F.array_join("conversion_errors", "; "))
+
+
+@register("conform_fx")
+def _p4(spark, sf_dir):
+    return CF.conform_fx(_s5(spark, sf_dir), AS_OF, AS_OF_TS)
+
+
+@register("conform_fx_quote")
+def _p5(spark, sf_dir):
+    return CF.conform_quote(_s7(spark, sf_dir), AS_OF, AS_OF_TS)
+
+
+@register("last_n_days")
+def _p19(spark, sf_dir):
+    rows = star(tables(spark, sf_dir), columns=["closing_price"])
+    return edge(CF.last_n(rows, ["symbol"], "date_value", 10).select("symbol", "date_value", "closing_price"))
+
+
+@register("prepare_stocks")
+def _i2(spark, sf_dir):
+    out = CF.prepare_stocks(_daily_frames(spark, sf_dir), TRACKED, 10, AS_OF, AS_OF_TS)
+    return out.drop("conversion_errors")
+
+
+@register("prepare_fx")
+def _i3(spark, sf_dir):
+    series = CF.conform_fx(CF.last_n(_s5(spark, sf_dir), ["FromCurrency", "ToCurrency"], "DateTime", 1),
+                           AS_OF, AS_OF_TS)
+    quotes = CF.conform_quote(_s7(spark, sf_dir), AS_OF, AS_OF_TS)
+    return CF.prepare_fx(series, quotes)
+
+
+@register("present_top")
+def _p15a(spark, sf_dir):
+    return PR.present_top(A.top_performers(tables(spark, sf_dir), k=5))
+
+
+@register("present_details")
+def _p15b(spark, sf_dir):
+    return PR.present_details(A.performance_details(tables(spark, sf_dir), TRACKED))
+
+
+@register("present_currency")
+def _p15c(spark, sf_dir):
+    return PR.present_currency(A.prices_with_currency(tables(spark, sf_dir)))
+
+
+@register("price_history")
+def _p17(spark, sf_dir):
+    out = PR.price_history(tables(spark, sf_dir), [s.lower() + " " for s in TRACKED], AS_OF,
+                           start=_dt.date(2001, 1, 1), end=AS_OF)
+    return edge(out)
+
+
+@register("page")
+def _p18(spark, sf_dir):
+    df = A.prices_with_currency(tables(spark, sf_dir))
+    return edge(PR.page(df, "trade_date", "desc", page_no=2, size=50, tie_break=["symbol"]))
+
+
+@register("page_info")
+def _p18b(spark, sf_dir):
+    return PR.page_info(A.prices_with_currency(tables(spark, sf_dir)), page_no=2, size=50)
