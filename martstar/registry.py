@@ -10,6 +10,9 @@ compare value by value.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +22,8 @@ from pyspark.sql import types as T
 from . import binding
 from .binding import AS_OF, TRACKED
 from .operators import analytics as A
+from .session import scratch_path
+from .tables import path_exists, read_warehouse, rename_path, write_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,7 +50,51 @@ def edge(df: DataFrame, round_doubles: dict[str, int] | None = None) -> DataFram
 
 
 def tables(spark: SparkSession, sf_dir: str):
-    return binding.build(spark, sf_dir)
+    """The bound warehouse of ``sf_dir``.
+
+    By default the binding is built once per input (an ETL job: scan
+    lineitem, aggregate the bars, write partitioned Parquet to the shared
+    checkpoint folder) and every query reads the written tables, as a
+    warehouse would. ``MARTSTAR_LAZY=1`` derives the tables inside every
+    query plan instead.
+    """
+    if os.environ.get("MARTSTAR_LAZY") == "1":
+        return binding.build(spark, sf_dir)
+    return read_warehouse(spark, materialized(spark, sf_dir))
+
+
+def _input_signature(sf_dir: str) -> str:
+    parts = [os.path.abspath(sf_dir)]
+    for name in ("lineitem", "part", "orders"):
+        p = os.path.join(sf_dir, f"{name}.parquet")
+        try:
+            st = os.stat(p)
+            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+        except OSError:
+            parts.append(f"{name}:?")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def materialized(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the written warehouse of ``sf_dir`` (built on first use).
+
+    Built into a unique folder and renamed into place, so concurrent or
+    failed builds never leave a half-written warehouse behind.
+    """
+    path = scratch_path(spark, f"warehouse-{_input_signature(sf_dir)}")
+    if path in _BUILT or path_exists(spark, f"{path}/_READY"):
+        _BUILT.add(path)
+        return path
+    tmp = f"{path}-build-{uuid.uuid4().hex}"
+    write_warehouse(binding.build(spark, sf_dir), tmp)
+    spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(f"{tmp}/_READY")
+    if not rename_path(spark, tmp, path) and not path_exists(spark, f"{path}/_READY"):
+        raise RuntimeError(f"could not publish warehouse {path}")
+    _BUILT.add(path)
+    return path
+
+
+_BUILT: set[str] = set()
 
 
 # -- analytic queries and views -------------------------------------------

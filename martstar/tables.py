@@ -52,23 +52,37 @@ def write_warehouse(t: Tables, path: str, mode: str = "overwrite") -> None:
         if name in ("prices", "rates"):
             keys = ["stock_id", "date_id"] if name == "prices" else [
                 "from_currency_id", "to_currency_id", "date_id"]
+            # hash on (year, first key) so one year is spread over many tasks;
+            # sorted by key inside each file for row-group skipping
             (df.withColumn(FACT_PARTITION, (F.col("date_id") / 10000).cast("int"))
-               .repartition(FACT_PARTITION)
-               .sortWithinPartitions(*keys)
-               .write.mode(mode).partitionBy(FACT_PARTITION).parquet(out))
+               .repartition(FACT_PARTITION, keys[0])
+               .sortWithinPartitions(FACT_PARTITION, *keys)
+               .write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+               .partitionBy(FACT_PARTITION).parquet(out))
         else:
             df.write.mode(mode).parquet(out)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system (works for any scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    return s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(s, d)
+
+
 def read_warehouse(spark: SparkSession, path: str) -> Tables:
     """Read a warehouse written by :func:`write_warehouse`."""
-    import os
-
     base = path.rstrip("/")
     got = {}
     for name in _TABLE_NAMES:
         p = f"{base}/{name}"
-        if p.startswith("/") and not os.path.exists(p):
+        if not path_exists(spark, p):
             got[name] = None
             continue
         df = spark.read.parquet(p)
