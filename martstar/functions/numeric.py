@@ -27,8 +27,12 @@ def to_double(c: Column) -> Column:
 
 
 def scaled(c: Column, scale: int) -> Column:
-    """``c * 10^scale`` as an exact integer decimal (``c`` has ``scale`` places)."""
-    return (c * F.lit(10 ** scale)).cast("decimal(38,0)")
+    """``c * 10^scale`` as an exact integer (``c`` has ``scale`` places).
+
+    A bigint keeps the per-row sums on the fast (codegen, non-BigDecimal)
+    path; ANSI mode turns an overflow into an error, never a wrong value.
+    """
+    return (c * F.lit(10 ** scale)).cast("bigint")
 
 
 def _floor_div(a: Column, b: Column) -> Column:
@@ -47,6 +51,7 @@ def rounded_mean(total: Column, n: Column, scale_in: int, digits: int) -> Column
     Works as an aggregate or over a window. Returns a double.
     """
     up, down = max(digits - scale_in, 0), max(scale_in - digits, 0)
+    total = total.cast("decimal(38,0)")
     a = F.abs(total) * F.lit(10 ** up)
     b = n.cast("decimal(38,0)") * F.lit(10 ** down)
     q = _floor_div(a * 2 + b, b * 2)

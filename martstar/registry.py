@@ -60,6 +60,8 @@ def tables(spark: SparkSession, sf_dir: str):
     """
     if os.environ.get("MARTSTAR_LAZY") == "1":
         return binding.build(spark, sf_dir)
+    if os.environ.get("MARTSTAR_WAREHOUSE"):
+        return read_warehouse(spark, os.environ["MARTSTAR_WAREHOUSE"])
     return read_warehouse(spark, materialized(spark, sf_dir))
 
 
