@@ -24,24 +24,29 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
+def _c(name: str) -> Column:
+    """Column by exact name (vendor names contain dots and spaces)."""
+    return F.col(f"`{name}`")
+
+
 def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
 def lenient_float(df: DataFrame, name: str) -> Column:
-    c = F.col(name)
+    c = _c(name)
     v = F.trim(c).try_cast("double") if _is_text(df, name) else c.cast("double")
     return v
 
 
 def lenient_int(df: DataFrame, name: str) -> Column:
     """``int(x)``: text must be an integer literal; numbers are truncated."""
-    c = F.col(name)
+    c = _c(name)
     return F.trim(c).try_cast("bigint") if _is_text(df, name) else c.cast("double").cast("bigint")
 
 
 def lenient_date(df: DataFrame, name: str) -> Column:
-    c = F.col(name)
+    c = _c(name)
     if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     return F.try_to_date(c.cast("string"), "yyyy-MM-dd")
@@ -67,7 +72,7 @@ def lenient_cast(df: DataFrame, as_of: _dt.date, floats: Sequence[str] = (), int
         v = lenient_date(df, n)
         vals[n] = F.coalesce(v, F.lit(as_of))
         errs.append(rule(v.isNull(), f"{n}: not a date, using as_of"))
-    out = df.select(*[vals.get(c, F.col(c)).alias(c) if c in vals else F.col(c) for c in df.columns],
+    out = df.select(*[vals[c].alias(c) if c in vals else _c(c) for c in df.columns],
                     errors_array(*errs).alias("conversion_errors"))
     return out
 
@@ -108,7 +113,7 @@ def conform_fx(raw: DataFrame, as_of: _dt.date, as_of_ts: _dt.datetime,
             F.lit(None).cast("date").alias("data_date"), F.lit(None).cast("double").alias("exchange_rate"),
             F.lit(source).alias("source"), F.lit(None).cast("timestamp").alias("created_at"))
     date_cols = [c for c in ("Date", "DateTime") if c in raw.columns]
-    d = (F.coalesce(*[F.col(c).cast("date") for c in date_cols]) if date_cols else F.lit(None).cast("date"))
+    d = (F.coalesce(*[_c(c).cast("date") for c in date_cols]) if date_cols else F.lit(None).cast("date"))
     rate = lenient_float(raw, rc)
     return raw.select(
         F.lit(pair[0]).alias("from_currency"), F.lit(pair[1]).alias("to_currency"),

@@ -30,12 +30,12 @@ def stream_landing(spark: SparkSession, landing_dir: str, warehouse: str, checkp
            .option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json")
            .option("recursiveFileLookup", True)
            .json(f"{landing_dir.rstrip('/')}/{kind}")
-           .withColumn("_file", F.col("_metadata.file_path"))
-           .withColumn("_pos", F.monotonically_increasing_id()))
+           .withColumn("_file", F.col("_metadata.file_path")))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         ts = as_of_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        valid, _ = L.split_valid(batch, kind)
+        # inside a micro-batch the frame is static: positions can be numbered
+        valid, _ = L.split_valid(batch.withColumn("_pos", F.monotonically_increasing_id()), kind)
         t = read_warehouse(spark, warehouse)
         if kind == "stocks":
             valid = valid.withColumn("volume", F.trim("volume").try_cast("double").cast("bigint"))

@@ -35,6 +35,9 @@ class Tables:
 
 
 FACT_PARTITION = "year"
+_SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_currency": S.DIM_CURRENCY,
+            "prices": S.FACT_STOCK_PRICES, "rates": S.FACT_CURRENCY_RATES, "stock_prices": S.STOCK_PRICES,
+            "exchange_rates": S.EXCHANGE_RATES, "etl_logs": S.ETL_LOGS}
 _TABLE_NAMES = [f.name for f in fields(Tables)]
 
 
@@ -85,7 +88,12 @@ def read_warehouse(spark: SparkSession, path: str) -> Tables:
         if not path_exists(spark, p):
             got[name] = None
             continue
-        df = spark.read.parquet(p)
+        try:
+            df = spark.read.parquet(p)
+        except Exception as e:  # an empty table has no file to take a schema from
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            df = empty(spark, _SCHEMAS[name])
         if FACT_PARTITION in df.columns and name in ("prices", "rates"):
             df = df.drop(FACT_PARTITION)
         got[name] = df
