@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.numeric import mean_half_up, rounded_mean, scaled
 from ..tables import PAIR, Tables
-from .common import (Symbols, converted, latest_rate_date, latest_stock_date, pair_rates,
+from .common import (Symbols, bounded, converted, latest_rate_date, latest_stock_date, pair_rates,
                      restrict_symbols, ret_desc, star)
 
 
@@ -104,7 +104,6 @@ def performance_details(t: Tables, symbols: Symbols, window: int = 30,
     inw = F.col("rn") <= window
     per = last.groupBy("symbol").agg(
         F.max(F.when(F.col("rn") == 1, F.col("date_value"))).alias("trade_date"),
-        F.max(F.when(F.col("rn") == 1, F.col("company_name"))).alias("company_name"),
         F.max(F.when(F.col("rn") == 1, F.col("closing_price"))).alias("price_usd"),
         F.max(F.when(F.col("rn") == 1, F.col("exchange_rate"))).alias("exchange_rate"),
         F.max(F.when(F.col("rn") == 1, F.col("daily_return"))).alias("daily_return"),
@@ -120,7 +119,8 @@ def performance_details(t: Tables, symbols: Symbols, window: int = 30,
     p, p0 = F.col("price_usd"), F.col("p_ago")
     change = F.when(p0.isNotNull() & (p0 > 0),
                     F.round((p.cast("double") - p0.cast("double")) / p0.cast("double") * 100, 4))
-    return per.join(ranks, "symbol").select(
+    names = t.dim_stocks.select("symbol", "company_name")
+    return per.join(ranks, "symbol").join(names, "symbol").select(
         "symbol", "company_name", "trade_date", "price_usd",
         converted(p, F.coalesce(F.col("exchange_rate"), F.lit(1))).alias("price_gbp"),
         "daily_return", "volume", "performance_rank",
@@ -300,14 +300,20 @@ def stock_rankings(t: Tables) -> DataFrame:
 
 
 def latest_per_stock(t: Tables) -> DataFrame:
-    """Latest price row of every stock (``DISTINCT ON`` as ``max_by``)."""
-    rows = star(t, active_only=False, columns=["closing_price", "volume"])
-    return rows.groupBy("stock_id").agg(
-        F.max_by("symbol", "date_value").alias("symbol"),
-        F.max_by("company_name", "date_value").alias("company_name"),
-        F.max_by("closing_price", "date_value").alias("current_price"),
-        F.max_by("volume", "date_value").alias("current_volume"),
-        F.max("date_value").alias("price_date"))
+    """Latest price row of every stock (``DISTINCT ON (stock) ... ORDER BY date DESC``).
+
+    A hash aggregate finds each stock's latest ``date_id`` (fixed-width
+    buffers, partial aggregation before the shuffle); the few latest rows
+    are then joined back and named through the dimensions.
+    """
+    latest = t.prices.groupBy("stock_id").agg(F.max("date_id").alias("date_id"))
+    rows = t.prices.select("stock_id", "date_id", "closing_price", "volume").join(latest, ["stock_id", "date_id"],
+                                                                                   "left_semi")
+    stocks = t.dim_stocks.select("stock_id", "symbol", "company_name")
+    dates = bounded(t.dim_date.select("date_id", "date_value"))
+    return rows.join(stocks, "stock_id").join(dates, "date_id").select(
+        "stock_id", "symbol", "company_name", F.col("closing_price").alias("current_price"),
+        F.col("volume").alias("current_volume"), F.col("date_value").alias("price_date"))
 
 
 def stock_performance(t: Tables, weekdays_only: bool = True) -> DataFrame:

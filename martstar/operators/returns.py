@@ -47,10 +47,12 @@ def daily_returns(t: Tables, history: str = "all",
         calc = return_pct(F.col("closing_price"), F.lag("closing_price").over(w))
         out = rows.withColumn("_calc", F.when(F.col("daily_return").isNull(), calc))
     elif history == "null_only":
-        nulls = rows.where(F.col("daily_return").isNull())
-        calc = nulls.select("stock_id", "date_id", return_pct(
-            F.col("closing_price"), F.lag("closing_price").over(w)).alias("_calc"))
-        out = rows.join(calc, ["stock_id", "date_id"], "left")
+        # the literal statement's window only sees NULL-return rows: the
+        # previous row of a NULL row is the last earlier NULL row (one pass)
+        prev_null = F.last(F.when(F.col("daily_return").isNull(), F.col("closing_price")), ignorenulls=True) \
+            .over(w.rowsBetween(Window.unboundedPreceding, -1))
+        out = rows.withColumn("_calc", F.when(F.col("daily_return").isNull(),
+                                              return_pct(F.col("closing_price"), prev_null)))
     else:
         raise ValueError("history must be 'all' or 'null_only'")
     stamp = F.lit(as_of_ts).cast("timestamp") if as_of_ts else F.current_timestamp()

@@ -1148,3 +1148,34 @@ SELECT ds.symbol, ds.company_name, dd.date_value AS trade_date, CAST(f.closing_p
 {STAR_LEFT} AND upper(ds.symbol) IN ({", ".join("'" + s.upper() + "'" for s in TRACKED_SQL.strip("()").replace("'", "").split(","))})
   AND dd.date_value BETWEEN DATE '2001-01-01' AND DATE '2001-08-01'
 """)
+
+
+# -- warehouse scan, record checks, optional filters, landing round trip -----
+
+SQL["fact_scan"] = with_binding("""
+SELECT stock_id, date_id, CAST(closing_price AS DOUBLE) AS closing_price, volume
+FROM fact_stock_prices WHERE date_id BETWEEN 20010101 AND 20011231
+""")
+
+SQL["valid_stock"] = with_binding(TEXT_REC + """
+SELECT * FROM txt
+WHERE symbol IS NOT NULL AND data_date IS NOT NULL AND open_price IS NOT NULL AND high_price IS NOT NULL
+  AND low_price IS NOT NULL AND close_price IS NOT NULL AND volume IS NOT NULL
+  AND TRY_CAST(trim(open_price) AS DOUBLE) IS NOT NULL AND TRY_CAST(trim(high_price) AS DOUBLE) IS NOT NULL
+  AND TRY_CAST(trim(low_price) AS DOUBLE) IS NOT NULL AND TRY_CAST(trim(close_price) AS DOUBLE) IS NOT NULL
+  AND (TRY_CAST(trim(volume) AS BIGINT) IS NOT NULL OR TRY_CAST(trim(volume) AS DOUBLE) IS NOT NULL)
+""")
+
+SQL["valid_fx"] = with_binding("""
+, tr AS (SELECT 'USD' AS from_currency, CASE WHEN date_id % 7 = 2 THEN NULL ELSE 'GBP' END AS to_currency,
+                strftime(strptime(CAST(date_id AS VARCHAR), '%Y%m%d'), '%Y-%m-%d') AS data_date,
+                CASE WHEN date_id % 7 = 0 THEN 'invalid' WHEN date_id % 7 = 1 THEN NULL
+                     ELSE CAST(exchange_rate AS VARCHAR) END AS exchange_rate
+         FROM fact_currency_rates)
+SELECT * FROM tr WHERE to_currency IS NOT NULL AND exchange_rate IS NOT NULL
+  AND TRY_CAST(trim(exchange_rate) AS DOUBLE) IS NOT NULL
+""")
+
+SQL["opt_filter"] = SQL["prices_with_currency"].rstrip() + "\n  AND ds.symbol = 'Brand#4'\n"
+
+SQL["landing_scan"] = SQL["valid_stock"]

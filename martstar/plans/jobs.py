@@ -20,15 +20,15 @@ from ..tables import Tables
 
 
 def load_landing(spark: SparkSession, landing_dir: str, t: Tables, as_of_ts: _dt.datetime,
-                 dow: str = "iso"):
+                 dow: str = "iso", multiline: bool = True):
     """Landing files -> validated records -> dates -> upserted facts.
 
     Returns (new Tables, summary DataFrame, rejects DataFrame). The summary
     row has stock/exchange records read, rejected, inserted and updated.
     """
-    stocks, s_rej = L.split_valid(L.read_landing(spark, f"{landing_dir.rstrip('/')}/stocks", "stocks"), "stocks")
-    rates, r_rej = L.split_valid(L.read_landing(spark, f"{landing_dir.rstrip('/')}/exchange", "exchange"),
-                                 "exchange")
+    base = landing_dir.rstrip("/")
+    stocks, s_rej = L.split_valid(L.read_landing(spark, f"{base}/stocks", "stocks", multiline), "stocks")
+    rates, r_rej = L.split_valid(L.read_landing(spark, f"{base}/exchange", "exchange", multiline), "exchange")
     stocks = stocks.withColumn("volume", F.trim("volume").try_cast("double").cast("bigint"))
     prices, p_counts, p_unknown, p_dates = MG.upsert_prices(t, stocks, as_of_ts)
     fx, r_counts, r_unknown, r_dates = MG.upsert_rates(t, rates, as_of_ts)

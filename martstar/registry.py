@@ -806,3 +806,67 @@ def _p18(spark, sf_dir):
 @register("page_info")
 def _p18b(spark, sf_dir):
     return PR.page_info(A.prices_with_currency(tables(spark, sf_dir)), page_no=2, size=50)
+
+
+# -- warehouse scan, record checks, optional filters, landing round trip -----
+
+from .sources import landing as LD  # noqa: E402
+from .sources import warehouse as WH  # noqa: E402
+
+
+def _warehouse_path(spark, sf_dir):
+    return os.environ.get("MARTSTAR_WAREHOUSE") or materialized(spark, sf_dir)
+
+
+@register("fact_scan")
+def _s12(spark, sf_dir):
+    out = WH.fact_scan(spark, _warehouse_path(spark, sf_dir), 20010101, 20011231,
+                       ["stock_id", "date_id", "closing_price", "volume"])
+    return edge(out)
+
+
+@register("valid_stock")
+def _p6(spark, sf_dir):
+    rec = _text_records(tables(spark, sf_dir)).withColumn("_corrupt_record", F.lit(None).cast("string"))
+    valid, _ = LD.split_valid(rec, "stocks")
+    return valid
+
+
+def _text_rates(t):
+    """Rate records as text; k = date_id % 7: 0 -> rate 'invalid', 1 -> rate NULL,
+    2 -> to_currency NULL."""
+    k = F.col("date_id") % 7
+    return t.rates.select(
+        F.lit("USD").alias("from_currency"),
+        F.when(k == 2, F.lit(None)).otherwise(F.lit("GBP")).cast("string").alias("to_currency"),
+        date_of_id(F.col("date_id")).cast("string").alias("data_date"),
+        F.when(k == 0, F.lit("invalid")).when(k == 1, F.lit(None))
+        .otherwise(F.col("exchange_rate").cast("string")).alias("exchange_rate"),
+        F.lit(None).cast("string").alias("_corrupt_record"))
+
+
+@register("valid_fx")
+def _p7(spark, sf_dir):
+    valid, _ = LD.split_valid(_text_rates(tables(spark, sf_dir)), "exchange")
+    return valid
+
+
+@register("opt_filter")
+def _p8(spark, sf_dir):
+    return edge(A.prices_with_currency(tables(spark, sf_dir), symbols="Brand#4"))
+
+
+@register("landing_scan")
+def _s1(spark, sf_dir):
+    """Write the text records as one landing run (once per input), read the
+    run back through the landing reader and keep the valid records."""
+    base = scratch_path(spark, f"landing-{_input_signature(sf_dir)}")
+    if not path_exists(spark, f"{base}/_READY"):
+        tmp = f"{base}-build-{uuid.uuid4().hex}"
+        LD.write_landing(_text_records(tables(spark, sf_dir)), tmp, "stocks", AS_OF_TS)
+        spark.createDataFrame([(1,)], "ok int").write.parquet(f"{tmp}/_READY")
+        if not rename_path(spark, tmp, base) and not path_exists(spark, f"{base}/_READY"):
+            raise RuntimeError(f"could not publish landing run {base}")
+    raw = LD.read_landing(spark, f"{base}/stocks", "stocks", multiline=False)
+    valid, _ = LD.split_valid(raw, "stocks")
+    return valid.drop("_file", "_pos", "source", "created_at")

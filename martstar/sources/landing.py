@@ -22,16 +22,19 @@ STOCK_FIELDS = ("symbol", "data_date", "open_price", "high_price", "low_price",
 RATE_FIELDS = ("from_currency", "to_currency", "data_date", "exchange_rate")
 
 
-def read_landing(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, kind: str, multiline: bool = True) -> DataFrame:
     """All ``*.json`` files under ``path`` (``kind`` = 'stocks' or 'exchange').
 
-    Each file is one task (multi-line JSON is not split), so
-    ``monotonically_increasing_id`` increases with the record's position
-    inside its file.
+    ``multiline=True`` reads collector files: one JSON document per file (an
+    array of records or one object, possibly pretty-printed); each file is
+    one task, so ``monotonically_increasing_id`` increases with the record's
+    position in it. Runs written by :func:`write_landing` are JSON lines and
+    are read with ``multiline=False`` (a multi-line read would keep only the
+    first record of each such file).
     """
     schema = S.LANDING_STOCK if kind == "stocks" else S.LANDING_RATE
     df = (spark.read.schema(schema)
-          .option("multiLine", True).option("mode", "PERMISSIVE")
+          .option("multiLine", multiline).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record")
           .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
           .json(path))
@@ -72,10 +75,11 @@ def split_valid(df: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
 
 
 def write_landing(df: DataFrame, path: str, kind: str, run_ts: Optional[_dt.datetime] = None) -> str:
-    """Write one run's records under ``path/<kind>/run_ts=<ts>/``.
+    """Write one run's records under ``path/<kind>/run_ts=<ts>/`` as JSON lines.
 
     Spark's commit protocol publishes the files only when the job commits,
-    which replaces the reference's write-temp-then-rename.
+    which replaces the reference's write-temp-then-rename. Read back with
+    ``read_landing(..., multiline=False)``.
     """
     ts = (run_ts or _dt.datetime.now(_dt.timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
     out = f"{path.rstrip('/')}/{kind}/run_ts={ts}"

@@ -22,11 +22,12 @@ from ..tables import read_warehouse
 
 
 def stream_landing(spark: SparkSession, landing_dir: str, warehouse: str, checkpoint: str,
-                   kind: str = "stocks", once: bool = True, as_of_ts: Optional[_dt.datetime] = None):
+                   kind: str = "stocks", once: bool = True, as_of_ts: Optional[_dt.datetime] = None,
+                   multiline: bool = True):
     """Start the stream; with ``once`` it processes what is there and stops
     (``trigger(availableNow=True)``)."""
     schema = S.LANDING_STOCK if kind == "stocks" else S.LANDING_RATE
-    src = (spark.readStream.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+    src = (spark.readStream.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json")
            .option("recursiveFileLookup", True)
            .json(f"{landing_dir.rstrip('/')}/{kind}")

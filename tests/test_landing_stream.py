@@ -51,11 +51,11 @@ def test_read_and_split_landing(spark, tmpdir_path):
 
 
 def test_write_landing_roundtrip(spark, tmpdir_path):
-    df = spark.createDataFrame([_stock("AAPL", "2025-08-16", 229.35)])
-    out = L.write_landing(df, tmpdir_path, "stocks", dt.datetime(2025, 8, 17, 10))
+    df = spark.createDataFrame([_stock("AAPL", "2025-08-16", 229.35), _stock("MSFT", "2025-08-16", 360.25)])
+    out = L.write_landing(df.coalesce(1), tmpdir_path, "stocks", dt.datetime(2025, 8, 17, 10))
     assert out.endswith("run_ts=20250817T100000Z")
-    back = L.read_landing(spark, f"{tmpdir_path}/stocks", "stocks")
-    assert [r.close_price for r in back.collect()] == ["229.35"]
+    back = L.read_landing(spark, f"{tmpdir_path}/stocks", "stocks", multiline=False)
+    assert sorted(r.close_price for r in back.collect()) == ["229.35", "360.25"]
 
 
 def test_load_landing_is_idempotent(spark, tmpdir_path):
