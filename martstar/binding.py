@@ -75,10 +75,22 @@ def stock_id_of(symbol) -> "F.Column":
     return F.substring(symbol, 7, 100).cast("int")
 
 
-def build(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> Tables:
-    """The whole warehouse as lazy DataFrames derived from ``sf_dir``."""
+def build(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF,
+          checkpoint_bars: bool = False) -> Tables:
+    """The whole warehouse as lazy DataFrames derived from ``sf_dir``.
+
+    ``checkpoint_bars`` writes the daily bars once to the shared checkpoint
+    folder (``DataFrame.checkpoint``) when several tables are written from
+    them, so the trade scan and bar aggregation run once per build and a
+    lost executor recomputes from the checkpoint, not from ``lineitem``.
+    """
     tk = ticks(spark, sf_dir, as_of)
     br = bars(tk)
+    if checkpoint_bars:
+        from .session import checkpoint_dir
+
+        checkpoint_dir(spark)
+        br = br.checkpoint(eager=True)
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     part = _read(spark, sf_dir, "part").select("p_brand")
 

@@ -36,10 +36,12 @@ def scaled(c: Column, scale: int) -> Column:
 
 
 def _floor_div(a: Column, b: Column) -> Column:
-    """Exact floor(a / b) for non-negative integer decimals (b > 0)."""
-    q = F.floor(a / b).cast("decimal(38,0)")
-    q = F.when(q * b > a, q - 1).otherwise(q)
-    return F.when((q + 1) * b <= a, q + 1).otherwise(q)
+    """Exact floor(a / b) for non-negative integer decimals (b > 0).
+
+    ``a - pmod(a, b)`` is an exact multiple of ``b``, so the decimal division
+    that follows is exact: no rounding, no correction steps.
+    """
+    return ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
 
 
 def rounded_mean(total: Column, n: Column, scale_in: int, digits: int) -> Column:
@@ -49,12 +51,20 @@ def rounded_mean(total: Column, n: Column, scale_in: int, digits: int) -> Column
     (see :func:`scaled`). PostgreSQL averages numerics exactly before
     rounding; a double average can land on the wrong side of a tie.
     Works as an aggregate or over a window. Returns a double.
+
+    The quotient is taken in 64-bit integers while the numerator stays below
+    2^53 (a double division of an exact multiple is then exact); larger sums
+    fall back to 38-digit decimals, so the result never depends on size.
     """
     up, down = max(digits - scale_in, 0), max(scale_in - digits, 0)
-    total = total.cast("decimal(38,0)")
-    a = F.abs(total) * F.lit(10 ** up)
-    b = n.cast("decimal(38,0)") * F.lit(10 ** down)
-    q = _floor_div(a * 2 + b, b * 2)
+    b = n.cast("bigint") * F.lit(10 ** down)
+    num = F.try_add(F.try_multiply(F.abs(total.cast("bigint")), F.lit(2 * 10 ** up)), b)
+    den = b * 2
+    fast = F.when(num < F.lit(2 ** 53), ((num - F.pmod(num, den)) / den).cast("bigint"))
+    big_a = F.abs(total.cast("decimal(38,0)")) * F.lit(10 ** up)
+    big_b = n.cast("decimal(38,0)") * F.lit(10 ** down)
+    slow = _floor_div(big_a * 2 + big_b, big_b * 2)
+    q = F.coalesce(fast.cast("decimal(38,0)"), slow)
     sign = F.when(total < 0, F.lit(-1)).otherwise(F.lit(1))
     return F.when(n > 0, (q * sign).cast("double") / F.lit(float(10 ** digits)))
 

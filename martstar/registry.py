@@ -88,7 +88,7 @@ def materialized(spark: SparkSession, sf_dir: str) -> str:
         _BUILT.add(path)
         return path
     tmp = f"{path}-build-{uuid.uuid4().hex}"
-    write_warehouse(binding.build(spark, sf_dir), tmp)
+    write_warehouse(binding.build(spark, sf_dir, checkpoint_bars=True), tmp)
     spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(f"{tmp}/_READY")
     if not rename_path(spark, tmp, path) and not path_exists(spark, f"{path}/_READY"):
         raise RuntimeError(f"could not publish warehouse {path}")
