@@ -56,14 +56,22 @@ def ticks(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> DataFram
                     F.to_date("l_shipdate").alias("d"),
                     price.alias("price"),
                     F.col("l_quantity").cast("bigint").alias("qty"),
-                    # order of trades within a day; a struct never overflows
-                    F.struct("l_orderkey", "l_linenumber", "l_partkey",
-                             F.round(F.col("l_discount") * 100).cast("bigint").alias("disc"))
-                    .alias("seq"),
+                    # order of trades within a day: (order, line, part, discount)
+                    # packed into one 38-digit decimal (room for order keys < 1e13
+                    # and part keys < 1e12); a fixed-width key keeps the bar
+                    # aggregation hash-based with partial aggregation
+                    trade_seq().alias("seq"),
                     "l_orderkey", "l_linenumber", "l_partkey",
                     F.round(F.col("l_discount") * 100).cast("bigint").alias("disc")))
 
 
+def trade_seq() -> "F.Column":
+    d38 = "decimal(38,0)"
+    disc = F.round(F.col("l_discount") * 100).cast("bigint")
+    return (((F.col("l_orderkey").cast(d38) * 10 + F.col("l_linenumber")) * F.lit(10 ** 12).cast(d38)
+             + F.col("l_partkey")) * 100 + disc).cast(d38)
+
+
 def bars(tk: DataFrame) -> DataFrame:
     return (tk.groupBy("symbol", "d")
             .agg(F.min_by("price", "seq").alias("o"), F.max("price").alias("h"),
