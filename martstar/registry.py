@@ -388,11 +388,12 @@ def _events(spark, sf_dir):
 
 @register("payload_intraday")
 def _s4(spark, sf_dir):
-    ev = (_events(spark, sf_dir).withColumn("interval", F.lit("5min"))
-          .withColumn("day", F.to_date("ts")))
+    # ticks per (type, day) grow with the data: payloads hold at most 100
+    # consecutive ticks of one partition instead
+    ev = PL.bounded_chunks(_events(spark, sf_dir).withColumn("interval", F.lit("5min")), 100)
     val = F.col("value")
     p = PL.series_payloads(
-        ev, ["event_type", "interval", "day"],
+        ev, ["event_type", "interval", "_chunk"],
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
         {PL.OPEN: val, PL.HIGH: val, PL.LOW: val, PL.CLOSE: val, PL.VOLUME: F.col("user_id")},
         F.lit("Time Series (5min)"))

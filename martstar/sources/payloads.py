@@ -214,6 +214,13 @@ def series_payloads(rows: DataFrame, key_cols: list[str], ts: Column, fields: di
     return g.select(*key_cols, body.alias("body"))
 
 
+def bounded_chunks(rows: DataFrame, size: int = 100) -> DataFrame:
+    """Tag rows with ``_chunk`` so that a payload group never exceeds ``size``
+    rows: consecutive rows of one partition share a chunk (no shuffle, no
+    window), whatever the total volume or its skew."""
+    return rows.withColumn("_chunk", F.floor(F.monotonically_increasing_id() / size))
+
+
 def quote_payloads(quotes: DataFrame, refreshed: Column) -> DataFrame:
     """Realtime-quote payload text per quote row (for round trips and tests)."""
     q = F.create_map(
