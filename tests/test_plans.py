@@ -52,3 +52,13 @@ def test_no_python_udfs_anywhere(spark):
     for key in ("top_performers", "validate_bars", "payload_daily", "backfill_report", "quality_checks"):
         p = _plan(registry.QUERIES[key](spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_dedupe_limits_before_the_shuffle(spark):
+    p = _plan(registry.QUERIES["dedupe_prices"](spark, SF_SMALL))
+    assert p.count("WindowGroupLimit") >= 2  # partial (map side) and final
+
+
+def test_bar_aggregation_is_hash_based(spark):
+    p = _plan(binding.bars(binding.ticks(spark, SF_SMALL)))
+    assert "HashAggregate" in p and "SortAggregate" not in p
