@@ -641,7 +641,7 @@ FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id JOIN dim
 SQL["payload_crypto"] = with_binding("""
 SELECT CAST(dd.date_value AS TIMESTAMP) AS "DateTime", CAST(f.opening_price AS DOUBLE) AS "Open",
        CAST(f.high_price AS DOUBLE) AS "High", CAST(f.low_price AS DOUBLE) AS "Low",
-       CAST(f.closing_price AS DOUBLE) AS "Close", CAST(f.volume AS DOUBLE) AS "Volume", 0.0 AS "MarketCap",
+       CAST(f.closing_price AS DOUBLE) AS "Close", CAST(f.volume AS DOUBLE) AS "Volume", CAST(0.0 AS DOUBLE) AS "MarketCap",
        ds.symbol AS "CurrencyCode", 'USD' AS "MarketCode"
 FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id JOIN dim_date dd ON f.date_id = dd.date_id
 """)
