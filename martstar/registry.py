@@ -60,9 +60,21 @@ def tables(spark: SparkSession, sf_dir: str):
     """
     if os.environ.get("MARTSTAR_LAZY") == "1":
         return binding.build(spark, sf_dir)
-    if os.environ.get("MARTSTAR_WAREHOUSE"):
-        return read_warehouse(spark, os.environ["MARTSTAR_WAREHOUSE"])
-    return read_warehouse(spark, materialized(spark, sf_dir))
+    path = os.environ.get("MARTSTAR_WAREHOUSE") or materialized(spark, sf_dir)
+    return _open(spark, path)
+
+
+_OPENED: dict = {}
+
+
+def _open(spark: SparkSession, path: str):
+    """Open a written warehouse once per session: listing the files and
+    reading Parquet footers costs about a second, the DataFrames themselves
+    are immutable plans and can be shared by every query."""
+    key = (id(spark.sparkContext._jsc), path)
+    if key not in _OPENED:
+        _OPENED[key] = read_warehouse(spark, path)
+    return _OPENED[key]
 
 
 def _input_signature(sf_dir: str) -> str:
