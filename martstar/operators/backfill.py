@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mean_half_up
-from ..tables import Tables
+from ..tables import Tables, period_predicate
 
 
-def _in(col: str, start: _dt.date, end: _dt.date):
-    return F.col(col).between(F.lit(start), F.lit(end))
+def _period(df: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:
+    """Rows of the period; names the year partition too when the table has one."""
+    return df.where(period_predicate(df, "date", start, end))
 
 
 def _one_row(spark: SparkSession, **values) -> DataFrame:
@@ -41,10 +42,10 @@ def validate_period(spark: SparkSession, t: Tables, start: _dt.date, end: _dt.da
     head = _one_row(spark, requested_start_date=start.isoformat(), requested_end_date=end.isoformat(),
                     validation_date=as_of, validation_status=status,
                     backfill_days=(end - start).days)
-    sp = t.stock_prices.where(_in("date", start, end)).agg(
+    sp = _period(t.stock_prices, start, end).agg(
         F.count(F.lit(1)).alias("existing_stock_records"), F.min("date").alias("earliest_stock_date"),
         F.max("date").alias("latest_stock_date"))
-    er = t.exchange_rates.where(_in("date", start, end)).agg(
+    er = _period(t.exchange_rates, start, end).agg(
         F.count(F.lit(1)).alias("existing_exchange_records"), F.min("date").alias("earliest_exchange_date"),
         F.max("date").alias("latest_exchange_date"))
     out = head.join(sp, how="cross").join(er, how="cross")
@@ -58,7 +59,7 @@ def validate_period(spark: SparkSession, t: Tables, start: _dt.date, end: _dt.da
 def validate_data(spark: SparkSession, t: Tables, start: _dt.date, end: _dt.date,
                   tracked: Sequence[str]) -> DataFrame:
     """Price and rate rule counts in the period, score, missing tracked symbols."""
-    sp = t.stock_prices.where(_in("date", start, end))
+    sp = _period(t.stock_prices, start, end)
     o, h, lo, c, v = (F.col(x) for x in ("open_price", "high_price", "low_price", "close_price", "volume"))
     sv = sp.agg(
         F.count(F.lit(1)).alias("total_stock_records"),
@@ -72,7 +73,7 @@ def validate_data(spark: SparkSession, t: Tables, start: _dt.date, end: _dt.date
         F.count_if(h < c).alias("high_less_than_close"), F.count_if(lo > o).alias("low_greater_than_open"),
         F.count_if(lo > c).alias("low_greater_than_close"))
     r = F.col("rate")
-    ev = t.exchange_rates.where(_in("date", start, end)).agg(
+    ev = _period(t.exchange_rates, start, end).agg(
         F.count(F.lit(1)).alias("total_exchange_records"),
         F.count_distinct("from_currency").alias("unique_from_currencies"),
         F.count_distinct("to_currency").alias("unique_to_currencies"),
@@ -105,8 +106,8 @@ def backfill_report(spark: SparkSession, t: Tables, start: _dt.date, end: _dt.da
     head = _one_row(spark, backfill_start_date=start.isoformat(), backfill_end_date=end.isoformat(),
                     backfill_period_days=(end - start).days,
                     report_generated_at=_dt.datetime.combine(as_of, _dt.time()))
-    sp = t.stock_prices.where(_in("date", start, end))
-    er = t.exchange_rates.where(_in("date", start, end))
+    sp = _period(t.stock_prices, start, end)
+    er = _period(t.exchange_rates, start, end)
     ss = sp.agg(F.count(F.lit(1)).alias("total_stock_records"),
                 F.count_distinct("symbol").alias("symbols_loaded"),
                 F.count_distinct("date").alias("trading_days_loaded"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.calendar import date_id_of
-from ..tables import PAIR, Tables
+from ..tables import PAIR, Tables, period_predicate
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -171,6 +171,8 @@ def backfill_load(spark: SparkSession, target: DataFrame, staging: DataFrame, ke
                   table_name: str, what: str):
     """Upsert the staging rows of the period; log row counts the whole staging table."""
     in_period = staging.where(_period("date", start, end))
+    if "year" in target.columns and "year" not in in_period.columns:
+        in_period = in_period.withColumn("year", F.year("date"))
     state, counts = merge(target, in_period.select(*target.columns), keys, set_cols)
     log = etl_log(spark, "BACKFILL", table_name, ts, staging.agg(F.count(F.lit(1))), "COMPLETED",
                   f"Historical {what} backfill for {start.isoformat()} to {end.isoformat()}")
@@ -206,7 +208,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column], start: _
     ``literal=True`` reproduces the reference's statement, which deletes every
     row of a duplicated key, the one meant to be kept included.
     """
-    inside = _period(date_col, start, end)
+    inside = period_predicate(df, date_col, start, end)
     outside_rows = df.where(~inside | F.col(date_col).isNull())
     rows = df.where(inside)
     if literal:

@@ -613,13 +613,13 @@ def _loaded(spark, t):
 @register("backfill_load_prices")
 def _b2(spark, sf_dir):
     s_state, _, _, _ = _loaded(spark, tables(spark, sf_dir))
-    return edge(s_state)
+    return edge(s_state.drop("year"))
 
 
 @register("backfill_load_rates")
 def _b3(spark, sf_dir):
     _, r_state, _, _ = _loaded(spark, tables(spark, sf_dir))
-    return edge(r_state)
+    return edge(r_state.drop("year"))
 
 
 @register("etl_log")

@@ -35,6 +35,8 @@ class Tables:
 
 
 FACT_PARTITION = "year"
+RECORD_TABLES = ("stock_prices", "exchange_rates")
+RECORD_BUCKETS = 1024
 _SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_currency": S.DIM_CURRENCY,
             "prices": S.FACT_STOCK_PRICES, "rates": S.FACT_CURRENCY_RATES, "stock_prices": S.STOCK_PRICES,
             "exchange_rates": S.EXCHANGE_RATES, "etl_logs": S.ETL_LOGS}
@@ -63,10 +65,29 @@ def write_warehouse(t: Tables, path: str, mode: str = "overwrite") -> None:
                .sortWithinPartitions(FACT_PARTITION, "date_id", *[k for k in keys if k != "date_id"])
                .write.mode(mode).option("maxRecordsPerFile", 5_000_000)
                .partitionBy(FACT_PARTITION).parquet(out))
+        elif name in RECORD_TABLES:
+            # record-level tables grow with the input: partitioned by year so a
+            # period filter prunes directories; hashed on a salt of the whole
+            # row so no key (however hot) lands in one task; date-sorted files
+            salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(RECORD_BUCKETS))
+            (df.withColumn(FACT_PARTITION, F.year("date"))
+               .repartition(F.col(FACT_PARTITION), salt)
+               .sortWithinPartitions(FACT_PARTITION, "date")
+               .write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+               .partitionBy(FACT_PARTITION).parquet(out))
         else:
             df.write.mode(mode).parquet(out)
 
 
+def period_predicate(df: DataFrame, col: str, start, end):
+    """``col BETWEEN start AND end``, plus the same range on the ``year``
+    partition column when the table has one, so whole years are pruned."""
+    cond = F.col(col).between(F.lit(start), F.lit(end))
+    if FACT_PARTITION in df.columns:
+        cond = F.col(FACT_PARTITION).between(F.lit(start.year), F.lit(end.year)) & cond
+    return cond
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any scheme)."""
     jvm = spark.sparkContext._jvm

@@ -62,3 +62,9 @@ def test_dedupe_limits_before_the_shuffle(spark):
 def test_bar_aggregation_is_hash_based(spark):
     p = _plan(binding.bars(binding.ticks(spark, SF_SMALL)))
     assert "HashAggregate" in p and "SortAggregate" not in p
+
+
+def test_backfill_period_prunes_years(spark):
+    p = _plan(registry.QUERIES["backfill_validate_data"](spark, SF_SMALL))
+    scans = [line for line in p.split("\n") if "FileScan" in line and ",date#" in line]
+    assert scans and all("PartitionFilters: [isnotnull(year" in s and "2001" in s for s in scans)
