@@ -42,14 +42,21 @@ def present_currency(df: DataFrame) -> DataFrame:
                      _num("market_cap_usd").alias("market_cap_usd"), _num("market_cap_gbp").alias("market_cap_gbp"))
 
 
-def normalize_symbols(symbols: Sequence[str], max_count: int = 50) -> list[str]:
-    """Upper-case, trim, validate and de-duplicate in order (request parameters)."""
+def normalize_symbols(symbols: Sequence[str], max_count: int = 50, extra_chars: str = ".-") -> list[str]:
+    """Upper-case, trim, validate and de-duplicate in order (request parameters).
+
+    A symbol is alphanumeric apart from ``extra_chars`` (dots and hyphens by
+    default, as the reference accepts).
+    """
     out: list[str] = []
     for s in symbols:
         s = s.upper().strip()
         if not s:
             raise ValueError("Empty symbol not allowed")
-        if not s.replace(".", "").replace("-", "").replace("#", "").isalnum():
+        bare = s
+        for ch in extra_chars:
+            bare = bare.replace(ch, "")
+        if not bare.isalnum():
             raise ValueError(f"Invalid symbol format: {s}")
         if s not in out:
             out.append(s)
@@ -70,9 +77,9 @@ def check_dates(start: Optional[_dt.date], end: Optional[_dt.date], as_of: _dt.d
 
 def price_history(t: Tables, symbols: Sequence[str], as_of: _dt.date, start: Optional[_dt.date] = None,
                   end: Optional[_dt.date] = None, convert: bool = True,
-                  pair: tuple[str, str] = PAIR) -> DataFrame:
+                  pair: tuple[str, str] = PAIR, extra_chars: str = ".-") -> DataFrame:
     """Prices of the requested symbols in [start, end], optionally with GBP."""
-    syms = normalize_symbols(symbols)
+    syms = normalize_symbols(symbols, extra_chars=extra_chars)
     check_dates(start, end, as_of)
     # symbols compare case-insensitively, as the request normalises them
     rows = (star(t, columns=["closing_price", "volume", "daily_return"])

@@ -805,8 +805,9 @@ def _p15c(spark, sf_dir):
 
 @register("price_history")
 def _p17(spark, sf_dir):
+    # the bound symbols carry a '#', so it is accepted next to dots and hyphens
     out = PR.price_history(tables(spark, sf_dir), [s.lower() + " " for s in TRACKED], AS_OF,
-                           start=_dt.date(2001, 1, 1), end=AS_OF)
+                           start=_dt.date(2001, 1, 1), end=AS_OF, extra_chars=".-#")
     return edge(out)
 
 

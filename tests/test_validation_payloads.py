@@ -117,3 +117,13 @@ def test_structure_and_names(spark):
     raw = spark.createDataFrame([(1.0, 2.0, "2025-08-08")], "`1. open` double, `4. close` double, date string")
     assert PL.standardize_columns(raw).columns == ["Open", "Close", "Date"]
     assert CF.require_columns(raw, ["Open", "Volume"]) == ["Open", "Volume"]
+
+
+def test_symbol_parameters():
+    from martstar.operators.presentation import normalize_symbols
+    assert normalize_symbols([" aapl", "MSFT", "aapl", "brk.b"]) == ["AAPL", "MSFT", "BRK.B"]
+    with pytest.raises(ValueError):
+        normalize_symbols(["brand#4"])
+    assert normalize_symbols(["brand#4"], extra_chars=".-#") == ["BRAND#4"]
+    with pytest.raises(ValueError):
+        normalize_symbols([])
