@@ -42,11 +42,13 @@ def stream_landing(spark: SparkSession, landing_dir: str, warehouse: str, checkp
             valid = valid.withColumn("volume", F.trim("volume").try_cast("double").cast("bigint"))
             rows, _ = MG.conform_price_batch(t, valid, ts)
             MG.upsert_table(spark, f"{warehouse}/prices", rows.select(*t.prices.columns),
-                            ["stock_id", "date_id"], MG.PRICE_SET)
+                            ["stock_id", "date_id"], MG.PRICE_SET,
+                            staging_root=f"{checkpoint}/staging/{kind}-{batch_id}")
         else:
             rows, _ = MG.conform_rate_batch(t, valid, ts)
             MG.upsert_table(spark, f"{warehouse}/rates", rows.select(*t.rates.columns),
-                            ["from_currency_id", "to_currency_id", "date_id"], MG.RATE_SET)
+                            ["from_currency_id", "to_currency_id", "date_id"], MG.RATE_SET,
+                            staging_root=f"{checkpoint}/staging/{kind}-{batch_id}")
 
     w = src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")

@@ -99,3 +99,19 @@ def test_stream_landing_upserts_new_files(spark, tmpdir_path):
     prices = read_warehouse(spark, wh).prices
     assert prices.count() == 2
     assert {r.stock_id for r in prices.collect()} == {1, 2}
+
+
+def test_upsert_resumes_after_a_lost_publish(spark, tmpdir_path):
+    t = make_tables(spark, [("AAPL", D1, 2, 2, 2, 2, 2, None)], stocks=["AAPL"])
+    wh = f"{tmpdir_path}/wh"
+    write_warehouse(t, wh)
+    batch = t.prices.withColumn("volume", F.col("volume") + 40)
+    stage = f"{tmpdir_path}/stage-b7"
+    # the run is lost after staging, before the swap
+    MG.stage_merge(spark, f"{wh}/prices", batch, ["stock_id", "date_id"], stage, MG.PRICE_SET)
+    assert read_warehouse(spark, wh).prices.first().volume == 2
+    # the replay publishes the staged merge instead of merging again
+    counts = MG.upsert_table(spark, f"{wh}/prices", batch.withColumn("volume", F.lit(999).cast("bigint")),
+                             ["stock_id", "date_id"], MG.PRICE_SET, staging_root=stage).first()
+    assert (counts.inserted, counts.updated) == (0, 1)
+    assert read_warehouse(spark, wh).prices.first().volume == 42
