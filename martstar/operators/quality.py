@@ -33,27 +33,30 @@ def _price_measures(t: Tables, as_of: _dt.date, tracked: Sequence[str]) -> DataF
         F.count_distinct(F.when(recent_tracked, F.col("symbol"))).alias("tracked_present"))
 
 
+def _rows(df: DataFrame, rows) -> DataFrame:
+    """One-row aggregate -> one output row per (check_name, count, severity)."""
+    arr = F.array(*[F.struct(F.lit(n).alias("check_name"), v.cast("bigint").alias("violation_count"),
+                             F.lit(s).alias("severity")) for n, v, s in rows])
+    return df.select(F.inline(arr))
+
+
 def quality_checks(t: Tables, as_of: _dt.date, tracked: Sequence[str]) -> DataFrame:
-    """The seven checks of the daily ETL as rows."""
+    """The seven checks of the daily ETL as rows (a union of one-row results,
+    like the reference's UNION ALL; no join between the aggregates)."""
     pm = _price_measures(t, as_of, tracked)
     dups = (t.prices.groupBy("stock_id", "date_id").count().where(F.col("count") > 1)
             .agg(F.count(F.lit(1)).alias("duplicates")))
     bad_rates = t.rates.agg(F.count_if(F.col("exchange_rate") <= 0).alias("bad_rates"))
-    one = pm.join(dups, how="cross").join(bad_rates, how="cross")  # three one-row aggregates
     missing_recent = F.when(F.col("max_date") < F.date_sub(F.lit(as_of), 7), 1).otherwise(0)
-    rows = [
-        ("Duplicate stock prices", F.col("duplicates"), "CRITICAL"),
-        ("Negative stock prices", F.col("negative_prices"), "CRITICAL"),
-        ("Invalid price relationships", F.col("invalid_relationships"), "CRITICAL"),
-        ("Extreme daily returns", F.col("extreme_returns"), "WARNING"),
-        ("Invalid currency rates", F.col("bad_rates"), "CRITICAL"),
-        ("Missing recent data", missing_recent, "WARNING"),
-        ("Missing stock data", F.lit(len(tracked)) - F.col("tracked_present"), "WARNING"),
-    ]
-    arr = F.array(*[F.struct(F.lit(n).alias("check_name"),
-                             v.cast("bigint").alias("violation_count"),
-                             F.lit(s).alias("severity")) for n, v, s in rows])
-    return one.select(F.inline(arr))
+    return (_rows(dups, [("Duplicate stock prices", F.col("duplicates"), "CRITICAL")])
+            .unionByName(_rows(pm, [
+                ("Negative stock prices", F.col("negative_prices"), "CRITICAL"),
+                ("Invalid price relationships", F.col("invalid_relationships"), "CRITICAL"),
+                ("Extreme daily returns", F.col("extreme_returns"), "WARNING")]))
+            .unionByName(_rows(bad_rates, [("Invalid currency rates", F.col("bad_rates"), "CRITICAL")]))
+            .unionByName(_rows(pm, [
+                ("Missing recent data", missing_recent, "WARNING"),
+                ("Missing stock data", F.lit(len(tracked)) - F.col("tracked_present"), "WARNING")])))
 
 
 def quality_score(t: Tables) -> DataFrame:
