@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.numeric import mean_half_up, rounded_mean, scaled
 from ..tables import PAIR, Tables
-from .common import (Symbols, bounded, converted, latest_rate_date, latest_stock_date, pair_rates,
-                     restrict_symbols, ret_desc, star)
+from .common import (Symbols, bounded, converted, day_id, latest_rate_date_id, latest_stock_date,
+                     latest_stock_date_id, on_day, pair_rates, restrict_symbols, ret_desc, star)
 
 
 def _with_pair(t: Tables, rows: DataFrame, pair, how: str = "inner") -> DataFrame:
@@ -34,11 +34,10 @@ def top_performers(t: Tables, k: int = 5, symbols: Symbols = None,
     same as over all rows of the day because every row ranked above a top-k
     row is itself in the top-k.
     """
-    rows = star(t, columns=["closing_price", "daily_return", "volume"])
+    rows = star(on_day(t, latest_stock_date_id(t)), columns=["closing_price", "daily_return", "volume"])
     rows = _with_pair(t, rows, pair)
     rows = restrict_symbols(rows, symbols)
-    rows = rows.where((F.col("date_value") == latest_stock_date(t))
-                      & F.col("daily_return").isNotNull())
+    rows = rows.where(F.col("daily_return").isNotNull())
     top = rows.orderBy(F.col("daily_return").desc(), F.col("symbol")).limit(k)
     return top.select(
         "symbol", "company_name", F.col("date_value").alias("trade_date"),
@@ -135,12 +134,11 @@ def performance_details(t: Tables, symbols: Symbols, window: int = 30,
 def price_range(t: Tables, lo, hi, date: Optional[_dt.date] = None,
                 pair: tuple[str, str] = PAIR) -> DataFrame:
     """Stocks whose close lies in [lo, hi] on ``date`` (default: latest stock date)."""
-    rows = star(t, columns=["closing_price", "daily_return", "volume", "opening_price",
-                            "high_price", "low_price"])
+    day = day_id(date) if date is not None else latest_stock_date_id(t)
+    rows = star(on_day(t, day), columns=["closing_price", "daily_return", "volume", "opening_price",
+                                         "high_price", "low_price"])
     rows = _with_pair(t, rows, pair)
-    day = F.lit(date) if date is not None else latest_stock_date(t)
-    rows = rows.where((F.col("date_value") == day)
-                      & F.col("closing_price").between(F.lit(lo), F.lit(hi)))
+    rows = rows.where(F.col("closing_price").between(F.lit(lo), F.lit(hi)))
     return rows.select(
         "symbol", "company_name", F.col("date_value").alias("trade_date"),
         F.col("closing_price").alias("price_usd"), "daily_return", "volume",
@@ -158,9 +156,8 @@ def price_range_on(t: Tables, lo, hi, date: Optional[_dt.date] = None,
 def currency_conversion(t: Tables, symbol: Optional[str] = None,
                         pair: tuple[str, str] = PAIR) -> DataFrame:
     """Prices converted at the latest date that has a rate of the pair."""
-    rows = star(t, columns=["closing_price"])
+    rows = star(on_day(t, latest_rate_date_id(t, pair)), columns=["closing_price"])
     rows = _with_pair(t, rows, pair)
-    rows = rows.where(F.col("date_value") == latest_rate_date(t, pair))
     if symbol is not None:
         rows = rows.where(F.col("symbol") == F.lit(symbol))
     return rows.select(
@@ -243,9 +240,8 @@ def daily_summary(t: Tables, as_of: _dt.date, days: int = 30, limit: int = 30,
 
 def summary_on(t: Tables, date: Optional[_dt.date] = None) -> DataFrame:
     """Market summary of one date (default: the latest stock date)."""
-    rows = star(t, columns=["closing_price", "daily_return", "volume"])
-    day = F.lit(date) if date is not None else latest_stock_date(t)
-    rows = rows.where(F.col("date_value") == day)
+    day = day_id(date) if date is not None else latest_stock_date_id(t)
+    rows = star(on_day(t, day), columns=["closing_price", "daily_return", "volume"])
     c, r = F.col("closing_price"), F.col("daily_return")
     return rows.groupBy(F.col("date_value").alias("summary_date")).agg(
         F.count("stock_id").alias("stocks_count"),

@@ -88,3 +88,29 @@ def converted(price: Column, rate: Column, scale: int = 4) -> Column:
 def ret_desc(col: str = "daily_return") -> Column:
     """PostgreSQL ``DESC`` puts NULLs first."""
     return F.col(col).desc_nulls_first()
+
+
+def latest_stock_date_id(t: Tables) -> Column:
+    """Scalar subquery: ``date_id`` of the latest price row.
+
+    ``date_id`` is ``yyyyMMdd`` (see ``functions.calendar``), so its maximum is
+    the latest date; only the ``date_id`` column of the fact is read, and the
+    value then filters the fact scan itself (a runtime pushed filter that
+    skips the date-sorted row groups of other days).
+    """
+    return t.prices.agg(F.max("date_id")).scalar()
+
+
+def latest_rate_date_id(t: Tables, pair: tuple[str, str] = PAIR) -> Column:
+    """Scalar subquery: ``date_id`` of the latest rate of the pair."""
+    return pair_rates(t, pair).agg(F.max("date_id")).scalar()
+
+
+def day_id(d) -> int:
+    return d.year * 10000 + d.month * 100 + d.day
+
+
+def on_day(t: Tables, date_id) -> Tables:
+    """The warehouse restricted to the prices of one day (filter at the scan)."""
+    v = date_id if isinstance(date_id, Column) else F.lit(date_id)
+    return t.with_(prices=t.prices.where(F.col("date_id") == v))
