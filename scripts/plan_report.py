@@ -30,8 +30,9 @@ def summarize(plan: str):
             ops[m.group(1)] += 1
         if "FileScan" in line:
             cols = re.search(r"FileScan \w+ \[([^\]]*)\]", line)
-            pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line)
-            part = re.search(r"PartitionFilters: \[([^\]]*)\]", line)
+            # long filter lists are cut by Spark with "..."
+            pushed = re.search(r"PushedFilters: \[(.*?)(?:\]|\.\.\.)", line)
+            part = re.search(r"PartitionFilters: \[(.*?)(?:\], |\.\.\.)", line)
             scans.append((cols.group(1) if cols else "", pushed.group(1) if pushed else "",
                           part.group(1) if part else ""))
     return ops, scans
