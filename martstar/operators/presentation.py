@@ -27,12 +27,13 @@ def present_top(df: DataFrame) -> DataFrame:
 
 
 def present_details(df: DataFrame) -> DataFrame:
-    return present_top(df.drop("avg_price_30d_usd", "avg_volume_30d", "volatility_30d",
-                               "price_change_30d_pct")).join(
-        df.select("symbol", _num("avg_price_30d_usd").alias("avg_price_30d_usd"),
-                  F.col("avg_volume_30d").cast("bigint").alias("avg_volume_30d"),
-                  _num("volatility_30d").alias("volatility_30d"),
-                  _num("price_change_30d_pct").alias("price_change_30d_pct")), "symbol")
+    return df.select("symbol", "company_name", _num("price_usd").alias("price_usd"),
+                     _num("price_gbp").alias("price_gbp"), _num("daily_return").alias("daily_return"),
+                     F.col("volume").cast("bigint").alias("volume"), "trade_date", "performance_rank",
+                     _num("avg_price_30d_usd").alias("avg_price_30d_usd"),
+                     F.col("avg_volume_30d").cast("bigint").alias("avg_volume_30d"),
+                     _num("volatility_30d").alias("volatility_30d"),
+                     _num("price_change_30d_pct").alias("price_change_30d_pct"))
 
 
 def present_currency(df: DataFrame) -> DataFrame:
