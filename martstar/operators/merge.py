@@ -36,30 +36,28 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     Existing keys get ``set_cols`` from the batch and keep their other
     columns; new keys are inserted whole. Returns (new state, counts) where
     counts has ``inserted``, ``updated`` and ``affected``.
+
+    Plan: the batch keys drive a semi join (the target rows being replaced)
+    and an anti join (the untouched rest). A daily batch is small, so AQE
+    turns both into broadcast joins that stream the target without
+    shuffling it; a large batch falls back to shuffled joins. Keys are NOT
+    NULL, as in the table definitions.
     """
+    keys = list(keys)
     cols = target.columns
     set_cols = list(set_cols) if set_cols is not None else [c for c in cols if c not in keys]
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols]).withColumn("_t", F.lit(True))
-    b = batch.select(*[F.col(c).alias(f"b_{c}") for c in cols]).withColumn("_b", F.lit(True))
-    cond = [F.col(f"t_{k}").eqNullSafe(F.col(f"b_{k}")) for k in keys]
-    on = cond[0]
-    for c in cond[1:]:
-        on = on & c
-    j = t.join(b, on, "full_outer")
-    has_b = F.col("_b").isNotNull()
+    batch = batch.select(*cols)
+    bkeys = batch.select(*keys)
+    untouched = target.join(bkeys, keys, "left_anti")
+    matched = target.join(bkeys, keys, "left_semi").select(
+        *keys, *[F.col(c).alias(f"t_{c}") for c in cols if c not in keys]).withColumn("_t", F.lit(True))
+    j = batch.join(matched, keys, "left")
     has_t = F.col("_t").isNotNull()
-    out = []
-    for c in cols:
-        if c in keys:
-            out.append(F.coalesce(F.col(f"t_{c}"), F.col(f"b_{c}")).alias(c))
-        elif c in set_cols:
-            out.append(F.when(has_b, F.col(f"b_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
-        else:
-            out.append(F.when(has_t, F.col(f"t_{c}")).otherwise(F.col(f"b_{c}")).alias(c))
-    state = j.select(*out)
-    counts = (b.join(t, on, "left")
-              .agg(F.count_if(F.col("_t").isNull()).alias("inserted"),
-                   F.count_if(F.col("_t").isNotNull()).alias("updated"))
+    changed = j.select(*[F.col(c) if c in keys or c in set_cols
+                         else F.when(has_t, F.col(f"t_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+    state = untouched.unionByName(changed)
+    counts = (j.agg(F.count_if(F.col("_t").isNull()).alias("inserted"),
+                    F.count_if(F.col("_t").isNotNull()).alias("updated"))
               .withColumn("affected", F.col("inserted") + F.col("updated")))
     return state, counts
 
