@@ -11,21 +11,6 @@ def lenient_double(c: Column) -> Column:
     return F.coalesce(F.trim(c.cast("string")).try_cast("double"), F.lit(0.0))
 
 
-def lenient_long(c: Column) -> Column:
-    """Text/number -> bigint via double (``int(float(x))``); unparsable -> 0."""
-    d = F.trim(c.cast("string")).try_cast("double")
-    return F.coalesce(F.when(d.isNotNull(), F.floor(d).cast("bigint")), F.lit(0).cast("bigint"))
-
-
-def round_half_up(c: Column, scale: int) -> Column:
-    """ROUND on decimals is half-up in Spark, as in PostgreSQL."""
-    return F.round(c, scale)
-
-
-def to_double(c: Column) -> Column:
-    return c.cast("double")
-
-
 def scaled(c: Column, scale: int) -> Column:
     """``c * 10^scale`` as an exact integer (``c`` has ``scale`` places).
 

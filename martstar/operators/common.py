@@ -63,13 +63,6 @@ def latest_stock_date(t: Tables) -> Column:
             .agg(F.max("date_value")).scalar())
 
 
-def latest_rate_date(t: Tables, pair: tuple[str, str] = PAIR) -> Column:
-    """Scalar subquery: the latest date that has a rate of the pair."""
-    return (pair_rates(t, pair).select("date_id")
-            .join(bounded(t.dim_date.select("date_id", "date_value")), "date_id")
-            .agg(F.max("date_value")).scalar())
-
-
 def restrict_symbols(df: DataFrame, symbols: Symbols, col: str = "symbol") -> DataFrame:
     """IN-list filter on a tracked set given as a list or as a one-column table."""
     if symbols is None:

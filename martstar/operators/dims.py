@@ -12,7 +12,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import schemas as S
 from ..functions.calendar import calendar_columns
 from ..tables import Tables
 
@@ -118,8 +117,4 @@ def dims_from_raw(raw: DataFrame, dim_stocks: DataFrame, dim_date: DataFrame,
             .join(dim_stocks.select("symbol"), "symbol", "left_anti"))
     dates = (raw.select(F.col(date_col).cast("date").alias("date_value")).distinct()
              .join(dim_date.select("date_value"), "date_value", "left_anti"))
-    return syms, dates
-
-
-def empty_dim_date(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], S.DIM_DATE)
+    return syms, dates
\ No newline at end of file

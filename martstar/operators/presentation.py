@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from ..tables import PAIR, Tables
 from .common import pair_rates, star
 
-SYMBOL_CHARS = r"^[A-Z0-9]+$"
-
-
 def _num(c: str):
     """``float(x) if x else None``: the reference's row builders turn 0 into NULL."""
     return F.nullif(F.col(c).cast("double"), F.lit(0.0))
