@@ -241,20 +241,40 @@ def check_performance(df: DataFrame, as_of: _dt.date) -> DataFrame:
     ))
 
 
+def _fact_audit(fact: DataFrame, keys: Sequence[str], refs, not_null: Column, names) -> DataFrame:
+    """Uniqueness, foreign keys and NOT NULL of one fact table in one pass:
+    the reference keys are left-joined (dimensions are small), then one
+    ``groupBy`` on the table key (partial aggregation before the shuffle)
+    counts duplicates, dangling references and null rows together."""
+    rows = fact
+    flags = []
+    for i, (col, dim, dim_col, bounded_dim) in enumerate(refs):
+        k = dim.select(F.col(dim_col).alias(col)).distinct().withColumn(f"_r{i}", F.lit(True))
+        rows = rows.join(F.broadcast(k) if bounded_dim else k, col, "left")
+        flags.append(F.count_if(F.col(f"_r{i}").isNull()).alias(f"_m{i}"))
+    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if(not_null).alias("_nn"), *flags)
+    one = per_key.agg(
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1)), F.lit(0)).alias("dup"),
+        *[F.coalesce(F.sum(f"_m{i}"), F.lit(0)).alias(f"m{i}") for i in range(len(refs))],
+        F.coalesce(F.sum("_nn"), F.lit(0)).alias("nn"))
+    table, dup_rule, ref_rules, nn_rule = names
+    arr = F.array(F.struct(F.lit(dup_rule).alias("rule"), F.col("dup").alias("v")),
+                  *[F.struct(F.lit(r).alias("rule"), F.col(f"m{i}").alias("v")) for i, r in enumerate(ref_rules)],
+                  F.struct(F.lit(nn_rule).alias("rule"), F.col("nn").alias("v")))
+    return one.select(F.inline(arr)).select(F.lit(table).alias("table_name"), "rule",
+                                            F.col("v").cast("bigint").alias("violations"))
+
+
 def constraint_audit(t: Tables) -> DataFrame:
     """Violations of the DDL's keys and constraints, one row per rule.
 
-    Uniqueness by ``groupBy`` (partial aggregation), foreign keys by
-    ``left_anti`` joins, NOT NULL and lengths by conditional counts.
+    Each fact is audited in one pass (keys, references and NOT NULL
+    together); the small dimensions by ``groupBy`` and conditional counts.
     """
     def dup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         return (df.groupBy(*keys).count().where(F.col("count") > 1)
                 .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("v")))
 
-    def fk(df: DataFrame, col: str, dim: DataFrame, dim_col: str) -> DataFrame:
-        keys = dim.select(F.col(dim_col).alias(col)).distinct()
-        return df.select(col).join(keys, col, "left_anti").agg(F.count(F.lit(1)).alias("v"))
-
     def cnt(df: DataFrame, cond: Column) -> DataFrame:
         return df.agg(F.count_if(cond).alias("v"))
 
@@ -271,24 +291,25 @@ def constraint_audit(t: Tables) -> DataFrame:
         ("dim_currency", "unique currency_code", dup(t.dim_currency, ["currency_code"])),
         ("dim_currency", "currency_code length = 3",
          cnt(t.dim_currency, F.col("currency_code").isNull() | (F.length("currency_code") != 3))),
-        ("fact_stock_prices", "unique (stock_id, date_id)", dup(p, ["stock_id", "date_id"])),
-        ("fact_stock_prices", "stock_id references dim_stocks", fk(p, "stock_id", t.dim_stocks, "stock_id")),
-        ("fact_stock_prices", "date_id references dim_date", fk(p, "date_id", t.dim_date, "date_id")),
-        ("fact_stock_prices", "prices and volume not null",
-         cnt(p, F.col("opening_price").isNull() | F.col("high_price").isNull() | F.col("low_price").isNull()
-             | F.col("closing_price").isNull() | F.col("volume").isNull())),
-        ("fact_currency_rates", "unique (from, to, date_id)",
-         dup(r, ["from_currency_id", "to_currency_id", "date_id"])),
-        ("fact_currency_rates", "from_currency_id references dim_currency",
-         fk(r, "from_currency_id", t.dim_currency, "currency_id")),
-        ("fact_currency_rates", "to_currency_id references dim_currency",
-         fk(r, "to_currency_id", t.dim_currency, "currency_id")),
-        ("fact_currency_rates", "date_id references dim_date", fk(r, "date_id", t.dim_date, "date_id")),
-        ("fact_currency_rates", "exchange_rate not null", cnt(r, F.col("exchange_rate").isNull())),
     ]
     out = None
     for table, name, df in items:
         row = df.select(F.lit(table).alias("table_name"), F.lit(name).alias("rule"),
                         F.col("v").cast("bigint").alias("violations"))
         out = row if out is None else out.unionByName(row)
-    return out
+    prices = _fact_audit(
+        p, ["stock_id", "date_id"],
+        [("stock_id", t.dim_stocks, "stock_id", False), ("date_id", t.dim_date, "date_id", True)],
+        F.col("opening_price").isNull() | F.col("high_price").isNull() | F.col("low_price").isNull()
+        | F.col("closing_price").isNull() | F.col("volume").isNull(),
+        ("fact_stock_prices", "unique (stock_id, date_id)",
+         ["stock_id references dim_stocks", "date_id references dim_date"], "prices and volume not null"))
+    rates = _fact_audit(
+        r, ["from_currency_id", "to_currency_id", "date_id"],
+        [("from_currency_id", t.dim_currency, "currency_id", True),
+         ("to_currency_id", t.dim_currency, "currency_id", True), ("date_id", t.dim_date, "date_id", True)],
+        F.col("exchange_rate").isNull(),
+        ("fact_currency_rates", "unique (from, to, date_id)",
+         ["from_currency_id references dim_currency", "to_currency_id references dim_currency",
+          "date_id references dim_date"], "exchange_rate not null"))
+    return out.unionByName(prices).unionByName(rates)
