@@ -16,7 +16,7 @@ from .. import schemas as S
 from ..functions.numeric import mean_half_up, rounded_mean, scaled
 from ..tables import PAIR, Tables
 from .common import (Symbols, bounded, converted, day_id, latest_rate_date_id, latest_stock_date,
-                     latest_stock_date_id, on_day, pair_rates, restrict_symbols, ret_desc, star)
+                     latest_stock_date_id, on_day, pair_rates, restrict_symbols, ret_desc, since, star)
 
 
 def _with_pair(t: Tables, rows: DataFrame, pair, how: str = "inner") -> DataFrame:
@@ -216,7 +216,7 @@ def gbp_prices(t: Tables, symbols=None, date: Optional[_dt.date] = None,
 def daily_summary(t: Tables, as_of: _dt.date, days: int = 30, limit: int = 30,
                   pair: tuple[str, str] = PAIR) -> DataFrame:
     """Per (date, rate) summary of the last ``days`` calendar days, newest first."""
-    rows = star(t, columns=["closing_price", "daily_return", "volume"])
+    rows = star(since(t, as_of - _dt.timedelta(days=days)), columns=["closing_price", "daily_return", "volume"])
     rows = _with_pair(t, rows, pair)
     rows = rows.where(F.col("date_value") >= F.date_sub(F.lit(as_of), days))
     c, r = F.col("closing_price"), F.col("daily_return")

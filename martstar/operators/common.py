@@ -107,3 +107,9 @@ def on_day(t: Tables, date_id) -> Tables:
     """The warehouse restricted to the prices of one day (filter at the scan)."""
     v = date_id if isinstance(date_id, Column) else F.lit(date_id)
     return t.with_(prices=t.prices.where(F.col("date_id") == v))
+
+
+def since(t: Tables, first_day) -> Tables:
+    """The warehouse restricted to prices on or after ``first_day`` (a date):
+    the ``date_id`` range reaches the fact scan as a pushed filter."""
+    return t.with_(prices=t.prices.where(F.col("date_id") >= F.lit(day_id(first_day))))

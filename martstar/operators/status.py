@@ -67,7 +67,9 @@ def missing_dates(t: Tables, as_of: _dt.date, days: int = 10,
         stocks = stocks.where(F.col("symbol").isin(list(symbols)))
     window = F.sequence(F.date_sub(F.lit(as_of), days), F.lit(as_of))
     grid = stocks.select("stock_id", "symbol", F.explode(window).alias("date_value")).join(cal, "date_value")
-    return (grid.join(t.prices.select("stock_id", "date_id"), ["stock_id", "date_id"], "left_anti")
+    first = as_of - _dt.timedelta(days=days)
+    present = t.prices.where(F.col("date_id") >= F.lit(first.year * 10000 + first.month * 100 + first.day))
+    return (grid.join(present.select("stock_id", "date_id"), ["stock_id", "date_id"], "left_anti")
             .select("symbol", F.col("date_value").alias("missing_date")))
 
 
