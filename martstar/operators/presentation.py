@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import PAIR, Tables
-from .common import pair_rates, star
+from .common import day_id, pair_rates, star
 
 def _num(c: str):
     """``float(x) if x else None``: the reference's row builders turn 0 into NULL."""
@@ -79,6 +79,11 @@ def price_history(t: Tables, symbols: Sequence[str], as_of: _dt.date, start: Opt
     """Prices of the requested symbols in [start, end], optionally with GBP."""
     syms = normalize_symbols(symbols, extra_chars=extra_chars)
     check_dates(start, end, as_of)
+    # the date range also filters the fact scan (date_id is yyyyMMdd)
+    if start:
+        t = t.with_(prices=t.prices.where(F.col("date_id") >= F.lit(day_id(start))))
+    if end:
+        t = t.with_(prices=t.prices.where(F.col("date_id") <= F.lit(day_id(end))))
     # symbols compare case-insensitively, as the request normalises them
     rows = (star(t, columns=["closing_price", "volume", "daily_return"])
             .where(F.upper(F.col("symbol")).isin(syms)))
