@@ -6,12 +6,20 @@ from martstar.llm.common import short_batches, table
 from martstar.llm.decontaminate import leaks
 from martstar.llm.exact_dedup import exact_groups
 from martstar.llm.license_scan import license_scan
+from martstar.llm.packing import pack
+from martstar.llm.simhash_dedup import near_groups
+from martstar.llm.toxicity import scores, train
 
 
 def op2_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_dedup(spark, sf_dir):
+    short_batches(spark)
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark, sf_dir):
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,8 +28,19 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark, sf_dir):
+    short_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return scores(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_packing(spark, sf_dir):
+    short_batches(spark)
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op6_decontaminate, op7_exact_dedup,
+    op2_license_scan, op4_simhash_dedup, op6_decontaminate, op7_exact_dedup, op9_toxicity, op10_packing,
 )}
 
 SQL = {
