@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+from martstar.llm.chunk_dedup import chunk_dedup
 from martstar.llm.common import short_batches, table
 from martstar.llm.decontaminate import leaks
 from martstar.llm.exact_dedup import exact_groups
+from martstar.llm.html_consensus import host_paths, main_text
+from martstar.llm.lang_id import languages
+from martstar.llm.lang_id import train as train_languages
 from martstar.llm.license_scan import license_scan
 from martstar.llm.packing import pack
 from martstar.llm.simhash_dedup import near_groups
+from martstar.llm.suffix_dedup import suffix_dedup
 from martstar.llm.toxicity import scores, train
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    short_batches(spark)
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark, sf_dir):
+    short_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return languages(docs, train_languages(docs))
+
+
 def op4_simhash_dedup(spark, sf_dir):
     short_batches(spark)
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_chunk_dedup(spark, sf_dir):
+    short_batches(spark)
+    return chunk_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark, sf_dir):
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,6 +49,12 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark, sf_dir):
+    short_batches(spark)
+    pages = table(spark, sf_dir, "pages")
+    return main_text(pages, host_paths(pages))
+
+
 def op9_toxicity(spark, sf_dir):
     short_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -40,7 +67,8 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op4_simhash_dedup, op6_decontaminate, op7_exact_dedup, op9_toxicity, op10_packing,
+    op1_suffix_dedup, op2_license_scan, op3_language_id, op4_simhash_dedup, op5_chunk_dedup,
+    op6_decontaminate, op7_exact_dedup, op8_html_extraction, op9_toxicity, op10_packing,
 )}
 
 SQL = {

@@ -163,7 +163,8 @@ class Model:
         rate = n / np.maximum([(toxic == 0).sum(), (toxic == 1).sum()], 1)
         spread = np.sqrt((n[:, 1] + 1) / max(1, (toxic == 1).sum()) ** 2 + (n[:, 0] + 1) / max(1, (toxic == 0).sum()) ** 2)
         z = (rate[:, 1] - rate[:, 0]) / spread
-        self.emb[:, 0] = np.where(np.abs(z) > 3, np.clip(z / 4, -3, 3), 0)
+        # with this many buckets chance alone passes four deviations
+        self.emb[:, 0] = np.where((np.abs(z) > 4.5) & (n.sum(1) >= 8), np.clip(z / 4, -3, 3), 0)
         self.emb[0] = 0
 
     def _step(self, ids, y, state, t, rate=0.01) -> None:
@@ -201,7 +202,7 @@ class Model:
             m = 0.9 * m + 0.1 * gr
             v = 0.999 * v + 0.001 * gr * gr
             state[k] = m, v
-            d = rate * (0.1 if k == "emb" else 1) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+            d = rate * (0.02 if k == "emb" else 1) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
             if k == "out_bias":
                 self.out_bias = np.float32(self.out_bias - d)
             else:
