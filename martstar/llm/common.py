@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def short_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch of whole texts can hold in a worker."""
+def python_workers(spark: SparkSession) -> None:
+    """Settings of Python tasks: short Arrow batches, and this package on their path.
+
+    The path only helps where executors see the driver's code folder; elsewhere
+    the package is shipped with ``--py-files`` as usual.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def keep(df: DataFrame) -> DataFrame:

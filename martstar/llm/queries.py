@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from martstar.llm.chunk_dedup import chunk_dedup
-from martstar.llm.common import short_batches, table
+from martstar.llm.common import python_workers, table
 from martstar.llm.decontaminate import leaks
 from martstar.llm.exact_dedup import exact_groups
 from martstar.llm.html_consensus import host_paths, main_text
@@ -17,7 +17,7 @@ from martstar.llm.toxicity import scores, train
 
 
 def op1_suffix_dedup(spark, sf_dir):
-    short_batches(spark)
+    python_workers(spark)
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
@@ -26,18 +26,18 @@ def op2_license_scan(spark, sf_dir):
 
 
 def op3_language_id(spark, sf_dir):
-    short_batches(spark)
+    python_workers(spark)
     docs = table(spark, sf_dir, "documents")
     return languages(docs, train_languages(docs))
 
 
 def op4_simhash_dedup(spark, sf_dir):
-    short_batches(spark)
+    python_workers(spark)
     return near_groups(table(spark, sf_dir, "documents"))
 
 
 def op5_chunk_dedup(spark, sf_dir):
-    short_batches(spark)
+    python_workers(spark)
     return chunk_dedup(table(spark, sf_dir, "documents"))
 
 
@@ -50,19 +50,19 @@ def op7_exact_dedup(spark, sf_dir):
 
 
 def op8_html_extraction(spark, sf_dir):
-    short_batches(spark)
+    python_workers(spark)
     pages = table(spark, sf_dir, "pages")
     return main_text(pages, host_paths(pages))
 
 
 def op9_toxicity(spark, sf_dir):
-    short_batches(spark)
+    python_workers(spark)
     docs = table(spark, sf_dir, "documents")
     return scores(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
 def op10_packing(spark, sf_dir):
-    short_batches(spark)
+    python_workers(spark)
     return pack(table(spark, sf_dir, "documents"))
 
 
