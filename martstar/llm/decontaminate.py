@@ -5,21 +5,23 @@ words has a weighted Jaccard similarity of at least ``threshold`` with the
 item, over word shingles counted with their repeats.
 
 1. Shingle hashes are taken at every ``stride``-th word of a document and
-   looked up among the item shingles. The stride is derived from the item
-   lengths so that no window of the wanted similarity can slip between two
-   looked-up places (``safe_stride``).
-2. Around each place found, every window that overlaps it is tried. A window
-   with fewer shingles of the item than the similarity needs is skipped: the
-   count is an upper bound of the overlap, so nothing is lost.
+   looked up among the item shingles; only hashes travel in this pass. The
+   stride is derived from the item lengths so that no window of the wanted
+   similarity can slip between two looked-up places (``safe_stride``). Places
+   are gathered per block of words.
+2. The documents with places are read again. In each block every window that
+   overlaps it is tried. A window with fewer shingles of the item than the
+   similarity needs is skipped: the count is an upper bound of the overlap, so
+   nothing is lost.
 3. Windows get a SimHash. It is cut into ``radius + 1`` blocks; by the
    pigeonhole principle two fingerprints within the radius share one, so an
    equi-join on (item, block number, block value) finds all of them. Each
    window and item meet in the first block they share, so no pair repeats.
 4. The exact weighted similarity of the shingle texts decides.
 
-Texts are never shuffled: a document's words are read where the place was
-found. The item tables are broadcast only up to ``BROADCAST_ITEMS`` rows and
-joined by shuffle beyond.
+Tables are broadcast only up to a checked number of rows and joined by shuffle
+beyond: the item index to ``BROADCAST_ROWS`` shingles, the places found to as
+many blocks.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ THRESHOLD = 0.8
 # 23 is beyond four deviations
 RADIUS = 23
 BLOCK = 64  # words; places of one block are handled together
-BROADCAST_ITEMS = 200_000
+BROADCAST_ROWS = 200_000
 
 
 def words(text: str) -> Column:
@@ -49,6 +51,15 @@ def _shingle(ws: Column, at: Column, k: int) -> Column:
     return F.concat_ws(" ", *[F.get(ws, at + i) for i in range(k)])
 
 
+def _hash(ws: Column, at: Column, k: int) -> Column:
+    return F.xxhash64(*[F.get(ws, at + i) for i in range(k)])
+
+
+def _checked(df: DataFrame) -> DataFrame:
+    """A table to broadcast, if a count says it is small."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def safe_stride(lengths: list[int], k: int, threshold: float) -> int:
     """The widest step that still meets a shared shingle of every match.
 
@@ -92,12 +103,12 @@ def _weighted(a: Column, b: Column) -> Column:
     def times(arr: Column, x: Column) -> Column:
         return F.size(F.filter(arr, lambda y: y == x))
     both = F.aggregate(F.array_distinct(a), F.lit(0), lambda s, x: s + F.least(times(a, x), times(b, x)))
-    return both / (F.size(a) + F.size(b) - both)
+    return let(both, lambda n: n / (F.size(a) + F.size(b) - n))
 
 
 def bench_items(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
                 k: int = SHINGLE) -> DataFrame:
-    """(item_id, m, k, shingles, hashes, fp) of each distinct item with words.
+    """(item_id, m, k, w, shingles, fp) of each distinct item with words.
 
     An item of fewer than k words has one shingle, its whole sequence. Null or
     empty items have no words and match nothing.
@@ -106,9 +117,8 @@ def bench_items(benchmark: DataFrame, item_col: str = "item_id", text_col: str =
     it = it.withColumn("m", F.size("w")).withColumn("k", F.least(F.lit(k), "m"))
     it = it.withColumn("shingles", F.transform(F.sequence(F.lit(0), F.col("m") - F.col("k")),
                                                lambda i: F.array_join(F.slice("w", i + 1, F.col("k")), " ")))
-    it = it.withColumn("hashes", F.transform("shingles", lambda s: F.xxhash64(s)))
-    return it.select("item_id", "m", "k", "shingles", "hashes", _simhash(F.col("hashes")).alias("fp")) \
-        .dropDuplicates(["item_id", "shingles"])
+    fp = _simhash(F.transform("shingles", lambda s: F.xxhash64(s)))
+    return it.select("item_id", "m", "k", "w", "shingles", fp.alias("fp")).dropDuplicates(["item_id", "shingles"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -123,12 +133,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """
     items = keep(bench_items(benchmark, item_col, item_text, k))
     lens = [(r["k"], r["m"]) for r in items.select("k", "m").distinct().collect()]  # word counts, a few dozen values
-    n_items = items.count()
-    small = F.broadcast if n_items <= BROADCAST_ITEMS else (lambda d: d)
     found = None
     for kk in sorted({a for a, _ in lens}):
         ms = [m for a, m in lens if a == kk]
-        part = _leaks_of(docs, items.where(F.col("k") == kk), id_col, text_col, kk, ms, threshold, radius, small)
+        part = _leaks_of(docs, items.where(F.col("k") == kk), id_col, text_col, kk, ms, threshold, radius)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = docs.select(F.col(id_col).alias("doc_id"), F.lit(None).cast("long").alias("item_id"),
@@ -137,51 +145,66 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
             .agg(F.max("similarity").alias("similarity"), F.count(F.lit(1)).alias("n_windows")))
 
 
-def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius, small) -> DataFrame:
+def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius) -> DataFrame:
     stride = safe_stride(ms, k, threshold)
-    most = max(ms)
     need = 2 * threshold / (1 + threshold)
-    # 1. shared shingles at every stride-th place
+    per = max(1, BLOCK // stride)  # looked-up places in a block
+    src = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")) \
+        .withColumn("th", F.xxhash64("text"))
+
+    # 1. blocks that hold a shared shingle at a looked-up place
     def looked_up(w: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(w) - k, F.lit(stride))
-        return F.struct(w.alias("w"), F.when(F.size(w) >= min(ms), F.transform(
-            at, lambda p: F.xxhash64(_shingle(w, p, k)))).alias("h"))
+        return F.when(F.size(w) >= min(ms), F.transform(at, lambda p: _hash(w, p, k)))
 
     # outer: an inner explode makes Catalyst add a filter that computes the hashes twice
-    d = docs.select(F.col(id_col).alias("doc_id"), let(words(text_col), looked_up).alias("x"))
-    places = d.select("doc_id", F.col("x.w").alias("w"), F.col("x.h").alias("h"),
-                      F.posexplode_outer("x.h").alias("j", "hash"))
-    index = items.select("item_id", "m", "hashes", "fp", "shingles",
-                         F.explode(F.array_distinct("hashes")).alias("hash"))
-    hit = places.join(small(index), "hash")
-    per = BLOCK // stride
-    block = F.floor(F.col("j") / per).cast("int")
-    earlier = F.slice("h", block * per + 1, F.col("j") - block * per)
-    hit = hit.where(~F.exists(earlier, lambda x: F.array_contains("hashes", x)))  # first of its block
-    # 2. the words around the block, and which of their shingles are the item's
+    places = src.select("doc_id", "th", F.posexplode_outer(let(words("text"), looked_up)).alias("j", "hash"))
+    index = keep(items.select("item_id", "m", F.explode(F.array_distinct(let(F.col("w"), lambda w: F.transform(
+        F.sequence(F.lit(0), F.size(w) - k), lambda p: _hash(w, p, k))))).alias("hash")))
+    blocks = keep(places.join(_checked(index), "hash")
+                  .select("doc_id", "th", "item_id", "m", F.floor(F.col("j") / per).cast("int").alias("b"))
+                  .distinct())
+    # one row per document: its blocks, as many as its words and the items allow
+    todo = keep(blocks.groupBy("doc_id", "th").agg(F.collect_list(F.struct("item_id", "m", "b")).alias("blocks")))
+
+    # 2. the words around each block
+    def around(w: Column) -> Column:
+        def one(x: Column) -> Column:
+            n = x["m"] - k + 1
+            lo = F.greatest(F.lit(0), x["b"] * per * stride - n + 1)
+            hi = F.least(F.size(w) - x["m"], (x["b"] + 1) * per * stride - 1)  # last start of a window
+            return F.struct(x["item_id"].alias("item_id"), x["m"].alias("m"),
+                            F.slice(w, lo + 1, F.greatest(F.lit(0), hi - lo + x["m"])).alias("w"))
+        return F.filter(F.transform("blocks", one), lambda x: F.size(x["w"]) >= x["m"])
+
+    found = todo.select(F.col("doc_id").alias("id"), F.col("th").alias("h"), "blocks")
+    hit = src.join(_checked(found), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("h"))) \
+        .select("doc_id", F.explode_outer(let(words("text"), around)).alias("x")) \
+        .select("doc_id", "x.item_id", "x.m", "x.w").where("item_id is not null")
+    item_shingles = items.select("item_id", F.col("shingles").alias("own"))
+    hit = hit.join(_checked(item_shingles), "item_id")
     n = F.col("m") - k + 1
-    lo = F.greatest(F.lit(0), block * per * stride - n + 1)
-    hi = F.least(F.size("w") - F.col("m"), (block + 1) * per * stride - 1)  # last window start
-    hit = hit.select("doc_id", "item_id", "m", "hashes", "fp", "shingles", lo.alias("lo"), hi.alias("hi"),
-                     F.slice("w", lo + 1, F.greatest(F.lit(0), hi - lo + F.col("m"))).alias("w")).where("hi >= lo")
-    hit = hit.withColumn("s", F.transform(F.sequence(F.lit(0), F.size("w") - k), lambda p: _shingle(F.col("w"), p, k)))
     enough = F.ceil(n * need - 1e-9).cast("int")
-    shared = F.transform("s", lambda x: F.array_contains("hashes", F.xxhash64(x)).cast("int"))
-    starts = let(shared, lambda f: F.filter(F.sequence(F.lit(0), F.size(f) - n), lambda p: F.aggregate(
-        F.slice(f, p + 1, n), F.lit(0), lambda a, x: a + x) >= enough))
-    win = hit.select("doc_id", "item_id", "lo", "s", n.alias("n"), F.explode_outer(starts).alias("p")).where("p is not null")
-    win = win.select("doc_id", "item_id", (F.col("lo") + F.col("p")).alias("at"),
-                     F.slice("s", F.col("p") + 1, F.col("n")).alias("ws"))
+
+    def windows(s: Column) -> Column:
+        shared = F.transform(s, lambda x: F.array_contains("own", x).cast("int"))
+        starts = let(shared, lambda f: F.filter(F.sequence(F.lit(0), F.size(f) - n), lambda p: F.aggregate(
+            F.slice(f, p + 1, n), F.lit(0), lambda a, x: a + x) >= enough))
+        return F.transform(starts, lambda p: F.slice(s, p + 1, n))
+
+    shingled = let(F.col("w"), lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda p: _shingle(w, p, k)))
+    win = hit.select("doc_id", "item_id", F.explode_outer(let(shingled, windows)).alias("ws")).where("ws is not null")
     # 3. SimHash, blocks, all within the radius
     win = win.withColumn("wfp", _simhash(F.transform("ws", lambda x: F.xxhash64(x))))
-    win = win.select("doc_id", "item_id", "ws", "wfp", F.posexplode(_blocks(F.col("wfp"), radius)).alias("b", "v"))
-    side = items.select("item_id", "fp", "shingles", F.posexplode(_blocks(F.col("fp"), radius)).alias("b", "v"))
-    near = win.join(small(side), ["item_id", "b", "v"])
+    win = win.select("doc_id", "item_id", "ws", "wfp", F.posexplode_outer(_blocks(F.col("wfp"), radius)).alias("b", "v"))
+    side = items.select("item_id", "fp", "shingles", F.posexplode_outer(_blocks(F.col("fp"), radius)).alias("b", "v"))
+    near = win.join(_checked(side), ["item_id", "b", "v"])
     x = F.col("wfp").bitwiseXOR(F.col("fp"))
     first = F.array_position(F.transform(_blocks(x, radius), lambda v: v == 0), True) - 1
-    near = near.where((F.bit_count(x) <= radius) & (first == F.col("b")))
-    # 4. exact similarity
-    near = near.select("doc_id", "item_id", _weighted(F.col("ws"), F.col("shingles")).alias("similarity"))
+    # 4. exact similarity; under the condition, as filters above may move into the join
+    sure = (F.bit_count(x) <= radius) & (first == F.col("b"))
+    near = near.select("doc_id", "item_id", F.when(
+        sure, _weighted(F.col("ws"), F.col("shingles"))).alias("similarity"))
     return near.where(F.col("similarity") >= threshold - 1e-12)
 
 
