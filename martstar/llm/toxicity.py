@@ -10,9 +10,8 @@ The language of a text is guessed from its words (a table learned from the same
 rows), so a score depends on the text alone. Scores are stretched so that a
 language's threshold falls on 0.5.
 
-The fit reads a bounded sample of labelled rows: at most ``FIT_ROWS`` of each
-class, of documents with at most ``FIT_WORDS`` words, chosen by a hash of the
-id. Scoring reads every whole text, in blocks of words.
+The fit reads a bounded sample of labelled rows: at most ``FIT_ROWS``, chosen
+by a hash of the id, of documents with at most ``FIT_WORDS`` words. Scoring reads every whole text, in blocks of words.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ from martstar.llm.common import fold, text_of
 BUCKETS = 1 << 15
 DIM = 8
 FILTERS = {1: 8, 2: 6, 3: 6}
-FIT_ROWS = 3000
+FIT_ROWS = 12_000
 FIT_WORDS = 4096
 EPOCHS = 6
 BATCH = 64
@@ -156,15 +155,17 @@ class Model:
         self.cut = np.full(len(self.langs), 0.5)
 
     def _odds(self, ids, toxic) -> None:
-        """Column 0: by how much a bucket's share of toxic documents stands out."""
+        """Column 0: the signed root of the likelihood ratio of a bucket's share of toxic documents."""
         n = np.zeros((BUCKETS, 2))
         for x, t in zip(ids, toxic):
             n[np.unique(x), int(t)] += 1
-        rate = n / np.maximum([(toxic == 0).sum(), (toxic == 1).sum()], 1)
-        spread = np.sqrt((n[:, 1] + 1) / max(1, (toxic == 1).sum()) ** 2 + (n[:, 0] + 1) / max(1, (toxic == 0).sum()) ** 2)
-        z = (rate[:, 1] - rate[:, 0]) / spread
-        # with this many buckets chance alone passes four deviations
-        self.emb[:, 0] = np.where((np.abs(z) > 4.5) & (n.sum(1) >= 8), np.clip(z / 4, -3, 3), 0)
+        share = np.bincount(toxic, minlength=2) / len(toxic)
+        want = n.sum(1, keepdims=True) * share
+        with np.errstate(divide="ignore", invalid="ignore"):
+            g = 2 * np.where(n > 0, n * np.log(n / want), 0).sum(1)
+        root = np.sign(n[:, 1] - want[:, 1]) * np.sqrt(np.maximum(g, 0))
+        # with this many buckets chance alone passes four
+        self.emb[:, 0] = np.where(np.abs(root) > 4.8, np.clip(root / 4, -3, 3), 0)
         self.emb[0] = 0
 
     def _step(self, ids, y, state, t, rate=0.01) -> None:
@@ -231,8 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
     known = (labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
              .where("label_id is not null and toxic in (0, 1)").where(fold("label_id", FOLDS) != HELD_OUT))
     order = F.xxhash64("label_id")
-    some = (known.where("toxic = 1").orderBy(order, "label_id").limit(fit_rows)
-            .unionByName(known.where("toxic = 0").orderBy(order, "label_id").limit(fit_rows)))
+    some = known.orderBy(order, "label_id").limit(fit_rows)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"),
                       F.col("lang").cast("string").alias("lang"))
 
@@ -243,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
             yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "lang": b["lang"],
                                 "ids": ids})[ok]
 
-    # at most 2 * fit_rows rows of at most FIT_WORDS numbers reach the driver
+    # at most fit_rows rows of at most FIT_WORDS numbers reach the driver
     rows = (src.join(F.broadcast(some), F.col("doc_id") == F.col("label_id"))
             .select("doc_id", "toxic", "lang", "text")
             .mapInPandas(run, "doc_id long, toxic int, lang string, ids array<int>").toPandas())
