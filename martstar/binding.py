@@ -1,9 +1,12 @@
 """Binding of the driver's TPC-H-like tables to the market warehouse.
 
 This is the only module that knows the driver's tables. One trade per line
-item: the part's brand is the stock symbol, the ship date the trading day and
-``retailprice * (1 - discount)`` the trade price. Daily bars are aggregated per
-(symbol, day); the exchange rate of a day is derived from that day's orders.
+item: a block of ``PARTS`` part keys is a stock, so stocks, bars and facts grow
+with the data; the ship date is the trading day and ``retailprice * (1 -
+discount)`` the trade price. Daily bars are aggregated per (symbol, day). The
+exchange rate of a day is derived from the orders placed ``RATE_LAG`` days
+before, so rates reach to the last trading day and the first days have none.
+All rows of the tables are read.
 
 Scale notes: ``lineitem`` is the only large input. The tick -> bar step is a
 ``groupBy`` with partial (map-side) aggregation, so a hot symbol or day is
@@ -28,8 +31,11 @@ from .functions.calendar import calendar_columns, date_id_of
 from .tables import Tables
 
 # Fixed values of the test binding (FIXTURES.md section 1).
-AS_OF = _dt.date(2001, 8, 1)
-TRACKED = ("Brand#4", "Brand#5", "Brand#11", "Brand#12", "Brand#17", "Brand#22", "Brand#25")
+AS_OF = _dt.date(2001, 11, 4)  # the last ship date
+PARTS = 8  # part keys of one stock
+RATE_LAG = 95  # days from the last order date to AS_OF
+INACTIVE = (50, 13)  # stocks whose id leaves 13 modulo 50 are delisted
+TRACKED = ("Stock#4", "Stock#5", "Stock#11", "Stock#12", "Stock#17", "Stock#22", "Stock#25")
 CURRENCIES = [(1, "USD", "US Dollar", True, True), (2, "GBP", "British Pound", False, True)]
 # base of the synthetic created_at / updated_at stamps of the backfill tables
 STAMP_BASE = _dt.datetime(2001, 1, 1)
@@ -39,20 +45,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ticks(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> DataFrame:
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trade per line item: symbol, d, price, qty and the ordering key."""
-    cutoff = _dt.datetime.combine(as_of + _dt.timedelta(days=1), _dt.time())
-    li = (_read(spark, sf_dir, "lineitem")
-          .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount",
-                  "l_shipdate")
-          # range form of CAST(l_shipdate AS DATE) <= as_of, so it reaches the scan
-          .where(F.col("l_shipdate") < F.lit(cutoff).cast("timestamp_ntz")))
-    part = _read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
+    li = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate")
+    part = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     disc = F.col("l_discount").cast("decimal(5,2)")
     price = (F.col("p_retailprice").cast("decimal(10,2)")
              * (F.lit(1).cast("decimal(5,2)") - disc)).cast(S.PRICE)
     return (li.join(part, li.l_partkey == part.p_partkey)
-            .select(F.col("p_brand").alias("symbol"),
+            .select(symbol_of(F.col("p_partkey")).alias("symbol"),
                     F.to_date("l_shipdate").alias("d"),
                     price.alias("price"),
                     F.col("l_quantity").cast("bigint").alias("qty"),
@@ -65,6 +67,10 @@ def ticks(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> DataFram
                     F.round(F.col("l_discount") * 100).cast("bigint").alias("disc")))
 
 
+def symbol_of(partkey) -> "F.Column":
+    return F.concat(F.lit("Stock#"), (F.floor(partkey / PARTS) + 1).cast("string"))
+
+
 def trade_seq() -> "F.Column":
     d38 = "decimal(38,0)"
     disc = F.round(F.col("l_discount") * 100).cast("bigint")
@@ -83,7 +89,7 @@ def stock_id_of(symbol) -> "F.Column":
     return F.substring(symbol, 7, 100).cast("int")
 
 
-def build(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF,
+def build(spark: SparkSession, sf_dir: str,
           checkpoint_bars: bool = False) -> Tables:
     """The whole warehouse as lazy DataFrames derived from ``sf_dir``.
 
@@ -92,36 +98,35 @@ def build(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF,
     them, so the trade scan and bar aggregation run once per build and a
     lost executor recomputes from the checkpoint, not from ``lineitem``.
     """
-    tk = ticks(spark, sf_dir, as_of)
+    tk = ticks(spark, sf_dir)
     br = bars(tk)
     if checkpoint_bars:
         from .session import checkpoint_dir
 
         checkpoint_dir(spark)
         br = br.checkpoint(eager=True)
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    part = _read(spark, sf_dir, "part").select("p_brand")
+    orders = _read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_add(F.to_date("o_orderdate"), RATE_LAG).alias("d"))
+    part = _read(spark, sf_dir, "part").select(symbol_of(F.col("p_partkey")).alias("symbol"))
 
-    dates = (br.select("d").union(orders.select(F.to_date("o_orderdate").alias("d")))
-             .distinct())
+    dates = br.select("d").union(orders.select("d")).distinct()
     dim_date = dates.select(*calendar_columns(F.col("d"), dow="sunday0"),
                             F.lit(None).cast("timestamp").alias("created_at"))
 
     dim_stocks = (part.distinct().select(
-        stock_id_of(F.col("p_brand")).alias("stock_id"),
-        F.col("p_brand").alias("symbol"),
-        F.concat(F.col("p_brand"), F.lit(" Inc.")).alias("company_name"),
+        stock_id_of(F.col("symbol")).alias("stock_id"), "symbol",
+        F.concat(F.col("symbol"), F.lit(" Inc.")).alias("company_name"),
         F.lit(None).cast("string").alias("sector"),
         F.lit(None).cast("string").alias("market_cap_category"),
-        F.lit(True).alias("is_active"),
+        (stock_id_of(F.col("symbol")) % INACTIVE[0] != INACTIVE[1]).alias("is_active"),
         F.lit(None).cast("timestamp").alias("created_at"),
         F.lit(None).cast("timestamp").alias("updated_at")))
 
     dim_currency = spark.createDataFrame(
         [(i, c, n, b, a, None) for i, c, n, b, a in CURRENCIES], S.DIM_CURRENCY)
 
-    rates = (orders.groupBy(F.to_date("o_orderdate").alias("d"))
-             .agg(F.sum("o_orderkey").alias("s"))
+    rates = (orders.groupBy("d")
+             .agg(F.sum(F.col("o_orderkey") % 2000).alias("s"))  # residues: the sum stays far from 2**63
              .select(F.lit(1).alias("from_currency_id"), F.lit(2).alias("to_currency_id"),
                      date_id_of(F.col("d")).alias("date_id"),
                      ((F.lit(7000) + F.col("s") % 2000).cast("decimal(10,0)") / 10000)
@@ -173,7 +178,7 @@ def backfill_exchange_rates(orders: DataFrame) -> DataFrame:
     stamp = _stamp(F.col("o_orderkey") * 1_000_000)
     return orders.select(
         F.lit("USD").alias("from_currency"), F.lit("GBP").alias("to_currency"),
-        F.to_date("o_orderdate").alias("date"),
+        F.col("d").alias("date"),
         ((F.lit(7000) + F.col("o_orderkey") % 2000).cast("decimal(10,0)") / 10000)
         .cast(S.RATE).alias("rate"),
         stamp.alias("created_at"), stamp.alias("updated_at"))
@@ -184,15 +189,15 @@ def backfill_exchange_rates(orders: DataFrame) -> DataFrame:
 # ``, more AS (...) SELECT ...`` or ``SELECT ...`` to it.
 BINDING_SQL = """
 WITH ticks AS (
-  SELECT p.p_brand AS symbol, CAST(l.l_shipdate AS DATE) AS d,
+  SELECT concat('Stock#', p.p_partkey // 8 + 1) AS symbol, CAST(l.l_shipdate AS DATE) AS d,
     CAST(CAST(p.p_retailprice AS DECIMAL(10,2))
          * (CAST(1 AS DECIMAL(5,2)) - CAST(l.l_discount AS DECIMAL(5,2))) AS DECIMAL(10,4)) AS price,
     CAST(l.l_quantity AS BIGINT) AS qty,
-    ((l.l_orderkey*10 + l.l_linenumber)*1000000 + l.l_partkey)*100
+    ((CAST(l.l_orderkey AS HUGEINT)*10 + l.l_linenumber)*1000000000000 + l.l_partkey)*100
       + CAST(round(l.l_discount*100) AS BIGINT) AS seq,
     l.l_orderkey, l.l_linenumber, l.l_partkey, CAST(round(l.l_discount*100) AS BIGINT) AS disc
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE CAST(l.l_shipdate AS DATE) <= DATE '2001-08-01'),
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+rate_orders AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) + 95 AS d FROM orders),
 bars AS (SELECT symbol, d, min_by(price, seq) AS o, max(price) AS h, min(price) AS lo,
                 max_by(price, seq) AS c, CAST(sum(qty) AS BIGINT) AS v
          FROM ticks GROUP BY symbol, d),
@@ -204,16 +209,17 @@ dim_date AS (SELECT DISTINCT dd AS date_value,
                     CAST(dayofyear(dd) AS INT) AS day_of_year,
                     CAST(weekofyear(dd) AS INT) AS week_of_year,
                     dayofweek(dd) IN (0, 6) AS is_weekend, FALSE AS is_holiday
-             FROM (SELECT d AS dd FROM bars UNION SELECT CAST(o_orderdate AS DATE) FROM orders) u),
-dim_stocks AS (SELECT DISTINCT CAST(substr(p_brand,7) AS INT) AS stock_id, p_brand AS symbol,
-                      concat(p_brand,' Inc.') AS company_name, TRUE AS is_active FROM part),
+             FROM (SELECT d AS dd FROM bars UNION SELECT d FROM rate_orders) u),
+dim_stocks AS (SELECT stock_id, concat('Stock#', stock_id) AS symbol,
+                      concat('Stock#', stock_id, ' Inc.') AS company_name, stock_id % 50 <> 13 AS is_active
+               FROM (SELECT DISTINCT CAST(p_partkey // 8 + 1 AS INT) AS stock_id FROM part) s),
 dim_currency AS (SELECT * FROM (VALUES (1,'USD','US Dollar',TRUE,TRUE),(2,'GBP','British Pound',FALSE,TRUE))
                  t(currency_id, currency_code, currency_name, is_base_currency, is_active)),
 fact_currency_rates AS (
   SELECT 1 AS from_currency_id, 2 AS to_currency_id,
          CAST(year(d)*10000+month(d)*100+day(d) AS INT) AS date_id,
-         CAST(CAST(7000 + sum(o_orderkey) % 2000 AS DECIMAL(10,0))/10000 AS DECIMAL(10,6)) AS exchange_rate
-  FROM (SELECT CAST(o_orderdate AS DATE) AS d, o_orderkey FROM orders) o GROUP BY d),
+         CAST(CAST(7000 + sum(o_orderkey % 2000) % 2000 AS DECIMAL(10,0))/10000 AS DECIMAL(10,6)) AS exchange_rate
+  FROM rate_orders GROUP BY d),
 ret AS (SELECT symbol, d, o, h, lo, c, v, lag(c) OVER (PARTITION BY symbol ORDER BY d) AS pc FROM bars),
 fact_stock_prices AS (
   SELECT CAST(substr(symbol,7) AS INT) AS stock_id, CAST(year(d)*10000+month(d)*100+day(d) AS INT) AS date_id,
@@ -228,11 +234,11 @@ stock_prices AS (
          make_timestamp(CAST(978307200000000 + l_orderkey*1000000 + l_linenumber AS BIGINT)) AS updated_at
   FROM ticks),
 exchange_rates AS (
-  SELECT 'USD' AS from_currency, 'GBP' AS to_currency, CAST(o_orderdate AS DATE) AS date,
+  SELECT 'USD' AS from_currency, 'GBP' AS to_currency, d AS date,
          CAST(CAST(7000 + o_orderkey % 2000 AS DECIMAL(10,0))/10000 AS DECIMAL(10,6)) AS rate,
          make_timestamp(CAST(978307200000000 + o_orderkey*1000000 AS BIGINT)) AS created_at,
          make_timestamp(CAST(978307200000000 + o_orderkey*1000000 AS BIGINT)) AS updated_at
-  FROM orders)
+  FROM rate_orders)
 """
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+SEP = "\x1f"  # never part of a message
+
+
 def rule(is_error: Column, message) -> Column:
     msg = message if isinstance(message, Column) else F.lit(message)
     return F.when(F.coalesce(is_error, F.lit(False)), msg)
@@ -19,4 +22,7 @@ def rule(is_error: Column, message) -> Column:
 def errors_array(*rules: Column) -> Column:
     if not rules:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*rules))
+    # concat_ws skips nulls inside generated code; an array filter would be
+    # interpreted for every row
+    joined = F.concat_ws(SEP, *rules)
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, SEP))

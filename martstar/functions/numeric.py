@@ -14,10 +14,10 @@ def lenient_double(c: Column) -> Column:
 def scaled(c: Column, scale: int) -> Column:
     """``c * 10^scale`` as an exact integer (``c`` has ``scale`` places).
 
-    A bigint keeps the per-row sums on the fast (codegen, non-BigDecimal)
-    path; ANSI mode turns an overflow into an error, never a wrong value.
+    As ``decimal(28,0)``, whose sums are ``decimal(38,0)``: room for 10^10
+    rows of the widest value.
     """
-    return (c * F.lit(10 ** scale)).cast("bigint")
+    return (c.cast("decimal(28,10)") * F.lit(10 ** scale)).cast("decimal(28,0)")
 
 
 def _floor_div(a: Column, b: Column) -> Column:
@@ -37,19 +37,12 @@ def rounded_mean(total: Column, n: Column, scale_in: int, digits: int) -> Column
     rounding; a double average can land on the wrong side of a tie.
     Works as an aggregate or over a window. Returns a double.
 
-    The quotient is taken in 64-bit integers while the numerator stays below
-    2^53 (a double division of an exact multiple is then exact); larger sums
-    fall back to 38-digit decimals, so the result never depends on size.
+    The integers are 38-digit decimals at every size.
     """
     up, down = max(digits - scale_in, 0), max(scale_in - digits, 0)
-    b = n.cast("bigint") * F.lit(10 ** down)
-    num = F.try_add(F.try_multiply(F.abs(total.cast("bigint")), F.lit(2 * 10 ** up)), b)
-    den = b * 2
-    fast = F.when(num < F.lit(2 ** 53), ((num - F.pmod(num, den)) / den).cast("bigint"))
-    big_a = F.abs(total.cast("decimal(38,0)")) * F.lit(10 ** up)
-    big_b = n.cast("decimal(38,0)") * F.lit(10 ** down)
-    slow = _floor_div(big_a * 2 + big_b, big_b * 2)
-    q = F.coalesce(fast.cast("decimal(38,0)"), slow)
+    a = F.abs(total.cast("decimal(38,0)")) * F.lit(10 ** up)
+    b = n.cast("decimal(38,0)") * F.lit(10 ** down)
+    q = _floor_div((a * 2 + b).cast("decimal(38,0)"), (b * 2).cast("decimal(38,0)"))
     sign = F.when(total < 0, F.lit(-1)).otherwise(F.lit(1))
     return F.when(n > 0, (q * sign).cast("double") / F.lit(float(10 ** digits)))
 

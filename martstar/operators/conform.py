@@ -103,6 +103,12 @@ def fx_rate_column(raw: DataFrame) -> Optional[str]:
     return None
 
 
+def _codes(df: DataFrame, names: tuple[str, str], pair: tuple[str, str]) -> list[Column]:
+    """The frame's own currency codes; the pair where it has none."""
+    return [(F.coalesce(F.col(n), F.lit(code)) if n in df.columns else F.lit(code)).alias(out)
+            for n, code, out in zip(names, pair, ("from_currency", "to_currency"))]
+
+
 def conform_fx(raw: DataFrame, as_of: _dt.date, as_of_ts: _dt.datetime,
                pair: tuple[str, str] = ("USD", "GBP"), source: str = SOURCE) -> DataFrame:
     """FX frame -> landing rate records; a frame without a rate column yields no rows."""
@@ -116,7 +122,7 @@ def conform_fx(raw: DataFrame, as_of: _dt.date, as_of_ts: _dt.datetime,
     d = (F.coalesce(*[_c(c).cast("date") for c in date_cols]) if date_cols else F.lit(None).cast("date"))
     rate = lenient_float(raw, rc)
     return raw.select(
-        F.lit(pair[0]).alias("from_currency"), F.lit(pair[1]).alias("to_currency"),
+        *_codes(raw, ("FromCurrency", "ToCurrency"), pair),
         F.coalesce(d, F.lit(as_of)).alias("data_date"),
         F.coalesce(rate, F.lit(0.0)).alias("exchange_rate"),
         F.lit(source).alias("source"), F.lit(as_of_ts).cast("timestamp").alias("created_at"))
@@ -129,7 +135,7 @@ def conform_quote(quotes: DataFrame, as_of: _dt.date, as_of_ts: _dt.datetime,
     first = F.split(F.trim(F.col("last_refreshed")), r"\s+").getItem(0)
     d = F.try_to_date(first, "yyyy-MM-dd")
     return quotes.where(F.col("exchange_rate") > 0).select(
-        F.lit(pair[0]).alias("from_currency"), F.lit(pair[1]).alias("to_currency"),
+        *_codes(quotes, ("from_currency", "to_currency"), pair),
         F.coalesce(d, F.lit(as_of)).alias("data_date"), F.col("exchange_rate"),
         F.lit(source).alias("source"), F.lit(as_of_ts).cast("timestamp").alias("created_at"))
 
@@ -151,9 +157,12 @@ def prepare_stocks(frames: DataFrame, tracked: Sequence[str], n: int, as_of: _dt
 
 
 def prepare_fx(series_records: DataFrame, quote_records: DataFrame, min_rows: int = 2) -> DataFrame:
-    """Series records, plus quote records when the series has fewer than
-    ``min_rows`` rows and the quote's date is not already there."""
+    """Series records, plus the latest quote when the series has fewer than
+    ``min_rows`` rows and the quote's date is not already there. Of several
+    quotes the latest counts."""
     stats = series_records.agg(F.count(F.lit(1)).alias("_n"))
-    extra = (quote_records.join(F.broadcast(stats), how="cross").where(F.col("_n") < min_rows).drop("_n")
+    latest = quote_records.orderBy(F.col("data_date").desc(), F.col("created_at").desc_nulls_last(),
+                                   "exchange_rate").limit(1)
+    extra = (latest.join(F.broadcast(stats), how="cross").where(F.col("_n") < min_rows).drop("_n")
              .join(series_records.select("data_date").distinct(), "data_date", "left_anti"))
     return series_records.unionByName(extra.select(*series_records.columns))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
 from ..tables import Tables
+from .merge import insert_absent
 
 # Fixed values that must equal the reference's seed rows.
 SEED_STOCKS = [
@@ -28,12 +29,6 @@ SEED_STOCKS = [
 SEED_CURRENCIES = [("USD", "US Dollar", True), ("GBP", "British Pound", False)]
 
 
-def insert_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``INSERT ... ON CONFLICT DO NOTHING``: rows whose key is new, appended."""
-    new = rows.join(target.select(*keys).distinct(), list(keys), "left_anti")
-    return target.unionByName(new.select(*target.columns))
-
-
 def _with_new_ids(target: DataFrame, new: DataFrame, id_col: str, order_col: str) -> DataFrame:
     """Sequence-like ids for new rows: max existing id + rank by ``order_col``.
 

@@ -64,7 +64,10 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 
 def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert only rows whose key is absent (``ON CONFLICT DO NOTHING``)."""
-    new = batch.join(target.select(*keys), list(keys), "left_anti")
+    # the batch's keys choose the target rows to compare with, so a small batch
+    # never moves the whole target
+    held = target.select(*keys).join(batch.select(*keys).distinct(), list(keys), "left_semi")
+    new = batch.join(held, list(keys), "left_anti")
     return target.unionByName(new.select(*target.columns))
 
 
@@ -73,25 +76,29 @@ def conform_price_batch(t: Tables, records: DataFrame, as_of_ts: _dt.datetime,
     """Landing stock records -> fact rows (stock id looked up, date id derived).
 
     The latest record of a key wins (``order`` defaults to file name and
-    position, newest first). Unknown symbols go to the rejects instead of
-    vanishing.
+    position, newest first). Unknown symbols, and values that the table cannot
+    hold (a bad date, NaN, a price out of range), go to the rejects instead of
+    vanishing or ending the load.
     """
     order = order or [F.col("_file").desc_nulls_last(), F.col("_pos").desc_nulls_last()]
     rec = records
     for c in ("_file", "_pos"):
         if c not in rec.columns:
             rec = rec.withColumn(c, F.lit(None).cast("string" if c == "_file" else "long"))
+    d = F.col("data_date").try_cast("date")
+    prices = {"opening_price": "open_price", "high_price": "high_price", "low_price": "low_price",
+              "closing_price": "close_price"}
+    volume = F.coalesce(F.col("volume").try_cast("bigint"), F.col("volume").try_cast("double").try_cast("bigint"))
+    bad = d.isNull() | volume.isNull()
+    for c in prices.values():
+        bad = bad | F.col(c).try_cast(S.PRICE).isNull()
+    unfit, rec = rec.where(bad), rec.where(~bad)
     stocks = t.dim_stocks.select("stock_id", "symbol")
-    rejects = rec.join(stocks, "symbol", "left_anti")
-    d = F.col("data_date").cast("date")
+    rejects = unfit.unionByName(rec.join(stocks, "symbol", "left_anti").select(*unfit.columns))
     rows = rec.join(stocks, "symbol").select(
         "stock_id", date_id_of(d).alias("date_id"), d.alias("date_value"),
-        F.col("open_price").cast(S.PRICE).alias("opening_price"),
-        F.col("high_price").cast(S.PRICE).alias("high_price"),
-        F.col("low_price").cast(S.PRICE).alias("low_price"),
-        F.col("close_price").cast(S.PRICE).alias("closing_price"),
-        F.col("volume").cast("bigint").alias("volume"),
-        F.col("close_price").cast(S.PRICE).alias("adjusted_close"),
+        *[F.col(c).try_cast(S.PRICE).alias(name) for name, c in prices.items()],
+        volume.alias("volume"), F.col("close_price").try_cast(S.PRICE).alias("adjusted_close"),
         F.lit(None).cast(S.RETURN_PCT).alias("daily_return"),
         F.lit(as_of_ts).cast("timestamp").alias("created_at"),
         F.lit(as_of_ts).cast("timestamp").alias("updated_at"), "_file", "_pos")
@@ -118,16 +125,19 @@ def conform_rate_batch(t: Tables, records: DataFrame, as_of_ts: _dt.datetime,
     for c in ("_file", "_pos"):
         if c not in rec.columns:
             rec = rec.withColumn(c, F.lit(None).cast("string" if c == "_file" else "long"))
+    d = F.col("data_date").try_cast("date")
+    bad = d.isNull() | F.col("exchange_rate").try_cast(S.RATE).isNull()
+    unfit, rec = rec.where(bad), rec.where(~bad)
     cur = t.dim_currency.select("currency_id", "currency_code")
     fc = cur.select(F.col("currency_id").alias("from_currency_id"), F.col("currency_code").alias("from_currency"))
     tc = cur.select(F.col("currency_id").alias("to_currency_id"), F.col("currency_code").alias("to_currency"))
     known = rec.join(F.broadcast(fc), "from_currency").join(F.broadcast(tc), "to_currency")
     rejects = rec.join(known.select("from_currency", "to_currency").distinct(),
                        ["from_currency", "to_currency"], "left_anti")
-    d = F.col("data_date").cast("date")
+    rejects = unfit.unionByName(rejects.select(*unfit.columns))
     rows = known.select(
         "from_currency_id", "to_currency_id", date_id_of(d).alias("date_id"), d.alias("date_value"),
-        F.col("exchange_rate").cast(S.RATE).alias("exchange_rate"),
+        F.col("exchange_rate").try_cast(S.RATE).alias("exchange_rate"),
         F.lit(as_of_ts).cast("timestamp").alias("created_at"),
         F.lit(as_of_ts).cast("timestamp").alias("updated_at"), "_file", "_pos")
     rows = latest_per_key(rows, ["from_currency_id", "to_currency_id", "date_id"], order)
@@ -226,6 +236,10 @@ def _marker(spark: SparkSession, path: str) -> None:
     spark.range(1).write.mode("overwrite").parquet(path)
 
 
+def _counts_of(stage: str) -> str:
+    return f"{stage.rstrip('/')}-counts"
+
+
 def stage_merge(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], stage: str,
                 set_cols: Optional[Sequence[str]] = None, partition_col: str = "year",
                 partition_of: Optional[Column] = None) -> None:
@@ -241,9 +255,11 @@ def stage_merge(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence
     touched = b.select(partition_col).distinct()
     target = current.join(F.broadcast(touched), partition_col, "left_semi")
     state, counts = merge(target, b.select(*current.columns), keys, set_cols)
-    # counts first: they must describe the table before it changes
-    counts.write.mode("overwrite").parquet(f"{stage}/_counts")
-    state.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+    # counts first, beside the stage: they must describe the table before it
+    # changes, and rewriting the stage must not remove them
+    counts.write.mode("overwrite").parquet(_counts_of(stage))
+    (state.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(partition_col).parquet(stage))
     _marker(spark, f"{stage}/_READY")
 
 
@@ -280,4 +296,4 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         stage_merge(spark, path, batch, keys, stage, set_cols, partition_col, partition_of)
     if not path_exists(spark, f"{stage}/_DONE"):
         publish_stage(spark, path, stage, partition_col)
-    return spark.read.parquet(f"{stage}/_counts")
\ No newline at end of file
+    return spark.read.parquet(_counts_of(stage))

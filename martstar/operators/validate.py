@@ -41,19 +41,28 @@ def _int_digits(c: Column) -> Column:
     return F.length(F.floor(F.abs(c)).cast("decimal(38,0)").cast("string"))
 
 
+def _too_many_digits(c: Column, places: int, digits: int) -> Column:
+    """More than ``digits`` digits in all; only odd values are written out."""
+    odd = (c != F.round(c, places)) | (F.abs(c) >= 10 ** (digits - places))
+    return F.when(odd, _places(c) + _int_digits(c) > digits).otherwise(F.lit(False))
+
+
 def split_valid(df: DataFrame, errors_col: str = "errors") -> tuple[DataFrame, DataFrame]:
     ok = F.size(F.col(errors_col)) == 0
     return df.where(ok), df.where(~ok)
 
 
-def price_rules(name: str, c: Column, places: int = 2, digits: int = 10) -> list[Column]:
+def price_rules(name: str, raw: Column, places: int = 2, digits: int = 10) -> list[Column]:
+    """Bounds on the double, so any value can be tested; digits on the decimal
+    where it has one. Text that is no number counts as missing."""
+    x, c = raw.try_cast("double"), raw.try_cast("decimal(20,6)")
     return [
-        rule(c.isNull(), f"{name} is required"),
-        rule(c <= 0, f"{name} must be greater than 0"),
-        rule((c > 0) & (c < 0.01), "Price must be at least $0.01"),
-        rule(c > 100000, "Price cannot exceed $100,000"),
-        rule(_places(c) > places, f"{name} must have at most {places} decimal places"),
-        rule(_places(c) + _int_digits(c) > digits, f"{name} must have at most {digits} digits"),
+        rule(x.isNull(), f"{name} is required"),
+        rule(x <= 0, f"{name} must be greater than 0"),
+        rule((x > 0) & (x < 0.01), "Price must be at least $0.01"),
+        rule(x > 100000, "Price cannot exceed $100,000"),
+        rule(c != F.round(c, places), f"{name} must have at most {places} decimal places"),
+        rule(_too_many_digits(c, places, digits), f"{name} must have at most {digits} digits"),
     ]
 
 
@@ -62,7 +71,7 @@ def validate_bars(df: DataFrame, as_of_ts: _dt.datetime, symbol: str = "symbol",
                   low: str = "low", close: str = "close", volume: str = "volume") -> DataFrame:
     """Field, range and OHLC-relationship rules of one bar per row."""
     s = F.col(symbol)
-    o, h, lo, c = (F.col(x).cast("decimal(20,6)") for x in (open_, high, low, close))
+    o, h, lo, c = (F.col(x).try_cast("decimal(20,6)") for x in (open_, high, low, close))
     v = F.col(volume)
     t = F.col(ts).cast("timestamp")
     norm = F.upper(F.trim(s))
@@ -74,8 +83,8 @@ def validate_bars(df: DataFrame, as_of_ts: _dt.datetime, symbol: str = "symbol",
         rule(t.isNull(), "timestamp is required"),
         rule(F.year(t) < 1980, "Timestamp cannot be before 1980"),
         rule(t > F.lit(as_of_ts).cast("timestamp"), "Timestamp cannot be in the future"),
-        *price_rules("open", o), *price_rules("high", h), *price_rules("low", lo),
-        *price_rules("close", c),
+        *price_rules("open", F.col(open_)), *price_rules("high", F.col(high)),
+        *price_rules("low", F.col(low)), *price_rules("close", F.col(close)),
         rule(v.isNull(), "volume is required"),
         rule(v < 0, "volume must be greater than or equal to 0"),
         rule(v > 10_000_000_000, "volume must be less than or equal to 10000000000"),
@@ -137,27 +146,28 @@ def validate_rates(df: DataFrame, as_of_ts: _dt.datetime, from_: str = "from_cur
     f, t_ = F.col(from_), F.col(to)
     t = F.col(ts).cast("timestamp")
 
-    def bounds(name: str, c: Column, required: bool) -> list[Column]:
-        c = c.cast("decimal(20,8)")
-        out = [rule(c.isNull(), f"{name} is required")] if required else []
+    def bounds(name: str, raw: Column, required: bool) -> list[Column]:
+        x, c = raw.try_cast("double"), raw.try_cast("decimal(20,8)")
+        out = [rule(x.isNull(), f"{name} is required")] if required else []
         return out + [
-            rule(c <= 0, f"{name} must be greater than 0"),
-            rule((c > 0) & (c < 0.000001), "Exchange rate too small (minimum 0.000001)"),
-            rule(c > 1000000, "Exchange rate too large (maximum 1,000,000)"),
-            rule(_places(c) > 6, f"{name} must have at most 6 decimal places"),
-            rule(_places(c) + _int_digits(c) > 12, f"{name} must have at most 12 digits"),
+            rule(x <= 0, f"{name} must be greater than 0"),
+            rule((x > 0) & (x < 0.000001), "Exchange rate too small (minimum 0.000001)"),
+            rule(x > 1000000, "Exchange rate too large (maximum 1,000,000)"),
+            rule(c != F.round(c, 6), f"{name} must have at most 6 decimal places"),
+            rule(_too_many_digits(c, 6, 12), f"{name} must have at most 12 digits"),
         ]
 
-    b = F.col(bid).cast("decimal(20,8)") if bid in df.columns else F.lit(None).cast("decimal(20,8)")
-    a = F.col(ask).cast("decimal(20,8)") if ask in df.columns else F.lit(None).cast("decimal(20,8)")
-    r = F.col(rate).cast("decimal(20,8)")
+    none = F.lit(None).cast("decimal(20,8)")
+    raw_b = F.col(bid) if bid in df.columns else none
+    raw_a = F.col(ask) if ask in df.columns else none
+    b, a, r = (x.try_cast("decimal(20,8)") for x in (raw_b, raw_a, F.col(rate)))
     rules = [
         rule(f.isNull() | ~f.rlike("^[A-Z]{3}$"), "from_currency must be 3 upper-case letters"),
         rule(t_.isNull() | ~t_.rlike("^[A-Z]{3}$"), "to_currency must be 3 upper-case letters"),
         rule(t.isNull(), "timestamp is required"),
         rule(F.year(t) < 1990, "Currency rate timestamp cannot be before 1990"),
         rule(t > F.lit(as_of_ts).cast("timestamp"), "Currency rate timestamp cannot be in the future"),
-        *bounds("rate", r, True), *bounds("bid_rate", b, False), *bounds("ask_rate", a, False),
+        *bounds("rate", F.col(rate), True), *bounds("bid_rate", raw_b, False), *bounds("ask_rate", raw_a, False),
         rule(f == t_, "Cannot convert currency to itself"),
         rule(b.isNotNull() & a.isNotNull() & (b >= a), "Bid rate must be less than ask rate"),
         rule(b.isNotNull() & a.isNotNull() & (b < a) & ((r < b) | (r > a)),

@@ -1,35 +1,117 @@
 """Job-level compositions: load the landing directory, initial setup, daily
-update and the full run. Each step is a DataFrame plan; only the final
-summary (one row) is brought to the driver."""
+update, the full run, and the table jobs (returns, de-duplication, calendar
+retention, archive, run log).
+
+The functions that take ``Tables`` are plans and write nothing. ``commit`` runs
+one of them on a versioned warehouse (``tables.publish``) and writes the new
+state; only its summary (one row) is brought to the driver.
+"""
 
 from __future__ import annotations
 
 import datetime as _dt
-from typing import Optional, Sequence
+from typing import Callable, Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.checks import errors_array, rule
 from ..operators import conform as CF
 from ..operators import dims as DM
 from ..operators import merge as MG
 from ..operators import returns as RT
+from ..operators import status as ST
 from ..sources import landing as L
 from ..sources import payloads as PL
-from ..tables import Tables
+from ..tables import Tables, current_version, open_current, publish
+
+
+def commit(spark: SparkSession, root: str, job: Callable[[Tables], tuple]) -> tuple[int, DataFrame]:
+    """Run ``job(current tables) -> (new tables, summary, ...)`` and publish its state.
+
+    Returns the version written and the summary. The plan reads the old
+    version, which stays, so a failed run changes nothing and can be repeated.
+    Rejects, where the job has any, are kept under ``root/rejects/v=<version>``.
+    """
+    n = current_version(spark, root)
+    new, summary, *rest = job(open_current(spark, root))
+    n = publish(spark, root, new, after=n)
+    if rest and rest[0] is not None:
+        rest[0].write.mode("overwrite").json(f"{root.rstrip('/')}/rejects/v={n}")
+    return n, summary
+
+
+def _counted(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def dedupe_job(start: _dt.date, end: _dt.date, ts: _dt.datetime) -> Callable[[Tables], tuple]:
+    """B5 on both record tables, with a log row that counts what went."""
+    def job(t: Tables):
+        order = [F.col("updated_at").desc(), F.col("created_at").desc()]
+        spark = t.stock_prices.sparkSession
+        sp = MG.dedupe(t.stock_prices, ["symbol", "date"], order, start, end)
+        er = MG.dedupe(t.exchange_rates, ["from_currency", "to_currency", "date"], order, start, end)
+        gone = (_counted(t.stock_prices.unionByName(t.exchange_rates, allowMissingColumns=True), "a")
+                .join(_counted(sp.unionByName(er, allowMissingColumns=True), "b"), how="cross")
+                .select((F.col("a") - F.col("b")).alias("records_removed")))
+        log = MG.dedupe_log(spark, ts, start, end, gone)
+        return t.with_(stock_prices=sp, exchange_rates=er, etl_logs=appended(t.etl_logs, log)), gone
+    return job
+
+
+def appended(table: Optional[DataFrame], rows: DataFrame) -> DataFrame:
+    """A plain append."""
+    return rows if table is None else table.unionByName(rows.select(*table.columns))
+
+
+def keyed_append(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Append rows whose key is absent."""
+    return MG.insert_absent(table, rows, keys)
+
+
+def returns_job(mode: str, as_of_ts: _dt.datetime) -> Callable[[Tables], tuple]:
+    """Fill the daily returns of the price fact."""
+    def job(t: Tables):
+        new = t.with_(prices=RT.daily_returns(t, mode, as_of_ts))
+        return new, _counted(new.prices.where("daily_return is not null"), "with_return")
+    return job
+
+
+def retention_job(as_of: _dt.date, years: int = 5, dow: str = "iso") -> Callable[[Tables], tuple]:
+    """The calendar without old unused days."""
+    def job(t: Tables):
+        new = t.with_(dim_date=DM.calendar_retention(t.dim_date.sparkSession, t, as_of, years, dow))
+        return new, _counted(new.dim_date, "days")
+    return job
+
+
+def archive_job(archive_root: str, as_of: _dt.date, years: int = 2) -> Callable[[Tables], tuple]:
+    """Old prices move to ``archive_root``; the state keeps the rest.
+
+    The archive is written first and under the day of the run, so a repeated
+    run rewrites the same folder and no row is lost between the two targets.
+    """
+    def job(t: Tables):
+        stay, old = ST.archive_split(t, as_of, years)
+        cols = t.prices.columns
+        (old.select(*cols).withColumn("year", (F.col("date_id") / 10000).cast("int"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year")
+         .parquet(f"{archive_root.rstrip('/')}/as_of={as_of.isoformat()}"))
+        return t.with_(prices=stay.select(*cols)), _counted(old, "archived")
+    return job
 
 
 def load_landing(spark: SparkSession, landing_dir: str, t: Tables, as_of_ts: _dt.datetime,
-                 dow: str = "iso", multiline: bool = True):
+                 dow: str = "iso"):
     """Landing files -> validated records -> dates -> upserted facts.
 
     Returns (new Tables, summary DataFrame, rejects DataFrame). The summary
     row has stock/exchange records read, rejected, inserted and updated.
     """
     base = landing_dir.rstrip("/")
-    stocks, s_rej = L.split_valid(L.read_landing(spark, f"{base}/stocks", "stocks", multiline), "stocks")
-    rates, r_rej = L.split_valid(L.read_landing(spark, f"{base}/exchange", "exchange", multiline), "exchange")
-    stocks = stocks.withColumn("volume", F.trim("volume").try_cast("double").cast("bigint"))
+    stocks, s_rej = L.split_valid(L.read_landing(spark, f"{base}/stocks", "stocks"), "stocks")
+    rates, r_rej = L.split_valid(L.read_landing(spark, f"{base}/exchange", "exchange"), "exchange")
     prices, p_counts, p_unknown, p_dates = MG.upsert_prices(t, stocks, as_of_ts)
     fx, r_counts, r_unknown, r_dates = MG.upsert_rates(t, rates, as_of_ts)
     dim_date = DM.ensure_dates(t.dim_date, p_dates.unionByName(r_dates), "date", dow)
@@ -52,8 +134,8 @@ def run_ingestion(t: Tables, stock_payloads: DataFrame, fx_payloads: DataFrame,
     """Prepare the last ``n`` rows of every tracked symbol and of the
     FX series (with the quote fallback), upsert both, fill returns.
 
-    Returns (new Tables, one-row summary). ``success`` means no step
-    reported an error, as the daily update computes it.
+    Returns (new Tables, one-row summary). ``errors`` names the feeds that
+    brought no usable row and ``success`` means that there are none.
     """
     frames = PL.flatten_daily(stock_payloads)
     stocks = CF.prepare_stocks(frames, tracked, n, as_of, as_of_ts)
@@ -67,13 +149,15 @@ def run_ingestion(t: Tables, stock_payloads: DataFrame, fx_payloads: DataFrame,
     dim_date = DM.ensure_dates(t.dim_date, p_dates.unionByName(r_dates), "date", dow)
     new = t.with_(prices=prices, rates=rates, dim_date=dim_date)
     new = new.with_(prices=RT.daily_returns(new, "all", as_of_ts))
-    errors = frames.agg(F.count(F.lit(1)).alias("_rows"))
+    feeds = _counted(frames, "_stock_rows").join(_counted(fx, "_fx_rows"), how="cross")
+    errors = errors_array(rule(F.col("_stock_rows") == 0, "no stock data"), rule(F.col("_fx_rows") == 0, "no FX data"))
     summary = (p_counts.select(F.col("affected").alias("stock_records"))
                .join(r_counts.select(F.col("affected").alias("fx_records")), how="cross")
                .join(stocks.agg(F.count_distinct("symbol").alias("companies_updated")), how="cross")
-               .join(errors, how="cross")
+               .join(feeds, how="cross").withColumn("errors", errors)
                .select(F.lit(kind).alias("run"), "stock_records", "fx_records", "companies_updated",
-                       (F.col("_rows") > 0).alias("success")))
+                       F.col("_stock_rows").alias("stock_fetched"), F.col("_fx_rows").alias("fx_fetched"),
+                       "errors", (F.size("errors") == 0).alias("success")))
     return new, summary
 
 

@@ -23,7 +23,7 @@ from . import binding
 from .binding import AS_OF, TRACKED
 from .operators import analytics as A
 from .session import scratch_path
-from .tables import path_exists, read_warehouse, rename_path, write_warehouse
+from .tables import listing, path_exists, read_warehouse, rename_path, write_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,22 +71,16 @@ def _open(spark: SparkSession, path: str):
     """Open a written warehouse once per session: listing the files and
     reading Parquet footers costs about a second, the DataFrames themselves
     are immutable plans and can be shared by every query."""
-    key = (id(spark.sparkContext._jsc), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _OPENED:
         _OPENED[key] = read_warehouse(spark, path)
     return _OPENED[key]
 
 
-def _input_signature(sf_dir: str) -> str:
-    parts = [os.path.abspath(sf_dir)]
-    for name in ("lineitem", "part", "orders"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        try:
-            st = os.stat(p)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
-            parts.append(f"{name}:?")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+def _input_signature(spark: SparkSession, sf_dir: str) -> str:
+    """Changes whenever a file of the bound tables does, on any file system."""
+    parts = [f for name in ("lineitem", "part", "orders") for f in listing(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")]
+    return hashlib.sha1("|".join([sf_dir, *parts]).encode()).hexdigest()[:16]
 
 
 def materialized(spark: SparkSession, sf_dir: str) -> str:
@@ -95,7 +89,7 @@ def materialized(spark: SparkSession, sf_dir: str) -> str:
     Built into a unique folder and renamed into place, so concurrent or
     failed builds never leave a half-written warehouse behind.
     """
-    path = scratch_path(spark, f"warehouse-{_input_signature(sf_dir)}")
+    path = scratch_path(spark, f"warehouse-{_input_signature(spark, sf_dir)}")
     if path in _BUILT or path_exists(spark, f"{path}/_READY"):
         _BUILT.add(path)
         return path
@@ -180,7 +174,7 @@ def _x3(spark, sf_dir):
 
 @register("price_range_on")
 def _x4(spark, sf_dir):
-    return edge(A.price_range_on(tables(spark, sf_dir), 800, 1000, date=_dt.date(2001, 7, 2)))
+    return edge(A.price_range_on(tables(spark, sf_dir), 800, 1000, date=_dt.date(2001, 10, 2)))
 
 
 @register("summary_on")
@@ -201,8 +195,8 @@ from .operators import returns as R  # noqa: E402
 from .operators import validate as V  # noqa: E402
 from .operators.common import star  # noqa: E402
 
-AS_OF_TS = _dt.datetime(2001, 8, 1)
-RESET_FROM = 20010701  # returns of these days are recomputed by the ETL step
+AS_OF_TS = _dt.datetime(2001, 11, 4)
+RESET_FROM = 20011001  # returns of these days are recomputed by the ETL step
 
 
 def _reset_returns(t):
@@ -284,7 +278,7 @@ def _e7(spark, sf_dir):
 
 @register("quality_status")
 def _x6(spark, sf_dir):
-    return QC.quality_status(_dirty(spark, sf_dir), _dt.date(2001, 7, 31), expected=len(TRACKED))
+    return QC.quality_status(_dirty(spark, sf_dir), _dt.date(2001, 10, 31), expected=len(TRACKED))
 
 
 def _joined_errors(df, col="errors"):
@@ -487,9 +481,9 @@ from .operators import backfill as B  # noqa: E402
 from .operators import dims as DM  # noqa: E402
 from .operators import merge as MG  # noqa: E402
 
-CUT = _dt.date(2001, 7, 1)          # target tables hold the days before this
-BATCH_FROM = _dt.date(2001, 6, 15)  # the load batch starts here (overlaps the target)
-PERIOD = (_dt.date(2001, 7, 1), _dt.date(2001, 7, 31))
+CUT = _dt.date(2001, 10, 1)          # target tables hold the days before this
+BATCH_FROM = _dt.date(2001, 9, 15)  # the load batch starts here (overlaps the target)
+PERIOD = (_dt.date(2001, 10, 1), _dt.date(2001, 10, 31))
 DIM_COLS = ["date_id", "date_value", "year", "quarter", "month", "day", "day_of_week", "day_of_year",
             "week_of_year", "is_weekend", "is_holiday"]
 
@@ -534,7 +528,7 @@ def _x8(spark, sf_dir):
 
 def _price_records(t):
     """Landing records of the load: bars from BATCH_FROM with close + 1; a
-    later file repeats the days from 2001-07-15 with close + 2 (last wins)."""
+    later file repeats the days from 2001-10-15 with close + 2 (last wins)."""
     b = _bars_named(t).where(F.col("date_value") >= F.lit(BATCH_FROM))
 
     def rec(delta, name):
@@ -543,12 +537,12 @@ def _price_records(t):
                         F.col("lo").alias("low_price"), (F.col("c") + delta).alias("close_price"),
                         F.col("v").alias("volume"), F.lit(name).alias("_file"), F.lit(0).cast("long").alias("_pos"))
     return rec(1, "stocks_1.json").unionByName(
-        rec(2, "stocks_2.json").where(F.col("data_date") >= "2001-07-15"))
+        rec(2, "stocks_2.json").where(F.col("data_date") >= "2001-10-15"))
 
 
 def _target(t):
-    return t.with_(prices=t.prices.where(F.col("date_id") < 20010701),
-                   rates=t.rates.where(F.col("date_id") < 20010701))
+    return t.with_(prices=t.prices.where(F.col("date_id") < 20011001),
+                   rates=t.rates.where(F.col("date_id") < 20011001))
 
 
 @register("upsert_prices")
@@ -562,7 +556,7 @@ def _d1(spark, sf_dir):
 @register("upsert_rates")
 def _d2(spark, sf_dir):
     t = tables(spark, sf_dir)
-    rec = (t.rates.where(F.col("date_id") >= 20010615)
+    rec = (t.rates.where(F.col("date_id") >= 20010915)
            .select(F.lit("USD").alias("from_currency"), F.lit("GBP").alias("to_currency"),
                    date_of_id(F.col("date_id")).cast("string").alias("data_date"),
                    (F.col("exchange_rate") + F.lit(0.0001).cast("decimal(5,4)")).alias("exchange_rate")))
@@ -588,7 +582,7 @@ def _latest_exchange_rates(t):
 
 
 def _stock_staging(t):
-    b = _bars_named(t).where(F.col("date_value") >= F.lit(_dt.date(2001, 6, 1)))
+    b = _bars_named(t).where(F.col("date_value") >= F.lit(_dt.date(2001, 9, 1)))
     return b.select("symbol", F.col("date_value").alias("date"), F.col("o").alias("open_price"),
                     F.col("h").alias("high_price"), F.col("lo").alias("low_price"),
                     F.col("c").alias("close_price"), F.col("v").alias("volume"),
@@ -597,14 +591,13 @@ def _stock_staging(t):
 
 
 def _rate_staging(t):
-    d = _fx_days(t).where(F.col("date") >= F.lit(_dt.date(2001, 6, 1)))
+    d = _fx_days(t).where(F.col("date") >= F.lit(_dt.date(2001, 9, 1)))
     return d.select("from_currency", "to_currency", "date", F.col("c").alias("exchange_rate"),
                     F.lit(AS_OF_TS).cast("timestamp").alias("backfill_timestamp"))
 
 
 def _loaded(spark, t):
-    sp = _latest_stock_prices(t).where(F.col("date") < F.lit(CUT))
-    er = _latest_exchange_rates(t).where(F.col("date") < F.lit(CUT))
+    sp, er = _latest_stock_prices(t), _latest_exchange_rates(t)
     s_state, _, s_log = MG.backfill_load_prices(spark, sp, _stock_staging(t), *PERIOD, AS_OF_TS)
     r_state, _, r_log = MG.backfill_load_rates(spark, er, _rate_staging(t), *PERIOD, AS_OF_TS)
     return s_state, r_state, s_log, r_log
@@ -723,7 +716,7 @@ from .operators import conform as CF  # noqa: E402
 from .operators import presentation as PR  # noqa: E402
 
 
-def _text_records(t):
+def _text_records(t, with_k=False):
     """Bars as all-text landing records; deterministic bad values by
     k = (stock_id * 7 + date_id) % 11: 0 -> open 'invalid', 1 -> close '',
     2 -> volume NULL, 3 -> date 'not-a-date'."""
@@ -737,7 +730,22 @@ def _text_records(t):
         F.col("high_price").cast("string").alias("high_price"),
         F.col("low_price").cast("string").alias("low_price"),
         F.when(k == 1, F.lit("")).otherwise(F.col("closing_price").cast("string")).alias("close_price"),
-        F.when(k == 2, F.lit(None)).otherwise(F.col("volume").cast("string")).alias("volume"))
+        F.when(k == 2, F.lit(None)).otherwise(F.col("volume").cast("string")).alias("volume"),
+        *([k.alias("k")] if with_k else []))
+
+
+def _rough_records(t):
+    """The text records with values no table can hold: k = 4 -> volume with a
+    fraction, 5 -> open 1e18, 6 -> high NaN, 7 -> volume '1e3'."""
+    rec = _text_records(t, with_k=True)
+    k = F.col("k")
+    return rec.select(
+        "symbol", "data_date",
+        F.when(k == 5, F.lit("1e18")).otherwise(F.col("open_price")).alias("open_price"),
+        F.when(k == 6, F.lit("NaN")).otherwise(F.col("high_price")).alias("high_price"),
+        "low_price", "close_price",
+        F.when(k == 4, F.concat("volume", F.lit(".7"))).when(k == 7, F.lit("1e3"))
+        .otherwise(F.col("volume")).alias("volume"))
 
 
 @register("lenient_cast")
@@ -782,7 +790,8 @@ def _i2(spark, sf_dir):
 
 @register("prepare_fx")
 def _i3(spark, sf_dir):
-    series = CF.conform_fx(CF.last_n(_s5(spark, sf_dir), ["FromCurrency", "ToCurrency"], "DateTime", 1),
+    early = _s5(spark, sf_dir).where(F.col("DateTime") < F.lit(AS_OF))
+    series = CF.conform_fx(CF.last_n(early, ["FromCurrency", "ToCurrency"], "DateTime", 1),
                            AS_OF, AS_OF_TS)
     quotes = CF.conform_quote(_s7(spark, sf_dir), AS_OF, AS_OF_TS)
     return CF.prepare_fx(series, quotes)
@@ -841,7 +850,7 @@ def _s12(spark, sf_dir):
 
 @register("valid_stock")
 def _p6(spark, sf_dir):
-    rec = _text_records(tables(spark, sf_dir)).withColumn("_corrupt_record", F.lit(None).cast("string"))
+    rec = _rough_records(tables(spark, sf_dir)).withColumn("_corrupt_record", F.lit(None).cast("string"))
     valid, _ = LD.split_valid(rec, "stocks")
     return valid
 
@@ -867,20 +876,81 @@ def _p7(spark, sf_dir):
 
 @register("opt_filter")
 def _p8(spark, sf_dir):
-    return edge(A.prices_with_currency(tables(spark, sf_dir), symbols="Brand#4"))
+    return edge(A.prices_with_currency(tables(spark, sf_dir), symbols="Stock#4"))
 
 
 @register("landing_scan")
 def _s1(spark, sf_dir):
     """Write the text records as one landing run (once per input), read the
     run back through the landing reader and keep the valid records."""
-    base = scratch_path(spark, f"landing-{_input_signature(sf_dir)}")
+    base = scratch_path(spark, f"landing-{_input_signature(spark, sf_dir)}")
     if not path_exists(spark, f"{base}/_READY"):
         tmp = f"{base}-build-{uuid.uuid4().hex}"
-        LD.write_landing(_text_records(tables(spark, sf_dir)), tmp, "stocks", AS_OF_TS)
+        LD.write_landing(_rough_records(tables(spark, sf_dir)), tmp, "stocks", AS_OF_TS)
         spark.createDataFrame([(1,)], "ok int").write.parquet(f"{tmp}/_READY")
         if not rename_path(spark, tmp, base) and not path_exists(spark, f"{base}/_READY"):
             raise RuntimeError(f"could not publish landing run {base}")
-    raw = LD.read_landing(spark, f"{base}/stocks", "stocks", multiline=False)
+    raw = LD.read_landing(spark, f"{base}/stocks", "stocks")
     valid, _ = LD.split_valid(raw, "stocks")
     return valid.drop("_file", "_pos", "source", "created_at")
+
+
+# -- jobs on a versioned warehouse: write, read back ---------------------------
+
+from .plans import jobs as JB  # noqa: E402
+from .tables import open_current, publish  # noqa: E402
+
+
+def _versioned(spark, sf_dir, name, t):
+    """A fresh versioned warehouse that holds ``t`` as its first state."""
+    root = scratch_path(spark, f"job-{name}-{uuid.uuid4().hex}")
+    publish(spark, root, t)
+    return root
+
+
+@register("job_load")
+def _i1(spark, sf_dir):
+    """Two landing runs are written, loaded into a versioned warehouse and read back."""
+    t = tables(spark, sf_dir)
+    root = _versioned(spark, sf_dir, "load", _target(t).with_(stock_prices=None, exchange_rates=None))
+    rec = _price_records(t)
+    for i, name in enumerate(("stocks_1.json", "stocks_2.json")):
+        LD.write_landing(rec.where(F.col("_file") == name), f"{root}/landing", "stocks",
+                         AS_OF_TS + _dt.timedelta(minutes=i))
+    rates = t.rates.where(F.col("date_id") >= 20010915).select(
+        F.lit("USD").alias("from_currency"), F.lit("GBP").alias("to_currency"),
+        date_of_id(F.col("date_id")).cast("string").alias("data_date"), "exchange_rate")
+    LD.write_landing(rates, f"{root}/landing", "exchange", AS_OF_TS)
+    JB.commit(spark, root, lambda s: JB.load_landing(spark, f"{root}/landing", s, AS_OF_TS, "sunday0"))
+    return edge(open_current(spark, root).prices.select(
+        "stock_id", "date_id", "opening_price", "high_price", "low_price", "closing_price", "volume",
+        "adjusted_close", "updated_at"))
+
+
+@register("job_dedupe")
+def _b5d(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    root = _versioned(spark, sf_dir, "dedupe", t.with_(etl_logs=None))
+    JB.commit(spark, root, JB.dedupe_job(*PERIOD, AS_OF_TS))
+    return edge(open_current(spark, root).stock_prices.select("symbol", "date", "close_price", "volume", "updated_at"))
+
+
+@register("job_log")
+def _d8b(spark, sf_dir):
+    """The run log of the de-duplication, with the rows it removed."""
+    t = tables(spark, sf_dir)
+    root = _versioned(spark, sf_dir, "log", t.with_(etl_logs=None))
+    JB.commit(spark, root, JB.dedupe_job(*PERIOD, AS_OF_TS))
+    return open_current(spark, root).etl_logs.select("operation_type", "table_name", "records_affected", "status")
+
+
+@register("job_archive")
+def _e9b(spark, sf_dir):
+    """Old prices move to the archive; both targets are read back."""
+    t = tables(spark, sf_dir)
+    root = _versioned(spark, sf_dir, "archive", t.with_(stock_prices=None, exchange_rates=None))
+    JB.commit(spark, root, JB.archive_job(f"{root}/archive", AS_OF, years=2))
+    keep = open_current(spark, root).prices
+    old = spark.read.parquet(f"{root}/archive")
+    return (keep.select(F.lit("keep").alias("part"), "stock_id", "date_id")
+            .unionByName(old.select(F.lit("archive").alias("part"), "stock_id", "date_id")))

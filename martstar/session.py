@@ -57,14 +57,16 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder is created
-    and registered; a cluster always brings its own shared location.
+    Only a local session without one gets a private folder; on a cluster its
+    absence is an error, as executors cannot see the driver's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a shared folder for intermediate tables")
         current = tempfile.mkdtemp(prefix="martstar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not (hasattr(sc, "getCheckpointDir") and sc.getCheckpointDir()):

@@ -15,40 +15,62 @@ from typing import Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas as S
+from ..operators import dims as DM
 from ..operators import merge as MG
 from ..sources import landing as L
-from ..tables import read_warehouse
+from ..tables import delete_path, read_warehouse
+
+
+def landing_source(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Both layouts of ``sources.landing`` as one stream."""
+    def read(lines: bool) -> DataFrame:
+        return (L.json_options(spark.readStream, kind, lines).json(path)
+                .withColumn("_file", F.col("_metadata.file_path"))
+                .withColumn("_block", F.col("_metadata.file_block_start")))
+
+    run = F.col("_file").rlike(L.RUN_FILE)
+    return read(True).where(run).unionByName(read(False).where(~run))
 
 
 def stream_landing(spark: SparkSession, landing_dir: str, warehouse: str, checkpoint: str,
                    kind: str = "stocks", once: bool = True, as_of_ts: Optional[_dt.datetime] = None,
-                   multiline: bool = True):
+                   dow: str = "iso"):
     """Start the stream; with ``once`` it processes what is there and stops
-    (``trigger(availableNow=True)``)."""
-    schema = S.LANDING_STOCK if kind == "stocks" else S.LANDING_RATE
-    src = (spark.readStream.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json")
-           .option("recursiveFileLookup", True)
-           .json(f"{landing_dir.rstrip('/')}/{kind}")
-           .withColumn("_file", F.col("_metadata.file_path")))
+    (``trigger(availableNow=True)``).
+
+    New days go to ``dim_date`` before the facts that use them. Records that are
+    not valid or whose keys are unknown are kept under
+    ``warehouse/rejects/<kind>/batch=<id>``. The stage of a micro-batch is
+    removed when the next one begins, as it is committed then.
+    """
+    src = landing_source(spark, f"{landing_dir.rstrip('/')}/{kind}", kind)
+    stages = f"{checkpoint.rstrip('/')}/staging/{kind}"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         ts = as_of_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         # inside a micro-batch the frame is static: positions can be numbered
-        valid, _ = L.split_valid(batch.withColumn("_pos", F.monotonically_increasing_id()), kind)
+        records = L.with_volume_text(batch.withColumn("_pos", F.struct(
+            F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))).drop("_block"))
+        valid, bad = L.split_valid(records, kind)
         t = read_warehouse(spark, warehouse)
         if kind == "stocks":
-            valid = valid.withColumn("volume", F.trim("volume").try_cast("double").cast("bigint"))
-            rows, _ = MG.conform_price_batch(t, valid, ts)
-            MG.upsert_table(spark, f"{warehouse}/prices", rows.select(*t.prices.columns),
-                            ["stock_id", "date_id"], MG.PRICE_SET,
-                            staging_root=f"{checkpoint}/staging/{kind}-{batch_id}")
+            table, keys, changed = "prices", ["stock_id", "date_id"], MG.PRICE_SET
+            rows, unknown = MG.conform_price_batch(t, valid, ts)
+            columns = t.prices.columns
         else:
-            rows, _ = MG.conform_rate_batch(t, valid, ts)
-            MG.upsert_table(spark, f"{warehouse}/rates", rows.select(*t.rates.columns),
-                            ["from_currency_id", "to_currency_id", "date_id"], MG.RATE_SET,
-                            staging_root=f"{checkpoint}/staging/{kind}-{batch_id}")
+            table, keys, changed = "rates", ["from_currency_id", "to_currency_id", "date_id"], MG.RATE_SET
+            rows, unknown = MG.conform_rate_batch(t, valid, ts)
+            columns = t.rates.columns
+        rejects = bad.unionByName(unknown, allowMissingColumns=True)
+        rejects.select("_file", F.to_json(F.struct(*[c for c in rejects.columns if c != "_pos"])).alias("record")) \
+            .write.mode("overwrite").json(f"{warehouse.rstrip('/')}/rejects/{kind}/batch={batch_id}")
+        days = DM.date_rows(rows.select(F.col("date_value").alias("date")), "date", dow)
+        new_days = days.join(t.dim_date.select("date_value"), "date_value", "left_anti")
+        new_days.select(*t.dim_date.columns).write.mode("append").parquet(f"{warehouse.rstrip('/')}/dim_date")
+        MG.upsert_table(spark, f"{warehouse.rstrip('/')}/{table}", rows.select(*columns), keys, changed,
+                        staging_root=f"{stages}-{batch_id}")
+        for old in (f"{stages}-{batch_id - 1}", f"{stages}-{batch_id - 1}-counts"):
+            delete_path(spark, old)
 
     w = src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")

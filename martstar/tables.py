@@ -8,6 +8,7 @@ currency codes) and are stored unpartitioned.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, fields, replace
 from typing import Optional
 
@@ -36,7 +37,6 @@ class Tables:
 
 FACT_PARTITION = "year"
 RECORD_TABLES = ("stock_prices", "exchange_rates")
-RECORD_BUCKETS = 1024
 _SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_currency": S.DIM_CURRENCY,
             "prices": S.FACT_STOCK_PRICES, "rates": S.FACT_CURRENCY_RATES, "stock_prices": S.STOCK_PRICES,
             "exchange_rates": S.EXCHANGE_RATES, "etl_logs": S.ETL_LOGS}
@@ -64,16 +64,17 @@ def write_warehouse(t: Tables, path: str, mode: str = "overwrite") -> None:
                .repartition(FACT_PARTITION, keys[0])
                .sortWithinPartitions(FACT_PARTITION, "date_id", *[k for k in keys if k != "date_id"])
                .write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+               .option("partitionOverwriteMode", "static")  # a full rewrite leaves no old year
                .partitionBy(FACT_PARTITION).parquet(out))
         elif name in RECORD_TABLES:
             # record-level tables grow with the input: partitioned by year so a
-            # period filter prunes directories; hashed on a salt of the whole
-            # row so no key (however hot) lands in one task; date-sorted files
-            salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(RECORD_BUCKETS))
+            # period filter prunes directories; AQE sizes and splits the
+            # rebalanced partitions, however many rows a year holds
             (df.withColumn(FACT_PARTITION, F.year("date"))
-               .repartition(F.col(FACT_PARTITION), salt)
+               .hint("rebalance", FACT_PARTITION)
                .sortWithinPartitions(FACT_PARTITION, "date")
                .write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+               .option("partitionOverwriteMode", "static")  # a full rewrite leaves no old year
                .partitionBy(FACT_PARTITION).parquet(out))
         else:
             df.write.mode(mode).parquet(out)
@@ -101,6 +102,63 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     return s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(s, d)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
+def listing(spark: SparkSession, path: str) -> list[str]:
+    """Every file under a path as name, length and modification time."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}")
+    return sorted(out)
+
+
+# -- versions: a warehouse that jobs rewrite ---------------------------------
+# ``root/v=<number>`` is one whole state; the highest number is current. A state
+# is written aside and renamed into place, so readers see the old or the new one,
+# and two writers of the same number cannot both succeed.
+
+def current_version(spark: SparkSession, root: str) -> int:
+    """The number of the current state, 0 if there is none."""
+    return max([int(n[2:]) for n in list_names(spark, root) if n.startswith("v=")], default=0)
+
+
+def open_current(spark: SparkSession, root: str) -> "Tables":
+    n = current_version(spark, root)
+    return read_warehouse(spark, f"{root.rstrip('/')}/v={n}") if n else empty_tables(spark)
+
+
+def publish(spark: SparkSession, root: str, t: "Tables", after: Optional[int] = None) -> int:
+    """Write ``t`` as the state that follows ``after`` (default: the current one)."""
+    n = (current_version(spark, root) if after is None else after) + 1
+    base = root.rstrip("/")
+    build, final = f"{base}/_build-{uuid.uuid4().hex}", f"{base}/v={n}"
+    write_warehouse(t, build)
+    if path_exists(spark, final) or not rename_path(spark, build, final):
+        delete_path(spark, build)
+        raise RuntimeError(f"{final} was published by another writer")
+    return n
+
+
 def read_warehouse(spark: SparkSession, path: str) -> Tables:
     """Read a warehouse written by :func:`write_warehouse`."""
     base = path.rstrip("/")
