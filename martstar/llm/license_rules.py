@@ -75,7 +75,8 @@ FAMILIES = [
     ("ms-pl", "microsoft", f"microsoft public {_L}", ""),
     ("ms-rl", "reciprocal", f"microsoft reciprocal {_L}", ""),
     ("rpl", "reciprocal", f"reciprocal public {_L}", "1 [15]"),
-    ("qpl", "qt", f"q public {_L}|qt public {_L}", "1(?: 0)?"),
+    ("qpl", "q", f"q public {_L}", "1(?: 0)?"),
+    ("qpl", "qt", f"qt public {_L}", "1(?: 0)?"),
     ("osl", "osl", "osl", "[123] [01]"),
     ("osl", "open", f"open software {_L}", "[123] [01]"),
     ("afl", "academic", f"academic free {_L}", "[123] [012]"),
@@ -143,11 +144,11 @@ def rules() -> list[tuple[int, int, str, str, str]]:
     """(index, tier, label, keyword, pattern), highest priority first."""
     out = [(0, label, kw, body) for label, kw, body in BODIES]
     for label, kw, name, version in FAMILIES:
-        v = f"(?: (?:version |v )?{version})?(?: or (?:any )?later(?: version)?| only)?" if version else ""
+        v = f"(?: (?:version |v ?)?{version})?(?: or (?:any )?later(?: version)?| only)?" if version else ""
         out.append((0, label, kw, f"(?:{_TAG})(?:{name}){v}"))
         out.append((1, label, kw, f"{_GRANT}(?:{name}){v}"))
         if version:
-            out.append((2, label, kw, f"(?:{name}) (?:version |v )?{version}(?: or (?:any )?later(?: version)?| only)?"))
+            out.append((2, label, kw, f"(?:{name}) (?:version |v ?)?{version}(?: or (?:any )?later(?: version)?| only)?"))
         out.append((3, label, kw, f"(?:{name})"))
     out.sort(key=lambda r: r[0])  # stable: order within a tier is as written
     return [(i, *r) for i, r in enumerate(out)]

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from martstar.llm import chunk_dedup, spans, suffix_dedup
+from martstar.llm import chunk_dedup, suffix_dedup
 
 SCHEMA = "doc_id long, text string, bucket string, did string, lang string"
 
@@ -63,11 +63,11 @@ def collected(df):
                   key=str)
 
 
-@pytest.mark.parametrize("hot, flush", [(4096, 2_000_000), (2, 50)])
-def test_suffix_dedup_is_brute_force(spark, monkeypatch, hot, flush):
-    """With tiny limits every task sends often and common anchors take the split path."""
+@pytest.mark.parametrize("hot", [4096, 2])
+def test_suffix_dedup_is_brute_force(spark, monkeypatch, hot):
+    """With a tiny limit common anchors take the split path."""
     rows = fixture()
-    find, send = suffix_dedup._compare, spans.FLUSH
+    find = suffix_dedup._compare
 
     def compare(k1, k2, did, flags):
         suffix_dedup.HOT = hot  # in the worker as well
@@ -75,10 +75,8 @@ def test_suffix_dedup_is_brute_force(spark, monkeypatch, hot, flush):
 
     monkeypatch.setattr(suffix_dedup, "_compare", compare)
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
-    monkeypatch.setattr(spans, "FLUSH", flush)
     got = collected(suffix_dedup.suffix_dedup(spark.createDataFrame(rows, SCHEMA).repartition(3)))
     assert got == brute_suffix(rows)
-    assert send == 2_000_000
 
 
 def test_suffix_sort_matches_plain_sort():
