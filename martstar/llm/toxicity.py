@@ -241,15 +241,15 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
             ids = [word_ids(t) for t in b["text"]]
             ok = [len(x) <= FIT_WORDS for x in ids]
             yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "lang": b["lang"],
-                                "ids": ids})[ok]
+                                "ids": [x.tobytes() for x in ids]})[ok]
 
     # at most fit_rows rows of at most FIT_WORDS numbers reach the driver
     rows = (src.join(F.broadcast(some), F.col("doc_id") == F.col("label_id"))
             .select("doc_id", "toxic", "lang", "text")
-            .mapInPandas(run, "doc_id long, toxic int, lang string, ids array<int>").toPandas())
+            .mapInPandas(run, "doc_id long, toxic int, lang string, ids binary").toPandas())
     rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
     rows = rows.sample(frac=1, random_state=11)
-    return Model().fit([np.asarray(x, dtype=np.int32) for x in rows["ids"]], rows["toxic"].to_numpy(),
+    return Model().fit([np.frombuffer(x, dtype=np.int32) for x in rows["ids"]], rows["toxic"].to_numpy(),
                        [x if isinstance(x, str) else None for x in rows["lang"]])
 
 
