@@ -103,11 +103,11 @@ FAMILIES = [
     ("cc-by-nd", "nd", "(?:cc|creative commons) by nd", "[1-4](?: [05])?"),
     ("cc-by-sa", "sa", "(?:cc|creative commons) by sa", "[1-4](?: [05])?"),
     ("cc-by", "cc", "cc by", "[1-4](?: [05])?"),
-    ("cc-by-nc-sa", "sharealike", "creative commons attribution non ?commercial share ?alike", "[1-4](?: [05])?"),
-    ("cc-by-nc-nd", "noderivatives", "creative commons attribution non ?commercial no ?derivatives", "[1-4](?: [05])?"),
-    ("cc-by-sa", "sharealike", "creative commons attribution share ?alike", "[1-4](?: [05])?"),
-    ("cc-by-nd", "noderivatives", "creative commons attribution no ?derivatives", "[1-4](?: [05])?"),
-    ("cc-by-nc", "noncommercial", "creative commons attribution non ?commercial", "[1-4](?: [05])?"),
+    ("cc-by-nc-sa", "creative", "creative commons attribution non ?commercial share ?alike", "[1-4](?: [05])?"),
+    ("cc-by-nc-nd", "creative", "creative commons attribution non ?commercial no ?derivatives", "[1-4](?: [05])?"),
+    ("cc-by-sa", "creative", "creative commons attribution share ?alike", "[1-4](?: [05])?"),
+    ("cc-by-nd", "creative", "creative commons attribution no ?derivatives", "[1-4](?: [05])?"),
+    ("cc-by-nc", "creative", "creative commons attribution non ?commercial", "[1-4](?: [05])?"),
     ("cc-by", "creative", "creative commons attribution", "[1-4](?: [05])?"),
     ("cc0", "cc0", "cc0", "1(?: 0)?"),
     ("cc0", "universal", "cc0 1 0 universal", ""),
