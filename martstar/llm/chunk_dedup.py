@@ -20,9 +20,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from martstar.llm.common import keep
 from martstar.llm.spans import (
-    BLOB_TYPE, Pieces, batches_of_bytes, by_bucket, cut_out, least_of, runs_of, sources, unpack)
+    BLOB_TYPE, Pieces, batches_of_bytes, by_bucket, cut_out, least_of, runs_of, sources, split_kinds, unpack)
 
 LEAST = 24
 MASK_BITS = 5  # a cut every 32 bytes behind the least length
@@ -90,7 +89,7 @@ def removed_chunks(docs: DataFrame, n_buckets: int) -> DataFrame:
             g = np.flatnonzero(gone)
             return [by_bucket(bucket[g], SPANS, [did[g], th[g], start[g], end[g]]),
                     by_bucket(to.astype(np.int64), KEYS,
-                              [x[stay] for x in (did, th, bucket, start, end)],
+                              [x[stay] for x in (did, th, bucket, start, end - start)],
                               [(k1[stay], KEY_BYTES[0]), (k2[stay], KEY_BYTES[1])])]
 
         pieces = Pieces(send)
@@ -115,17 +114,14 @@ def removed_chunks(docs: DataFrame, n_buckets: int) -> DataFrame:
             yield from pieces.add(k[:, 0], k[:, 1], *own, start, end, np.array(again, bool))
         yield from pieces.flush()
 
+    def one(_, blobs):
+        rows = [unpack(x, 5, KEY_BYTES) for x in blobs]
+        did, th, bucket, start, size, k1, k2 = [np.concatenate(c) for c in zip(*rows)]
+        g = np.flatnonzero(_settle(k1, k2, did))
+        yield by_bucket(bucket[g], SPANS, [did[g], th[g], start[g], start[g] + size[g]])
+
     def settle(batches):
-        rows = []
-        for b in batches:
-            passed = b[b["kind"] == SPANS]
-            if len(passed):
-                yield passed
-            rows += [unpack(x, 5, KEY_BYTES) for x in b.loc[b["kind"] == KEYS, "data"]]
-        if rows:
-            did, th, bucket, start, end, k1, k2 = [np.concatenate(c) for c in zip(*rows)]
-            g = np.flatnonzero(_settle(k1, k2, did))
-            yield by_bucket(bucket[g], SPANS, [did[g], th[g], start[g], end[g]])
+        yield from split_kinds(batches, KEYS, one)
 
     return (docs.select("did", "th", "bucket", "text").mapInPandas(cut, BLOB_TYPE)
             .repartition(n_buckets, "bucket").mapInPandas(settle, BLOB_TYPE).select("bucket", "data"))
@@ -139,4 +135,4 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     each other. A null id ranks last. An empty table gives an empty result.
     """
     src, n = sources(docs, id_col, text_col)
-    return cut_out(src, keep(removed_chunks(src, n)), with_text)
+    return cut_out(src, removed_chunks(src, n), with_text)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from martstar.llm.common import rank, text_of
 
 BUCKET_BYTES = 16 << 20  # text per bucket
-FLUSH = 2_000_000  # pieces a task holds before it sends them on
+FLUSH = 500_000  # pieces a task holds before it sends them on
 
 BLOB_TYPE = "bucket int, kind int, data binary"
 
@@ -90,6 +90,33 @@ def by_bucket(bucket: np.ndarray, kind: int, columns: list[np.ndarray],
     return pd.DataFrame({"bucket": b[cut].astype(np.int32), "kind": np.int32(kind), "data": data})
 
 
+def pack_strings(columns: list[np.ndarray], strings: list[bytes]) -> bytes:
+    """Number columns and one byte string a row."""
+    head = pack([*columns, np.array([len(x) for x in strings], np.int64)])
+    return len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=1).compress(b"".join(strings))
+
+
+def unpack_strings(blob: bytes, n_columns: int) -> tuple[list[np.ndarray], list[bytes]]:
+    cut = 8 + int.from_bytes(blob[:8], "little")
+    *columns, lens = unpack(blob[8:cut], n_columns + 1)
+    raw = zstandard.ZstdDecompressor().decompress(blob[cut:])
+    ends = np.cumsum(lens).tolist()
+    return columns, [raw[s:e] for s, e in zip([0, *ends], ends)]
+
+
+def split_kinds(batches: Iterator[pd.DataFrame], kind: int, work: Callable[[int, list[bytes]], Iterator[pd.DataFrame]]):
+    """Pass on rows of other kinds; then ``work(bucket, blobs)`` for one bucket at a time."""
+    held: dict[int, list[bytes]] = {}
+    for b in batches:
+        own = (b["kind"] == kind).to_numpy()
+        if not own.all():
+            yield b[~own]
+        for bucket, x in zip(b["bucket"][own].tolist(), b["data"][own]):
+            held.setdefault(bucket, []).append(x)
+    for bucket in sorted(held):
+        yield from work(bucket, held.pop(bucket))
+
+
 def runs_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order by the keys, starts of runs of equal keys); the first key leads."""
     o = np.lexsort(keys[::-1])
@@ -109,6 +136,49 @@ def least_of(values: np.ndarray, o: np.ndarray, starts: np.ndarray) -> np.ndarra
     return out
 
 
+TEXT_BYTES = 32 << 20  # text a task packs at a time
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(bucket, data): the documents of ``sources`` by bucket, many in one compressed row."""
+
+    def run(batches):
+        rows, size = [], 0
+
+        def send():
+            rows.sort(key=lambda r: r[0])
+            at = 0
+            while at < len(rows):
+                z = at
+                while z < len(rows) and rows[z][0] == rows[at][0]:
+                    z += 1
+                part = rows[at:z]
+                cols = [np.array([r[i] for r in part], np.int64) for i in (1, 2, 3)]
+                yield int(part[0][0]), pack_strings(cols, [r[4] for r in part])
+                at = z
+            rows.clear()
+
+        for b in batches:
+            for bucket, did, th, null, text in zip(b["bucket"].tolist(), b["did"].tolist(), b["th"].tolist(),
+                                                   b["doc_id"].isna().tolist(), b["text"]):
+                raw = text.encode("utf-8", "surrogatepass")
+                rows.append((bucket, did, th, null, raw))
+                size += len(raw)
+            if size >= TEXT_BYTES:
+                yield pd.DataFrame(list(send()), columns=["bucket", "data"])
+                size = 0
+        yield pd.DataFrame(list(send()), columns=["bucket", "data"])
+
+    return docs.select("doc_id", "did", "th", "text", "bucket").mapInPandas(run, "bucket int, data binary")
+
+
+def texts_of(blobs) -> Iterator[tuple[int, int, int, bytes]]:
+    """(did, th, whether the id is null, bytes) of packed documents."""
+    for x in blobs:
+        (did, th, null), raws = unpack_strings(x, 3)
+        yield from zip(did.tolist(), th.tolist(), null.tolist(), raws)
+
+
 # -- taking spans out ---------------------------------------------------------
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Union of intervals as maximal runs; touching ones are one run."""
@@ -132,10 +202,9 @@ def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataF
         ends = np.r_[starts[1:], len(o)]
         where = {(int(did[o[a]]), int(th[o[a]])): o[a:z] for a, z in zip(starts, ends)} if len(o) else {}
         out = []
-        for doc_id, d, h, text in zip(own["doc_id"].astype("Int64"), own["did"], own["th"], own["text"]):
-            b = text.encode("utf-8", "surrogatepass")
-            doc_id = None if pd.isna(doc_id) else int(doc_id)
-            rows = where.get((int(d), int(h)))
+        for d, h, null, b in texts_of(own["data"]):
+            doc_id = None if null else d
+            rows = where.get((d, h))
             left, gone, n = b, 0, 0
             if rows is not None:
                 a, z = merged(s[rows], e[rows])
@@ -149,7 +218,7 @@ def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataF
         df["doc_id"] = df["doc_id"].astype("Int64")
         return df
 
-    return (docs.groupBy("bucket").cogroup(spans.groupBy("bucket"))
+    return (packed_texts(docs).groupBy("bucket").cogroup(spans.groupBy("bucket"))
             .applyInPandas(run, RESULT_TYPE + ", kept binary" * with_text))
 
 
