@@ -29,14 +29,16 @@ from pyspark.sql import DataFrame
 
 from martstar.llm.common import keep
 from martstar.llm.spans import (
-    BLOB_TYPE, Pieces, batches_of_bytes, by_bucket, cut_out, least_of, runs_of, sources, unpack)
+    BLOB_TYPE, Pieces, batches_of_bytes, by_bucket, cut_out, least_of, pack_strings, packed_texts, runs_of,
+    sources, split_kinds, texts_of, unpack, unpack_strings)
 
 LENGTH = 50
 GRAM = 19
 WIDTH = LENGTH - GRAM + 1  # grams in a string; a power of two
 BASE = 0x9E3779B97F4A7C15
-BLOCK_BYTES = 1 << 20
-KEY_BYTES = (5, 6)  # besides the bucket
+BLOCK_BYTES = 1 << 18
+# of the gram's and the segment's hash, besides the bucket, whose number grows with the data
+KEY_BYTES = (4, 6)
 HOT = 4096
 HEAD = 16  # bytes compared before the mergesort
 
@@ -151,7 +153,7 @@ def whole_segments(docs: DataFrame, n_buckets: int) -> DataFrame:
             to = ((k1[t] >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.int64)
             return [by_bucket(bucket[g], SPANS, [did[g], th[g], s[g], e[g] + LENGTH]),
                     by_bucket(bucket[h], HOT_ASKED, [did[h], th[h], s[h], e[h] + LENGTH, 0 * s[h]]),
-                    by_bucket(to, KEYS, [x[t] for x in (did, th, bucket, s, e, hot)],
+                    by_bucket(to, KEYS, [x[t] for x in (did, th, bucket, s, e - s, hot)],
                               [(k1[t], KEY_BYTES[0]), (k2[t], KEY_BYTES[1])])]
 
         pieces = Pieces(send)
@@ -163,25 +165,19 @@ def whole_segments(docs: DataFrame, n_buckets: int) -> DataFrame:
             yield from pieces.add(k1, k2, *own, s + off, e + off)
         yield from pieces.flush()
 
+    def one(bucket, blobs):
+        rows = [unpack(x, 6, KEY_BYTES) for x in blobs]
+        did, th, own, s, n, hot, k1, k2 = [np.concatenate(c) for c in zip(*rows)]
+        goes, asked, is_hot = _compare(k1, k2, did, hot > 0)
+        e = s + n + LENGTH
+        i = np.flatnonzero(goes)
+        yield by_bucket(own[i], SPANS, [did[i], th[i], s[i], e[i]])
+        for kind, mask in ((ASKED, asked & ~is_hot), (HOT_ASKED, is_hot)):
+            i = np.flatnonzero(mask)
+            yield by_bucket(own[i], kind, [did[i], th[i], s[i], e[i], np.full(len(i), bucket, np.int64)])
+
     def compare(batches):
-        rows = []
-        for b in batches:
-            passed = b[b["kind"] != KEYS]
-            if len(passed):
-                yield passed
-            for bucket, x in zip(b["bucket"], b["data"].where(b["kind"] == KEYS)):
-                if isinstance(x, bytes):
-                    did, th, own, s, e, hot, k1, k2 = unpack(x, 6, KEY_BYTES)
-                    here = np.full(len(did), bucket, np.int64)
-                    rows.append((did, th, own, s, e, hot, here, k1 | (here.astype(np.uint64) << np.uint64(40)), k2))
-        if rows:
-            did, th, own, s, e, hot, here, k1, k2 = [np.concatenate(c) for c in zip(*rows)]
-            goes, asked, is_hot = _compare(k1, k2, did, hot > 0)
-            i = np.flatnonzero(goes)
-            yield by_bucket(own[i], SPANS, [did[i], th[i], s[i], e[i] + LENGTH])
-            for kind, mask in ((ASKED, asked & ~is_hot), (HOT_ASKED, is_hot)):
-                i = np.flatnonzero(mask)
-                yield by_bucket(own[i], kind, [did[i], th[i], s[i], e[i] + LENGTH, here[i]])
+        yield from split_kinds(batches, KEYS, one)
 
     return (docs.select("did", "th", "bucket", "text").mapInPandas(find, BLOB_TYPE)
             .repartition(n_buckets, "bucket").mapInPandas(compare, BLOB_TYPE))
@@ -279,7 +275,6 @@ def _later(strings: list[bytes], did: np.ndarray):
     return own, off, at, b, order, starts, did[own] > least_of(did[own], order, starts)
 
 
-STRING_TYPE = "bucket int, kind int, did long, th long, own int, start long, data binary"
 STRINGS = 4
 
 
@@ -287,61 +282,72 @@ def partial_segments(docs: DataFrame, asked: DataFrame, n_buckets: int) -> DataF
     """Packed spans by document bucket from the segments asked for."""
 
     def fetch(own: pd.DataFrame, blobs: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
         if not len(blobs) or not len(own):
-            return pd.DataFrame(out, columns=["bucket", "kind", "did", "th", "own", "start", "data"])
-        text = {(d, h): t.encode("utf-8", "surrogatepass")
-                for d, h, t in zip(own["did"].tolist(), own["th"].tolist(), own["text"])}
+            return by_bucket(np.empty(0, np.int64), SPANS, [])
+        text = {(d, h): raw for d, h, _, raw in texts_of(own["data"])}
         bucket = int(own["bucket"].iloc[0])
-        hot = []
-        for kind, blob in zip(blobs["kind"].tolist(), blobs["data"]):
-            for d, h, s, e, to in zip(*[c.tolist() for c in unpack(blob, 5)]):
-                x = text[(d, h)][s:e]
-                if kind == HOT_ASKED:
-                    hot.append((d, h, s, x))
-                else:  # to the bucket of the anchor's gram
-                    out.append((to, STRINGS, d, h, bucket, s, x))
+
+        def read(kind: int):
+            """(did, th, start, to bucket) and the bytes of the segments asked for."""
+            rows = [unpack(x, 5) for k, x in zip(blobs["kind"], blobs["data"]) if k == kind]
+            if not rows:
+                return None
+            did, th, s, e, to = [np.concatenate(c) for c in zip(*rows)]
+            return did, th, s, to, [text[(d, h)][a:z] for d, h, a, z in zip(
+                did.tolist(), th.tolist(), s.tolist(), e.tolist())]
+
+        frames = []
+
+        def send(did, th, s, to, strings):
+            o = np.argsort(to, kind="stable")
+            cut = np.flatnonzero(np.r_[True, to[o][1:] != to[o][:-1]])
+            for a, z in zip(cut.tolist(), np.r_[cut[1:], len(o)].tolist()):
+                i = o[a:z]
+                data = pack_strings([did[i], th[i], np.full(len(i), bucket, np.int64), s[i]], [strings[j] for j in i])
+                frames.append(pd.DataFrame({"bucket": [np.int32(to[i[0]])], "kind": [np.int32(STRINGS)], "data": [data]}))
+
+        plain, hot = read(ASKED), read(HOT_ASKED)
+        if plain:  # to the bucket of the anchor's gram
+            send(*plain)
         if hot:  # sorted here; one copy of each string goes on, by its own hash
-            did = np.array([r[0] for r in hot], np.int64)
-            o, off, at, b, order, runs, goes = _later([r[3] for r in hot], did)
-            to = (_mix(PrefixHash(b).of(at, LENGTH)) >> np.uint64(33)) % np.uint64(n_buckets)
+            did, th, s, _, strings = hot
+            o, off, at, b, order, runs, goes = _later(strings, did)
+            to = ((_mix(PrefixHash(b).of(at, LENGTH)) >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int64)
             run = np.empty(len(order), np.int64)
             run[order] = np.repeat(np.arange(len(runs)), np.diff(np.r_[runs, len(order)]))
-            raw, sent = b.tobytes(), set()
-            for i in range(len(order)):
-                d, h, s, _ = hot[o[i]]
-                s += int(off[i])
-                if goes[i]:
-                    out.append((bucket, SPANS, d, h, bucket, s, b""))
-                elif (key := (int(run[i]), d, h, s)) not in sent:
-                    sent.add(key)
-                    out.append((int(to[i]), STRINGS, d, h, bucket, s, raw[at[i]:at[i] + LENGTH]))
-        return pd.DataFrame(out, columns=["bucket", "kind", "did", "th", "own", "start", "data"])
+            place = s[o] + off
+            i = np.flatnonzero(goes)
+            frames.append(by_bucket(np.full(len(i), bucket, np.int64), SPANS,
+                                    [did[o[i]], th[o[i]], place[i], place[i] + LENGTH]))
+            i = np.flatnonzero(~goes)
+            sort, starts = runs_of(run[i], did[o[i]], th[o[i]], place[i])  # overlapping segments repeat places
+            i = i[sort[starts]]
+            raw = b.tobytes()
+            send(did[o[i]], th[o[i]], place[i], to[i], [raw[x:x + LENGTH] for x in at[i].tolist()])
+        return pd.concat(frames, ignore_index=True)
+
+    def one(_, blobs):
+        rows, strings = [], []
+        for x in blobs:
+            columns, own = unpack_strings(x, 4)
+            rows.append(columns)
+            strings += own
+        did, th, own, start = [np.concatenate(c) for c in zip(*rows)]
+        o, off, _, _, _, _, goes = _later(strings, did)
+        i = np.flatnonzero(goes)
+        if not len(i):
+            return
+        k, s = o[i], start[o[i]] + off[i]
+        # neighbouring starts of a segment leave as one span
+        a = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1] + 1)])
+        z = np.r_[a[1:], len(i)] - 1
+        yield by_bucket(own[k[a]], SPANS, [did[k[a]], th[k[a]], s[a], s[z] + LENGTH])
 
     def sort(batches):
-        rows = []
-        for b in batches:
-            done = b[b["kind"] == SPANS]
-            if len(done):
-                s = done["start"].to_numpy(np.int64)
-                yield by_bucket(done["own"].to_numpy(np.int64), SPANS, [done["did"].to_numpy(np.int64),
-                                done["th"].to_numpy(np.int64), s, s + LENGTH])
-            rows.append(b[b["kind"] == STRINGS])
-        if rows and sum(map(len, rows)):
-            r = pd.concat(rows, ignore_index=True)
-            did, th, own, start = [r[c].to_numpy(np.int64) for c in ("did", "th", "own", "start")]
-            o, off, _, _, _, _, goes = _later(r["data"].tolist(), did)
-            i = np.flatnonzero(goes)
-            k, s = o[i], start[o[i]] + off[i]
-            # neighbouring starts of a segment leave as one span
-            new = np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1] + 1)] if len(i) else np.empty(0, bool)
-            a = np.flatnonzero(new)
-            z = np.r_[a[1:], len(i)] - 1
-            if len(a):
-                yield by_bucket(own[k[a]], SPANS, [did[k[a]], th[k[a]], s[a], s[z] + LENGTH])
-
-    return (docs.select("did", "th", "bucket", "text").groupBy("bucket").cogroup(asked.groupBy("bucket"))
-            .applyInPandas(fetch, STRING_TYPE)
+        yield from split_kinds(batches, STRINGS, one)
+
+    return (packed_texts(docs).groupBy("bucket").cogroup(asked.groupBy("bucket"))
+            .applyInPandas(fetch, BLOB_TYPE)
             .repartition(n_buckets, "bucket").mapInPandas(sort, BLOB_TYPE))
 
 
@@ -353,8 +359,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null id ranks last. An empty table gives an empty result.
     """
     src, n = sources(docs, id_col, text_col)
-    found = keep(whole_segments(src, n))
+    found = keep(whole_segments(src, n))  # read twice
     asked = found.where(f"kind in ({ASKED}, {HOT_ASKED})")
     spans = found.where(f"kind = {SPANS}").select("bucket", "data").unionByName(
-        keep(partial_segments(src, asked, n)).select("bucket", "data"))
+        partial_segments(src, asked, n).select("bucket", "data"))
     return cut_out(src, spans, with_text)
