@@ -1,15 +1,19 @@
 """Substring dedup by content-defined chunking.
 
 A gear hash rolls over the bytes of a text: each step shifts the hash by one
-bit and adds a random number of the byte, so it depends on the last 32 bytes.
-A chunk ends where ``mask`` bits of the hash are zero, at ``least`` bytes at
-the earliest and ``most`` at the latest. Cuts depend on content alone, so an
-insertion moves only the cuts next to it.
+bit and adds a random number of the byte, so its low 16 bits depend on the last
+16 bytes. A chunk ends where these bits are smaller than at any of the ``REACH``
+bytes before and no larger than at the ``REACH`` bytes behind, so chunks have
+more than ``REACH`` bytes, ``MOST`` at the latest, and a cut depends on nothing
+but the bytes around it: an insertion moves only the cuts next to it, and the
+copies of a passage are cut alike from their first bytes on.
 
 Chunks are deduplicated by their BLAKE2b digest: the chunk of the smallest
-doc_id stays, the first within it, all others are taken out. Copies within a
-task are settled there; what is left is packed by digest and settled after one
-shuffle; a second one brings the spans to their texts.
+doc_id stays, the first within it, all others are taken out. Runs of copied
+chunks of fewer than ``LEAST_RUN`` bytes stay: they are common phrases rather
+than passages. Copies within a task are settled there; what is left is packed
+by digest and settled after one shuffle; a second one brings the spans to their
+texts.
 """
 
 from __future__ import annotations
@@ -23,53 +27,63 @@ from pyspark.sql import DataFrame
 from martstar.llm.spans import (
     BLOB_TYPE, Pieces, batches_of_bytes, by_bucket, cut_out, least_of, runs_of, sources, split_kinds, unpack)
 
-LEAST = 24
-MASK_BITS = 5  # a cut every 32 bytes behind the least length
+REACH = 8
 MOST = 256
-WINDOW = 32
+LEAST_RUN = 50
+WINDOW = 16
 KEY_BYTES = (8, 8)
 BLOCK_BYTES = 1 << 20
 
-GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
-# the upper bits depend on all 32 bytes of the window, the lower ones on few
-MASK = np.uint32(((1 << MASK_BITS) - 1) << 16)
+GEAR = np.random.default_rng(20240229).integers(0, 1 << 16, 256, dtype=np.uint16)
 
 KEYS, SPANS = 0, 1
 
 
 def gear_hash(b: np.ndarray) -> np.ndarray:
-    """The rolling hash behind every byte, by doubling the window."""
+    """The rolling hash behind every byte, by doubling the window; 16 bits hold 16 bytes."""
     h = GEAR[b]
     width = 1
     while width < WINDOW:
         longer = h.copy()
-        longer[width:] += h[:-width] << np.uint32(width)
+        longer[width:] += h[:-width] << np.uint16(width)
         h, width = longer, width * 2
     return h
 
 
+def _marks(h: np.ndarray) -> np.ndarray:
+    """Places whose hash is below the REACH before and not above the REACH behind."""
+    inf = np.full(REACH, 1 << 16, np.int32)
+    low = np.concatenate([inf, h.astype(np.int32), inf])
+    step = 1
+    while step < REACH:  # smallest of REACH neighbours
+        low = np.minimum(low[:-step], low[step:])
+        step *= 2
+    n = len(h)
+    return np.flatnonzero((h < low[:n]) & (h <= low[REACH + 1:REACH + 1 + n]))
+
+
 def chunk_ends(b: bytes) -> list[int]:
     """Ends of the chunks of one text; the last is its length."""
     n = len(b)
-    marks: list[int] = []
-    for lo in range(0, n, BLOCK_BYTES):  # long texts in blocks that overlap by the window
-        back = min(lo, WINDOW - 1)
-        h = gear_hash(np.frombuffer(b, np.uint8, min(BLOCK_BYTES, n - lo) + back, lo - back))[back:]
-        marks += (np.flatnonzero((h & MASK) == 0) + lo + 1).tolist()
-    ends, at = [], 0
-    for m in marks:
+    parts = []
+    for lo in range(0, n, BLOCK_BYTES):  # long texts in blocks that overlap by all a cut depends on
+        back = min(lo, WINDOW - 1 + REACH)
+        size = min(BLOCK_BYTES, n - lo)
+        h = gear_hash(np.frombuffer(b, np.uint8, min(size + REACH, n - lo) + back, lo - back))
+        m = _marks(h) - back
+        parts.append(m[(m >= 0) & (m < size)] + lo)
+    marks = np.concatenate(parts) if parts else np.empty(0, np.int64)
+    ends = (marks[marks >= REACH] + 1).tolist()
+    if not ends or ends[-1] < n:
+        ends += [n] * (n > 0)
+    out, at = [], 0
+    for m in ends:
         while m - at > MOST:
             at += MOST
-            ends.append(at)
-        if m - at >= LEAST:
-            at = m
-            ends.append(at)
-    while n - at > MOST:
-        at += MOST
-        ends.append(at)
-    if at < n:
-        ends.append(n)
-    return ends
+            out.append(at)
+        out.append(m)
+        at = m
+    return out
 
 
 def _settle(k1, k2, did):
@@ -105,7 +119,7 @@ def removed_chunks(docs: DataFrame, n_buckets: int) -> DataFrame:
                     seen.add(d)
                     digests.append(d)
                     s = e
-            k = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+            k = np.frombuffer(bytearray().join(digests), "<u8").reshape(-1, 2)
             end = np.array([e for es in ends for e in es], np.int64)
             start = np.r_[np.int64(0), end[:-1]] if len(end) else end
             first = np.cumsum([0, *n[:-1]])[np.array(n) > 0]
@@ -132,7 +146,7 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Bytes are those of the UTF-8 text; null is empty. Of equal chunks the first
     of the smallest doc_id stays; rows that repeat a doc_id don't remove from
-    each other. A null id ranks last. An empty table gives an empty result.
+    each other. Removed runs have LEAST_RUN bytes at least. A null id ranks last. An empty table gives an empty result.
     """
     src, n = sources(docs, id_col, text_col)
-    return cut_out(src, removed_chunks(src, n), with_text)
+    return cut_out(src, removed_chunks(src, n), with_text, LEAST_RUN)

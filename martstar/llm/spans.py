@@ -192,8 +192,9 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 RESULT_TYPE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataFrame:
-    """Remove spans (packed rows of did, th, start, end by document bucket) from each text."""
+def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False, least_run: int = 1) -> DataFrame:
+    """Remove spans (packed rows of did, th, start, end by document bucket) from
+    each text; merged runs of fewer than ``least_run`` bytes stay."""
 
     def run(own: pd.DataFrame, blobs: pd.DataFrame) -> pd.DataFrame:
         cols = [unpack(b, 4) for b in blobs["data"]]
@@ -208,6 +209,7 @@ def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataF
             left, gone, n = b, 0, 0
             if rows is not None:
                 a, z = merged(s[rows], e[rows])
+                a, z = a[z - a >= least_run], z[z - a >= least_run]
                 edges = np.r_[0, np.c_[a, z].ravel(), len(b)].reshape(-1, 2)
                 left = b"".join(b[x:y] for x, y in edges.tolist())
                 gone, n = int((z - a).sum()), len(a)

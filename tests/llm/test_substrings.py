@@ -124,39 +124,49 @@ def test_long_text_in_blocks(spark, monkeypatch):
 def plain_gear(b):
     h, out = 0, []
     for x in b:
-        h = ((h << 1) + int(chunk_dedup.GEAR[x])) & 0xFFFFFFFF
+        h = ((h << 1) + int(chunk_dedup.GEAR[x])) & 0xFFFF
         out.append(h)
     return out
 
 
+def plain_ends(b):
+    h, k, ends, at = plain_gear(b), chunk_dedup.REACH, [], 0
+    for i in range(k, len(b)):
+        if h[i] < min(h[i - k:i]) and h[i] <= min(h[i + 1:i + 1 + k], default=1 << 16):
+            ends.append(i + 1)
+    out = []
+    for m in sorted({*ends, len(b)} - {0}):
+        while m - at > chunk_dedup.MOST:
+            at += chunk_dedup.MOST
+            out.append(at)
+        out.append(m)
+        at = m
+    return out
+
+
 def brute_chunks(rows):
     key = lambda d: 2**63 - 1 if d is None else d
     first, cut = {}, []
     for d, t, *_ in rows:
-        b, at, ends = (t or "").encode(), 0, []
-        for i, h in enumerate(plain_gear(b), 1):
-            if i - at == chunk_dedup.MOST or (i - at >= chunk_dedup.LEAST and h & int(chunk_dedup.MASK) == 0):
-                ends.append(i)
-                at = i
-        if at < len(b):
-            ends.append(len(b))
+        b = (t or "").encode()
+        ends = plain_ends(b)
         chunks = [b[s:e] for s, e in zip([0, *ends], ends)]
         cut.append((d, b, chunks))
         for c in chunks:
             first[c] = min(first.get(c, key(d)), key(d))
     out = []
     for d, b, chunks in cut:
-        seen, left, gone, runs, was = set(), [], 0, 0, False
+        seen, groups = set(), []
         for c in chunks:
             drop = first[c] < key(d) or c in seen
             seen.add(c)
-            if drop:
-                gone += len(c)
-                runs += not was
+            if groups and groups[-1][0] == drop:
+                groups[-1][1].append(c)
             else:
-                left.append(c)
-            was = drop
-        out.append((d, len(b), gone, runs, hashlib.sha256(b"".join(left)).hexdigest()))
+                groups.append((drop, [c]))
+        runs = [b"".join(cs) for drop, cs in groups if drop and sum(map(len, cs)) >= chunk_dedup.LEAST_RUN]
+        left = [b"".join(cs) for drop, cs in groups if not drop or sum(map(len, cs)) < chunk_dedup.LEAST_RUN]
+        out.append((d, len(b), sum(map(len, runs)), len(runs), hashlib.sha256(b"".join(left)).hexdigest()))
     return sorted(out, key=str)
 
 
