@@ -55,34 +55,33 @@ def tracked_top_performers(t: Tables, symbols: Symbols, k: int = 3,
 
 def rank_desc_nulls_first(history: DataFrame, targets: DataFrame, value: str,
                           key: str) -> DataFrame:
-    """All-time ``RANK() OVER (ORDER BY value DESC NULLS FIRST)`` of a few rows.
+    """All-time ``RANK() OVER (ORDER BY value DESC NULLS FIRST)`` of some rows.
 
     ``rank(x) = 1 + #(value IS NULL) + #(value > x)`` for non-null x, 1 for null.
-    The few target values are sorted into one array (a scalar subquery);
-    each history row is assigned the number ``m`` of targets strictly below
-    its value, and a ``groupBy(m)`` (partial aggregation, at most
-    ``#targets + 1`` groups) gives the counts. No global sort, no
-    single-partition window, no pairs of rows.
+    The history is first combined into counts per distinct value (map-side,
+    then by value). Values are grouped into buckets of a thousandth: counts of
+    the buckets above, plus counts of the values above within the bucket. The
+    running sum over buckets is over at most 2 * 10^5 rows, as a return is a
+    ``DECIMAL(8,6)``; the one within a bucket over at most 1,000. No sort of the
+    history, no pairs of rows, and any number of targets.
     """
-    arr_df = targets.where(F.col(value).isNotNull()).agg(
-        F.array_sort(F.collect_set(F.col(value).cast("double"))).alias("_targets"))
-    arr = F.col("_targets")
-    v = F.col(value).cast("double")
-    below = F.size(F.filter(arr, lambda x: x < v))
-    m = F.when(v.isNull(), F.size(arr)).otherwise(below)
-    # one-row aggregate, broadcast to every task of the history scan
-    hist = (history.select(value).join(F.broadcast(arr_df), how="cross")
-            .select(m.alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n")))
-    # rows above the j-th smallest target = sum of n over m >= j; both sides
-    # of this join hold at most #targets + 1 rows
-    tj = (targets.join(F.broadcast(arr_df), how="cross")
-          .select(key, value, F.array_position(arr, F.col(value).cast("double"))
-                  .cast("int").alias("j")))
-    joined = (tj.join(F.broadcast(hist), F.col("m") >= F.col("j"), "left")
-              .groupBy(key, value).agg(F.sum("n").alias("above")))
+    counts = (history.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("b", F.floor(F.col(value) * 1000)))
+    nulls = counts.agg(F.coalesce(F.sum(F.when(F.col(value).isNull(), F.col("n"))), F.lit(0)).alias("nulls"))
+    known = counts.where(F.col(value).isNotNull())
+
+    def before(w):
+        return w.rowsBetween(Window.unboundedPreceding, -1)
+
+    buckets = known.groupBy("b").agg(F.sum("n").alias("n")).select(
+        "b", F.coalesce(F.sum("n").over(before(Window.orderBy(F.col("b").desc()))), F.lit(0)).alias("above"))
+    within = F.coalesce(F.sum("n").over(before(Window.partitionBy("b").orderBy(F.col(value).desc()))), F.lit(0))
+    ranked = (known.select(value, "b", within.alias("within")).join(bounded(buckets), "b")
+              .select(F.col(value).alias("_value"), (F.col("above") + F.col("within")).alias("above")))
+    joined = targets.join(ranked, F.col(value) == F.col("_value"), "left").join(bounded(nulls), how="cross")
     return joined.select(
         key, F.when(F.col(value).isNull(), F.lit(1))
-        .otherwise(F.coalesce(F.col("above"), F.lit(0)) + 1).cast("int").alias("performance_rank"))
+        .otherwise(F.col("nulls") + F.col("above") + 1).cast("int").alias("performance_rank"))
 
 
 def performance_details(t: Tables, symbols: Symbols, window: int = 30,
@@ -114,7 +113,8 @@ def performance_details(t: Tables, symbols: Symbols, window: int = 30,
         F.stddev_samp(F.when(inw, F.col("daily_return").cast("double"))).alias("vol"),
         F.max(F.when(F.col("rn") == window + 1, F.col("closing_price"))).alias("p_ago"))
     per = per.where(F.col("trade_date") == latest_stock_date(t))
-    ranks = rank_desc_nulls_first(rows.select("daily_return"), per, "daily_return", "symbol")
+    ranks = rank_desc_nulls_first(rows.select("daily_return"), per.select("symbol", "daily_return"),
+                                  "daily_return", "symbol")
     p, p0 = F.col("price_usd"), F.col("p_ago")
     change = F.when(p0.isNotNull() & (p0 > 0),
                     F.round((p.cast("double") - p0.cast("double")) / p0.cast("double") * 100, 4))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.calendar import date_of_id
 from ..tables import PAIR, Tables
 
 Symbols = Optional[Union[Sequence[str], DataFrame]]
@@ -58,9 +59,7 @@ def star(t: Tables, active_only: bool = True, columns: Iterable[str] | None = No
 
 def latest_stock_date(t: Tables) -> Column:
     """Scalar subquery: the latest date that has any stock price."""
-    return (t.prices.select("date_id")
-            .join(bounded(t.dim_date.select("date_id", "date_value")), "date_id")
-            .agg(F.max("date_value")).scalar())
+    return _last_days(t).agg(date_of_id(F.max("date_id"))).scalar()
 
 
 def restrict_symbols(df: DataFrame, symbols: Symbols, col: str = "symbol") -> DataFrame:
@@ -89,9 +88,14 @@ def latest_stock_date_id(t: Tables) -> Column:
     ``date_id`` is ``yyyyMMdd`` (see ``functions.calendar``), so its maximum is
     the latest date; only the ``date_id`` column of the fact is read, and the
     value then filters the fact scan itself (a runtime pushed filter that
-    skips the date-sorted row groups of other days).
+    skips the date-sorted row groups of other days). Where the fact is
+    partitioned only the last year in the listing is read.
     """
-    return t.prices.agg(F.max("date_id")).scalar()
+    return _last_days(t).agg(F.max("date_id")).scalar()
+
+
+def _last_days(t: Tables) -> DataFrame:
+    return t.prices if t.last_year is None else t.prices_where(low=t.last_year * 10000)
 
 
 def latest_rate_date_id(t: Tables, pair: tuple[str, str] = PAIR) -> Column:
@@ -105,11 +109,10 @@ def day_id(d) -> int:
 
 def on_day(t: Tables, date_id) -> Tables:
     """The warehouse restricted to the prices of one day (filter at the scan)."""
-    v = date_id if isinstance(date_id, Column) else F.lit(date_id)
-    return t.with_(prices=t.prices.where(F.col("date_id") == v))
+    return t.with_(prices=t.prices_where(date_id, date_id))
 
 
 def since(t: Tables, first_day) -> Tables:
     """The warehouse restricted to prices on or after ``first_day`` (a date):
     the ``date_id`` range reaches the fact scan as a pushed filter."""
-    return t.with_(prices=t.prices.where(F.col("date_id") >= F.lit(day_id(first_day))))
+    return t.with_(prices=t.prices_where(low=day_id(first_day)))

@@ -62,6 +62,14 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     return state, counts
 
 
+def staged(batch: DataFrame) -> DataFrame:
+    """The conformed batch, computed once: a merge and its counts read it several times."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(batch.sparkSession)
+    return batch.checkpoint()
+
+
 def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert only rows whose key is absent (``ON CONFLICT DO NOTHING``)."""
     # the batch's keys choose the target rows to compare with, so a small batch
@@ -114,6 +122,7 @@ RATE_SET = ["exchange_rate", "updated_at"]
 def upsert_prices(t: Tables, records: DataFrame, as_of_ts: _dt.datetime):
     """Returns (new price fact, counts, rejects, new dates for dim_date)."""
     rows, rejects = conform_price_batch(t, records, as_of_ts)
+    rows = staged(rows)
     state, counts = merge(t.prices, rows.select(*t.prices.columns), ["stock_id", "date_id"], PRICE_SET)
     return state, counts, rejects, rows.select(F.col("date_value").alias("date"))
 
@@ -147,6 +156,7 @@ def conform_rate_batch(t: Tables, records: DataFrame, as_of_ts: _dt.datetime,
 def upsert_rates(t: Tables, records: DataFrame, as_of_ts: _dt.datetime):
     """Returns (new rate fact, counts, rejects, new dates)."""
     rows, rejects = conform_rate_batch(t, records, as_of_ts)
+    rows = staged(rows)
     state, counts = merge(t.rates, rows.select(*t.rates.columns),
                           ["from_currency_id", "to_currency_id", "date_id"], RATE_SET)
     return state, counts, rejects, rows.select(F.col("date_value").alias("date"))

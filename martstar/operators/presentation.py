@@ -80,10 +80,8 @@ def price_history(t: Tables, symbols: Sequence[str], as_of: _dt.date, start: Opt
     syms = normalize_symbols(symbols, extra_chars=extra_chars)
     check_dates(start, end, as_of)
     # the date range also filters the fact scan (date_id is yyyyMMdd)
-    if start:
-        t = t.with_(prices=t.prices.where(F.col("date_id") >= F.lit(day_id(start))))
-    if end:
-        t = t.with_(prices=t.prices.where(F.col("date_id") <= F.lit(day_id(end))))
+    if start or end:
+        t = t.with_(prices=t.prices_where(day_id(start) if start else None, day_id(end) if end else None))
     # symbols compare case-insensitively, as the request normalises them
     rows = (star(t, columns=["closing_price", "volume", "daily_return"])
             .where(F.upper(F.col("symbol")).isin(syms)))

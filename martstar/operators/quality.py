@@ -14,23 +14,34 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import date_of_id
 from ..tables import Tables
-from .common import bounded
+from .common import bounded, day_id, on_day
 
 
 def _price_measures(t: Tables, as_of: _dt.date, tracked: Sequence[str]) -> DataFrame:
-    p = t.prices.join(bounded(t.dim_date.select("date_id", "date_value")), "date_id")
-    p = p.join(t.dim_stocks.select("stock_id", "symbol"), "stock_id", "left")
+    """All measures of the price fact as one row, from one pass over it.
+
+    Rows are combined by key first (the duplicate check needs that), so the
+    tracked stocks are joined to one row per key.
+    """
     o, h, lo, c, r = (F.col(x) for x in ("opening_price", "high_price", "low_price",
                                          "closing_price", "daily_return"))
-    recent_tracked = F.col("symbol").isin(list(tracked)) & (
-        F.col("date_value") >= F.date_sub(F.lit(as_of), 30))
-    return p.agg(
-        F.count_if((o <= 0) | (h <= 0) | (lo <= 0) | (c <= 0)).alias("negative_prices"),
-        F.count_if((h < lo) | (c > h) | (c < lo) | (o > h) | (o < lo)).alias("invalid_relationships"),
-        F.count_if((r < -50) | (r > 50)).alias("extreme_returns"),
-        F.max("date_value").alias("max_date"),
-        F.count_distinct(F.when(recent_tracked, F.col("symbol"))).alias("tracked_present"))
+    keys = t.prices.groupBy("stock_id", "date_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if((o <= 0) | (h <= 0) | (lo <= 0) | (c <= 0)).alias("negative"),
+        F.count_if((h < lo) | (c > h) | (c < lo) | (o > h) | (o < lo)).alias("invalid"),
+        F.count_if((r < -50) | (r > 50)).alias("extreme"))
+    wanted = t.dim_stocks.where(F.col("symbol").isin(list(tracked))).select("stock_id", F.lit(True).alias("tracked"))
+    recent = F.col("tracked") & (F.col("date_id") >= day_id(as_of - _dt.timedelta(days=30)))
+    zero = F.lit(0).cast("bigint")
+    return keys.join(bounded(wanted), "stock_id", "left").agg(
+        F.count_if(F.col("n") > 1).alias("duplicates"),
+        F.coalesce(F.sum("negative"), zero).alias("negative_prices"),
+        F.coalesce(F.sum("invalid"), zero).alias("invalid_relationships"),
+        F.coalesce(F.sum("extreme"), zero).alias("extreme_returns"),
+        date_of_id(F.max("date_id")).alias("max_date"),
+        F.count_distinct(F.when(recent, F.col("stock_id"))).alias("tracked_present"))
 
 
 def _rows(df: DataFrame, rows) -> DataFrame:
@@ -41,22 +52,19 @@ def _rows(df: DataFrame, rows) -> DataFrame:
 
 
 def quality_checks(t: Tables, as_of: _dt.date, tracked: Sequence[str]) -> DataFrame:
-    """The seven checks of the daily ETL as rows (a union of one-row results,
-    like the reference's UNION ALL; no join between the aggregates)."""
-    pm = _price_measures(t, as_of, tracked)
-    dups = (t.prices.groupBy("stock_id", "date_id").count().where(F.col("count") > 1)
-            .agg(F.count(F.lit(1)).alias("duplicates")))
+    """The seven checks of the daily ETL as rows, from one row of measures per fact."""
     bad_rates = t.rates.agg(F.count_if(F.col("exchange_rate") <= 0).alias("bad_rates"))
+    measures = _price_measures(t, as_of, tracked).join(bad_rates, how="cross")  # one row each
     missing_recent = F.when(F.col("max_date") < F.date_sub(F.lit(as_of), 7), 1).otherwise(0)
-    return (_rows(dups, [("Duplicate stock prices", F.col("duplicates"), "CRITICAL")])
-            .unionByName(_rows(pm, [
-                ("Negative stock prices", F.col("negative_prices"), "CRITICAL"),
-                ("Invalid price relationships", F.col("invalid_relationships"), "CRITICAL"),
-                ("Extreme daily returns", F.col("extreme_returns"), "WARNING")]))
-            .unionByName(_rows(bad_rates, [("Invalid currency rates", F.col("bad_rates"), "CRITICAL")]))
-            .unionByName(_rows(pm, [
-                ("Missing recent data", missing_recent, "WARNING"),
-                ("Missing stock data", F.lit(len(tracked)) - F.col("tracked_present"), "WARNING")])))
+    # fixed output values: names and severities
+    return _rows(measures, [
+        ("Duplicate stock prices", F.col("duplicates"), "CRITICAL"),
+        ("Negative stock prices", F.col("negative_prices"), "CRITICAL"),
+        ("Invalid price relationships", F.col("invalid_relationships"), "CRITICAL"),
+        ("Extreme daily returns", F.col("extreme_returns"), "WARNING"),
+        ("Invalid currency rates", F.col("bad_rates"), "CRITICAL"),
+        ("Missing recent data", missing_recent, "WARNING"),
+        ("Missing stock data", F.lit(len(tracked)) - F.col("tracked_present"), "WARNING")])
 
 
 def quality_score(t: Tables) -> DataFrame:
@@ -75,8 +83,7 @@ def quality_score(t: Tables) -> DataFrame:
 
 def quality_status(t: Tables, date: _dt.date, expected: int = 7) -> DataFrame:
     """PASS / WARN / FAIL status of one day's loads."""
-    p = t.prices.join(bounded(t.dim_date.where(F.col("date_value") == F.lit(date))
-                              .select("date_id")), "date_id")
+    p = on_day(t, day_id(date)).prices
     m = p.agg(F.count(F.lit(1)).alias("total_records"),
               F.count_distinct("stock_id").alias("unique_stocks"),
               F.count_if(F.col("daily_return").isNull()).alias("null_returns"),

@@ -9,6 +9,7 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.calendar import date_of_id
 from ..tables import PAIR, Tables
 from .common import bounded, pair_rates
 
@@ -39,9 +40,8 @@ def table_inventory(spark: SparkSession, t: Tables, landing_dir: Optional[str] =
 
 def freshness(t: Tables, symbols: Optional[Sequence[str]] = None) -> DataFrame:
     """Latest price date per symbol (joined through ``dim_stocks``)."""
-    p = (t.prices.select("stock_id", "date_id")
-         .join(bounded(t.dim_date.select("date_id", "date_value")), "date_id")
-         .groupBy("stock_id").agg(F.max("date_value").alias("latest_date")))
+    # date_id orders as the dates do, so the fact needs no join for its maximum
+    p = t.prices.groupBy("stock_id").agg(date_of_id(F.max("date_id")).alias("latest_date"))
     out = p.join(t.dim_stocks.select("stock_id", "symbol"), "stock_id").select("symbol", "latest_date")
     if symbols is not None:
         out = out.where(F.col("symbol").isin(list(symbols)))
@@ -68,7 +68,7 @@ def missing_dates(t: Tables, as_of: _dt.date, days: int = 10,
     window = F.sequence(F.date_sub(F.lit(as_of), days), F.lit(as_of))
     grid = stocks.select("stock_id", "symbol", F.explode(window).alias("date_value")).join(cal, "date_value")
     first = as_of - _dt.timedelta(days=days)
-    present = t.prices.where(F.col("date_id") >= F.lit(first.year * 10000 + first.month * 100 + first.day))
+    present = t.prices_where(low=first.year * 10000 + first.month * 100 + first.day)
     return (grid.join(present.select("stock_id", "date_id"), ["stock_id", "date_id"], "left_anti")
             .select("symbol", F.col("date_value").alias("missing_date")))
 
@@ -109,8 +109,7 @@ def archive_split(t: Tables, as_of: _dt.date, years: int = 2) -> tuple[DataFrame
     """Price rows to keep and to archive (older than ``years``)."""
     # a constant on the fact's own column, so it reaches the scan
     cut = F.date_format(F.add_months(F.lit(as_of), -12 * years), "yyyyMMdd").cast("int")
-    keep = t.prices.where(F.col("date_id") >= cut)
-    archive = t.prices.where(F.col("date_id") < cut)
+    keep, archive = t.prices_where(low=cut), t.prices_where(high=cut - 1)
     return keep, archive
 
 

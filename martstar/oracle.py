@@ -620,24 +620,54 @@ SELECT symbol, symbol || ' Inc.' AS company_name, 'TECHNOLOGY' AS sector, CAST(N
 FROM g
 """)
 
-SQL["payload_triage"] = """
-SELECT event_id,
-  CASE event_id % 6 WHEN 0 THEN 'ok' WHEN 1 THEN 'error' WHEN 2 THEN 'rate_limited' WHEN 3 THEN 'daily_limit'
-                    WHEN 4 THEN 'auth' ELSE 'empty' END AS status,
-  CASE event_id % 6
-    WHEN 1 THEN 'Unknown symbol. Please retry or visit the documentation for TIME_SERIES_DAILY.'
-    WHEN 2 THEN 'Thank you for using the API! Our standard API call frequency is 5 calls per minute.'
-    WHEN 3 THEN 'Our standard API rate limit is 25 requests per day.'
-    WHEN 4 THEN 'Invalid API key. Authentication failed.' END AS message
-FROM events
-"""
+def _event_bodies() -> str:
+    from .registry import EVENT_BODIES
 
-SQL["payload_structure"] = """
-SELECT event_id,
-  CASE WHEN event_id % 6 = 0 THEN '' ELSE 'Expected key ''Time Series (Daily)'' not found in response' END AS errors,
-  CASE WHEN event_id % 6 = 0 THEN 0 ELSE 1 END AS n_errors
-FROM events
-"""
+    kinds = ", ".join("'" + b.replace("'", "''") + "'" for b in EVENT_BODIES)
+    return f"""
+WITH texts AS (SELECT event_id, replace([{kinds}][1 + event_id % {len(EVENT_BODIES)}], '{{u}}', CAST(user_id AS VARCHAR))
+                      AS body FROM events),
+parsed AS (SELECT event_id, IF(json_valid(body), IF(json_type(body) = 'OBJECT', body, NULL), NULL) AS j FROM texts)"""
+
+
+# The words that tell the classes apart, each list as one pattern.
+_SAYS = {"notice": "rate limit|frequency|calls per|thank you for using", "limit": "rate limit|requests per minute",
+         "daily": "25 requests per day|daily rate limit|requests per day", "auth": "invalid api|authentication"}
+
+
+def _says(text: str, kind: str) -> str:
+    return f"COALESCE(regexp_matches(lower({text}), '{_SAYS[kind]}'), FALSE)"
+
+
+_KEY = lambda k: f"json_extract_string(j, '$.\"{k}\"')"
+_NOTICES = ", ".join(f"IF({_says(_KEY(k), 'notice')}, {_KEY(k)}, NULL)" for k in ("Note", "note", "Information"))
+
+
+def _triage() -> str:
+    return f"""{_event_bodies()},
+said AS (SELECT event_id, j, COALESCE({_KEY('Error Message')}, {_KEY('error')}, {_KEY('message')}) AS failure,
+                COALESCE({_NOTICES}) AS notice FROM parsed)
+SELECT event_id, COALESCE(failure, notice) AS message,
+       CASE WHEN j IS NULL THEN 'invalid'
+            WHEN failure IS NOT NULL AND {_says('failure', 'limit')}
+            THEN IF({_says('failure', 'daily')}, 'daily_limit', 'rate_limited')
+            WHEN failure IS NOT NULL THEN IF({_says('failure', 'auth')}, 'auth', 'error')
+            WHEN notice IS NOT NULL THEN IF({_says('notice', 'daily')}, 'daily_limit', 'rate_limited')
+            ELSE IF(len(json_keys(j)) = 0, 'empty', 'ok') END AS status
+FROM said"""
+
+
+def _structure() -> str:
+    return f"""{_event_bodies()},
+days AS (SELECT event_id, json_extract(j, '$."Time Series (Daily)"') AS d FROM parsed),
+found AS (
+  SELECT event_id, CASE
+    WHEN d IS NULL THEN 'Expected key ''Time Series (Daily)'' not found in response'
+    WHEN json_type(d) <> 'OBJECT' THEN 'Time series data must be a dictionary'
+    WHEN len(json_keys(d)) = 0 THEN 'Time series data is empty'
+    WHEN len(list_filter(json_extract(d, '$.*'), lambda e: json_type(e) <> 'OBJECT' OR len(json_keys(e)) = 0)) > 0
+    THEN 'Values for every date must be a non-empty dictionary' END AS problem FROM days)
+SELECT event_id, COALESCE(problem, '') AS errors, CAST(problem IS NOT NULL AS INT) AS n_errors FROM found"""
 
 
 # -- dimensions, keyed writes, backfill, status, conform, presentation -----
@@ -1111,3 +1141,7 @@ SELECT 'DEDUPLICATION' AS operation_type, 'stock_prices,exchange_rates' AS table
      + (SELECT COUNT(*) - COUNT(DISTINCT (from_currency, to_currency, date)) FROM exchange_rates WHERE {IN_P})
        AS records_affected, 'COMPLETED' AS status
 """)
+
+# the bodies are those of the registry
+SQL["payload_triage"] = _triage()
+SQL["payload_structure"] = _structure()

@@ -441,26 +441,30 @@ def _s8(spark, sf_dir):
     return PL.parse_overview(g.select(body.alias("body"))).drop("overview")
 
 
-# Fixed texts of the generated error / notice payloads
-_TRIAGE_BODIES = [
-    None,  # case 0: a valid one-point daily series, built from the event
-    '{"Error Message": "Unknown symbol. Please retry or visit the documentation for TIME_SERIES_DAILY."}',
-    '{"Note": "Thank you for using the API! Our standard API call frequency is 5 calls per minute."}',
-    '{"Information": "Our standard API rate limit is 25 requests per day."}',
-    '{"error": "Invalid API key. Authentication failed."}',
-    "{}",
+# Bodies built from the events, one kind per event_id % 13; {u} is the user. They
+# reach every class of the triage and every rule of the structure check.
+EVENT_BODIES = [
+    '{"Time Series (Daily)": {"2024-01-02": {"1. open": "{u}"}}}',
+    '{"Error Message": "No series for symbol U{u}."}',
+    '{"Note": "User {u}: the plan has 5 calls per minute."}',
+    '{"Information": "The daily rate limit of user {u} is used up."}',
+    '{"error": "Invalid API key of user {u}."}',
+    '{}',
+    'user {u} got no JSON',
+    '{"message": "Rate limit for {u}: 5 requests per minute"}',
+    '{"error": "Daily rate limit reached by {u}"}',
+    '{"Note": "Nothing is wrong with {u}"}',
+    '{"Time Series (Daily)": "text of {u}"}',
+    '{"Time Series (Daily)": {}}',
+    '{"Time Series (Daily)": {"2024-01-02": {"1. open": "{u}"}, "2024-01-03": {}}}',
 ]
 
 
 def _event_payloads(spark, sf_dir):
-    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "ts", "value")
-    ok = F.concat(F.lit('{"' + PL.DAILY_KEY + '": {"'), F.date_format("ts", "yyyy-MM-dd"),
-                  F.lit('": {"1. open": "'), F.col("value").cast("string"), F.lit('"}}}'))
-    body = F.when(F.col("event_id") % 6 == 0, ok)
-    for i, text in enumerate(_TRIAGE_BODIES):
-        if text is not None:
-            body = body.when(F.col("event_id") % 6 == i, F.lit(text))
-    return ev.select("event_id", body.alias("body"))
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "user_id")
+    kinds = F.array(*[F.lit(b) for b in EVENT_BODIES])
+    body = F.get(kinds, (F.col("event_id") % len(EVENT_BODIES)).cast("int"))
+    return ev.select("event_id", F.replace(body, F.lit("{u}"), F.col("user_id").cast("string")).alias("body"))
 
 
 @register("payload_triage")

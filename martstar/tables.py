@@ -12,7 +12,7 @@ import uuid
 from dataclasses import dataclass, fields, replace
 from typing import Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas as S
@@ -30,17 +30,44 @@ class Tables:
     stock_prices: Optional[DataFrame] = None  # backfill table, natural keys
     exchange_rates: Optional[DataFrame] = None
     etl_logs: Optional[DataFrame] = None
+    # of a written warehouse: the price fact with its year partition, and its last year
+    prices_by_year: Optional[DataFrame] = None
+    last_year: Optional[int] = None
 
     def with_(self, **kw) -> "Tables":
+        if "prices" in kw:  # another fact is not the one on disk
+            kw = {"prices_by_year": None, "last_year": None, **kw}
         return replace(self, **kw)
 
+    def prices_where(self, low=None, high=None) -> DataFrame:
+        """Prices with ``low <= date_id <= high``; whole years are pruned where
+        the fact is partitioned. Bounds are ids or scalar subqueries."""
+        def lit(v):
+            return v if isinstance(v, Column) else F.lit(v)
+
+        def year(v):
+            return F.floor(lit(v) / 10000).cast("int")
+
+        df = self.prices if self.prices_by_year is None else self.prices_by_year
+        if low is not None and low is high:
+            cond, years = F.col("date_id") == lit(low), F.col(FACT_PARTITION) == year(low)
+        else:
+            cond = years = F.lit(True)
+            if low is not None:
+                cond, years = F.col("date_id") >= lit(low), F.col(FACT_PARTITION) >= year(low)
+            if high is not None:
+                cond, years = cond & (F.col("date_id") <= lit(high)), years & (F.col(FACT_PARTITION) <= year(high))
+        if self.prices_by_year is None:
+            return df.where(cond)
+        return df.where(years & cond).drop(FACT_PARTITION)
+
 
 FACT_PARTITION = "year"
 RECORD_TABLES = ("stock_prices", "exchange_rates")
 _SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_currency": S.DIM_CURRENCY,
             "prices": S.FACT_STOCK_PRICES, "rates": S.FACT_CURRENCY_RATES, "stock_prices": S.STOCK_PRICES,
             "exchange_rates": S.EXCHANGE_RATES, "etl_logs": S.ETL_LOGS}
-_TABLE_NAMES = [f.name for f in fields(Tables)]
+_TABLE_NAMES = [f.name for f in fields(Tables) if f.name in _SCHEMAS]
 
 
 def write_warehouse(t: Tables, path: str, mode: str = "overwrite") -> None:
@@ -175,6 +202,10 @@ def read_warehouse(spark: SparkSession, path: str) -> Tables:
                 raise
             df = empty(spark, _SCHEMAS[name])
         if FACT_PARTITION in df.columns and name in ("prices", "rates"):
+            if name == "prices":
+                years = [int(n.split("=")[1]) for n in list_names(spark, p) if n.startswith(f"{FACT_PARTITION}=")
+                         and n.split("=")[1].isdigit()]
+                got["prices_by_year"], got["last_year"] = df, max(years, default=None)
             df = df.drop(FACT_PARTITION)
         got[name] = df
     return Tables(**got)

@@ -68,3 +68,16 @@ def test_backfill_period_prunes_years(spark):
     p = _plan(registry.QUERIES["backfill_validate_data"](spark, SF_SMALL))
     scans = [line for line in p.split("\n") if "FileScan" in line and ",date#" in line]
     assert scans and all("PartitionFilters: [isnotnull(year" in s and "2001" in s for s in scans)
+
+
+def test_days_prune_years(spark):
+    """Latest-day and period queries name the year of the fact."""
+    for key in ("top_performers", "price_range", "price_range_on", "daily_summary", "summary_on", "quality_status",
+                "price_history", "missing_dates", "archive_split", "freshness"):
+        p = _plan(registry.QUERIES[key](spark, SF_SMALL))
+        scans = [line for line in p.split("\n") if "FileScan" in line
+                 and "stock_id#" in line.split("] Batched")[0] and "date_id#" in line.split("] Batched")[0]]
+        if key == "freshness":  # all days are its feature
+            assert scans and "date_value#" not in p
+        elif key != "quality_status":  # its dirty fact is derived
+            assert scans and all("PartitionFilters: [isnotnull(year" in s for s in scans), key
