@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martstar.llm.common import text_of
+from martstar.llm.common import keep, text_of
 
 # Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -251,6 +251,7 @@ def main_text(pages: DataFrame, paths: DataFrame, id_col: str = "page_id", url_c
     empty table gives an empty result. ``paths`` is broadcast up to
     BROADCAST_HOSTS hosts and joined by shuffle beyond.
     """
+    paths = keep(paths)  # counted, then joined
     few = paths.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        host_of(url_col).alias("host"), text_of(html_col).alias("html"))
