@@ -1,9 +1,11 @@
 """Toxicity by a convolutional text classifier over hashed word embeddings.
 
-Words are hashed into ``BUCKETS`` embeddings; filters of several widths slide
-over them, each keeps its largest answer in the text, and a logistic unit reads
-those maxima. The first embedding column starts from the class log-odds of the
-bucket, the rest from small noise; all weights are then trained in numpy.
+A word's embedding is the sum of two, looked up by two hashes in tables of
+``BUCKETS`` rows, so words that share one row with a telling word differ from it
+in the other. Filters of several widths slide over the embeddings, each keeps its
+largest answer in the text, and a logistic unit reads those maxima. The first
+embedding column starts from how far a row's share of toxic documents stands
+out, the rest from small noise; all weights are then trained in numpy.
 
 Thresholds are calibrated per language on training rows the fit did not see.
 The language of a text is guessed from its words (a table learned from the same
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from martstar.llm.common import fold, text_of
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 16
 DIM = 8
 FILTERS = {1: 8, 2: 6, 3: 6}
 FIT_ROWS = 12_000
@@ -40,12 +42,13 @@ _word = re.compile(r"[^\W\d_]+")
 
 
 class _Ids(dict):
-    """word -> bucket, remembered; bucket 0 is padding. Bounded by a reset."""
+    """word -> its two buckets in one number, remembered; bucket 0 is padding. Bounded by a reset."""
 
     def __missing__(self, w: str) -> int:
         if len(self) > 500_000:
             self.clear()
-        v = self[w] = 1 + xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 7) % (BUCKETS - 1)
+        h = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 7)
+        v = self[w] = (1 + (h & 0xFFFFFFFF) % (BUCKETS - 1)) | (1 + (h >> 32) % (BUCKETS - 1)) << 16
         return v
 
 
@@ -53,10 +56,15 @@ _ids = _Ids()
 
 
 def word_ids(text: str) -> np.ndarray:
-    return np.array([_ids[w] for w in _word.findall(text.lower())], dtype=np.int32)
+    return np.array([_ids[w] for w in _word.findall(text.lower())], dtype=np.uint32)
 
 
-PAD = np.zeros(max(FILTERS) - 1, dtype=np.int32)
+def _rows(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers in the two tables laid end to end."""
+    return (ids & np.uint32(0xFFFF)).astype(np.int64), (ids >> np.uint32(16)).astype(np.int64) + BUCKETS
+
+
+PAD = np.zeros(max(FILTERS) - 1, dtype=np.uint32)
 
 
 class Model:
@@ -64,18 +72,29 @@ class Model:
 
     def __init__(self, seed: int = 3):
         r = np.random.default_rng(seed)
-        self.emb = r.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32)
-        self.emb[0] = 0
+        self.emb = r.normal(0, 0.02, (2 * BUCKETS, DIM)).astype(np.float32)
+        self._no_padding()
         self.conv = {w: r.normal(0, 0.3, (w, DIM, n)).astype(np.float32) for w, n in FILTERS.items()}
         for w, f in self.conv.items():
-            f[:, 0, :] = np.abs(f[:, 0, :]) + 0.3 / w  # answer to the log-odds column
-        self.bias = {w: np.zeros(n, np.float32) for w, n in FILTERS.items()}
+            f[:, 0, :] = np.abs(f[:, 0, :]) + 0.3 / w  # answer to the first column
+        # one row alone is not enough for an answer, both are
+        self.bias = {w: np.full(n, -0.7 / w, np.float32) for w, n in FILTERS.items()}
         self.out = np.full(sum(FILTERS.values()), 0.1, np.float32)
         self.out_bias = np.float32(-1.0)
         self.langs: list[str] = []
-        self.lang_odds = np.zeros((BUCKETS, 1), np.float32)
+        self.lang_odds = np.zeros((2 * BUCKETS, 1), np.float32)
         self.cut = np.array([0.5], np.float64)  # by language
 
+    def _no_padding(self) -> None:
+        self.emb[[0, BUCKETS]] = 0
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "look"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.freeze()
+
     # -- scoring -----------------------------------------------------------
     def freeze(self) -> "Model":
         """Products of embeddings and filters, so a filter is a sum of look-ups."""
@@ -104,14 +123,18 @@ class Model:
         lang = np.zeros((len(ids), self.lang_odds.shape[1]), np.float64)
         for docs, starts, flat in self._segments(ids):
             n, col = len(flat) - len(PAD), 0
+            one, two = _rows(flat)
             for w, tables in self.look.items():
-                c = tables[0][flat[:n]]
+                c = tables[0][one[:n]]
+                c += tables[0][two[:n]]
                 for j in range(1, w):
-                    c += tables[j][flat[j:n + j]]
+                    c += tables[j][one[j:n + j]]
+                    c += tables[j][two[j:n + j]]
                 k = c.shape[1]
                 np.maximum.at(pool[:, col:col + k], docs, np.maximum.reduceat(c, starts, axis=0) + self.bias[w])
                 col += k
-            np.add.at(lang, docs, np.add.reduceat(self.lang_odds[flat[:n]], starts, axis=0))
+            odds = self.lang_odds[one[:n]] + self.lang_odds[two[:n]]
+            np.add.at(lang, docs, np.add.reduceat(odds, starts, axis=0))
         z = np.maximum(pool, 0) @ self.out + self.out_bias
         return 1 / (1 + np.exp(-z.astype(np.float64))), lang.argmax(1)
 
@@ -145,34 +168,37 @@ class Model:
 
     def _languages(self, ids, langs) -> None:
         self.langs = sorted({x for x in langs if x is not None}) or [""]
-        seen = np.full((BUCKETS, len(self.langs)), 0.5)
+        seen = np.full((2 * BUCKETS, len(self.langs)), 0.5)
         for x, g in zip(ids, langs):
             if g is not None:
-                np.add.at(seen[:, self.langs.index(g)], x, 1)
+                for rows in _rows(x):
+                    np.add.at(seen[:, self.langs.index(g)], rows, 1)
         seen /= seen.sum(0)
         self.lang_odds = np.log(seen / seen.mean(1, keepdims=True)).astype(np.float32)
-        self.lang_odds[0] = 0
+        self.lang_odds[[0, BUCKETS]] = 0
         self.cut = np.full(len(self.langs), 0.5)
 
     def _odds(self, ids, toxic) -> None:
         """Column 0: the signed root of the likelihood ratio of a bucket's share of toxic documents."""
-        n = np.zeros((BUCKETS, 2))
+        n = np.zeros((2 * BUCKETS, 2))
         for x, t in zip(ids, toxic):
-            n[np.unique(x), int(t)] += 1
+            for rows in _rows(np.unique(x)):
+                n[np.unique(rows), int(t)] += 1
         share = np.bincount(toxic, minlength=2) / len(toxic)
         want = n.sum(1, keepdims=True) * share
         with np.errstate(divide="ignore", invalid="ignore"):
             g = 2 * np.where(n > 0, n * np.log(n / want), 0).sum(1)
         root = np.sign(n[:, 1] - want[:, 1]) * np.sqrt(np.maximum(g, 0))
-        # with this many buckets chance alone passes four
-        self.emb[:, 0] = np.where(np.abs(root) > 4.8, np.clip(root / 4, -3, 3), 0)
-        self.emb[0] = 0
+        # chance alone passes three in tables of this size; a word needs both rows
+        self.emb[:, 0] = np.where(np.abs(root) > 4, np.clip(root / 6, -1, 1), 0)
+        self._no_padding()
 
     def _step(self, ids, y, state, t, rate=0.01) -> None:
         flat = np.concatenate([a for x in ids for a in (x, PAD)] + [PAD])
         lens = np.array([len(x) + len(PAD) for x in ids])
         starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-        n, x = len(flat) - len(PAD), self.emb[flat]
+        one, two = _rows(flat)
+        n, x = len(flat) - len(PAD), self.emb[one] + self.emb[two]
         pool, at = [], []
         for w, f in self.conv.items():
             c = sum(x[j:n + j] @ f[j] for j in range(w)) + self.bias[w]
@@ -192,9 +218,10 @@ class Model:
             gf = np.zeros_like(f)
             for j in range(w):
                 gf[j] = np.einsum("bk,bkd->dk", gw, x[best + j])
-                np.add.at(ge, flat[best + j], gw[..., None] * f[j].T[None])
+                for rows in (one, two):
+                    np.add.at(ge, rows[best + j], gw[..., None] * f[j].T[None])
             grads[f"c{w}"], grads[f"b{w}"] = gf + 1e-4 * f, gw.sum(0)
-        ge[0] = 0
+        ge[[0, BUCKETS]] = 0
         grads["emb"] = ge
         own = {"out": self.out, "emb": self.emb, **{f"c{w}": f for w, f in self.conv.items()},
                **{f"b{w}": b for w, b in self.bias.items()}}
@@ -249,7 +276,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
             .mapInPandas(run, "doc_id long, toxic int, lang string, ids binary").toPandas())
     rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
     rows = rows.sample(frac=1, random_state=11)
-    return Model().fit([np.frombuffer(x, dtype=np.int32) for x in rows["ids"]], rows["toxic"].to_numpy(),
+    return Model().fit([np.frombuffer(x, dtype=np.uint32) for x in rows["ids"]], rows["toxic"].to_numpy(),
                        [x if isinstance(x, str) else None for x in rows["lang"]])
 
 
