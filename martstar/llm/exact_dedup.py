@@ -80,12 +80,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a row that stays is repeated with its id, one of the repeats stays.
     """
     gone = (exact_groups(docs, id_col, text_col, counters)
-            .groupBy(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_digest"))
+            .groupBy(rank("doc_id").alias("_rank"), F.col("text_sha256").alias("_sha"))
             .agg(F.count(F.lit(1)).alias("_rows"), F.max("kept").alias("_kept"))
             .where("not _kept or _rows > 1"))
-    marked = docs.withColumn("_sha", digest_of(text_col))
-    hit = marked.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")) & (F.col("_sha") == F.col("_digest")), "left")
-    once = Window.partitionBy("_gone", "_digest").orderBy(F.lit(1))
-    single = hit.where(F.col("_digest").isNull())
-    repeated = hit.where("_kept").withColumn("_n", F.row_number().over(once)).where("_n = 1")
-    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    marked = docs.withColumn("_rank", rank(id_col)).withColumn("_sha", digest_of(text_col))
+    # the window has the keys of the join, so texts move once
+    once = Window.partitionBy("_rank", "_sha").orderBy(F.lit(1))
+    return (marked.join(gone, ["_rank", "_sha"], "left").where("coalesce(_kept, true)")
+            .withColumn("_n", F.row_number().over(once)).where("_n = 1").select(*docs.columns))
