@@ -45,6 +45,15 @@ def rank(col: str | Column) -> Column:
     return F.coalesce(c.cast("long"), F.lit(LAST_RANK))
 
 
+def id_text(col: str) -> Column:
+    """An id for a trip through pandas, which would make numbers with nulls floats."""
+    return F.col(col).cast("long").cast("string")
+
+
+def with_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    return df.withColumn(name, F.col(name).cast("long"))
+
+
 def text_of(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

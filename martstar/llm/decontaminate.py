@@ -111,9 +111,11 @@ def bench_items(benchmark: DataFrame, item_col: str = "item_id", text_col: str =
     """(item_id, m, k, w, shingles, fp) of each distinct item with words.
 
     An item of fewer than k words has one shingle, its whole sequence. Null or
-    empty items have no words and match nothing.
+    empty items have no words, and an item without an id cannot be named; they
+    match nothing.
     """
-    it = benchmark.select(F.col(item_col).alias("item_id"), words(text_col).alias("w")).where(F.size("w") > 0)
+    it = benchmark.select(F.col(item_col).alias("item_id"), words(text_col).alias("w"))
+    it = it.where("item_id is not null and size(w) > 0")
     it = it.withColumn("m", F.size("w")).withColumn("k", F.least(F.lit(k), "m"))
     it = it.withColumn("shingles", F.transform(F.sequence(F.lit(0), F.col("m") - F.col("k")),
                                                lambda i: F.array_join(F.slice("w", i + 1, F.col("k")), " ")))

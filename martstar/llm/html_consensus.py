@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martstar.llm.common import keep, text_of
+from martstar.llm.common import id_text, keep, text_of, with_id
 
 # Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -253,7 +253,7 @@ def main_text(pages: DataFrame, paths: DataFrame, id_col: str = "page_id", url_c
     """
     paths = keep(paths)  # counted, then joined
     few = paths.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
+    src = pages.select(id_text(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        host_of(url_col).alias("host"), text_of(html_col).alias("html"))
     src = src.join(F.broadcast(paths) if few else paths, "host", "left").select("page_id", "url", "path", "html")
 
@@ -261,7 +261,7 @@ def main_text(pages: DataFrame, paths: DataFrame, id_col: str = "page_id", url_c
         for b in batches:
             text = [extract(h, tuple(p.split(SEP)) if isinstance(p, str) else None)
                     for h, p in zip(b["html"], b["path"])]
-            yield pd.DataFrame({"page_id": b["page_id"].astype("Int64"), "url": b["url"], "text": text,
+            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": text,
                                 "n_chars": [len(t) for t in text]})
 
-    return src.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return with_id(src.mapInPandas(run, "page_id string, url string, text string, n_chars long"), "page_id")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martstar.llm.common import fold, text_of
+from martstar.llm.common import fold, id_text, text_of, with_id
 
 WINDOW = 128
 FILTERS = {2: 16, 3: 16, 4: 16}
@@ -228,8 +228,8 @@ def languages(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: s
     def run(batches):
         for b in batches:
             lang, score = net.predict(list(b["text"]))
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "lang_pred": lang, "score": score})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": lang, "score": score})
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return src.mapInPandas(run, "doc_id long, lang_pred string, score double").select(
+    src = docs.select(id_text(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    return with_id(src.mapInPandas(run, "doc_id string, lang_pred string, score double")).select(
         "doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score")

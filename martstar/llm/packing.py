@@ -23,14 +23,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martstar.llm.common import keep, rank, text_of
+from martstar.llm.common import id_text, keep, rank, text_of, with_id
 
 SIZE = 1024
 END = 2
 OPEN_BINS = 2048
 PIECES_PER_TASK = 100_000
 
-PIECE_TYPE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE_TYPE = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 # beyond these code points the two tokenizer libraries may class characters by
 # different Unicode versions; such texts take the slower library
@@ -83,17 +83,14 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
             for d, t in zip(b["doc_id"], b["text"]):
                 ids = np.append(encode(t), np.uint32(end)).astype("<u4")
                 at = cuts(len(ids), size)
-                d = None if pd.isna(d) else int(d)
                 for i, (s, e) in enumerate(zip(at, at[1:])):
                     row = (d, i, s, e - s, zlib.crc32(ids[s:e].tobytes()))
                     out.append(row + (ids[s:e].astype("int32"),) if with_ids else row)
             names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-            df = pd.DataFrame(out, columns=names)
-            df["doc_id"] = df["doc_id"].astype("Int64")
-            yield df
+            yield pd.DataFrame(out, columns=names)
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return src.mapInPandas(run, PIECE_TYPE + (", ids array<int>" if with_ids else ""))
+    src = docs.select(id_text(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    return with_id(src.mapInPandas(run, PIECE_TYPE + (", ids array<int>" if with_ids else "")))
 
 
 class OpenBins:
@@ -147,9 +144,9 @@ def place(short: DataFrame, n_rows: int, size: int = SIZE, open_bins: int = OPEN
 
     tasks = max(1, math.ceil(n_rows / PIECES_PER_TASK))
     key = [F.col("length").desc(), rank("doc_id"), F.col("piece"), F.col("ids_crc32")]
-    return (short.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32"))
-            .sortWithinPartitions(*key)
-            .mapInPandas(run, PIECE_TYPE + ", sequence_id long, offset long"))
+    dealt = (short.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32")).sortWithinPartitions(*key)
+             .withColumn("doc_id", id_text("doc_id")))
+    return with_id(dealt.mapInPandas(run, PIECE_TYPE + ", sequence_id long, offset long"))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,

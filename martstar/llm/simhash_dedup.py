@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martstar.llm.common import keep, rank, text_of
+from martstar.llm.common import id_text, keep, rank, text_of, with_id
 from martstar.llm.components import components
 
 SHINGLE = 3
@@ -65,11 +65,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"),
+            yield pd.DataFrame({"doc_id": b["doc_id"],
                                 "fp": np.array([fingerprint(t, k) for t in b["text"]], dtype=np.int64)})
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return src.mapInPandas(run, "doc_id long, fp long")
+    src = docs.select(id_text(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    return with_id(src.mapInPandas(run, "doc_id string, fp long"))
 
 
 class BKTree:

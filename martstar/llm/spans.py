@@ -217,7 +217,7 @@ def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False, least_ru
             out.append(row + (left,) if with_text else row)
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
         df = pd.DataFrame(out, columns=names)
-        df["doc_id"] = df["doc_id"].astype("Int64")
+        df["doc_id"] = pd.array([r[0] for r in out], dtype="Int64")  # a list with None would pass as floats
         return df
 
     return (packed_texts(docs).groupBy("bucket").cogroup(spans.groupBy("bucket"))

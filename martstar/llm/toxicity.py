@@ -22,11 +22,12 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martstar.llm.common import fold, text_of
+from martstar.llm.common import fold, id_text, text_of, with_id
 
 BUCKETS = 1 << 16
 DIM = 8
@@ -289,10 +290,10 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "score": model.score(b["text"])})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "score": model.score(b["text"])})
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return src.mapInPandas(run, "doc_id long, score double").select(
+    src = docs.select(id_text(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    return with_id(src.mapInPandas(run, "doc_id string, score double")).select(
         "doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -301,10 +302,10 @@ def drop_toxic(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, id_col
                text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` predicted 0, all columns unchanged."""
     model = train(train_docs, labels)
-    names = docs.columns
 
-    def run(batches):
+    def run(batches):  # Arrow rows pass as they are, whatever their columns hold
         for b in batches:
-            yield b[model.score(b[text_col].fillna("")) < 0.5]
+            texts = [t or "" for t in b.column(text_col).to_pylist()]
+            yield b.filter(pa.array(model.score(texts) < 0.5))
 
-    return docs.mapInPandas(run, docs.schema).select(*names)
+    return docs.mapInArrow(run, docs.schema)

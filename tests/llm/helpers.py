@@ -21,4 +21,5 @@ def awkward():
     a, b = prose(1, 60), prose(2, 40)
     long = prose(3, 20_000, 3000)
     return [(5, a), (3, a), (9, a.replace(" ", "\t\n", 3)), (3, a), (None, a), (7, b), (8, b + " more"), (11, None),
-            (12, ""), (13, "  \n"), (14, "x"), (14, "other text"), (20, long), (21, long), (None, None), (22, "Ünï cödé ß 漢字")]
+            (12, ""), (13, "  \n"), (14, "x"), (14, "other text"), (20, long), (21, long), (None, None), (22, "Ünï cödé ß 漢字"),
+            (2**60 + 1, "a wide id")]

@@ -98,4 +98,6 @@ def test_drop_and_empty(spark):
     assert sorted((r.doc_id for r in out.collect()), key=str) == sorted((i for i, _ in texts if i not in bad), key=str)
     e = spark.createDataFrame([], SCHEMA)
     none = spark.createDataFrame([], "item_id long, text string")
+    unnamed = spark.createDataFrame([(None, ITEMS[0][1])], "item_id long, text string")
+    assert D.leaks(d, unnamed).count() == 0
     assert D.leaks(e, items).count() == 0 and D.leaks(d, none).count() == 0 and D.drop_leaks(d, none).count() == len(texts)

@@ -79,6 +79,12 @@ def test_toxicity_edges(spark):
     assert out.columns == docs.columns
     empty = spark.createDataFrame([], SCHEMA)
     assert X.scores(empty, X.train(empty, spark.createDataFrame([], LABELS))).count() == 0
+    # columns of any kind, with nulls, pass as they are
+    wide = 2**60 + 1
+    typed = spark.createDataFrame([(wide, "fine text", 1.5, [1, None], {"a": None}), (None, None, None, None, None)],
+                                  "doc_id long, text string, x double, y array<int>, z map<string,int>")
+    kept = X.drop_toxic(typed, docs, labels).collect()
+    assert [(r.doc_id, r.y, r.z) for r in kept] == [(wide, [1, None], {"a": None}), (None, None, None)]
     # without anything to learn from nothing is toxic
     assert X.drop_toxic(docs, empty, labels).count() == len(awkward())
 

@@ -32,7 +32,7 @@ def fixture(seed=0, n=60):
     rows += [(1000, None, None, None, None), (1001, "", None, None, None), (1002, "x" * 49, None, None, None),
              (1003, "x" * 300, None, None, None), (1004, "x" * 60, None, None, None),
              (4, rows[1][1], None, None, None), (4, passage, None, None, None),
-             (None, passage + common, None, None, None), (None, passage, None, None, None)]
+             (2**60 + 1, passage, None, None, None), (None, passage + common, None, None, None), (None, passage, None, None, None)]
     r.shuffle(rows)
     return rows
 
