@@ -193,8 +193,9 @@ def prices_with_currency(t: Tables, symbols=None, date: Optional[_dt.date] = Non
         "symbol", "company_name", F.col("date_value").alias("trade_date"),
         c.alias("price_usd"), converted(c, r).alias("price_gbp"),
         r.alias("usd_to_gbp_rate"), "volume", "daily_return",
-        F.round(c * shares.cast("decimal(20,0)"), 2).alias("market_cap_usd"),
-        F.round(c * shares.cast("decimal(20,0)") * r, 2).alias("market_cap_gbp"))
+        # 15 digits: the product with both factors stays exact within 38
+        F.round(c * shares.cast("decimal(15,0)"), 2).alias("market_cap_usd"),
+        F.round(c * shares.cast("decimal(15,0)") * r, 2).alias("market_cap_gbp"))
 
 
 def gbp_prices(t: Tables, symbols=None, date: Optional[_dt.date] = None,

@@ -1145,3 +1145,10 @@ SELECT 'DEDUPLICATION' AS operation_type, 'stock_prices,exchange_rates' AS table
 # the bodies are those of the registry
 SQL["payload_triage"] = _triage()
 SQL["payload_structure"] = _structure()
+
+SQL["market_caps"] = market(f"""
+, issued AS (SELECT CAST(p_partkey // 8 + 1 AS INT) AS stock_id, CAST(SUM(p_size) * 100 AS DECIMAL(15,0)) AS shares
+             FROM part GROUP BY 1)
+SELECT {NAMED}, day AS trade_date, {USD_PRICE}, {GBP_PRICE}, {D('gbp_per_usd')} AS usd_to_gbp_rate, volume, {RETURN},
+       {D('ROUND(closing_price * shares, 2)')} AS market_cap_usd, {D('ROUND(exact_gbp * shares, 2)')} AS market_cap_gbp
+FROM quoted JOIN issued USING (stock_id)""")

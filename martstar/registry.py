@@ -958,3 +958,13 @@ def _e9b(spark, sf_dir):
     old = spark.read.parquet(f"{root}/archive")
     return (keep.select(F.lit("keep").alias("part"), "stock_id", "date_id")
             .unionByName(old.select(F.lit("archive").alias("part"), "stock_id", "date_id")))
+
+
+@register("market_caps")
+def _p14(spark, sf_dir):
+    """Market caps where the fact carries shares: a hundred per unit of its parts' size."""
+    t = tables(spark, sf_dir)
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
+    shares = (part.groupBy(binding.stock_id_of(binding.symbol_of(F.col("p_partkey"))).alias("stock_id"))
+              .agg((F.sum("p_size") * 100).alias("shares_outstanding")))
+    return edge(A.prices_with_currency(t.with_(prices=t.prices.join(shares, "stock_id"))))
