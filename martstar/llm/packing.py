@@ -4,11 +4,13 @@
    length, its piece lengths and their checksums. A document of more than
    ``size`` tokens is cut into pieces of ``size``; the remainder is piece 0.
 2. Full pieces are sequences of their own. The short ones are dealt to tasks by
-   a hash, longest first within a task, and placed by bounded-space best-fit:
-   ``open_bins`` bins at most are open, kept in one bitset per task whose bit f
-   says that some open bin has f tokens free. The fitting bin with the least
-   free space is the next set bit at or above the piece's length. When all bins
-   are taken, the fullest closes first.
+   a hash and within a task, by another, to rounds of about ``open_bins`` pieces.
+   A round goes longest first, so no bin waits for small pieces longer than a
+   round. Pieces are placed by bounded-space best-fit: ``open_bins`` bins at most
+   are open, kept in one bitset per task whose bit f says that some open bin has
+   f tokens free. The fitting bin with the least free space is the next set bit
+   at or above the piece's length. When all bins are taken, the fullest closes
+   first. Open bins pass from round to round.
 
 A task holds ``open_bins`` bins and one batch of rows, whatever the input is.
 """
@@ -143,7 +145,9 @@ def place(short: DataFrame, n_rows: int, size: int = SIZE, open_bins: int = OPEN
             yield b
 
     tasks = max(1, math.ceil(n_rows / PIECES_PER_TASK))
-    key = [F.col("length").desc(), rank("doc_id"), F.col("piece"), F.col("ids_crc32")]
+    rounds = max(1, math.ceil(n_rows / (tasks * open_bins)))
+    turn = F.pmod(F.xxhash64(F.lit("round"), "doc_id", "piece", "ids_crc32"), F.lit(rounds))
+    key = [turn, F.col("length").desc(), rank("doc_id"), F.col("piece"), F.col("ids_crc32")]
     dealt = (short.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32")).sortWithinPartitions(*key)
              .withColumn("doc_id", id_text("doc_id")))
     return with_id(dealt.mapInPandas(run, PIECE_TYPE + ", sequence_id long, offset long"))

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -109,3 +110,16 @@ def test_few_open_bins_still_pack(spark):
 
 def test_empty(spark):
     assert P.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_few_sequences_beyond_the_open_bins(spark):
+    r = np.random.default_rng(4)
+    lengths = r.integers(1, 1024, 60_000)
+    short = spark.createDataFrame(pd.DataFrame({"doc_id": np.arange(60_000), "piece": np.zeros(60_000, "int32"),
+                                                "start": 0, "length": lengths, "ids_crc32": lengths * 7}),
+                                  "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = P.place(short, 60_000).select("doc_id", "sequence_id", "offset", "length").toPandas()
+    assert sorted(rows["doc_id"]) == list(range(60_000))
+    ends = (rows["offset"] + rows["length"]).groupby(rows["sequence_id"]).max()
+    assert ends.max() <= 1024 and (rows.groupby("sequence_id")["length"].sum() == ends).all()
+    assert len(ends) <= lengths.sum() / 1024 * 1.01
