@@ -2,7 +2,8 @@
 
 A document is contaminated by an item of m words when some window of m of its
 words has a weighted Jaccard similarity of at least ``threshold`` with the
-item, over word shingles counted with their repeats.
+item, over word shingles counted with their repeats. A document of fewer than
+m words is one window as a whole.
 
 1. Shingle hashes are taken at every ``stride``-th word of a document and
    looked up among the item shingles; only hashes travel in this pass. The
@@ -26,6 +27,8 @@ many blocks.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,17 +66,24 @@ def _checked(df: DataFrame) -> DataFrame:
 def safe_stride(lengths: list[int], k: int, threshold: float) -> int:
     """The widest step that still meets a shared shingle of every match.
 
-    n shingles a side with similarity t share at least 2t/(1+t) of n, so at
-    most n(1-t)/(1+t) of a window's shingles are foreign; a step s looks at
-    floor(n/s) of them at least.
+    An item of n shingles and a window of v with similarity t share at least
+    (n+v)t/(1+t), so at most (v-nt)/(1+t) of the window's shingles are foreign;
+    a step s looks at floor(v/s) of them at least. v is n, or less in a
+    document shorter than the item.
     """
+    sides = {(m - k + 1, x - k + 1) for m in lengths for x in range(_least_words(m, k, threshold), m + 1)}
     best = 1
     for s in range(2, k + 2):
-        if all((m - k + 1) // s > int((m - k + 1) * (1 - threshold) / (1 + threshold) + 1e-9) for m in lengths):
+        if all(v // s > int((v - n * threshold) / (1 + threshold) + 1e-9) for n, v in sides):
             best = s
     return best
 
 
+def _least_words(m: int, k: int, threshold: float) -> int:
+    """The fewest words that reach the threshold with an item of m words."""
+    return max(1, math.ceil((m - k + 1) * threshold - 1e-9)) + k - 1
+
+
 def _simhash(values: Column) -> Column:
     """Bit b is set if it is set in more than half of the hashes."""
     def of(hashes: Column) -> Column:
@@ -129,8 +139,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """(doc_id, item_id, similarity, n_windows): one row for each document and item that match.
 
     ``similarity`` is that of the best window, ``n_windows`` how many windows
-    reach the threshold. Documents with no words, a null text or shorter than
-    an item don't match it. Rows that repeat a doc_id are searched each and
+    reach the threshold. A document shorter than an item is compared with it as
+    a whole. Documents with no words or a null text match nothing. Rows that repeat a doc_id are searched each and
     reported together. An empty table on either side gives an empty result.
     """
     items = keep(bench_items(benchmark, item_col, item_text, k))
@@ -149,7 +159,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius) -> DataFrame:
     stride = safe_stride(ms, k, threshold)
-    need = 2 * threshold / (1 + threshold)
+    least = min(_least_words(m, k, threshold) for m in ms)
     per = max(1, BLOCK // stride)  # looked-up places in a block
     src = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")) \
         .withColumn("th", F.xxhash64("text"))
@@ -157,7 +167,7 @@ def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius) -> DataFr
     # 1. blocks that hold a shared shingle at a looked-up place
     def looked_up(w: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(w) - k, F.lit(stride))
-        return F.when(F.size(w) >= min(ms), F.transform(at, lambda p: _hash(w, p, k)))
+        return F.when(F.size(w) >= least, F.transform(at, lambda p: _hash(w, p, k)))
 
     # outer: an inner explode makes Catalyst add a filter that computes the hashes twice
     places = src.select("doc_id", "th", F.posexplode_outer(let(words("text"), looked_up)).alias("j", "hash"))
@@ -172,12 +182,18 @@ def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius) -> DataFr
     # 2. the words around each block
     def around(w: Column) -> Column:
         def one(x: Column) -> Column:
-            n = x["m"] - k + 1
-            lo = F.greatest(F.lit(0), x["b"] * per * stride - n + 1)
-            hi = F.least(F.size(w) - x["m"], (x["b"] + 1) * per * stride - 1)  # last start of a window
+            m = F.least(x["m"], F.size(w))  # words of a window
+            lo = F.greatest(F.lit(0), x["b"] * per * stride - (m - k + 1) + 1)
+            hi = F.least(F.size(w) - m, (x["b"] + 1) * per * stride - 1)  # last start of a window
             return F.struct(x["item_id"].alias("item_id"), x["m"].alias("m"),
-                            F.slice(w, lo + 1, F.greatest(F.lit(0), hi - lo + x["m"])).alias("w"))
-        return F.filter(F.transform("blocks", one), lambda x: F.size(x["w"]) >= x["m"])
+                            F.slice(w, lo + 1, hi - lo + m).alias("w"))
+
+        def able(x: Column) -> Column:
+            # a shorter document is one window, tried in its first block only
+            before = F.exists("blocks", lambda y: (y["item_id"] == x["item_id"]) & (y["b"] < x["b"]))
+            long_enough = F.size(w) - (k - 1) >= F.greatest(F.lit(1), F.ceil((x["m"] - k + 1) * threshold - 1e-9))
+            return (F.size(w) >= x["m"]) | (long_enough & ~before)
+        return F.transform(F.filter("blocks", able), one)
 
     found = todo.select(F.col("doc_id").alias("id"), F.col("th").alias("h"), "blocks")
     hit = src.join(_checked(found), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("h"))) \
@@ -186,13 +202,14 @@ def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius) -> DataFr
     item_shingles = items.select("item_id", F.col("shingles").alias("own"))
     hit = hit.join(_checked(item_shingles), "item_id")
     n = F.col("m") - k + 1
-    enough = F.ceil(n * need - 1e-9).cast("int")
 
     def windows(s: Column) -> Column:
+        v = F.least(n, F.size(s))  # shingles of a window
+        enough = F.ceil((n + v) * threshold / (1 + threshold) - 1e-9).cast("int")
         shared = F.transform(s, lambda x: F.array_contains("own", x).cast("int"))
-        starts = let(shared, lambda f: F.filter(F.sequence(F.lit(0), F.size(f) - n), lambda p: F.aggregate(
-            F.slice(f, p + 1, n), F.lit(0), lambda a, x: a + x) >= enough))
-        return F.transform(starts, lambda p: F.slice(s, p + 1, n))
+        starts = let(shared, lambda f: F.filter(F.sequence(F.lit(0), F.size(f) - v), lambda p: F.aggregate(
+            F.slice(f, p + 1, v), F.lit(0), lambda a, x: a + x) >= enough))
+        return F.transform(starts, lambda p: F.slice(s, p + 1, v))
 
     shingled = let(F.col("w"), lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda p: _shingle(w, p, k)))
     win = hit.select("doc_id", "item_id", F.explode_outer(let(shingled, windows)).alias("ws")).where("ws is not null")

@@ -101,3 +101,49 @@ def test_drop_and_empty(spark):
     unnamed = spark.createDataFrame([(None, ITEMS[0][1])], "item_id long, text string")
     assert D.leaks(d, unnamed).count() == 0
     assert D.leaks(e, items).count() == 0 and D.leaks(d, none).count() == 0 and D.drop_leaks(d, none).count() == len(texts)
+
+
+def brute_short(texts, items, k=5, threshold=0.8):
+    """As brute, and a document shorter than an item is one window."""
+    out = brute(texts, items, k, threshold)
+    for d, t in texts:
+        dw = words(t)
+        for item, text in items:
+            w = words(text)
+            kk = min(k, len(w))
+            if kk <= len(dw) < len(w):
+                a, b = (Counter(" ".join(x[i:i + kk]) for i in range(len(x) - kk + 1)) for x in (dw, w))
+                sim = sum((a & b).values()) / sum((a | b).values())
+                if sim >= threshold - 1e-12:
+                    out[(d, item)] = max(out.get((d, item), 0), sim)
+    return out
+
+
+def test_documents_shorter_than_an_item(spark):
+    items = [(1, prose(1, 38)), (2, prose(2, 15)), (3, prose(3, 59)), (4, prose(4, 7)), (5, "two words"), (6, prose(6, 300))]
+    texts = []
+    for item, text in items:
+        w = text.split()
+        for cut in range(1, 14 if len(w) < 100 else 66):
+            for j, part in enumerate((w[cut:], w[:-cut], w[cut // 2:len(w) - (cut - cut // 2)])):
+                texts.append((item * 1000 + cut * 10 + j, " ".join(part)))
+        texts.append((item * 1000 + 990, changed(" ".join(w[:-1]), 1, item)))
+    want = brute_short(texts, items)
+    docs = table(spark, texts)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in D.leaks(docs, bench).collect()}
+    assert {x: r.similarity for x, r in got.items()} == {x: pytest.approx(s) for x, s in want.items()}
+    assert len(want) > 150 and {i for _, i in want} == {1, 2, 3, 6}
+    # one window a document, however many blocks it has
+    assert {r.n_windows for r in got.values()} == {1}
+    assert {r.doc_id for r in D.drop_leaks(docs, bench).collect()} == {d for d, _ in texts} - {d for d, _ in want}
+
+
+def test_stride_meets_every_shorter_match():
+    for lens in ([15, 59], [16], [7, 8], [30, 38], [40]):
+        s = D.safe_stride(lens, 5, 0.8)
+        for m in lens:
+            n = m - 4
+            for v in range(1, n + 1):
+                shared = next((x for x in range(v + 1) if x >= 0.8 * (n + v - x) - 1e-9), None)
+                assert shared is None or len(range(0, v, s)) > v - shared
