@@ -7,12 +7,16 @@ largest answer in the text, and a logistic unit reads those maxima. The first
 embedding column starts from how far a row's share of toxic documents stands
 out, the rest from small noise; all weights are then trained in numpy.
 
-Thresholds are calibrated per language on training rows the fit did not see.
+Thresholds are calibrated per language on all labelled rows of the training
+folds that the fit did not see, of any length: Spark scores them and counts them
+by language, label and place of the score on a fixed grid of cuts. A language's
+cut has the fewest errors on its own rows and ``SHRINK`` rows more that err as
+all rows do, so few rows lean on the rest and many speak for themselves.
 The language of a text is guessed from its words (a table learned from the same
 rows), so a score depends on the text alone. Scores are stretched so that a
 language's threshold falls on 0.5.
 
-The fit reads a bounded sample of labelled rows: at most ``FIT_ROWS``, chosen
+Only the fit reads a bounded sample of labelled rows: at most ``FIT_ROWS``, chosen
 by a hash of the id, of documents with at most ``FIT_WORDS`` words. Scoring reads every whole text, in blocks of words.
 """
 
@@ -38,6 +42,8 @@ EPOCHS = 6
 BATCH = 64
 BLOCK_WORDS = 1 << 17
 FOLDS, HELD_OUT = 5, 0
+CUTS = np.linspace(0.05, 0.95, 91)
+SHRINK = 60
 
 _word = re.compile(r"[^\W\d_]+")
 
@@ -146,13 +152,12 @@ class Model:
 
     # -- training ----------------------------------------------------------
     def fit(self, ids: list[np.ndarray], toxic: np.ndarray, langs: list) -> "Model":
-        """Train on documents as word numbers; every fifth calibrates."""
+        """Train on documents as word numbers, but every fifth (``spared``), which is left to calibrate."""
         if len(ids) == 0 or toxic.min() == toxic.max():
             self.out_bias = np.float32(3.0 if len(ids) and toxic.max() == 1 else -3.0)
             return self.freeze()
         self._languages(ids, langs)
-        cal = np.arange(len(ids)) % 5 == 4
-        train = np.flatnonzero(~cal)
+        train = np.flatnonzero(~spared(len(ids)))
         self._odds([ids[i] for i in train], toxic[train])
         r = np.random.default_rng(5)
         state: dict = {}
@@ -163,9 +168,7 @@ class Model:
                 step += 1
                 some = train[lo:lo + BATCH]
                 self._step([ids[i] for i in some], toxic[some], state, step)
-        self.freeze()
-        self._calibrate([ids[i] for i in np.flatnonzero(cal)], toxic[cal])
-        return self
+        return self.freeze()
 
     def _languages(self, ids, langs) -> None:
         self.langs = sorted({x for x in langs if x is not None}) or [""]
@@ -237,28 +240,62 @@ class Model:
             else:
                 own[k] -= d.astype(np.float32)
 
-    def _calibrate(self, ids, toxic) -> None:
-        """Per language the cut with the fewest errors on rows outside the fit."""
-        p, lang = self.raw(ids)
+    # -- calibration -------------------------------------------------------
+    def places(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(language number, how many of CUTS the score reaches) of each text."""
+        p, lang = self.raw([word_ids(t) for t in texts])
+        return lang, np.searchsorted(CUTS, p, side="right")
+
+    def calibrate(self, counts: np.ndarray) -> "Model":
+        """Cuts by language from counts of rows by (language, label, place)."""
+        # at cut i the clean rows of a place above i and the toxic ones of the others are wrong
+        clean, toxic = counts[:, 0].astype(np.float64), counts[:, 1].astype(np.float64)
+        wrong = clean.sum(1, keepdims=True) - clean.cumsum(1)[:, :-1] + toxic.cumsum(1)[:, :-1]
+        if counts.sum():
+            rate = wrong.sum(0) / counts.sum()
+            for g, w in enumerate(wrong + SHRINK * rate):
+                low = np.flatnonzero(w <= w.min() + 1e-9)
+                self.cut[g] = CUTS[low[len(low) // 2]]
+        return self
+
+
+def spared(n: int) -> np.ndarray:
+    """Which of n rows of the sample the fit leaves out."""
+    return np.arange(n) % 5 == 4
 
-        def best(p, y):
-            c = np.linspace(0.05, 0.95, 91)
-            wrong = [((p >= x) != y).sum() for x in c]
-            low = np.flatnonzero(np.array(wrong) == min(wrong))
-            return float(c[low[len(low) // 2]])
 
-        y = toxic == 1
-        self.cut = np.full(len(self.langs), best(p, y) if len(p) else 0.5)
-        for g in range(len(self.langs)):
-            own = lang == g
-            if y[own].sum() >= 30 and (~y[own]).sum() >= 30:
-                self.cut[g] = best(p[own], y[own])
+def place_counts(docs: DataFrame, known: DataFrame, seen: np.ndarray, model: Model) -> np.ndarray:
+    """Ids of ``known`` that are not ``seen``, counted by (language, label, place).
+
+    Texts are scored where they lie and only numbers are joined to the labels. An
+    id counts once; of rows that repeat it the smallest (language, place) counts.
+    """
+    spark = docs.sparkSession
+
+    def run(batches):
+        for b in batches:
+            lang, place = model.places(b["text"])
+            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": lang, "place": place})
+
+    out = spark.createDataFrame(pd.DataFrame({"seen_id": np.asarray(seen, dtype="int64")}), "seen_id long")
+    src = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
+           .where("doc_id is not null").where(fold("doc_id", FOLDS) != HELD_OUT)
+           .join(F.broadcast(out), F.col("doc_id") == F.col("seen_id"), "left_anti"))
+    placed = (src.mapInPandas(run, "doc_id long, lang int, place int")
+              .groupBy("doc_id").agg(F.min(F.col("lang") * 1000 + F.col("place")).alias("at")))
+    rows = (placed.join(known, F.col("doc_id") == F.col("label_id"))
+            .groupBy("at", "toxic").agg(F.count(F.lit(1)).alias("n")).collect())  # languages x places x 2 at most
+    counts = np.zeros((len(model.langs), 2, len(CUTS) + 1), dtype=np.int64)
+    for r in rows:
+        counts[r["at"] // 1000, r["toxic"], r["at"] % 1000] += r["n"]
+    return counts
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model from labelled rows whose id is not in the held-out fold."""
     known = (labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
-             .where("label_id is not null and toxic in (0, 1)").where(fold("label_id", FOLDS) != HELD_OUT))
+             .where("label_id is not null and toxic in (0, 1)").where(fold("label_id", FOLDS) != HELD_OUT)
+             .groupBy("label_id").agg(F.max("toxic").alias("toxic")))  # labelled both ways is toxic
     order = F.xxhash64("label_id")
     some = known.orderBy(order, "label_id").limit(fit_rows)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"),
@@ -277,8 +314,11 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
             .mapInPandas(run, "doc_id long, toxic int, lang string, ids binary").toPandas())
     rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
     rows = rows.sample(frac=1, random_state=11)
-    return Model().fit([np.frombuffer(x, dtype=np.uint32) for x in rows["ids"]], rows["toxic"].to_numpy(),
-                       [x if isinstance(x, str) else None for x in rows["lang"]])
+    model = Model().fit([np.frombuffer(x, dtype=np.uint32) for x in rows["ids"]], rows["toxic"].to_numpy(),
+                        [x if isinstance(x, str) else None for x in rows["lang"]])
+    if not model.langs:  # nothing could be learned
+        return model
+    return model.calibrate(place_counts(docs, known, rows["doc_id"].to_numpy()[~spared(len(rows))], model))
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -138,3 +138,60 @@ def test_frozen_tables_equal_the_network():
             h.append(np.maximum(c + net.bias[w], 0))
         want.append(net._softmax((np.concatenate(h) @ net.out + net.out_bias)[None])[0])
     assert net.probabilities(x) == pytest.approx(np.array(want), abs=1e-5)
+
+
+def by_hand(monkeypatch):
+    """Weights without training: blorg scores 0.5, snarfle 0.88, other words 0.05."""
+    def odds(self, ids, toxic):
+        self.emb[:] = 0
+        for f in self.conv.values():
+            f[:] = 0
+        for b in self.bias.values():
+            b[:] = 0
+        self.out[:] = 0
+        self.conv[1][0, 0, 0] = self.out[0] = 1
+        self.out_bias = np.float32(-3)
+        for word, z in (("blorg", 3), ("snarfle", 5)):
+            self.emb[np.concatenate(X._rows(X.word_ids(word))), 0] = z / 2
+    monkeypatch.setattr(X.Model, "_odds", odds)
+    monkeypatch.setattr(X.Model, "_step", lambda *a, **k: None)
+
+
+def test_toxicity_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
+    by_hand(monkeypatch)
+    words = {"a": "red green blue black white", "b": "rojo verde azul negro blanco"}
+    docs, labels = [], []
+    for i in range(1200):
+        lang = "b" if i % 4 == 3 else "a"  # blorg is an insult in a alone
+        word, toxic = [("", 0), ("blorg", int(lang == "a")), ("snarfle", 1)][i // 4 % 3]
+        docs.append((i, f"{words[lang]} {word}" + " red" * (5000 if i % 400 == 0 else 0), lang))
+        labels.append((i, 1, toxic))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    m = X.train(docs, spark.createDataFrame(labels, LABELS), fit_rows=120)
+    assert m.langs == ["a", "b"] and m.cut[0] <= 0.5 < m.cut[1] <= 0.89
+    said = {g: [x >= 0.5 for x in m.score([f"{words[g]} {w}" for w in ("", "blorg", "snarfle")])] for g in words}
+    assert said == {"a": [False, True, True], "b": [False, False, True]}
+
+
+def test_toxicity_place_counts_are_whole(spark, monkeypatch):
+    by_hand(monkeypatch)
+    docs, labels = insults(spark, 200)
+    docs = docs.withColumn("lang", docs.source).union(docs.withColumn("lang", docs.source)).repartition(3)
+    m = X.Model().fit([X.word_ids("red blue")] * 5 + [X.word_ids("blorg")], np.array([0, 0, 0, 0, 0, 1]), ["s"] * 6)
+    known = labels.selectExpr("doc_id label_id", "toxic").where("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0")
+    seen = np.array([x for x in range(0, 200, 3)])
+    got = X.place_counts(docs, known, seen, m)
+    left = [i for i in range(200) if i % 3 and zlib.crc32(str(i).encode()) % 5]
+    assert got.sum() == len(left) and got[:, 1].sum() == sum(i % 5 == 0 for i in left)
+
+
+def test_toxicity_few_rows_lean_on_all():
+    m = X.Model()
+    m.langs, m.cut = ["a", "b", "c", "d"], np.full(4, 0.5)
+    n = np.zeros((4, 2, len(X.CUTS) + 1), int)
+    n[0, 0, 10], n[0, 1, 30] = 10_000, 10_000  # cuts 10 to 29
+    n[1, 0, 50], n[1, 1, 60] = 400, 25  # its own cut, with few toxic rows
+    n[2, 0, 50] = 2
+    m.calibrate(n)
+    at = np.searchsorted(X.CUTS, m.cut - 1e-9)
+    assert 10 <= at[0] < 30 and 50 <= at[1] < 60 and 10 <= at[2] < 30 and 10 <= at[3] < 30
