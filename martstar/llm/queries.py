@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from martstar.llm.chunk_dedup import chunk_dedup
 from martstar.llm.common import python_workers, table
 from martstar.llm.decontaminate import leaks
@@ -11,6 +13,7 @@ from martstar.llm.lang_id import languages
 from martstar.llm.lang_id import train as train_languages
 from martstar.llm.license_scan import license_scan
 from martstar.llm.packing import pack
+from martstar.llm.sharding import shards
 from martstar.llm.simhash_dedup import near_groups
 from martstar.llm.suffix_dedup import suffix_dedup
 from martstar.llm.toxicity import scores, train
@@ -66,12 +69,46 @@ def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op12_sharding(spark, sf_dir):
+    python_workers(spark)
+    text = F.coalesce("doc.text", F.lit("")).cast("binary")
+    return shards(table(spark, sf_dir, "documents")).select(
+        "doc.doc_id", "size", F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_license_scan, op3_language_id, op4_simhash_dedup, op5_chunk_dedup,
-    op6_decontaminate, op7_exact_dedup, op8_html_extraction, op9_toxicity, op10_packing,
+    op6_decontaminate, op7_exact_dedup, op8_html_extraction, op9_toxicity, op10_packing, op12_sharding,
 )}
 
+# unsigned CRC-32 in SQL: the table of the polynomial, then one step per byte of {text}
+_CRC_TABLE = """
+          SELECT list(c ORDER BY n) AS tab FROM (
+            SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k:
+                     CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+            FROM range(256) r(n))"""
+_CRC = """xor(4294967295, list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'),
+                                                            lambda x: ('0x' || x)::BIGINT)),
+            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"""
+
 SQL = {
+    "op12_sharding": f"""
+        WITH crc AS ({_CRC_TABLE}),
+        d AS (
+          SELECT doc_id, coalesce(text, '') AS t, octet_length(encode(coalesce(text, ''))) + 1 AS size FROM documents),
+        o AS (
+          SELECT *, row_number() OVER w AS n, coalesce(sum(size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+          FROM d WINDOW w AS (ORDER BY md5(t), doc_id NULLS LAST)),
+        places AS (SELECT below FROM o UNION SELECT sum(size) FROM d),
+        cut AS (
+          SELECT j, arg_min(below, (abs(16 * below - j * (SELECT sum(size) FROM d)), below)) AS border
+          FROM places, range(1, 16) r(j) GROUP BY j),
+        s AS (SELECT o.*, (SELECT count(*) FROM cut WHERE border <= below) AS shard FROM o)
+        SELECT doc_id, size, {_CRC.format(text="t")} AS text_crc32, 'bytes' AS law, shard::INT AS shard,
+               row_number() OVER (PARTITION BY shard ORDER BY n) - 1 AS slot, NULL::INT AS grown_shard
+        FROM s, crc""",
     "op7_exact_dedup": r"""
         WITH d AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
