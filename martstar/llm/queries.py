@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from martstar.llm.chunk_dedup import chunk_dedup
 from martstar.llm.common import python_workers, table
+from martstar.llm.conversation_repair import repair_damaged
 from martstar.llm.decontaminate import leaks
 from martstar.llm.exact_dedup import exact_groups
 from martstar.llm.html_consensus import host_paths, main_text
@@ -77,9 +78,15 @@ def op12_sharding(spark, sf_dir):
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_conversation_repair(spark, sf_dir):
+    python_workers(spark)
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_license_scan, op3_language_id, op4_simhash_dedup, op5_chunk_dedup,
     op6_decontaminate, op7_exact_dedup, op8_html_extraction, op9_toxicity, op10_packing, op12_sharding,
+    op13_conversation_repair,
 )}
 
 # unsigned CRC-32 in SQL: the table of the polynomial, then one step per byte of {text}
@@ -94,6 +101,66 @@ _CRC = """xor(4294967295, list_reduce(
             lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"""
 
 SQL = {
+    # the same grammar as a walk over its states, row by row
+    "op13_conversation_repair": f"""
+        WITH RECURSIVE crc AS ({_CRC_TABLE}),
+        raw AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+        kinds AS (SELECT raw.*, {_CRC.format(text="name")} % 20 AS kind FROM raw, crc),
+        damaged AS (
+          SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                 CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+          FROM kinds),
+        placed AS (
+          SELECT *, coalesce(conv_id, -1) AS conv, left(role, 1) AS i,
+                 rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+          FROM damaged),
+        copied AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS copies FROM placed),
+        faulty AS (
+          SELECT *, CASE WHEN core = '' THEN 'blank' WHEN copies > 1 THEN 'duplicate'
+                         WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                 lag(i) OVER (PARTITION BY conv_id ORDER BY pos) || i AS pair
+          FROM copied),
+        counted AS (
+          SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                 count(*) FILTER (fault = 'truncated') AS truncated,
+                 count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+          FROM faulty GROUP BY conv),
+        ins(p, q, lines) AS (VALUES (0, 0, []::VARCHAR[]), (0, 2, ['user:']), (0, 3, ['user:', 'assistant:']),
+          (1, 1, []), (1, 2, ['user:']), (1, 3, ['user:', 'assistant:']), (2, 2, []), (2, 3, ['assistant:']),
+          (3, 3, []), (3, 2, ['user:'])),
+        due(p, q, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+        step(p, i, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+        edit AS (
+          SELECT conv, pos, p, p AS q, 2 AS cost, 'D' AS letter, []::VARCHAR[] AS lines FROM faulty, due
+          UNION ALL
+          SELECT conv, pos, p, q, 1 + 5 * (fault = 'truncated')::INT, 'R', [due.role || ':' || text]
+          FROM faulty, due WHERE fault IN ('', 'truncated')
+          UNION ALL
+          SELECT conv, pos, p, q, 5 * (fault = 'truncated')::INT, 'K', [role || ':' || text]
+          FROM faulty JOIN step USING (i) WHERE fault IN ('', 'truncated')),
+        best AS (
+          SELECT conv, 0::BIGINT AS pos, 0 AS p, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS x FROM counted
+          UNION ALL
+          SELECT b.conv, e.pos, e.q,
+                 min({{'cost': x.cost + 5 * len(ins.lines)::INT + e.cost, 'audit': x.audit || repeat('I', len(ins.lines)) || letter,
+                      'lines': x.lines || ins.lines || e.lines}})
+          FROM best b JOIN ins USING (p) JOIN edit e ON e.conv = b.conv AND e.pos = b.pos + 1 AND e.p = ins.q
+          GROUP BY b.conv, e.pos, e.q),
+        done AS (
+          SELECT c.conv, min({{'cost': x.cost + 5 * len(ins.lines)::INT, 'audit': x.audit || repeat('I', len(ins.lines)),
+                              'lines': x.lines || ins.lines}}) AS x
+          FROM counted c JOIN best b ON b.conv = c.conv AND b.pos = c.n JOIN ins USING (p) WHERE ins.q IN (0, 3)
+          GROUP BY c.conv)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(x.cost, 0)::BIGINT AS cost,
+               coalesce(x.audit, '') AS audit, sha256(coalesce(array_to_string(x.lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id, coalesce(conv_id, -1) AS conv FROM conversations) o
+        LEFT JOIN counted USING (conv) LEFT JOIN done USING (conv)""",
     "op12_sharding": f"""
         WITH crc AS ({_CRC_TABLE}),
         d AS (
