@@ -9,6 +9,7 @@ from martstar.llm.common import python_workers, table
 from martstar.llm.conversation_repair import repair_damaged
 from martstar.llm.decontaminate import leaks
 from martstar.llm.exact_dedup import exact_groups
+from martstar.llm.hard_negatives import positives_and_negatives
 from martstar.llm.html_consensus import host_paths, main_text
 from martstar.llm.lang_id import languages
 from martstar.llm.lang_id import train as train_languages
@@ -70,6 +71,12 @@ def op10_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    python_workers(spark)
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return positives_and_negatives(table(spark, sf_dir, "embeddings"), noisy)
+
+
 def op12_sharding(spark, sf_dir):
     python_workers(spark)
     text = F.coalesce("doc.text", F.lit("")).cast("binary")
@@ -85,8 +92,8 @@ def op13_conversation_repair(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_license_scan, op3_language_id, op4_simhash_dedup, op5_chunk_dedup,
-    op6_decontaminate, op7_exact_dedup, op8_html_extraction, op9_toxicity, op10_packing, op12_sharding,
-    op13_conversation_repair,
+    op6_decontaminate, op7_exact_dedup, op8_html_extraction, op9_toxicity, op10_packing,
+    op11_hard_negatives, op12_sharding, op13_conversation_repair,
 )}
 
 # unsigned CRC-32 in SQL: the table of the polynomial, then one step per byte of {text}
@@ -101,6 +108,24 @@ _CRC = """xor(4294967295, list_reduce(
             lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"""
 
 SQL = {
+    "op11_hard_negatives": """
+        WITH v AS (
+          SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT a.n AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.n, b.vec_id,
+                 list_inner_product(a.e, b.e)::BIGINT AS score
+          FROM v a JOIN v b ON a.n <> b.n WHERE a.vec_id % 100 = 0),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+               (row_number() OVER (PARTITION BY p.anchor, p.n ORDER BY s.score DESC, s.vec_id))::INT AS rank,
+               s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s USING (anchor)
+        WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+        QUALIFY rank <= 5""",
     # the same grammar as a walk over its states, row by row
     "op13_conversation_repair": f"""
         WITH RECURSIVE crc AS ({_CRC_TABLE}),
