@@ -4,10 +4,13 @@
    ``GRAM``-byte substrings marks an anchor, so equal strings have equal
    anchors at equal places. The starts that share an anchor form a segment;
    a document is covered by its segments, one per 16 bytes or so.
-2. Segments are compared by (hash of the anchor's gram, hash of the segment).
-   A segment whose equal occurs in an earlier document goes as a whole. Only
-   where an anchor is shared but the segments differ (the ends of a repeat)
-   are bytes needed.
+2. Segments are compared by (hash of the anchor's gram, BLAKE2b digest of the
+   segment's bytes, 96 bits under a salt drawn for the run). A segment whose equal
+   occurs in an earlier document goes as a whole. Polynomial hashes choose
+   anchors and order suffixes but never decide that bytes are equal: nobody can
+   write texts whose digests collide under a salt they don't know. Only where an
+   anchor is shared but the segments differ (the ends of a repeat) are bytes
+   brought together.
 3. The bytes of those segments are brought together by anchor and their
    suffixes are sorted: by the first 16 bytes, then by a mergesort that finds
    the common extension of two suffixes with prefix polynomial hashes and
@@ -23,6 +26,9 @@ sorted where they are and sent on by their own hash, once per task.
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,8 +43,9 @@ GRAM = 19
 WIDTH = LENGTH - GRAM + 1  # grams in a string; a power of two
 BASE = 0x9E3779B97F4A7C15
 BLOCK_BYTES = 1 << 18
-# of the gram's and the segment's hash, besides the bucket, whose number grows with the data
-KEY_BYTES = (4, 6)
+# of the gram's hash (besides the bucket, whose number grows with the data) and the segment's digest
+KEY_BYTES = (4, 8, 4)
+SALT_BYTES = 16
 HOT = 4096
 HEAD = 16  # bytes compared before the mergesort
 
@@ -75,14 +82,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def segments(raws: list[bytes]):
-    """(document number, first start, last start, gram hash, segment hash) over texts laid end to end."""
+def segments(raws: list[bytes], salt: bytes = b""):
+    """(document number, first start, last start, gram hash, digest in two parts) over texts laid end to end."""
     lens = np.array([len(r) for r in raws], np.int64)
-    b = np.frombuffer(b"".join(raws), np.uint8)
+    joined = b"".join(raws)
+    b = np.frombuffer(joined, np.uint8)
     n = len(b)
     none = np.empty(0, np.int64)
+    nothing = (none, none, none, *[none.astype(np.uint64)] * 3)
     if n < LENGTH:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return nothing
     ph = PrefixHash(b)
     at = np.arange(n - GRAM + 1)
     gram = _mix(ph.of(at, GRAM))
@@ -96,15 +105,18 @@ def segments(raws: list[bytes]):
     doc = np.repeat(np.arange(len(raws)), lens)[:len(low)]
     p = np.flatnonzero(np.arange(len(low)) + LENGTH <= ends[doc])
     if not len(p):
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return nothing
     anchor = (low[p] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.r_[True, anchor[1:] != anchor[:-1]]
     i = np.flatnonzero(new)
     s, e = p[i], p[np.r_[i[1:], len(p)] - 1]
     d = doc[s]
-    whole = _mix(ph.of(s, e + LENGTH - s) + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    digest = hashlib.blake2b
+    whole = np.frombuffer(bytearray().join(
+        [digest(joined[x:y], digest_size=12, salt=salt).digest() for x, y in zip(s.tolist(), (e + LENGTH).tolist())]),
+        dtype=[("a", "<u8"), ("b", "<u4")])
     base = (ends - lens)[d]
-    return d, s - base, e - base, gram[anchor[i]], whole
+    return d, s - base, e - base, gram[anchor[i]], whole["a"].copy(), whole["b"].astype(np.uint64)
 
 
 def _long_texts(rows):
@@ -116,9 +128,9 @@ def _long_texts(rows):
                 yield r, lo, raw[lo:lo + BLOCK_BYTES + LENGTH - 1]
 
 
-def _compare(k1, k2, did, hot):
+def _compare(k1, k2, k3, did, hot):
     """(goes, asked, hot): per segment, after a look at all with the same anchor gram."""
-    o, runs = runs_of(k1, k2)
+    o, runs = runs_of(k1, k2, k3)
     goes = did > least_of(did, o, runs)
     # a gram whose remaining segments belong to several documents
     rest = np.flatnonzero(~goes)
@@ -138,10 +150,12 @@ def _compare(k1, k2, did, hot):
 def whole_segments(docs: DataFrame, n_buckets: int) -> DataFrame:
     """Packed rows by document bucket: spans that go, and segments asked for."""
 
+    salt = os.urandom(SALT_BYTES)  # drawn once, so that a task that runs again finds the same digests
+
     def find(batches):
-        def send(k1, k2, did, th, bucket, s, e):
+        def send(k1, k2, k3, did, th, bucket, s, e):
             no = np.zeros(len(did), bool)
-            goes, _, hot = _compare(k1, k2, did, no)
+            goes, _, hot = _compare(k1, k2, k3, did, no)
             g, h = np.flatnonzero(goes), np.flatnonzero(hot)
             # of a hot gram two segments go on, those of its first and last document
             stay = ~goes & ~hot
@@ -154,21 +168,21 @@ def whole_segments(docs: DataFrame, n_buckets: int) -> DataFrame:
             return [by_bucket(bucket[g], SPANS, [did[g], th[g], s[g], e[g] + LENGTH]),
                     by_bucket(bucket[h], HOT_ASKED, [did[h], th[h], s[h], e[h] + LENGTH, 0 * s[h]]),
                     by_bucket(to, KEYS, [x[t] for x in (did, th, bucket, s, e - s, hot)],
-                              [(k1[t], KEY_BYTES[0]), (k2[t], KEY_BYTES[1])])]
+                              [(k[t], w) for k, w in zip((k1, k2, k3), KEY_BYTES)])]
 
         pieces = Pieces(send)
         for rows in batches_of_bytes(batches, BLOCK_BYTES):
             parts = list(_long_texts(rows))
-            d, s, e, k1, k2 = segments([x for _, _, x in parts])
+            d, s, e, *keys = segments([x for _, _, x in parts], salt)
             own = [np.array([r[i] for r, _, _ in parts], np.int64)[d] for i in range(3)]
             off = np.array([lo for _, lo, _ in parts], np.int64)[d]
-            yield from pieces.add(k1, k2, *own, s + off, e + off)
+            yield from pieces.add(*keys, *own, s + off, e + off)
         yield from pieces.flush()
 
     def one(bucket, blobs):
         rows = [unpack(x, 6, KEY_BYTES) for x in blobs]
-        did, th, own, s, n, hot, k1, k2 = [np.concatenate(c) for c in zip(*rows)]
-        goes, asked, is_hot = _compare(k1, k2, did, hot > 0)
+        did, th, own, s, n, hot, *keys = [np.concatenate(c) for c in zip(*rows)]
+        goes, asked, is_hot = _compare(*keys, did, hot > 0)
         e = s + n + LENGTH
         i = np.flatnonzero(goes)
         yield by_bucket(own[i], SPANS, [did[i], th[i], s[i], e[i]])

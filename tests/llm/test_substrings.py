@@ -69,9 +69,9 @@ def test_suffix_dedup_is_brute_force(spark, monkeypatch, hot):
     rows = fixture()
     find = suffix_dedup._compare
 
-    def compare(k1, k2, did, flags):
+    def compare(*columns):
         suffix_dedup.HOT = hot  # in the worker as well
-        return find(k1, k2, did, flags)
+        return find(*columns)
 
     monkeypatch.setattr(suffix_dedup, "_compare", compare)
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
@@ -79,6 +79,25 @@ def test_suffix_dedup_is_brute_force(spark, monkeypatch, hot):
     assert got == brute_suffix(rows)
 
 
+def test_texts_with_equal_polynomial_hashes_stay(spark):
+    """Two texts whose hashes modulo 2**64 are equal in every prefix that matters, found by lattice reduction."""
+    a = "nnnnnnnnnnnnnnnnnnvtepnaysiactdnxygbmvqbqiflwzdotg"
+    b = "lilnmonqnplnqtshjlvtepnaysiactdnxygbmvqbqiflwzdotg"
+    h = suffix_dedup.PrefixHash(np.frombuffer((a + b).encode(), np.uint8))
+    assert h.of(np.array([0]), 50) == h.of(np.array([50]), 50)
+    rows = [(1, a, 0), (2, b, 0), (3, b + " tail " * 12, 0), (4, "x " + a, 0), (5, a, 0)]
+    rows = [(i, t) for i, t, _ in rows]
+    got = collected(suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)))
+    assert got == brute_suffix(rows)
+    assert [g[2] for g in got] == [0, 0, 50, 50, 50]
+
+
+def test_digests_depend_on_the_salt():
+    raw = [bytes(range(97, 122)) * 4]
+    a, b = (suffix_dedup.segments(raw, salt=x)[4] for x in (b"1" * 16, b"2" * 16))
+    assert len(a) == len(b) > 0 and (a != b).all()
+
+
 def test_suffix_sort_matches_plain_sort():
     r = random.Random(4)
     raw = bytes(r.choice(b"ab") for _ in range(400)) + b"ab" * 200 + bytes(r.choice(b"ab") for _ in range(60))
