@@ -58,9 +58,12 @@ def _encoder(name: str):
         rare = re.compile(f"[^\\x00-{_COMMON}]")
 
         def encode(text: str) -> np.ndarray:
-            if rare.search(text):
-                return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            return np.asarray(fast.encode_to_numpy(text)).astype("<u4")
+            if not rare.search(text):
+                try:
+                    return np.asarray(fast.encode_to_numpy(text)).astype("<u4")
+                except ValueError:  # its pattern gives up on very long runs of white space
+                    pass
+            return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
         _encoders[name] = encode
     return _encoders[name]

@@ -123,3 +123,8 @@ def test_few_sequences_beyond_the_open_bins(spark):
     ends = (rows["offset"] + rows["length"]).groupby(rows["sequence_id"]).max()
     assert ends.max() <= 1024 and (rows.groupby("sequence_id")["length"].sum() == ends).all()
     assert len(ends) <= lengths.sum() / 1024 * 1.01
+
+
+def test_a_million_characters_of_one_kind(spark):
+    texts = [(1, " " * 1_000_000), (2, "\n" * 1_000_000), (3, "x" + " \t\n" * 400_000 + "y"), (4, "a" * 1_000_000), (5, "!" * 1_000_000)]
+    check(P.pack(table(spark, texts)).collect(), texts, 1024)
