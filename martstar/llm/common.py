@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martstar.session import checkpoint_dir
@@ -68,6 +68,19 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def named(docs: DataFrame, id_col: str, text_col: str, digest: Column | None = None) -> DataFrame:
+    """(doc, r, sha): rows as a struct beside the rank of their id and the digest of
+    their text, so that no name of theirs clashes with one used here."""
+    sha = F.sha2(text_of(text_col).cast("binary"), 256) if digest is None else digest
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), rank(id_col).alias("r"), sha.alias("sha"))
+
+
+def one_each(rows: DataFrame) -> DataFrame:
+    """One of the ``named`` rows that have the same id and digest."""
+    w = Window.partitionBy("r", "sha").orderBy(F.lit(1))
+    return rows.withColumn("nth", F.row_number().over(w)).where("nth = 1").drop("nth")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once.
 

@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martstar.llm.common import keep, let, text_of
+from martstar.llm.common import keep, let, named, rank, text_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -143,6 +143,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     a whole. Documents with no words or a null text match nothing. Rows that repeat a doc_id are searched each and
     reported together. An empty table on either side gives an empty result.
     """
+    return (matches(docs, benchmark, id_col, text_col, item_col, item_text, k, threshold, radius)
+            .groupBy("doc_id", "item_id")
+            .agg(F.max("similarity").alias("similarity"), F.count(F.lit(1)).alias("n_windows")))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            item_col: str = "item_id", item_text: str = "text", k: int = SHINGLE,
+            threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, th, item_id, similarity): a row for each window that matches; th is the text's hash."""
     items = keep(bench_items(benchmark, item_col, item_text, k))
     lens = [(r["k"], r["m"]) for r in items.select("k", "m").distinct().collect()]  # word counts, a few dozen values
     found = None
@@ -151,10 +160,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         part = _leaks_of(docs, items.where(F.col("k") == kk), id_col, text_col, kk, ms, threshold, radius)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = docs.select(F.col(id_col).alias("doc_id"), F.lit(None).cast("long").alias("item_id"),
-                            F.lit(0.0).alias("similarity")).where("false")
-    return (found.groupBy("doc_id", "item_id")
-            .agg(F.max("similarity").alias("similarity"), F.count(F.lit(1)).alias("n_windows")))
+        found = docs.select(F.col(id_col).alias("doc_id"), F.lit(None).cast("long").alias("th"),
+                            F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("similarity")).where("false")
+    return found
 
 
 def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius) -> DataFrame:
@@ -197,8 +205,8 @@ def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius) -> DataFr
 
     found = todo.select(F.col("doc_id").alias("id"), F.col("th").alias("h"), "blocks")
     hit = src.join(_checked(found), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("h"))) \
-        .select("doc_id", F.explode_outer(let(words("text"), around)).alias("x")) \
-        .select("doc_id", "x.item_id", "x.m", "x.w").where("item_id is not null")
+        .select("doc_id", "th", F.explode_outer(let(words("text"), around)).alias("x")) \
+        .select("doc_id", "th", "x.item_id", "x.m", "x.w").where("item_id is not null")
     item_shingles = items.select("item_id", F.col("shingles").alias("own"))
     hit = hit.join(_checked(item_shingles), "item_id")
     n = F.col("m") - k + 1
@@ -212,24 +220,25 @@ def _leaks_of(docs, items, id_col, text_col, k, ms, threshold, radius) -> DataFr
         return F.transform(starts, lambda p: F.slice(s, p + 1, v))
 
     shingled = let(F.col("w"), lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda p: _shingle(w, p, k)))
-    win = hit.select("doc_id", "item_id", F.explode_outer(let(shingled, windows)).alias("ws")).where("ws is not null")
+    win = hit.select("doc_id", "th", "item_id", F.explode_outer(let(shingled, windows)).alias("ws")).where("ws is not null")
     # 3. SimHash, blocks, all within the radius
     win = win.withColumn("wfp", _simhash(F.transform("ws", lambda x: F.xxhash64(x))))
-    win = win.select("doc_id", "item_id", "ws", "wfp", F.posexplode_outer(_blocks(F.col("wfp"), radius)).alias("b", "v"))
+    win = win.select("doc_id", "th", "item_id", "ws", "wfp", F.posexplode_outer(_blocks(F.col("wfp"), radius)).alias("b", "v"))
     side = items.select("item_id", "fp", "shingles", F.posexplode_outer(_blocks(F.col("fp"), radius)).alias("b", "v"))
     near = win.join(_checked(side), ["item_id", "b", "v"])
     x = F.col("wfp").bitwiseXOR(F.col("fp"))
     first = F.array_position(F.transform(_blocks(x, radius), lambda v: v == 0), True) - 1
     # 4. exact similarity; under the condition, as filters above may move into the join
     sure = (F.bit_count(x) <= radius) & (first == F.col("b"))
-    near = near.select("doc_id", "item_id", F.when(
+    near = near.select("doc_id", "th", "item_id", F.when(
         sure, _weighted(F.col("ws"), F.col("shingles"))).alias("similarity"))
     return near.where(F.col("similarity") >= threshold - 1e-12)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                **kw) -> DataFrame:
-    """The rows of ``docs`` whose text matches no item, all columns unchanged."""
-    gone = keep(leaks(docs, benchmark, id_col, text_col, **kw)
-                .select(F.col("doc_id").alias("_leak")).distinct())
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_leak"]), "left_anti")
+    """The rows of ``docs`` whose text matches no item, all columns unchanged; a
+    repeated or null id is no reason to go."""
+    gone = keep(matches(docs, benchmark, id_col, text_col, **kw).select(rank("doc_id").alias("r"), "th").distinct())
+    rows = named(docs, id_col, text_col, F.xxhash64(text_of(text_col)))
+    return rows.join(gone, (rows["r"] == gone["r"]) & (rows["sha"] == gone["th"]), "left_anti").select("doc.*")

@@ -15,10 +15,10 @@ apart by their place in the checkpointed table, so exactly one of them stays.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martstar.llm.common import keep, rank, text_of
+from martstar.llm.common import keep, named, one_each, rank, text_of
 
 COUNTERS = 1024
 SPACES = r"[\x20\x09-\x0D]+"
@@ -80,11 +80,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a row that stays is repeated with its id, one of the repeats stays.
     """
     gone = (exact_groups(docs, id_col, text_col, counters)
-            .groupBy(rank("doc_id").alias("_rank"), F.col("text_sha256").alias("_sha"))
-            .agg(F.count(F.lit(1)).alias("_rows"), F.max("kept").alias("_kept"))
-            .where("not _kept or _rows > 1"))
-    marked = docs.withColumn("_rank", rank(id_col)).withColumn("_sha", digest_of(text_col))
-    # the window has the keys of the join, so texts move once
-    once = Window.partitionBy("_rank", "_sha").orderBy(F.lit(1))
-    return (marked.join(gone, ["_rank", "_sha"], "left").where("coalesce(_kept, true)")
-            .withColumn("_n", F.row_number().over(once)).where("_n = 1").select(*docs.columns))
+            .groupBy(rank("doc_id").alias("r"), F.col("text_sha256").alias("sha"))
+            .agg(F.max("kept").alias("kept")).where("not kept"))
+    rows = named(docs, id_col, text_col, digest_of(text_col))
+    # the window of one_each has the keys of the join, so texts move once
+    return one_each(rows.join(gone, ["r", "sha"], "left_anti")).select("doc.*")

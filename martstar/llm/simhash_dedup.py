@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martstar.llm.common import id_text, keep, rank, text_of, with_id
+from martstar.llm.common import id_text, keep, named, one_each, rank, text_of, with_id
 from martstar.llm.components import components
 
 SHINGLE = 3
@@ -61,15 +61,16 @@ def fingerprint(text: str, k: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed 64-bit number."""
+    """(doc_id, sha, fp): fp is the fingerprint as a signed 64-bit number, sha the text's digest."""
 
     def run(batches):
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"],
+            yield pd.DataFrame({"doc_id": b["doc_id"], "sha": b["sha"],
                                 "fp": np.array([fingerprint(t, k) for t in b["text"]], dtype=np.int64)})
 
-    src = docs.select(id_text(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    return with_id(src.mapInPandas(run, "doc_id string, fp long"))
+    text = text_of(text_col)
+    src = docs.select(id_text(id_col).alias("doc_id"), F.sha2(text.cast("binary"), 256).alias("sha"), text.alias("text"))
+    return with_id(src.mapInPandas(run, "doc_id string, sha string, fp long"))
 
 
 class BKTree:
@@ -216,6 +217,19 @@ def links(fps: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) ->
     return out
 
 
+def _groups(docs: DataFrame, id_col: str, text_col: str, k: int, radius: int, shard_rows: int) -> DataFrame:
+    """(doc_id, sha, fp, first): ``first`` is the (rank, sha, id) that stays of the row's component."""
+    base = keep(fingerprints(docs, id_col, text_col, k))
+    who = F.struct(rank("doc_id").alias("r"), F.col("sha").alias("sha"), F.col("doc_id").alias("id"))
+    fps = keep(base.groupBy("fp").agg(F.min(who).alias("first")))
+    roots = components(links(fps.select("fp"), radius, shard_rows))
+    roots = keep(fps.join(roots, fps["fp"] == roots["node"], "left")
+                 .select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    best = roots.groupBy("root").agg(F.min("first").alias("low"))
+    firsts = keep(roots.join(best, "root").select("fp", F.col("low").alias("first")))
+    return base.join(firsts, "fp")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                 radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, fingerprint, component_id: one row per input row.
@@ -225,20 +239,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null id ranks last, so it names a component only if all its ids are null.
     An empty table gives an empty result.
     """
-    base = keep(fingerprints(docs, id_col, text_col, k))
-    fps = keep(base.groupBy("fp").agg(F.min(F.struct(rank("doc_id").alias("r"), F.col("doc_id").alias("id"))).alias("first")))
-    roots = components(links(fps.select("fp"), radius, shard_rows))
-    named = keep(fps.join(roots, fps["fp"] == roots["node"], "left")
-                 .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    best = named.groupBy("root").agg(F.min("first").alias("low"))
-    named = keep(named.join(best, "root").select("fp", F.col("low.id").alias("component_id")))
-    return base.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` that name their component, all columns unchanged."""
-    gone = keep(near_groups(docs, id_col, text_col, **kw)
-                .where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                .select(F.col("doc_id").alias("_copy")).distinct())
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_copy"]), "left_anti")
+    return _groups(docs, id_col, text_col, k, radius, shard_rows).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
+                     radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row of ``docs`` for each component, all columns unchanged: the smallest
+    doc_id (nulls last), of its texts the one with the smallest digest.
+
+    Rows are told apart by id and text, so a repeated or null id is no reason to
+    go. Of rows equal in both one stays.
+    """
+    own = F.struct(rank("doc_id").alias("r"), F.col("sha").alias("sha"))
+    gone = (_groups(docs, id_col, text_col, k, radius, shard_rows)
+            .where(own != F.struct(F.col("first.r").alias("r"), F.col("first.sha").alias("sha")))
+            .select(rank("doc_id").alias("r"), "sha").distinct())
+    return one_each(named(docs, id_col, text_col).join(gone, ["r", "sha"], "left_anti")).select("doc.*")

@@ -23,3 +23,29 @@ def awkward():
     return [(5, a), (3, a), (9, a.replace(" ", "\t\n", 3)), (3, a), (None, a), (7, b), (8, b + " more"), (11, None),
             (12, ""), (13, "  \n"), (14, "x"), (14, "other text"), (20, long), (21, long), (None, None), (22, "Ünï cödé ß 漢字"),
             (2**60 + 1, "a wide id")]
+
+
+def stage_rows(texts):
+    """Repeated and null ids whose texts differ, in columns that stages use inside."""
+    return [(i, t, 10 + n, f"keep{n}") for n, (i, t) in enumerate(texts)]
+
+
+STAGE_SCHEMA = "doc_id long, text string, r int, sha string"
+INNER = ["_rank", "_sha", "_n", "_rows", "_kept", "_copy", "_leak", "doc", "kept", "nth", "n", "first", "th"]
+
+
+def stage_table(spark, texts):
+    """``stage_rows`` with a column for every name that stages use or used inside."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(stage_rows(texts), STAGE_SCHEMA)
+    return df.select("*", *[F.concat(F.lit(f"{c}-"), "sha").alias(c) for c in INNER])
+
+
+def kept_rows(df, before):
+    """(id, text) that stayed; every column must be what it was."""
+    assert df.columns == before.columns
+    was = {r.sha: r for r in before.collect()}
+    rows = df.collect()
+    assert all(r == was[r.sha] for r in rows)
+    return sorted(((r.doc_id, r.text) for r in rows), key=str)

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from martstar.llm import decontaminate as D
-from tests.llm.helpers import SCHEMA, awkward, prose, table
+from tests.llm.helpers import SCHEMA, awkward, kept_rows, prose, stage_table, table
 
 
 def words(t):
@@ -93,9 +93,9 @@ def test_drop_and_empty(spark):
     items = spark.createDataFrame(ITEMS[:4], "item_id long, text string")
     d = table(spark, texts)
     out = D.drop_leaks(d, items)
-    bad = {x for x, _ in brute(texts, ITEMS[:4])}
+    bad = {n for n, _ in brute([(n, t) for n, (_, t) in enumerate(texts)], ITEMS[:4])}  # rows, not ids
     assert out.columns == d.columns
-    assert sorted((r.doc_id for r in out.collect()), key=str) == sorted((i for i, _ in texts if i not in bad), key=str)
+    assert sorted((r.doc_id for r in out.collect()), key=str) == sorted((i for n, (i, _) in enumerate(texts) if n not in bad), key=str)
     e = spark.createDataFrame([], SCHEMA)
     none = spark.createDataFrame([], "item_id long, text string")
     unnamed = spark.createDataFrame([(None, ITEMS[0][1])], "item_id long, text string")
@@ -147,3 +147,32 @@ def test_stride_meets_every_shorter_match():
             for v in range(1, n + 1):
                 shared = next((x for x in range(v + 1) if x >= 0.8 * (n + v - x) - 1e-9), None)
                 assert shared is None or len(range(0, v, s)) > v - shared
+
+
+def test_drop_tells_repeated_and_null_ids_apart(spark):
+    leak = "before " + ITEMS[0][1] + " after"
+    texts = [(3, leak), (3, prose(41, 50)), (None, leak), (None, prose(42, 50)), (None, None), (4, prose(43, 50)), (4, prose(43, 50))]
+    d = stage_table(spark, texts)
+    items = spark.createDataFrame(ITEMS[:4], "item_id long, text string")
+    assert kept_rows(D.drop_leaks(d.repartition(3), items), d) == sorted([x for x in texts if x[1] != leak], key=str)
+
+
+def test_radius_keeps_the_matches(spark):
+    """The share of windows of the wanted similarity whose fingerprints lie within the radius."""
+    import xxhash
+
+    def fp(x):
+        h = [xxhash.xxh64_intdigest(" ".join(x[i:i + 5]).encode(), 42) for i in range(len(x) - 4)]
+        return sum(1 << b for b in range(64) if sum(v >> b & 1 for v in h) * 2 > len(h))
+
+    far = []
+    for i in range(1500):
+        r = random.Random(i)
+        w = prose(i, r.randint(16, 59), 5000).split()
+        x = list(w)
+        for _ in range(r.randint(1, 3)):
+            x[r.randrange(len(x))] = "changed"
+        a, b = (Counter(" ".join(y[j:j + 5]) for j in range(len(y) - 4)) for y in (w, x))
+        if sum((a & b).values()) / sum((a | b).values()) >= 0.8:
+            far.append((fp(w) ^ fp(x)).bit_count())
+    assert len(far) > 100 and sum(d <= D.RADIUS for d in far) / len(far) >= 0.99

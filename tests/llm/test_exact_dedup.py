@@ -4,7 +4,7 @@ import hashlib
 import re
 
 from martstar.llm import exact_dedup as X
-from tests.llm.helpers import SCHEMA, awkward, table
+from tests.llm.helpers import SCHEMA, awkward, kept_rows, stage_table, table
 
 LAST = 2**63 - 1
 
@@ -54,3 +54,12 @@ def test_drop_copies_keeps_columns_and_one_row(spark):
 def test_empty(spark):
     e = spark.createDataFrame([], SCHEMA)
     assert X.exact_groups(e).count() == 0 and X.drop_copies(e).count() == 0
+
+
+def test_drop_copies_tells_repeated_and_null_ids_apart(spark):
+    texts = [(1, "a text"), (7, "own"), (7, "a  text"), (7, "own"), (None, "a text"), (None, "null's own"), (None, None),
+             (None, ""), (9, " "), (2, "")]
+    d = stage_table(spark, texts)
+    for counters in (1024, 2):
+        assert kept_rows(X.drop_copies(d.repartition(3), counters=counters), d) in (
+            sorted([(1, "a text"), (7, "own"), (None, "null's own"), (9, " "), (2, "")], key=str),)

@@ -8,7 +8,7 @@ import xxhash
 
 from martstar.llm import simhash_dedup as S
 from martstar.llm.components import components
-from tests.llm.helpers import SCHEMA, awkward, prose, table
+from tests.llm.helpers import SCHEMA, awkward, kept_rows, prose, stage_table, table
 
 LAST = 2**63 - 1
 
@@ -116,3 +116,21 @@ def test_drop_and_empty(spark):
     assert 3 in ids and 5 not in ids and 9 not in ids and 21 not in ids and 11 in ids and 12 not in ids
     e = spark.createDataFrame([], SCHEMA)
     assert S.near_groups(e).count() == 0 and S.drop_near_copies(e).count() == 0
+
+
+def test_drop_tells_repeated_and_null_ids_apart(spark):
+    a = prose(8, 900)
+    b = next(x for x in near([a], 40) if 0 < (brute_fp(x) ^ brute_fp(a)).bit_count() <= 3)
+    own, other = prose(31, 300), prose(32, 300)
+    texts = [(1, a), (7, own), (7, b), (7, b), (None, a), (None, other), (8, prose(33, 200)), (8, prose(33, 200)), (5, None), (5, " "), (6, "")]
+    d = stage_table(spark, texts)
+    got = kept_rows(S.drop_near_copies(d.repartition(3)), d)
+    # by hand: per component the smallest (id, digest), once
+    import hashlib
+    root = roots(sorted({brute_fp(t) for _, t in texts}), lambda x, y: (x ^ y).bit_count() <= 3)
+    best = {}
+    for i, t in texts:
+        key = (LAST if i is None else i, hashlib.sha256((t or "").encode()).hexdigest())
+        best[root[brute_fp(t)]] = min(best.get(root[brute_fp(t)], (key, i, t)), (key, i, t), key=lambda x: x[0])
+    assert [(i, t or "") for i, t in got] == sorted(((i, t or "") for _, i, t in best.values()), key=str)
+    assert (7, own) in got and (None, other) in got and (7, b) not in got
