@@ -19,7 +19,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martstar.llm.common import fold, id_text, text_of, with_id
@@ -193,9 +193,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"),
                          F.col(lang_col).cast("string").alias("lang"))
              .where("lang is not null and doc_id is not null").where(fold("doc_id", FOLDS) != HELD_OUT))
-    order = F.xxhash64("doc_id")
-    # the ids are chosen first, so texts are never sorted
-    some = known.select("doc_id").orderBy(order, "doc_id").limit(fit_docs).distinct()
+    # the ids are chosen first, so texts are never sorted: one row per id, however often it is
+    # repeated, and the languages in turn, so that a rare one is learned too
+    ids = known.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    some = (ids.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+            .where(F.col("nth") <= fit_docs).orderBy("nth", *order).limit(fit_docs).select("doc_id"))
+    # a repeated id brings the text of its first language with the smallest hash
+    chosen = (known.join(F.broadcast(some), "doc_id").groupBy("doc_id")
+              .agg(F.min(F.struct("lang", F.xxhash64("text").alias("h"), "text")).alias("row"))
+              .select("doc_id", "row.lang", "row.text"))
 
     def run(batches):
         for b in batches:
@@ -203,9 +210,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 spread(windows(t), FIT_WINDOWS).tobytes() if _letter.search(t) else None for t in b["text"]]})
 
     # at most fit_docs rows of at most FIT_WINDOWS windows reach the driver
-    rows = (known.join(F.broadcast(some), "doc_id").mapInPandas(run, "doc_id long, lang string, x binary")
-            .where("x is not null").toPandas())
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
+    rows = (chosen.mapInPandas(run, "doc_id long, lang string, x binary").where("x is not null").toPandas()
+            .sort_values("doc_id"))
     langs = sorted(set(rows["lang"]))
     if not langs:
         return Network([]).freeze(np.zeros(256, dtype=bool))

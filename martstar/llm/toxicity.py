@@ -308,11 +308,13 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
             yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "lang": b["lang"],
                                 "ids": [x.tobytes() for x in ids]})[ok]
 
-    # at most fit_rows rows of at most FIT_WORDS numbers reach the driver
+    # a repeated id brings the text with the smallest hash, so at most fit_rows rows of at most FIT_WORDS
+    # numbers reach the driver
     rows = (src.join(F.broadcast(some), F.col("doc_id") == F.col("label_id"))
-            .select("doc_id", "toxic", "lang", "text")
+            .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "lang", "text", "toxic")).alias("row"))
+            .select("doc_id", "row.toxic", "row.lang", "row.text")
             .mapInPandas(run, "doc_id long, toxic int, lang string, ids binary").toPandas())
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
+    rows = rows.sort_values("doc_id")
     rows = rows.sample(frac=1, random_state=11)
     model = Model().fit([np.frombuffer(x, dtype=np.uint32) for x in rows["ids"]], rows["toxic"].to_numpy(),
                         [x if isinstance(x, str) else None for x in rows["lang"]])

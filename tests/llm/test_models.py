@@ -195,3 +195,50 @@ def test_toxicity_few_rows_lean_on_all():
     m.calibrate(n)
     at = np.searchsorted(X.CUTS, m.cut - 1e-9)
     assert 10 <= at[0] < 30 and 50 <= at[1] < 60 and 10 <= at[2] < 30 and 10 <= at[3] < 30
+
+
+def _early_id(spark, column="id"):
+    """The id outside the held-out folds that comes first in the order the samples are drawn in."""
+    ids = spark.range(4000).where(G.fold("id", 4) != 2).where(X.fold("id", 5) != 0)
+    return ids.orderBy(G.F.xxhash64("id")).first()[0]
+
+
+def test_a_hot_id_does_not_fill_the_language_sample(spark):
+    hot = _early_id(spark)
+    alphabets = {"en": "abcdefgh", "de": "ijklmnäö", "fr": "opqrsté", "es": "uvwxyzñ"}
+    r = random.Random(2)
+    word = lambda a: "".join(r.choice(a) for _ in range(5))
+    rows = [(i, " ".join(word(alphabets[g]) for _ in range(60)), g) for i in range(400) for g in [list(alphabets)[i % 4 if i % 40 else 3]]]
+    rows = [x for x in rows if x[0] != hot] + [(hot, rows[1][1], rows[1][2])] * 3000 + [(hot, "other text " * 20, "xx")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    net = G.train(df, fit_docs=120)
+    assert {"en", "de", "fr", "es"} <= set(net.langs)
+    seen = {}
+    for i, t, g in rows[:200]:
+        seen[g] = seen.get(g, 0) + (net.predict([t])[0][0] == g)
+    assert sum(seen.values()) >= 190
+
+
+def test_a_hot_id_reaches_the_driver_once(spark, monkeypatch):
+    hot = _early_id(spark)
+    ids = [i for i in range(300) if i != hot] + [hot]
+    texts = {i: prose(i, 30) + (" awful words" if i % 3 == 0 else " kind words") for i in ids}
+    docs = [(i, texts[i]) for i in ids] + [(hot, texts[hot] + f" {n % 7}") for n in range(2000)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in ids] + [(hot, 1, int(hot % 3 == 0))] * 500,
+                                   "doc_id long, quality int, toxic int")
+    sizes = []
+    fit = X.Model.fit
+    monkeypatch.setattr(X.Model, "fit", lambda self, x, *a, **k: (sizes.append(len(x)), fit(self, x, *a, **k))[1])
+    X.train(docs_of(spark, docs).repartition(4), labels, fit_rows=100)
+    X.train(docs_of(spark, docs).repartition(2), labels, fit_rows=100)
+    assert sizes == [100, 100]
+
+
+def test_scores_are_those_of_the_plain_network(spark):
+    """Every score again, text by text, as plain sums over the words, without the batches of the operator."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = X.train(docs, table(spark, "/root/testdata/sf0.001", "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in X.scores(docs, model).collect()[:60]:
+        assert r.score == pytest.approx(float(model.score([texts[r.doc_id]])[0]), abs=1e-6)
+        assert r.predicted == int(r.score >= 0.5)
