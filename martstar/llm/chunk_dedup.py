@@ -10,8 +10,8 @@ copies of a passage are cut alike from their first bytes on.
 
 Chunks are deduplicated by their BLAKE2b digest: the chunk of the smallest
 doc_id stays, the first within it, all others are taken out. Runs of copied
-chunks of fewer than ``LEAST_RUN`` bytes stay: they are common phrases rather
-than passages. Copies within a task are settled there; what is left is packed
+chunks of fewer than ``LEAST_RUN`` bytes stay, unless such a run is the whole text:
+they are common phrases rather than passages. Their bytes are counted beside it. Copies within a task are settled there; what is left is packed
 by digest and settled after one shuffle; a second one brings the spans to their
 texts.
 """
@@ -142,11 +142,12 @@ def removed_chunks(docs: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 [, kept]: one row per input row.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_copied [, kept]: one row per input row.
 
     Bytes are those of the UTF-8 text; null is empty. Of equal chunks the first
     of the smallest doc_id stays; rows that repeat a doc_id don't remove from
-    each other. Removed runs have LEAST_RUN bytes at least. A null id ranks last. An empty table gives an empty result.
+    each other. Removed runs have LEAST_RUN bytes at least or are the whole text;
+    n_copied counts the bytes of all copied chunks. A null id ranks last. An empty table gives an empty result.
     """
     src, n = sources(docs, id_col, text_col)
     return cut_out(src, removed_chunks(src, n), with_text, LEAST_RUN)

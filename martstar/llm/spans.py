@@ -194,7 +194,11 @@ RESULT_TYPE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha
 
 def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False, least_run: int = 1) -> DataFrame:
     """Remove spans (packed rows of did, th, start, end by document bucket) from
-    each text; merged runs of fewer than ``least_run`` bytes stay."""
+    each text. Merged runs of fewer than ``least_run`` bytes stay, unless such a run
+    is the whole text; with a ``least_run`` the result has the bytes of all runs
+    beside it, as n_copied."""
+
+    more = least_run > 1
 
     def run(own: pd.DataFrame, blobs: pd.DataFrame) -> pd.DataFrame:
         cols = [unpack(b, 4) for b in blobs["data"]]
@@ -206,22 +210,23 @@ def cut_out(docs: DataFrame, spans: DataFrame, with_text: bool = False, least_ru
         for d, h, null, b in texts_of(own["data"]):
             doc_id = None if null else d
             rows = where.get((d, h))
-            left, gone, n = b, 0, 0
+            left, gone, n, copied = b, 0, 0, 0
             if rows is not None:
                 a, z = merged(s[rows], e[rows])
-                a, z = a[z - a >= least_run], z[z - a >= least_run]
+                copied = int((z - a).sum())
+                go = (z - a >= least_run) | (z - a == len(b))
+                a, z = a[go], z[go]
                 edges = np.r_[0, np.c_[a, z].ravel(), len(b)].reshape(-1, 2)
                 left = b"".join(b[x:y] for x, y in edges.tolist())
                 gone, n = int((z - a).sum()), len(a)
-            row = (doc_id, len(b), gone, n, hashlib.sha256(left).hexdigest())
-            out.append(row + (left,) if with_text else row)
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
+            out.append((doc_id, len(b), gone, n, hashlib.sha256(left).hexdigest()) + (copied,) * more + (left,) * with_text)
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["n_copied"] * more + ["kept"] * with_text
         df = pd.DataFrame(out, columns=names)
         df["doc_id"] = pd.array([r[0] for r in out], dtype="Int64")  # a list with None would pass as floats
         return df
 
     return (packed_texts(docs).groupBy("bucket").cogroup(spans.groupBy("bucket"))
-            .applyInPandas(run, RESULT_TYPE + ", kept binary" * with_text))
+            .applyInPandas(run, RESULT_TYPE + ", n_copied long" * more + ", kept binary" * with_text))
 
 
 def batches_of_bytes(batches: Iterator[pd.DataFrame], most: int) -> Iterator[list[tuple]]:

@@ -183,17 +183,27 @@ def brute_chunks(rows):
                 groups[-1][1].append(c)
             else:
                 groups.append((drop, [c]))
-        runs = [b"".join(cs) for drop, cs in groups if drop and sum(map(len, cs)) >= chunk_dedup.LEAST_RUN]
-        left = [b"".join(cs) for drop, cs in groups if not drop or sum(map(len, cs)) < chunk_dedup.LEAST_RUN]
-        out.append((d, len(b), sum(map(len, runs)), len(runs), hashlib.sha256(b"".join(left)).hexdigest()))
+        goes = lambda drop, cs: drop and (sum(map(len, cs)) >= chunk_dedup.LEAST_RUN or len(groups) == 1)
+        runs = [b"".join(cs) for drop, cs in groups if goes(drop, cs)]
+        left = [b"".join(cs) for drop, cs in groups if not goes(drop, cs)]
+        copied = sum(len(c) for drop, cs in groups if drop for c in cs)
+        out.append((d, len(b), sum(map(len, runs)), len(runs), hashlib.sha256(b"".join(left)).hexdigest(), copied))
     return sorted(out, key=str)
 
 
+def collected_chunks(df):
+    return sorted([tuple(r) for r in df.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_copied").collect()],
+                  key=str)
+
+
 def test_chunk_dedup_is_brute_force(spark, monkeypatch):
     rows = fixture(3)
-    got = collected(chunk_dedup.chunk_dedup(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+    rows += [(900 + i, t) + rows[0][2:] for i, t in enumerate(["a short copy, whole", "a short copy, whole", "x", "x", "", None])]
+    got = collected_chunks(chunk_dedup.chunk_dedup(spark.createDataFrame(rows, SCHEMA).repartition(3)))
     assert got == brute_chunks(rows)
     assert sum(r[2] for r in got) > 1000
+    assert [r[2] for r in got if r[0] in (900, 901, 902, 903)] == [0, 19, 0, 1]
+    assert sum(r[5] for r in got) > sum(r[2] for r in got)
 
 
 def test_chunk_blocks_do_not_move_cuts(monkeypatch):
