@@ -11,11 +11,19 @@
    taken; a page without that path falls back to its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments of
-readers, scripts and styles are never part of a container's text.
+readers, scripts and styles are never part of a container's text. Element names
+say so for certain. A word of a class or id, or a form, says so only of what is
+not around the article: elements that hold the page's largest ``article`` or
+``main`` (else its first ``h1``) keep their text, so does a form with half of the
+page, and where nothing else would be left such words count for nothing.
+
+A page is read in one pass and every element, path and piece of text is handled
+a fixed number of times, so time is linear in its length however it is nested.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -32,7 +40,7 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td "
     "tfoot th thead tr ul".split())
 SKIP = frozenset(
-    "head script style noscript template iframe object svg math canvas audio video nav footer aside form button "
+    "head script style noscript template iframe object svg math canvas audio video nav footer aside button "
     "select option textarea input label dialog menu title".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 CLOSES_P = BLOCK - {"html", "body"}
@@ -49,21 +57,17 @@ AWAY = frozenset(
     "promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription tags toolbar widget widgets".split())
 
-_token = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?](?P<decl>[^>]*)>", re.S)
+# words that make a class tell of the layout: has-sidebar, no-comments
+LAYOUT = frozenset("has no with without layout".split())
+
+_tag = re.compile(r"[a-zA-Z][^\s/>]*")
+_delimiter = re.compile(r"=\s*([\"'])|>")
 _attr = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _name_words = re.compile(r"[A-Za-z][a-z]*")
 _digits = re.compile(r"[\d].*$")
 _space = re.compile(r"\s+")
 _stops = re.compile(r"[.,;:!?]")
-
-
-class _Node:
-    __slots__ = ("tag", "path", "away", "heading_ok", "link")
-
-    def __init__(self, tag, path, away, heading_ok, link):
-        self.tag, self.path, self.away, self.heading_ok, self.link = tag, path, away, heading_ok, link
+_raw_end = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -76,140 +80,260 @@ def _step(tag: str, attrs: dict[str, str]) -> str:
 
 
 def _is_away(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in SKIP or tag == "header":
-        return True
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ROLES:
-        return True
-    if re.search(r"display\s*:\s*none", attrs.get("style", "")):
-        return True
-    if tag in ("html", "body", "article", "main") or tag in HEADINGS:
-        return False
-    words = {w.lower() for w in _name_words.findall(attrs.get("class", "") + " " + attrs.get("id", ""))}
-    return bool(words & AWAY)
-
-
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """(container path, text, characters in links) of each block of a page, in order."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    stack = [_Node("", (), False, False, False)]
-    text: list[str] = []
-    links = 0
-
-    def flush():
-        nonlocal links
-        if text:
-            t = _space.sub(" ", "".join(text)).strip()
-            if t:
-                out.append((block_path, t, links))
-            text.clear()
-        links = 0
-
-    block_path: tuple[str, ...] = ()
-
-    def add(raw: str):
-        nonlocal links, block_path
-        top = stack[-1]
-        if top.away or not raw:
-            return
-        t = html.unescape(raw)
-        if not text:
-            block_path = top.path
-        text.append(t)
-        if top.link:
-            links += len(t.strip())
-
-    def close(tag: str, stops: frozenset = frozenset()):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == tag:
-                if any(n.tag in BLOCK for n in stack[i:]):
-                    flush()
-                del stack[i:]
-                return
-            if stack[i].tag in stops:
-                return
-
-    at, n = 0, len(page)
-    while at < n:
-        m = _token.search(page, at)
-        if not m:
-            rest = page[at:]
-            cut = re.search(r"<[a-zA-Z/!?]", rest)  # a tag the page breaks off in
-            add(rest[:cut.start()] if cut else rest)
-            break
-        add(page[at:m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
-        if not tag:
-            continue
-        if m["end"]:
-            if tag in ("br",):
-                add(" ")
-            elif tag not in VOID:
-                close(tag, frozenset() if tag in BLOCK else BLOCK)
-            continue
-        if tag in RAW and not m["attrs"].rstrip().endswith("/"):
-            e = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = e.end() if e else n
-            continue
-        if tag == "br" or tag == "wbr":
-            add(" " if tag == "br" else "")
-            continue
-        if tag in CLOSES_P:
-            close("p", frozenset(BLOCK - {"p"}))
-        if tag in SIBLINGS:
-            for other in SIBLINGS[tag]:
-                close(other, frozenset(("ul", "ol", "dl", "table", "select")))
-        if tag in BLOCK:
-            flush()
-        if tag in VOID:
-            continue
-        a = _attributes(m["attrs"])
-        top = stack[-1]
-        inside = any(s.split(".")[0] in ("article", "main") for s in top.path)
-        # a heading in the article's own header is part of the article
-        heading_ok = top.heading_ok or (tag == "header" and inside and not top.away)
-        away = _is_away(tag, a) or (top.away and not (tag in HEADINGS and top.heading_ok))
-        path = top.path + (_step(tag, a),) if tag in CONTAINERS else top.path
-        stack.append(_Node(tag, path, away, heading_ok, top.link or tag == "a"))
-    flush()
-    return out
-
-
-def containers(found: list[tuple[tuple[str, ...], str, int]]) -> dict[tuple[str, ...], float]:
-    """Score of every container: text without links and punctuation below it.
-
-    A container counts a block fully for its own and nine tenths for each
-    level in between, so the innermost one that holds the whole article wins.
-    """
-    score: dict[tuple[str, ...], float] = {}
-    for path, t, link in found:
-        value = max(0, len(t) - 2 * link) + 5 * len(_stops.findall(t))
-        for i in range(len(path), 0, -1):
-            score[path[:i]] = score.get(path[:i], 0.0) + value * 0.9 ** (len(path) - i)
-    return score
-
+    """Never article text, by element or attribute."""
+    return (tag in SKIP or tag == "header" or "hidden" in attrs or attrs.get("aria-hidden") == "true"
+            or (tag != "form" and attrs.get("role", "").lower() in ROLES)
+            or re.search(r"display\s*:\s*none", attrs.get("style", "")) is not None)
 
-def _bonus(path: tuple[str, ...]) -> float:
-    tag = path[-1].split(".")[0]
-    return {"article": 1.5, "main": 1.5, "body": 0.75}.get(tag, 1.0)  # the whole body is a last resort
 
+def _sounds_away(attrs: dict[str, str]) -> bool:
+    """A class or id names something that is not the article."""
+    for name in (attrs.get("class", "") + " " + attrs.get("id", "")).split():
+        words = {w.lower() for w in _name_words.findall(name)}
+        if words & AWAY and not words & LAYOUT:
+            return True
+    return False
 
-def best_of(found) -> tuple[str, ...]:
-    s = containers(found)
-    return max(s, key=lambda p: (s[p] * _bonus(p), -len(p), p)) if s else ()
 
+class Page:
+    """A page as elements, container paths and blocks of text.
 
-def _under(path: tuple[str, ...], root: tuple[str, ...]) -> bool:
-    return path[:len(root)] == root
-
+    Elements and paths are numbered with their parents before them, so what holds for all
+    below is summed in one pass backwards and what is inherited in one forwards.
+    """
 
-def extract(page: str, winner: tuple[str, ...] | None) -> str:
-    """Blocks under the winning path, or under the page's own best container."""
-    found = blocks(page)
-    if not found:
-        return ""
-    root = winner if winner and any(_under(p, winner) for p, _, _ in found) else best_of(found)
-    return "\n".join(t for p, t, _ in found if _under(p, root))
+    def __init__(self, source: str):
+        # of elements; 0 is the page itself
+        self.tag, self.up, self.path, self.link = [""], [-1], [0], [False]
+        self.hard, self.soft = [False], [False]
+        # of paths; 0 is the empty one
+        self.above, self.step, self.depth, self.key = [-1], [""], [0], [""]
+        self._numbers: dict[tuple[int, str], int] = {}
+        self.pieces: list[list[tuple[int, str]]] = []  # of each block: (element, text)
+        self._read(source)
+        self.blocks = self._blocks()  # (path, text, characters in links), in order
+
+    # -- reading ----------------------------------------------------------
+    def _path(self, parent: int, step: str) -> int:
+        n = self._numbers.get((parent, step))
+        if n is None:
+            n = self._numbers[parent, step] = len(self.above)
+            self.above.append(parent)
+            self.step.append(step)
+            self.depth.append(self.depth[parent] + 1)
+            self.key.append(hashlib.blake2b(f"{self.key[parent]}>{step}".encode("utf-8", "replace"), digest_size=12).hexdigest())
+        return n
+
+    def _element(self, tag: str, attrs: dict[str, str], up: int) -> int:
+        self.tag.append(tag)
+        self.up.append(up)
+        self.link.append(self.link[up] or tag == "a")
+        self.path.append(self._path(self.path[up], _step(tag, attrs)) if tag in CONTAINERS else self.path[up])
+        self.hard.append(_is_away(tag, attrs))
+        plain = tag in ("html", "body") or tag in HEADINGS
+        self.soft.append(not plain and (tag == "form" or _sounds_away(attrs)))
+        return len(self.tag) - 1
+
+    def _read(self, page: str) -> None:
+        stack: list[int] = [0]  # open elements
+        where: dict[str, list[int]] = {}  # places in the stack by tag
+        walls: list[int] = []  # places of block elements
+        block: list[tuple[int, str]] = []
+
+        def flush():
+            nonlocal block
+            if block:
+                self.pieces.append(block)
+                block = []
+
+        def add(raw: str):
+            if raw:
+                block.append((stack[-1], raw))
+
+        def close(tag: str, behind: tuple = ()):
+            """Close the innermost ``tag``, unless a block (or one of ``behind``) is open inside it."""
+            at = where.get(tag)
+            if not at:
+                return
+            i = at[-1]
+            if behind == "block" and walls and walls[-1] > i:
+                return
+            if behind and behind != "block" and max((where[t][-1] for t in behind if where.get(t)), default=0) > i:
+                return
+            if walls and walls[-1] >= i:
+                flush()
+            while len(stack) > i:
+                t = self.tag[stack.pop()]
+                where[t].pop()
+                if t in BLOCK:
+                    walls.pop()
+
+        def end_of(i: int) -> int:
+            """The place of the ``>`` that ends the tag which begins before i, or -1."""
+            while True:
+                m = _delimiter.search(page, i)
+                if not m:
+                    return -1
+                if not m[1]:
+                    return m.start()
+                j = page.find(m[1], m.end())
+                if j < 0:  # a quote that never ends: the tag ends where it would without it
+                    return page.find(">", m.end())
+                i = j + 1
+
+        at, n = 0, len(page)
+        while at < n:
+            i = page.find("<", at)
+            if i < 0:
+                add(page[at:])
+                break
+            add(page[at:i])
+            c = page[i + 1:i + 2]
+            if page.startswith("<!--", i):
+                e = page.find("-->", i + 4)
+                at = n if e < 0 else e + 3
+                continue
+            if c in ("!", "?"):
+                e = page.find(">", i)
+                if e < 0:
+                    break  # no tag can end any more
+                at = e + 1
+                continue
+            ends = c == "/"
+            m = _tag.match(page, i + 1 + ends)
+            if not m:
+                add("<")  # a plain character
+                at = i + 1
+                if ends:  # </ and no name: nothing that is shown
+                    block.pop()
+                    e = page.find(">", i)
+                    at = n if e < 0 else e + 1
+                continue
+            e = end_of(m.end())
+            if e < 0:
+                break  # a tag that the page breaks off in
+            tag, raw = m[0].lower(), page[m.end():e]
+            at = e + 1
+            if ends:
+                if tag == "br":
+                    add(" ")
+                elif tag not in VOID:
+                    close(tag, () if tag in BLOCK else "block")
+                continue
+            if tag in RAW and not raw.rstrip().endswith("/"):
+                found = _raw_end[tag].search(page, at)
+                at = found.end() if found else n
+                continue
+            if tag in ("br", "wbr"):
+                add(" " if tag == "br" else "")
+                continue
+            if tag in CLOSES_P:
+                close("p", "block")
+            for other in SIBLINGS.get(tag, ()):
+                close(other, ("ul", "ol", "dl", "table", "select"))
+            if tag in BLOCK:
+                flush()
+            if tag in VOID:
+                continue
+            where.setdefault(tag, []).append(len(stack))
+            if tag in BLOCK:
+                walls.append(len(stack))
+            stack.append(self._element(tag, _attributes(raw), stack[-1]))
+        flush()
+
+    # -- what is away -------------------------------------------------------
+    def _inherited(self, soft: list[bool]) -> list[bool]:
+        """Which elements are away: by themselves or by what is around them."""
+        n = len(self.tag)
+        away, heading_ok, inside = [False] * n, [False] * n, [False] * n
+        for i in range(1, n):
+            u, tag = self.up[i], self.tag[i]
+            # a heading in the article's own header is part of the article
+            away[i] = self.hard[i] or soft[i] or (away[u] and not (tag in HEADINGS and heading_ok[u]))
+            heading_ok[i] = heading_ok[u] or (tag == "header" and inside[u] and not away[u])
+            inside[i] = inside[u] or tag in ("article", "main")
+        return away
+
+    def _around_article(self, hard: list[bool], size: list[int]) -> set[int]:
+        """The elements that hold the article, as far as element names tell it."""
+        own = [i for i, t in enumerate(self.tag) if t in ("article", "main") and not hard[i] and not self.soft[i]]
+        own = own or [i for i, t in enumerate(self.tag) if t == "h1" and not hard[i]][:1]
+        i = max(own, key=lambda x: (size[x], -x), default=0)
+        out = set()
+        while i > 0:
+            out.add(i)
+            i = self.up[i]
+        return out
+
+    def _blocks(self) -> list[tuple[int, str, int]]:
+        hard = self._inherited([False] * len(self.tag))
+        size = [0] * len(self.tag)
+        for block in self.pieces:
+            for i, raw in block:
+                size[i] += 0 if hard[i] else len(raw.strip())
+        for i in range(len(size) - 1, 0, -1):
+            size[self.up[i]] += size[i]
+        around = self._around_article(hard, size)
+        soft = [s and i not in around and not (self.tag[i] == "form" and 2 * size[i] >= size[0])
+                for i, s in enumerate(self.soft)]
+        return self._texts(self._inherited(soft)) or self._texts(hard)
+
+    def _texts(self, away: list[bool]) -> list[tuple[int, str, int]]:
+        out = []
+        for block in self.pieces:
+            kept = [(i, html.unescape(raw)) for i, raw in block if not away[i]]
+            text = _space.sub(" ", "".join(t for _, t in kept)).strip()
+            if text:
+                out.append((self.path[kept[0][0]], text, sum(len(t.strip()) for i, t in kept if self.link[i])))
+        return out
+
+    # -- containers -----------------------------------------------------------
+    def scores(self) -> list[float]:
+        """Score of every path as a container: text without links and punctuation below it.
+
+        A container counts a block fully for its own and nine tenths for each level in
+        between, so the innermost one that holds the whole article wins.
+        """
+        score = [0.0] * len(self.above)
+        for path, t, link in self.blocks:
+            score[path] += max(0, len(t) - 2 * link) + 5 * len(_stops.findall(t))
+        for i in range(len(score) - 1, 0, -1):
+            score[self.above[i]] += 0.9 * score[i]
+        return score
+
+    def name(self, path: int) -> str:
+        """A path as its digest and its last step."""
+        return f"{self.key[path]}:{self.step[path]}"
+
+    def votes(self) -> list[tuple[int, float]]:
+        """(path, score) of all containers above text; the whole body is a last resort."""
+        bonus = {"article": 1.5, "main": 1.5, "body": 0.75}
+        score = self.scores()
+        held = [False] * len(score)
+        for path, _, _ in self.blocks:
+            held[path] = True
+        for i in range(len(held) - 1, 0, -1):
+            held[self.above[i]] |= held[i]
+        return [(i, score[i] * bonus.get(self.step[i].split(".")[0], 1.0)) for i in range(1, len(score)) if held[i]]
+
+    def best(self) -> str | None:
+        return max(((v, -self.depth[i], self.name(i)) for i, v in self.votes()), default=(0, 0, None))[2]
+
+    def under(self, name: str | None) -> list[str]:
+        """Texts of the blocks under a container."""
+        if name is None:
+            return []
+        key = name.split(":", 1)[0]
+        ok = [False] * len(self.key)
+        for i in range(1, len(ok)):
+            ok[i] = ok[self.above[i]] or self.key[i] == key
+        return [t for path, t, _ in self.blocks if ok[path]]
+
+
+def extract(source: str, winner: str | None) -> str:
+    """Blocks under the winning path, or under the page's own best container, or all where there is none."""
+    page = Page(source)
+    return "\n".join(page.under(winner) or page.under(page.best()) or [t for _, t, _ in page.blocks])
 
 
 def host_of(url: str):
@@ -217,7 +341,6 @@ def host_of(url: str):
                                                r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-SEP = ">"
 BROADCAST_HOSTS = 100_000
 
 
@@ -227,18 +350,19 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     def run(batches):
         for b in batches:
             out = []
-            for host, page in zip(b["host"], b["html"]):
-                s = containers(blocks(page))
-                total = sum(s.values()) or 1.0
-                out += [(host, SEP.join(p), v * _bonus(p) / total) for p, v in s.items()]
+            for host, source in zip(b["host"], b["html"]):
+                page = Page(source)
+                votes = page.votes()
+                total = sum(page.scores()[1:]) or 1.0
+                out += [(host, page.name(i), page.depth[i], v / total) for i, v in votes]
             # combined per batch: a host's pages share most paths
-            df = pd.DataFrame(out, columns=["host", "path", "votes"])
-            yield df.groupby(["host", "path"], as_index=False)["votes"].sum()
+            df = pd.DataFrame(out, columns=["host", "path", "depth", "votes"])
+            yield df.groupby(["host", "path", "depth"], as_index=False)["votes"].sum()
 
     votes = (pages.select(host_of(url_col).alias("host"), text_of(html_col).alias("html"))
-             .mapInPandas(run, "host string, path string, votes double")
-             .groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes")))
-    return votes.groupBy("host").agg(F.max(F.struct("votes", (-F.length("path")).alias("n"), "path")).alias("best")) \
+             .mapInPandas(run, "host string, path string, depth int, votes double")
+             .groupBy("host", "path", "depth").agg(F.round(F.sum("votes"), 6).alias("votes")))
+    return votes.groupBy("host").agg(F.max(F.struct("votes", (-F.col("depth")).alias("n"), "path")).alias("best")) \
         .select("host", F.col("best.path").alias("path"))
 
 
@@ -259,8 +383,7 @@ def main_text(pages: DataFrame, paths: DataFrame, id_col: str = "page_id", url_c
 
     def run(batches):
         for b in batches:
-            text = [extract(h, tuple(p.split(SEP)) if isinstance(p, str) else None)
-                    for h, p in zip(b["html"], b["path"])]
+            text = [extract(h, p if isinstance(p, str) else None) for h, p in zip(b["html"], b["path"])]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": text,
                                 "n_chars": [len(t) for t in text]})
 

@@ -96,3 +96,37 @@ def test_random_markup_never_fails():
             "<li>", "</ul>", "<article>", "'", '"', "<br>", "</", "<td>", "\n", "<a href=x>", "</a>", "&#x110000;", "&#0;"]
     for _ in range(2000):
         H.extract("".join(r.choice(bits) for _ in range(r.randint(0, 40))), None)
+
+
+def test_class_words_and_forms_around_the_article_keep_it(spark):
+    for k, (before, after) in enumerate([("<div class='layout has-sidebar'>", "</div>"), ("<div class='post no-comments'>", "</div>"),
+                                         ("<form action='/x'>", "</form>"), ("<div class='widget'>", "</div>"),
+                                         ("<div id='comments-page'>", "</div>")]):
+        made = {}
+        for i in range(5):
+            h, text = page(i)
+            made[i] = (h.replace("<body>", "<body>" + before).replace("</body>", after + "</body>"), text)
+        got = run(spark, [(i, f"http://host{k}.org/{i}", h) for i, (h, _) in made.items()])
+        for i, (_, text) in made.items():
+            assert got[i].text == text, (before, i)
+
+
+def test_comments_stay_away_even_as_articles():
+    h, text = page(4)
+    h = h.replace("<section id=\"comments\">", "<section id=\"comments\"><article class='comment-body'><p>First, of the readers.</p></article>")
+    h = h.replace("<div class=\"post-4 wide\">", "<article class=\"post-4 wide\">").replace("</p></div>\n    <section", "</p></article>\n    <section")
+    assert H.extract(h, None) == text
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    cases = ["<div>x " * 5000, "<div>x " * 40000, "<a '" * 40000, "<a b='" * 40001, "<a b=\"'" * 30000 + ">", "<!" * 50000, "<!--" * 50000,
+             "<b>" * 30000 + "</i>" * 30000, "<p><div>" + "<b>" * 20000 + "</p>" * 20000, "<li>" * 30000, "</" * 50000, "<" * 100000,
+             "<div class='a b c'>" * 10000 + "end", "&" * 200000, "<a " + "=" * 100000 + ">", "<script>" * 20000, "<td><table>" * 20000]
+    for c in cases:
+        t0 = time.perf_counter()
+        p = H.Page(c)
+        H.extract(c, p.best())
+        assert time.perf_counter() - t0 < 8, c[:20]
+    assert H.extract("<div>x " * 5000, None).count("x") > 0
