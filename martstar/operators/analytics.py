@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.numeric import mean_half_up, rounded_mean, scaled
+from ..functions.ranking import grouped_rank
 from ..tables import PAIR, Tables
 from .common import (Symbols, bounded, converted, day_id, latest_rate_date_id, latest_stock_date,
-                     latest_stock_date_id, on_day, pair_rates, restrict_symbols, ret_desc, since, star)
+                     latest_stock_date_id, on_day, pair_rates, restrict_symbols, since, star)
 
 
 def _with_pair(t: Tables, rows: DataFrame, pair, how: str = "inner") -> DataFrame:
@@ -289,11 +290,9 @@ def daily_performance(t: Tables, digits: Optional[int] = None) -> DataFrame:
 def stock_rankings(t: Tables) -> DataFrame:
     """View: return and volume ranks within each date (DESC = NULLS FIRST)."""
     rows = star(t, columns=["closing_price", "daily_return", "volume"])
-    w = Window.partitionBy("date_value")
-    return rows.select("symbol", "company_name", "date_value", "closing_price", "daily_return",
-                       "volume",
-                       F.rank().over(w.orderBy(ret_desc())).alias("return_rank"),
-                       F.rank().over(w.orderBy(F.col("volume").desc_nulls_first())).alias("volume_rank"))
+    rows = rows.select("symbol", "company_name", "date_value", "closing_price", "daily_return", "volume")
+    ranked = grouped_rank(rows, "date_value", "daily_return", "return_rank", ["symbol"], few=bounded)
+    return grouped_rank(ranked, "date_value", "volume", "volume_rank", ["symbol"], few=bounded, counted=rows)
 
 
 def latest_per_stock(t: Tables) -> DataFrame:
@@ -332,9 +331,7 @@ def stock_performance(t: Tables, weekdays_only: bool = True) -> DataFrame:
     out = out.withColumn("price_change_usd", c - pc).withColumn(
         "daily_return_pct",
         F.round((c.cast("double") - pc.cast("double")) / pc.cast("double") * 100, 4))
-    return out.withColumn(
-        "daily_rank", F.rank().over(Window.partitionBy("date_value")
-                                    .orderBy(F.col("daily_return_pct").desc_nulls_first())))
+    return grouped_rank(out, "date_value", "daily_return_pct", "daily_rank", ["symbol"], few=bounded)
 
 
 def top_returns_all_time(t: Tables, k: int = 5) -> DataFrame:

@@ -77,11 +77,6 @@ def converted(price: Column, rate: Column, scale: int = 4) -> Column:
     return F.round(price * rate, scale).cast(S.CONVERTED)
 
 
-def ret_desc(col: str = "daily_return") -> Column:
-    """PostgreSQL ``DESC`` puts NULLs first."""
-    return F.col(col).desc_nulls_first()
-
-
 def latest_stock_date_id(t: Tables) -> Column:
     """Scalar subquery: ``date_id`` of the latest price row.
 
