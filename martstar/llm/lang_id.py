@@ -27,6 +27,7 @@ from martstar.llm.common import fold, id_text, text_of, with_id
 WINDOW = 128
 FILTERS = {2: 16, 3: 16, 4: 16}
 FIT_DOCS = 4000
+DEALS = 64
 FIT_WINDOWS = 8
 EPOCHS = 4
 BATCH = 128
@@ -194,10 +195,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                          F.col(lang_col).cast("string").alias("lang"))
              .where("lang is not null and doc_id is not null").where(fold("doc_id", FOLDS) != HELD_OUT))
     # the ids are chosen first, so texts are never sorted: one row per id, however often it is
-    # repeated, and the languages in turn, so that a rare one is learned too
+    # repeated, and the languages in turn, so that a rare one is learned too; a language is dealt
+    # to DEALS windows, so that a large one is no task of its own
     ids = known.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    some = (ids.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    deal = F.pmod(F.xxhash64(F.lit("deal"), "doc_id"), F.lit(DEALS))
+    some = (ids.withColumn("deal", deal)
+            .withColumn("nth", F.row_number().over(Window.partitionBy("lang", "deal").orderBy(*order)))
             .where(F.col("nth") <= fit_docs).orderBy("nth", *order).limit(fit_docs).select("doc_id"))
     # a repeated id brings the text of its first language with the smallest hash
     chosen = (known.join(F.broadcast(some), "doc_id").groupBy("doc_id")
