@@ -14,7 +14,7 @@ import datetime as _dt
 import uuid
 from typing import Optional, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -30,7 +30,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-          set_cols: Optional[Sequence[str]] = None) -> tuple[DataFrame, DataFrame]:
+          set_cols: Optional[Sequence[str]] = None, seen: Optional[Observation] = None) -> tuple[DataFrame, DataFrame]:
     """Upsert ``batch`` (one row per key) into ``target``.
 
     Existing keys get ``set_cols`` from the batch and keep their other
@@ -41,7 +41,8 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     and an anti join (the untouched rest). A daily batch is small, so AQE
     turns both into broadcast joins that stream the target without
     shuffling it; a large batch falls back to shuffled joins. Keys are NOT
-    NULL, as in the table definitions.
+    NULL, as in the table definitions. With ``seen`` the state's own write counts
+    ``inserted`` and ``updated``, so that no part of the plan runs again for them.
     """
     keys = list(keys)
     cols = target.columns
@@ -53,7 +54,8 @@ def merge(target: DataFrame, batch: DataFrame, keys: Sequence[str],
         *keys, *[F.col(c).alias(f"t_{c}") for c in cols if c not in keys]).withColumn("_t", F.lit(True))
     j = batch.join(matched, keys, "left")
     has_t = F.col("_t").isNotNull()
-    changed = j.select(*[F.col(c) if c in keys or c in set_cols
+    counted = j if seen is None else j.observe(seen, F.count_if(~has_t).alias("inserted"), F.count_if(has_t).alias("updated"))
+    changed = counted.select(*[F.col(c) if c in keys or c in set_cols
                          else F.when(has_t, F.col(f"t_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
     state = untouched.unionByName(changed)
     counts = (j.agg(F.count_if(F.col("_t").isNull()).alias("inserted"),
@@ -70,12 +72,15 @@ def staged(batch: DataFrame) -> DataFrame:
     return batch.checkpoint()
 
 
+def held_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the batch that the target has; they choose the target's rows, so a small
+    batch never moves the whole target."""
+    return target.select(*keys).join(batch.select(*keys).distinct(), list(keys), "left_semi")
+
+
 def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert only rows whose key is absent (``ON CONFLICT DO NOTHING``)."""
-    # the batch's keys choose the target rows to compare with, so a small batch
-    # never moves the whole target
-    held = target.select(*keys).join(batch.select(*keys).distinct(), list(keys), "left_semi")
-    new = batch.join(held, list(keys), "left_anti")
+    new = batch.join(held_keys(target, batch, keys), list(keys), "left_anti")
     return target.unionByName(new.select(*target.columns))
 
 
@@ -220,9 +225,13 @@ def backfill_load_rates(spark, exchange_rates: DataFrame, staging: DataFrame, st
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column], start: _dt.date,
-           end: _dt.date, date_col: str = "date", literal: bool = False) -> DataFrame:
+           end: _dt.date, date_col: str = "date", literal: bool = False,
+           seen: Optional[tuple[Observation, Observation]] = None) -> DataFrame:
     """Inside [start, end] keep one row per key (the first by ``order``).
 
+    With ``seen`` the rows (``n``) of the period are counted before and after it
+    while the result is computed.
+
     ``literal=True`` reproduces the reference's statement, which deletes every
     row of a duplicated key, the one meant to be kept included.
     """
@@ -233,7 +242,9 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column], start: _
         dup = rows.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
         kept = rows.join(dup, list(keys), "left_anti")
     else:
-        kept = latest_per_key(rows, keys, order)
+        n = F.count(F.lit(1)).alias("n")
+        kept = latest_per_key(rows if seen is None else rows.observe(seen[0], n), keys, order)
+        kept = kept if seen is None else kept.observe(seen[1], n)
     return outside_rows.unionByName(kept)
 
 

@@ -64,6 +64,24 @@ def daily_returns(t: Tables, history: str = "all",
     ).select(*t.prices.columns)
 
 
+def fill_returns(rows: DataFrame, earlier: DataFrame, as_of_ts: _dt.datetime) -> DataFrame:
+    """NULL returns of ``rows`` (price rows of whole years) against the row before each.
+
+    ``earlier`` holds one row per stock for every year outside ``rows``, its last
+    (stock_id, date_id, closing_price), so the first row of a year finds the row
+    before it without the history. Equal to ``daily_returns`` over all rows.
+    """
+    both = rows.withColumn("_own", F.lit(True)).unionByName(
+        earlier.select("stock_id", "date_id", "closing_price").withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    prev = F.lag("closing_price").over(Window.partitionBy("stock_id").orderBy("date_id"))
+    calc = F.when(F.col("daily_return").isNull(), return_pct(F.col("closing_price"), prev))
+    out = both.withColumn("_calc", calc).where("_own")
+    return out.withColumns({
+        "daily_return": F.coalesce("daily_return", "_calc"),
+        "updated_at": F.when(F.col("_calc").isNotNull(), F.lit(as_of_ts).cast("timestamp")).otherwise(F.col("updated_at")),
+    }).select(*rows.columns)
+
+
 def return_overflows(t: Tables) -> DataFrame:
     """Rows whose return does not fit DECIMAL(8,6) (a quality issue, not a crash)."""
     rows = _dated(t)

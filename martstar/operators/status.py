@@ -111,9 +111,3 @@ def archive_split(t: Tables, as_of: _dt.date, years: int = 2) -> tuple[DataFrame
     cut = F.date_format(F.add_months(F.lit(as_of), -12 * years), "yyyyMMdd").cast("int")
     keep, archive = t.prices_where(low=cut), t.prices_where(high=cut - 1)
     return keep, archive
-
-
-def analyze_tables(spark: SparkSession, names: Sequence[str]) -> None:
-    """Refresh optimizer statistics of catalog tables (``ANALYZE TABLE``)."""
-    for n in names:
-        spark.sql(f"ANALYZE TABLE {n} COMPUTE STATISTICS FOR ALL COLUMNS")

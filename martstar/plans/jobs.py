@@ -1,16 +1,14 @@
-"""Job-level compositions: load the landing directory, initial setup, daily
-update, the full run, and the table jobs (returns, de-duplication, calendar
-retention, archive, run log).
+"""Job-level compositions as plans: load the landing directory, initial setup, daily
+update and the full run.
 
-The functions that take ``Tables`` are plans and write nothing. ``commit`` runs
-one of them on a versioned warehouse (``tables.publish``) and writes the new
-state; only its summary (one row) is brought to the driver.
+The functions take ``Tables``, return new ones and write nothing; ``plans.loads`` runs
+the same steps on a catalog warehouse and writes only what they touch.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from typing import Callable, Optional, Sequence
+from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,86 +18,45 @@ from ..operators import conform as CF
 from ..operators import dims as DM
 from ..operators import merge as MG
 from ..operators import returns as RT
-from ..operators import status as ST
 from ..sources import landing as L
 from ..sources import payloads as PL
-from ..tables import Tables, current_version, open_current, publish
-
-
-def commit(spark: SparkSession, root: str, job: Callable[[Tables], tuple]) -> tuple[int, DataFrame]:
-    """Run ``job(current tables) -> (new tables, summary, ...)`` and publish its state.
-
-    Returns the version written and the summary. The plan reads the old
-    version, which stays, so a failed run changes nothing and can be repeated.
-    Rejects, where the job has any, are kept under ``root/rejects/v=<version>``.
-    """
-    n = current_version(spark, root)
-    new, summary, *rest = job(open_current(spark, root))
-    n = publish(spark, root, new, after=n)
-    if rest and rest[0] is not None:
-        rest[0].write.mode("overwrite").json(f"{root.rstrip('/')}/rejects/v={n}")
-    return n, summary
+from ..tables import Tables
 
 
 def _counted(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def dedupe_job(start: _dt.date, end: _dt.date, ts: _dt.datetime) -> Callable[[Tables], tuple]:
-    """B5 on both record tables, with a log row that counts what went."""
-    def job(t: Tables):
-        order = [F.col("updated_at").desc(), F.col("created_at").desc()]
-        spark = t.stock_prices.sparkSession
-        sp = MG.dedupe(t.stock_prices, ["symbol", "date"], order, start, end)
-        er = MG.dedupe(t.exchange_rates, ["from_currency", "to_currency", "date"], order, start, end)
-        gone = (_counted(t.stock_prices.unionByName(t.exchange_rates, allowMissingColumns=True), "a")
-                .join(_counted(sp.unionByName(er, allowMissingColumns=True), "b"), how="cross")
-                .select((F.col("a") - F.col("b")).alias("records_removed")))
-        log = MG.dedupe_log(spark, ts, start, end, gone)
-        return t.with_(stock_prices=sp, exchange_rates=er, etl_logs=appended(t.etl_logs, log)), gone
-    return job
-
-
-def appended(table: Optional[DataFrame], rows: DataFrame) -> DataFrame:
-    """A plain append."""
-    return rows if table is None else table.unionByName(rows.select(*table.columns))
-
-
-def keyed_append(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Append rows whose key is absent."""
-    return MG.insert_absent(table, rows, keys)
-
-
-def returns_job(mode: str, as_of_ts: _dt.datetime) -> Callable[[Tables], tuple]:
-    """Fill the daily returns of the price fact."""
-    def job(t: Tables):
-        new = t.with_(prices=RT.daily_returns(t, mode, as_of_ts))
-        return new, _counted(new.prices.where("daily_return is not null"), "with_return")
-    return job
+def as_rejects(rows: DataFrame, kind: str, reason: str) -> DataFrame:
+    """(kind, reason, file, record): rejected rows as JSON text."""
+    file = F.col("_file") if "_file" in rows.columns else F.lit(None).cast("string")
+    shown = [c for c in rows.columns if c not in ("_pos", "_file")]
+    why = F.array_join("errors", "; ") if "errors" in rows.columns else F.lit(reason)
+    return rows.select(F.lit(kind).alias("kind"), why.alias("reason"), file.alias("_file"),
+                       F.to_json(F.struct(*[c for c in shown if c != "errors"])).alias("record"))
 
 
-def retention_job(as_of: _dt.date, years: int = 5, dow: str = "iso") -> Callable[[Tables], tuple]:
-    """The calendar without old unused days."""
-    def job(t: Tables):
-        new = t.with_(dim_date=DM.calendar_retention(t.dim_date.sparkSession, t, as_of, years, dow))
-        return new, _counted(new.dim_date, "days")
-    return job
-
+def landing_batches(spark: SparkSession, landing_dir: str, t: Tables, as_of_ts: _dt.datetime):
+    """Landing files as (price rows, rate rows, rejects). Rejects are records that fail a
+    check, that the tables cannot hold, or whose symbol or currency is unknown."""
+    base = landing_dir.rstrip("/")
+    stocks, s_bad = L.split_valid(L.read_landing(spark, f"{base}/stocks", "stocks"), "stocks")
+    rates, r_bad = L.split_valid(L.read_landing(spark, f"{base}/exchange", "exchange"), "exchange")
+    prices, p_unfit = MG.conform_price_batch(t, stocks, as_of_ts)
+    fx, r_unfit = MG.conform_rate_batch(t, rates, as_of_ts)
+    unfit = "unknown key, or a value that the table cannot hold"
+    rejects = (as_rejects(s_bad, "stocks", "").unionByName(as_rejects(r_bad, "exchange", ""))
+               .unionByName(as_rejects(p_unfit, "stocks", unfit)).unionByName(as_rejects(r_unfit, "exchange", unfit)))
+    return prices, fx, rejects
 
-def archive_job(archive_root: str, as_of: _dt.date, years: int = 2) -> Callable[[Tables], tuple]:
-    """Old prices move to ``archive_root``; the state keeps the rest.
 
-    The archive is written first and under the day of the run, so a repeated
-    run rewrites the same folder and no row is lost between the two targets.
-    """
-    def job(t: Tables):
-        stay, old = ST.archive_split(t, as_of, years)
-        cols = t.prices.columns
-        (old.select(*cols).withColumn("year", (F.col("date_id") / 10000).cast("int"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year")
-         .parquet(f"{archive_root.rstrip('/')}/as_of={as_of.isoformat()}"))
-        return t.with_(prices=stay.select(*cols)), _counted(old, "archived")
-    return job
+def _summed(t: Tables, prices: DataFrame, fx: DataFrame, as_of_ts, dow: str):
+    """(new tables, price counts, rate counts) after both upserts; returns are not filled."""
+    prices, fx = MG.staged(prices), MG.staged(fx)
+    p, p_counts = MG.merge(t.prices, prices.select(*t.prices.columns), ["stock_id", "date_id"], MG.PRICE_SET)
+    r, r_counts = MG.merge(t.rates, fx.select(*t.rates.columns), ["from_currency_id", "to_currency_id", "date_id"], MG.RATE_SET)
+    days = prices.select(F.col("date_value").alias("date")).unionByName(fx.select(F.col("date_value").alias("date")))
+    return t.with_(prices=p, rates=r, dim_date=DM.ensure_dates(t.dim_date, days, "date", dow)), p_counts, r_counts
 
 
 def load_landing(spark: SparkSession, landing_dir: str, t: Tables, as_of_ts: _dt.datetime,
@@ -107,47 +64,43 @@ def load_landing(spark: SparkSession, landing_dir: str, t: Tables, as_of_ts: _dt
     """Landing files -> validated records -> dates -> upserted facts.
 
     Returns (new Tables, summary DataFrame, rejects DataFrame). The summary
-    row has stock/exchange records read, rejected, inserted and updated.
+    row has stock/exchange records inserted and updated, and all rejected.
     """
-    base = landing_dir.rstrip("/")
-    stocks, s_rej = L.split_valid(L.read_landing(spark, f"{base}/stocks", "stocks"), "stocks")
-    rates, r_rej = L.split_valid(L.read_landing(spark, f"{base}/exchange", "exchange"), "exchange")
-    prices, p_counts, p_unknown, p_dates = MG.upsert_prices(t, stocks, as_of_ts)
-    fx, r_counts, r_unknown, r_dates = MG.upsert_rates(t, rates, as_of_ts)
-    dim_date = DM.ensure_dates(t.dim_date, p_dates.unionByName(r_dates), "date", dow)
-    new = t.with_(prices=prices, rates=fx, dim_date=dim_date)
-    rejects = (s_rej.select(F.lit("stocks").alias("kind"), F.col("_file"), F.to_json(F.struct("*")).alias("record"))
-               .unionByName(r_rej.select(F.lit("exchange").alias("kind"), F.col("_file"),
-                                         F.to_json(F.struct("*")).alias("record"))))
+    prices, fx, rejects = landing_batches(spark, landing_dir, t, as_of_ts)
+    new, p_counts, r_counts = _summed(t, prices, fx, as_of_ts, dow)
     summary = (p_counts.select(F.col("inserted").alias("stock_inserted"), F.col("updated").alias("stock_updated"))
                .join(r_counts.select(F.col("inserted").alias("exchange_inserted"),
                                      F.col("updated").alias("exchange_updated")), how="cross")
-               .join(rejects.agg(F.count(F.lit(1)).alias("rejected")), how="cross")
-               .join(p_unknown.unionByName(r_unknown, allowMissingColumns=True)
-                     .agg(F.count(F.lit(1)).alias("unknown_keys")), how="cross"))
+               .join(_counted(rejects, "rejected"), how="cross"))
     return new, summary, rejects
 
 
+def prepared(stock_payloads: DataFrame, fx_payloads: DataFrame, quote_payloads: Optional[DataFrame],
+             tracked: Sequence[str], n: int, as_of: _dt.date, as_of_ts: _dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """Records of the last ``n`` rows of every tracked symbol, and of the FX series
+    with the quote as its fallback."""
+    stocks = CF.prepare_stocks(PL.flatten_daily(stock_payloads), tracked, n, as_of, as_of_ts)
+    fx = CF.conform_fx(CF.last_n(PL.flatten_fx(fx_payloads), ["FromCurrency", "ToCurrency"], "DateTime", n), as_of, as_of_ts)
+    if quote_payloads is not None:
+        fx = CF.prepare_fx(fx, CF.conform_quote(PL.parse_quote(quote_payloads), as_of, as_of_ts))
+    return stocks, fx
+
+
 def run_ingestion(t: Tables, stock_payloads: DataFrame, fx_payloads: DataFrame,
                   quote_payloads: Optional[DataFrame], tracked: Sequence[str], n: int,
                   as_of: _dt.date, as_of_ts: _dt.datetime, kind: str, dow: str = "iso"):
     """Prepare the last ``n`` rows of every tracked symbol and of the
     FX series (with the quote fallback), upsert both, fill returns.
 
-    Returns (new Tables, one-row summary). ``errors`` names the feeds that
+    Returns (new Tables, one-row summary, rejects). ``errors`` names the feeds that
     brought no usable row and ``success`` means that there are none.
     """
     frames = PL.flatten_daily(stock_payloads)
-    stocks = CF.prepare_stocks(frames, tracked, n, as_of, as_of_ts)
-    series = CF.conform_fx(CF.last_n(PL.flatten_fx(fx_payloads), ["FromCurrency", "ToCurrency"], "DateTime", n),
-                           as_of, as_of_ts)
-    fx = series
-    if quote_payloads is not None:
-        fx = CF.prepare_fx(series, CF.conform_quote(PL.parse_quote(quote_payloads), as_of, as_of_ts))
-    prices, p_counts, _, p_dates = MG.upsert_prices(t, stocks.drop("conversion_errors"), as_of_ts)
-    rates, r_counts, _, r_dates = MG.upsert_rates(t, fx, as_of_ts)
-    dim_date = DM.ensure_dates(t.dim_date, p_dates.unionByName(r_dates), "date", dow)
-    new = t.with_(prices=prices, rates=rates, dim_date=dim_date)
+    stocks, fx = prepared(stock_payloads, fx_payloads, quote_payloads, tracked, n, as_of, as_of_ts)
+    prices, p_bad = MG.conform_price_batch(t, stocks.drop("conversion_errors"), as_of_ts)
+    rates, r_bad = MG.conform_rate_batch(t, fx, as_of_ts)
+    rejects = as_rejects(p_bad, "stocks", "unfit").unionByName(as_rejects(r_bad, "exchange", "unfit"))
+    new, p_counts, r_counts = _summed(t, prices, rates, as_of_ts, dow)
     new = new.with_(prices=RT.daily_returns(new, "all", as_of_ts))
     feeds = _counted(frames, "_stock_rows").join(_counted(fx, "_fx_rows"), how="cross")
     errors = errors_array(rule(F.col("_stock_rows") == 0, "no stock data"), rule(F.col("_fx_rows") == 0, "no FX data"))
@@ -158,7 +111,7 @@ def run_ingestion(t: Tables, stock_payloads: DataFrame, fx_payloads: DataFrame,
                .select(F.lit(kind).alias("run"), "stock_records", "fx_records", "companies_updated",
                        F.col("_stock_rows").alias("stock_fetched"), F.col("_fx_rows").alias("fx_fetched"),
                        "errors", (F.size("errors") == 0).alias("success")))
-    return new, summary
+    return new, summary, rejects
 
 
 def run_initial(t: Tables, stock_payloads, fx_payloads, quote_payloads, tracked, as_of, as_of_ts, n: int = 10):

@@ -23,7 +23,8 @@ from . import binding
 from .binding import AS_OF, TRACKED
 from .operators import analytics as A
 from .session import scratch_path
-from .tables import listing, path_exists, read_warehouse, rename_path, write_warehouse
+from .sources.catalog import Warehouse, refresh_statistics
+from .tables import Tables, listing, path_exists, rename_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,28 +53,31 @@ def edge(df: DataFrame, round_doubles: dict[str, int] | None = None) -> DataFram
 def tables(spark: SparkSession, sf_dir: str):
     """The bound warehouse of ``sf_dir``.
 
-    By default the binding is built once per input (an ETL job: scan
-    lineitem, aggregate the bars, write partitioned Parquet to the shared
-    checkpoint folder) and every query reads the written tables, as a
-    warehouse would. ``MARTSTAR_LAZY=1`` derives the tables inside every
-    query plan instead.
+    By default the binding is built once per input (an ETL job: scan lineitem,
+    aggregate the bars, write bucketed tables to the shared checkpoint folder) and
+    every query reads the written tables, as a warehouse would. ``MARTSTAR_LAZY=1``
+    derives the tables inside every query plan instead.
     """
     if os.environ.get("MARTSTAR_LAZY") == "1":
         return binding.build(spark, sf_dir)
-    path = os.environ.get("MARTSTAR_WAREHOUSE") or materialized(spark, sf_dir)
-    return _open(spark, path)
+    return warehouse(spark, sf_dir)[1]
 
 
 _OPENED: dict = {}
 
 
-def _open(spark: SparkSession, path: str):
-    """Open a written warehouse once per session: listing the files and
-    reading Parquet footers costs about a second, the DataFrames themselves
-    are immutable plans and can be shared by every query."""
-    key = (spark.sparkContext.applicationId, path)
+def warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, Tables]:
+    """The written warehouse of ``sf_dir`` and its tables, built on first use.
+
+    It is opened once per session: DataFrames are immutable plans that all queries
+    can share. A build that fails publishes nothing.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, _input_signature(spark, sf_dir))
     if key not in _OPENED:
-        _OPENED[key] = read_warehouse(spark, path)
+        name = f"market_{key[2]}_{uuid.uuid4().hex[:8]}"
+        w = Warehouse(spark, name, scratch_path(spark, name))
+        w.create(binding.build(spark, sf_dir, checkpoint_bars=True))
+        _OPENED[key] = (w, w.open())
     return _OPENED[key]
 
 
@@ -83,28 +87,6 @@ def _input_signature(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1("|".join([sf_dir, *parts]).encode()).hexdigest()[:16]
 
 
-def materialized(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the written warehouse of ``sf_dir`` (built on first use).
-
-    Built into a unique folder and renamed into place, so concurrent or
-    failed builds never leave a half-written warehouse behind.
-    """
-    path = scratch_path(spark, f"warehouse-{_input_signature(spark, sf_dir)}")
-    if path in _BUILT or path_exists(spark, f"{path}/_READY"):
-        _BUILT.add(path)
-        return path
-    tmp = f"{path}-build-{uuid.uuid4().hex}"
-    write_warehouse(binding.build(spark, sf_dir, checkpoint_bars=True), tmp)
-    spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(f"{tmp}/_READY")
-    if not rename_path(spark, tmp, path) and not path_exists(spark, f"{path}/_READY"):
-        raise RuntimeError(f"could not publish warehouse {path}")
-    _BUILT.add(path)
-    return path
-
-
-_BUILT: set[str] = set()
-
-
 # -- analytic queries and views -------------------------------------------
 
 @register("top_performers")
@@ -841,14 +823,9 @@ from .sources import landing as LD  # noqa: E402
 from .sources import warehouse as WH  # noqa: E402
 
 
-def _warehouse_path(spark, sf_dir):
-    return os.environ.get("MARTSTAR_WAREHOUSE") or materialized(spark, sf_dir)
-
-
 @register("fact_scan")
 def _s12(spark, sf_dir):
-    out = WH.fact_scan(spark, _warehouse_path(spark, sf_dir), 20010101, 20011231,
-                       ["stock_id", "date_id", "closing_price", "volume"])
+    out = WH.fact_scan(tables(spark, sf_dir), 20010101, 20011231, ["stock_id", "date_id", "closing_price", "volume"])
     return edge(out)
 
 
@@ -899,67 +876,161 @@ def _s1(spark, sf_dir):
     return valid.drop("_file", "_pos", "source", "created_at")
 
 
-# -- jobs on a versioned warehouse: write, read back ---------------------------
+# -- jobs that change a warehouse: write the touched partitions, read back ------
 
-from .plans import jobs as JB  # noqa: E402
-from .tables import open_current, publish  # noqa: E402
+from .plans import loads as LO  # noqa: E402
 
 
-def _versioned(spark, sf_dir, name, t):
-    """A fresh versioned warehouse that holds ``t`` as its first state."""
-    root = scratch_path(spark, f"job-{name}-{uuid.uuid4().hex}")
-    publish(spark, root, t)
-    return root
+def _fresh(spark, name, t):
+    """A warehouse of its own that holds ``t`` as its first version."""
+    full = f"job_{name}_{uuid.uuid4().hex[:12]}"
+    w = Warehouse(spark, full, scratch_path(spark, full))
+    w.create(t.with_(etl_logs=None, prices=t.prices))
+    return w
 
 
-@register("job_load")
-def _i1(spark, sf_dir):
-    """Two landing runs are written, loaded into a versioned warehouse and read back."""
-    t = tables(spark, sf_dir)
-    root = _versioned(spark, sf_dir, "load", _target(t).with_(stock_prices=None, exchange_rates=None))
+def _facts_only(t):
+    return t.with_(stock_prices=None, exchange_rates=None)
+
+
+def _landing_files(spark, w, t):
+    """Two runs of price records, one of records with unknown symbols, one of rates."""
     rec = _price_records(t)
-    for i, name in enumerate(("stocks_1.json", "stocks_2.json")):
-        LD.write_landing(rec.where(F.col("_file") == name), f"{root}/landing", "stocks",
-                         AS_OF_TS + _dt.timedelta(minutes=i))
+    unknown = rec.where("_file = 'stocks_1.json' and data_date >= '2001-10-28'").withColumn("symbol", F.concat(F.lit("X"), "symbol"))
+    runs = [rec.where("_file = 'stocks_1.json'"), rec.where("_file = 'stocks_2.json'"), unknown]
+    for i, run in enumerate(runs):
+        LD.write_landing(run, f"{w.root}/landing", "stocks", AS_OF_TS + _dt.timedelta(minutes=i))
     rates = t.rates.where(F.col("date_id") >= 20010915).select(
         F.lit("USD").alias("from_currency"), F.lit("GBP").alias("to_currency"),
         date_of_id(F.col("date_id")).cast("string").alias("data_date"), "exchange_rate")
-    LD.write_landing(rates, f"{root}/landing", "exchange", AS_OF_TS)
-    JB.commit(spark, root, lambda s: JB.load_landing(spark, f"{root}/landing", s, AS_OF_TS, "sunday0"))
-    return edge(open_current(spark, root).prices.select(
+    LD.write_landing(rates, f"{w.root}/landing", "exchange", AS_OF_TS)
+    return f"{w.root}/landing"
+
+
+def _loaded_warehouse(spark, sf_dir):
+    """The landing runs loaded into a warehouse that ends before them: (warehouse, summary)."""
+    t = tables(spark, sf_dir)
+    w = _fresh(spark, "load", _facts_only(_target(t)))
+    landing = _landing_files(spark, w, t)
+    with w.change() as c:
+        summary = LO.load_landing(c, landing, AS_OF_TS, "sunday0")
+    return w, summary
+
+
+@register("job_load")
+def _i1(spark, sf_dir):
+    """Landing runs are written, loaded and read back."""
+    w, _ = _loaded_warehouse(spark, sf_dir)
+    return edge(w.open().prices.select(
         "stock_id", "date_id", "opening_price", "high_price", "low_price", "closing_price", "volume",
         "adjusted_close", "updated_at"))
 
 
+@register("job_load_summary")
+def _i1b(spark, sf_dir):
+    """What the load counted while it wrote, and the rejects it kept."""
+    w, s = _loaded_warehouse(spark, sf_dir)
+    kept = spark.read.json(f"{w.root}/rejects/v=2").groupBy().agg(F.count(F.lit(1)).alias("rejects_kept"))
+    names = ("stock_inserted", "stock_updated", "exchange_inserted", "exchange_updated", "rejected")
+    return kept.select(*[F.lit(s[k]).cast("long").alias(k) for k in names], "rejects_kept")
+
+
+DAILY_FROM = _dt.date(2001, 11, 1)  # the daily load brings the days from here
+
+
+@register("job_returns")
+def _e2c(spark, sf_dir):
+    """A load of the last days fills their returns from the year's rows and one row per stock."""
+    t = tables(spark, sf_dir)
+    w = _fresh(spark, "returns", _facts_only(t).with_(prices=t.prices.where(F.col("date_id") < 20011101)))
+    rec = _bars_named(t).where(F.col("date_value") >= F.lit(DAILY_FROM)).select(
+        "symbol", F.col("date_value").cast("string").alias("data_date"), F.col("o").alias("open_price"), F.col("h").alias("high_price"),
+        F.col("lo").alias("low_price"), F.col("c").alias("close_price"), F.col("v").alias("volume"))
+    with w.change() as c:
+        batch, _ = MG.conform_price_batch(c.tables, rec, AS_OF_TS)
+        LO.load_prices(c, MG.staged(batch), AS_OF_TS)
+    return edge(w.open().prices.select("stock_id", "date_id", "daily_return"))
+
+
+@register("job_daily")
+def _i5(spark, sf_dir):
+    """I5 (I6 takes this branch): the last three payload rows of every tracked symbol and of the
+    rates, loaded into a warehouse that ends a month before."""
+    t = tables(spark, sf_dir)
+    w = _fresh(spark, "daily", _facts_only(_target(t)))
+    b = _bars_named(t).where(F.col("symbol").isin(list(TRACKED)))
+    stocks = PL.series_payloads(b, ["symbol", "month"], F.date_format("date_value", "yyyy-MM-dd"),
+                                {k: F.col(v) for k, v in _PRICE_FIELDS.items()}, PL.DAILY_KEY)
+    d = _fx_days(t).withColumn("month", F.date_format("date", "yyyy-MM"))
+    fx = PL.series_payloads(d, ["from_currency", "to_currency", "month"], F.date_format("date", "yyyy-MM-dd"),
+                            {PL.OPEN: F.col("o"), PL.HIGH: F.col("h"), PL.LOW: F.col("lo"), PL.CLOSE: F.col("c")}, PL.FX_DAILY_KEY)
+    with w.change() as c:
+        LO.ingest(c, stocks, fx, None, TRACKED, AS_OF, AS_OF_TS, "full", "sunday0")
+    now = w.open()
+    return edge(now.prices.join(now.dim_stocks.where(F.col("symbol").isin(list(TRACKED))).select("stock_id", "symbol"), "stock_id")
+                .select("symbol", "date_id", "closing_price", "volume", "daily_return"))
+
+
+@register("job_append")
+def _d7(spark, sf_dir):
+    """Rows whose key is absent are appended; the years of the rows are rewritten."""
+    t = tables(spark, sf_dir)
+    w = _fresh(spark, "append", _facts_only(_target(t)))
+    with w.change() as c:
+        batch, _ = MG.conform_price_batch(c.tables, _price_records(t), AS_OF_TS)
+        LO.append_absent(c, batch.drop("date_value"))
+    return edge(w.open().prices.select("stock_id", "date_id", "closing_price", "volume"))
+
+
+@register("job_retention")
+def _e8b(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    lo, hi = t.dim_date.agg(F.min("date_value")).scalar(), t.dim_date.agg(F.max("date_value")).scalar()
+    full = DM.insert_absent(t.dim_date, DM.calendar_range(spark, lo, hi, dow="sunday0"), ["date_value"])
+    w = _fresh(spark, "retention", _facts_only(t).with_(dim_date=full))
+    with w.change() as c:
+        LO.retention(c, AS_OF, years=5, dow="sunday0")
+    return w.open().dim_date.select(*DIM_COLS)
+
+
 @register("job_dedupe")
 def _b5d(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    root = _versioned(spark, sf_dir, "dedupe", t.with_(etl_logs=None))
-    JB.commit(spark, root, JB.dedupe_job(*PERIOD, AS_OF_TS))
-    return edge(open_current(spark, root).stock_prices.select("symbol", "date", "close_price", "volume", "updated_at"))
+    w = _fresh(spark, "dedupe", tables(spark, sf_dir))
+    with w.change() as c:
+        LO.dedupe(c, *PERIOD, AS_OF_TS)
+    return edge(w.open().stock_prices.select("symbol", "date", "close_price", "volume", "updated_at"))
 
 
 @register("job_log")
 def _d8b(spark, sf_dir):
     """The run log of the de-duplication, with the rows it removed."""
-    t = tables(spark, sf_dir)
-    root = _versioned(spark, sf_dir, "log", t.with_(etl_logs=None))
-    JB.commit(spark, root, JB.dedupe_job(*PERIOD, AS_OF_TS))
-    return open_current(spark, root).etl_logs.select("operation_type", "table_name", "records_affected", "status")
+    w = _fresh(spark, "log", tables(spark, sf_dir))
+    with w.change() as c:
+        LO.dedupe(c, *PERIOD, AS_OF_TS)
+    return w.open().etl_logs.select("operation_type", "table_name", "records_affected", "status")
 
 
 @register("job_archive")
 def _e9b(spark, sf_dir):
     """Old prices move to the archive; both targets are read back."""
-    t = tables(spark, sf_dir)
-    root = _versioned(spark, sf_dir, "archive", t.with_(stock_prices=None, exchange_rates=None))
-    JB.commit(spark, root, JB.archive_job(f"{root}/archive", AS_OF, years=2))
-    keep = open_current(spark, root).prices
-    old = spark.read.parquet(f"{root}/archive")
-    return (keep.select(F.lit("keep").alias("part"), "stock_id", "date_id")
+    w = _fresh(spark, "archive", _facts_only(tables(spark, sf_dir)))
+    with w.change() as c:
+        LO.archive(c, f"{w.root}/archive", AS_OF, years=2)
+    old = spark.read.parquet(f"{w.root}/archive")
+    return (w.open().prices.select(F.lit("keep").alias("part"), "stock_id", "date_id")
             .unionByName(old.select(F.lit("archive").alias("part"), "stock_id", "date_id")))
 
 
+@register("refresh_statistics")
+def _s15(spark, sf_dir):
+    """What the optimizer knows of the numbers of both facts after ANALYZE."""
+    w, _ = warehouse(spark, sf_dir)
+    out = refresh_statistics(spark, w.database(w.version()))
+    return out.where(~F.col("column_name").isin("created_at", "updated_at")).select(
+        "table_name", "row_count", "column_name", *[F.col(c).cast("double").alias(c) for c in ("min", "max")],
+        F.col("null_count").cast("long").alias("null_count"))
+
+
 @register("market_caps")
 def _p14(spark, sf_dir):
     """Market caps where the fact carries shares: a hundred per unit of its parts' size."""

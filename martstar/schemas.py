@@ -68,6 +68,13 @@ FACT_CURRENCY_RATES = T.StructType([
     T.StructField("updated_at", T.TimestampType(), True),
 ])
 
+# the last row of each stock in each year: what the first row of a later year is compared with
+YEAR_ENDS = T.StructType([
+    T.StructField("stock_id", T.IntegerType(), False),
+    T.StructField("date_id", T.IntegerType(), False),
+    T.StructField("closing_price", PRICE, False),
+])
+
 # backfill tables keyed by natural keys
 STOCK_PRICES = T.StructType([
     T.StructField("symbol", T.StringType(), False),

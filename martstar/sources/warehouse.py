@@ -1,14 +1,14 @@
-"""Warehouse tables as Parquet (read, write, statistics)."""
+"""Warehouse tables as Parquet (read, write) and under their names for SQL."""
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
 
 from ..tables import Tables, read_warehouse, write_warehouse
 
-__all__ = ["read_warehouse", "write_warehouse", "register_views", "analyze"]
+__all__ = ["read_warehouse", "write_warehouse", "register_views", "fact_scan"]
 
 VIEW_NAMES = {"dim_stocks": "dim_stocks", "dim_date": "dim_date", "dim_currency": "dim_currency",
               "prices": "fact_stock_prices", "rates": "fact_currency_rates",
@@ -23,23 +23,7 @@ def register_views(t: Tables) -> None:
             df.createOrReplaceTempView(name)
 
 
-def analyze(spark: SparkSession, tables: Sequence[str]) -> None:
-    """``ANALYZE TABLE ... COMPUTE STATISTICS FOR ALL COLUMNS`` on catalog tables."""
-    for name in tables:
-        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
-
-
-def fact_scan(spark: SparkSession, path: str, start_id: int, end_id: int, columns: Sequence[str]):
-    """Price rows of [start_id, end_id] straight from the partitioned fact.
-
-    The filter names the ``year`` partition column too, so whole year
-    directories are pruned before any file is opened; the ``date_id``
-    predicate reaches the Parquet reader as a pushed filter and skips row
-    groups (files are sorted by key within each year).
-    """
-    from pyspark.sql import functions as F
-
-    df = spark.read.parquet(f"{path.rstrip('/')}/prices")
-    return (df.where(F.col("year").between(start_id // 10000, end_id // 10000)
-                     & F.col("date_id").between(start_id, end_id))
-            .select(*columns))
+def fact_scan(t: Tables, start_id: int, end_id: int, columns: Sequence[str]) -> DataFrame:
+    """Price rows of [start_id, end_id] straight from the partitioned fact: whole years are
+    pruned before any file is opened, and the ``date_id`` range reaches the Parquet reader."""
+    return t.prices_where(start_id, end_id).select(*columns)

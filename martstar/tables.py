@@ -8,7 +8,6 @@ currency codes) and are stored unpartitioned.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, fields, replace
 from typing import Optional
 
@@ -30,13 +29,14 @@ class Tables:
     stock_prices: Optional[DataFrame] = None  # backfill table, natural keys
     exchange_rates: Optional[DataFrame] = None
     etl_logs: Optional[DataFrame] = None
+    year_ends: Optional[DataFrame] = None
     # of a written warehouse: the price fact with its year partition, and its last year
     prices_by_year: Optional[DataFrame] = None
     last_year: Optional[int] = None
 
     def with_(self, **kw) -> "Tables":
         if "prices" in kw:  # another fact is not the one on disk
-            kw = {"prices_by_year": None, "last_year": None, **kw}
+            kw = {"prices_by_year": None, "last_year": None, "year_ends": None, **kw}
         return replace(self, **kw)
 
     def prices_where(self, low=None, high=None) -> DataFrame:
@@ -64,10 +64,10 @@ class Tables:
 
 FACT_PARTITION = "year"
 RECORD_TABLES = ("stock_prices", "exchange_rates")
-_SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_currency": S.DIM_CURRENCY,
+TABLE_SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_currency": S.DIM_CURRENCY,
             "prices": S.FACT_STOCK_PRICES, "rates": S.FACT_CURRENCY_RATES, "stock_prices": S.STOCK_PRICES,
-            "exchange_rates": S.EXCHANGE_RATES, "etl_logs": S.ETL_LOGS}
-_TABLE_NAMES = [f.name for f in fields(Tables) if f.name in _SCHEMAS]
+            "exchange_rates": S.EXCHANGE_RATES, "etl_logs": S.ETL_LOGS, "year_ends": S.YEAR_ENDS}
+TABLE_NAMES = [f.name for f in fields(Tables) if f.name in TABLE_SCHEMAS]
 
 
 def write_warehouse(t: Tables, path: str, mode: str = "overwrite") -> None:
@@ -76,7 +76,7 @@ def write_warehouse(t: Tables, path: str, mode: str = "overwrite") -> None:
     Facts get a ``year`` partition column (``date_id // 10000``) and are
     clustered by key within each partition.
     """
-    for name in _TABLE_NAMES:
+    for name in TABLE_NAMES:
         df = getattr(t, name)
         if df is None:
             continue
@@ -159,38 +159,11 @@ def listing(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
-# -- versions: a warehouse that jobs rewrite ---------------------------------
-# ``root/v=<number>`` is one whole state; the highest number is current. A state
-# is written aside and renamed into place, so readers see the old or the new one,
-# and two writers of the same number cannot both succeed.
-
-def current_version(spark: SparkSession, root: str) -> int:
-    """The number of the current state, 0 if there is none."""
-    return max([int(n[2:]) for n in list_names(spark, root) if n.startswith("v=")], default=0)
-
-
-def open_current(spark: SparkSession, root: str) -> "Tables":
-    n = current_version(spark, root)
-    return read_warehouse(spark, f"{root.rstrip('/')}/v={n}") if n else empty_tables(spark)
-
-
-def publish(spark: SparkSession, root: str, t: "Tables", after: Optional[int] = None) -> int:
-    """Write ``t`` as the state that follows ``after`` (default: the current one)."""
-    n = (current_version(spark, root) if after is None else after) + 1
-    base = root.rstrip("/")
-    build, final = f"{base}/_build-{uuid.uuid4().hex}", f"{base}/v={n}"
-    write_warehouse(t, build)
-    if path_exists(spark, final) or not rename_path(spark, build, final):
-        delete_path(spark, build)
-        raise RuntimeError(f"{final} was published by another writer")
-    return n
-
-
 def read_warehouse(spark: SparkSession, path: str) -> Tables:
     """Read a warehouse written by :func:`write_warehouse`."""
     base = path.rstrip("/")
     got = {}
-    for name in _TABLE_NAMES:
+    for name in TABLE_NAMES:
         p = f"{base}/{name}"
         if not path_exists(spark, p):
             got[name] = None
@@ -200,7 +173,7 @@ def read_warehouse(spark: SparkSession, path: str) -> Tables:
         except Exception as e:  # an empty table has no file to take a schema from
             if "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-            df = empty(spark, _SCHEMAS[name])
+            df = empty(spark, TABLE_SCHEMAS[name])
         if FACT_PARTITION in df.columns and name in ("prices", "rates"):
             if name == "prices":
                 years = [int(n.split("=")[1]) for n in list_names(spark, p) if n.startswith(f"{FACT_PARTITION}=")

@@ -115,17 +115,3 @@ def test_upsert_resumes_after_a_lost_publish(spark, tmpdir_path):
                              ["stock_id", "date_id"], MG.PRICE_SET, staging_root=stage).first()
     assert (counts.inserted, counts.updated) == (0, 1)
     assert read_warehouse(spark, wh).prices.first().volume == 42
-
-
-def test_analyze_tables_refreshes_statistics(spark, tmpdir_path):
-    from martstar.operators.status import analyze_tables
-
-    t = make_tables(spark, [("AAPL", D1, 1, 1, 1, 1, 1, None), ("AAPL", D2, 2, 2, 2, 2, 2, None)])
-    t.prices.write.option("path", f"{tmpdir_path}/fsp").saveAsTable("martstar_test_prices")
-    try:
-        analyze_tables(spark, ["martstar_test_prices"])
-        stats = [r for r in spark.sql("DESCRIBE TABLE EXTENDED martstar_test_prices").collect()
-                 if r.col_name == "Statistics"]
-        assert stats and "2 rows" in stats[0].data_type
-    finally:
-        spark.sql("DROP TABLE IF EXISTS martstar_test_prices")

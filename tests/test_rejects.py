@@ -16,7 +16,9 @@ from martstar.operators import validate as V
 from martstar.plans import jobs
 from martstar.sources import landing as L
 from martstar.streaming.landing_stream import stream_landing
-from martstar.tables import current_version, open_current, publish, read_warehouse, write_warehouse
+from martstar.plans import loads
+from martstar.sources.catalog import Warehouse
+from martstar.tables import read_warehouse, write_warehouse
 from tests.helpers import make_tables
 
 DAY, NEXT = dt.date(2025, 3, 4), dt.date(2025, 3, 5)
@@ -61,7 +63,9 @@ def test_one_bad_record_does_not_end_the_load(spark, tmpdir_path):
                                  "exchange_rate": 0.8}], "exchange")
     new, summary, rejects = jobs.load_landing(spark, tmpdir_path, two_stocks(spark), TS)
     s = summary.first()
-    assert (s.stock_inserted, s.stock_updated, s.rejected, s.unknown_keys) == (0, 1, 4, 1)
+    assert (s.stock_inserted, s.stock_updated, s.rejected) == (0, 1, 5)
+    kept = {json.loads(r.record).get("symbol") or "rate": r.reason for r in rejects.collect()}
+    assert set(kept) == {"KLM", "NOP", "XYZ", "rate"} and "unknown key" in kept["XYZ"]
     assert new.prices.count() == 1 and new.rates.count() == 0
 
 
@@ -137,20 +141,18 @@ def test_other_pairs_keep_their_codes(spark):
     assert (r.from_currency, r.to_currency) == ("EUR", "JPY")
 
 
-def test_commit_publishes_a_whole_version(spark, tmpdir_path):
-    root = f"{tmpdir_path}/v"
-    publish(spark, root, two_stocks(spark))
-    put(f"{tmpdir_path}/in", "a.json", [rec(day="2025-03-05"), rec(day="bad")])
-    put(f"{tmpdir_path}/in", "r.json", [{"from_currency": "USD", "to_currency": "GBP", "data_date": "2025-03-05",
-                                         "exchange_rate": 0.8}], "exchange")
-    load = lambda t: jobs.load_landing(spark, f"{tmpdir_path}/in", t, TS)
-    n, summary = jobs.commit(spark, root, load)
-    assert n == current_version(spark, root) == 2
-    assert summary.first().stock_inserted == 1
-    assert open_current(spark, root).prices.count() == 2
-    assert spark.read.json(f"{root}/rejects/v=2").count() == 1
-    with pytest.raises(RuntimeError):
-        publish(spark, root, two_stocks(spark), after=1)
+def test_load_keeps_rejects_and_publishes_a_version(spark, tmpdir_path):
+    w = Warehouse(spark, "rejects_load", f"{tmpdir_path}/w")
+    w.create(two_stocks(spark))
+    put(f"{tmpdir_path}/in", "a.json", [rec(day="2025-03-05"), rec(day="bad"), rec("XYZ")])
+    put(f"{tmpdir_path}/in", "r.json", [{"from_currency": "USD", "to_currency": c, "data_date": "2025-03-05",
+                                         "exchange_rate": 0.8} for c in ("GBP", "ZZZ")], "exchange")
+    with w.change() as c:
+        s = loads.load_landing(c, f"{tmpdir_path}/in", TS)
+    assert s == {"rejected": 3, "days_added": 1, "stock_inserted": 1, "stock_updated": 0, "exchange_inserted": 1, "exchange_updated": 0}
+    assert w.version() == 2 and w.open().prices.count() == 2 and w.open().dim_date.count() == 2
+    kept = spark.read.json(f"{w.root}/rejects/v=2").collect()
+    assert sorted(r.kind for r in kept) == ["exchange", "stocks", "stocks"] and all(r.reason for r in kept)
 
 
 def test_changed_input_has_another_signature(spark, tmpdir_path):
