@@ -16,6 +16,7 @@ from .. import schemas as S
 from ..functions.numeric import mean_half_up, rounded_mean, scaled
 from ..functions.ranking import grouped_rank
 from ..tables import PAIR, Tables
+from .merge import staged
 from .common import (Symbols, bounded, converted, day_id, latest_rate_date_id, latest_stock_date,
                      latest_stock_date_id, on_day, pair_rates, restrict_symbols, since, star)
 
@@ -64,10 +65,11 @@ def rank_desc_nulls_first(history: DataFrame, targets: DataFrame, value: str,
     the buckets above, plus counts of the values above within the bucket. The
     running sum over buckets is over at most 2 * 10^5 rows, as a return is a
     ``DECIMAL(8,6)``; the one within a bucket over at most 1,000. No sort of the
-    history, no pairs of rows, and any number of targets.
+    history, no pairs of rows, and any number of targets. The counts are kept
+    (checkpointed), so the history is read once.
     """
-    counts = (history.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("b", F.floor(F.col(value) * 1000)))
+    counts = staged(history.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+                    .withColumn("b", F.floor(F.col(value) * 1000)))
     nulls = counts.agg(F.coalesce(F.sum(F.when(F.col(value).isNull(), F.col("n"))), F.lit(0)).alias("nulls"))
     known = counts.where(F.col(value).isNotNull())
 
@@ -85,6 +87,20 @@ def rank_desc_nulls_first(history: DataFrame, targets: DataFrame, value: str,
         .otherwise(F.col("nulls") + F.col("above") + 1).cast("int").alias("performance_rank"))
 
 
+def _last_rows(t: Tables, history, n: int) -> Tables:
+    """The warehouse from the first of the last years in which every stock of ``history``
+    that trades in the last one has ``n`` rows: years are added backwards, one count each."""
+    if t.prices_by_year is None or t.last_year is None:
+        return t
+    first = t.prices_by_year.agg(F.min("year")).first()[0]
+    for year in range(t.last_year, first, -1):
+        counts = history(t.with_(prices=t.prices_where(low=year * 10000)), []).groupBy("symbol").agg(
+            F.count(F.lit(1)).alias("n"), F.max("date_id").alias("last"))
+        if counts.where((F.col("last") >= t.last_year * 10000) & (F.col("n") < n)).isEmpty():
+            return t.with_(prices=t.prices_where(low=year * 10000))
+    return t
+
+
 def performance_details(t: Tables, symbols: Symbols, window: int = 30,
                         pair: tuple[str, str] = PAIR) -> DataFrame:
     """30-row rolling metrics of each tracked symbol on the latest stock date.
@@ -95,9 +111,10 @@ def performance_details(t: Tables, symbols: Symbols, window: int = 30,
     shuffle), then ordinary conditional aggregates give the frame values of
     the latest row.
     """
-    rows = star(t, columns=["closing_price", "daily_return", "volume"])
-    rows = _with_pair(t, rows, pair)
-    rows = restrict_symbols(rows, symbols)
+    def history(tables: Tables, columns: list[str]) -> DataFrame:
+        return restrict_symbols(_with_pair(t, star(tables, columns=columns), pair), symbols)
+
+    rows = history(_last_rows(t, history, window + 1), ["closing_price", "daily_return", "volume"])
     rn = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("date_value").desc()))
     last = rows.withColumn("rn", rn).where(F.col("rn") <= window + 1)
     inw = F.col("rn") <= window
@@ -113,8 +130,8 @@ def performance_details(t: Tables, symbols: Symbols, window: int = 30,
                      F.count(F.when(inw, F.col("volume"))), 0, 0).alias("avg_volume"),
         F.stddev_samp(F.when(inw, F.col("daily_return").cast("double"))).alias("vol"),
         F.max(F.when(F.col("rn") == window + 1, F.col("closing_price"))).alias("p_ago"))
-    per = per.where(F.col("trade_date") == latest_stock_date(t))
-    ranks = rank_desc_nulls_first(rows.select("daily_return"), per.select("symbol", "daily_return"),
+    per = staged(per.where(F.col("trade_date") == latest_stock_date(t)))  # one row per symbol, read twice
+    ranks = rank_desc_nulls_first(history(t, ["daily_return"]).select("daily_return"), per.select("symbol", "daily_return"),
                                   "daily_return", "symbol")
     p, p0 = F.col("price_usd"), F.col("p_ago")
     change = F.when(p0.isNotNull() & (p0 > 0),
@@ -181,12 +198,10 @@ def prices_with_currency(t: Tables, symbols=None, date: Optional[_dt.date] = Non
     has_shares = "shares_outstanding" in t.prices.columns
     if has_shares:
         cols.append("shares_outstanding")
-    rows = star(t, columns=cols)
+    rows = star(t if date is None else on_day(t, day_id(date)), columns=cols)
     if isinstance(symbols, str):
         symbols = [symbols]
     rows = restrict_symbols(rows, symbols)
-    if date is not None:
-        rows = rows.where(F.col("date_value") == F.lit(date))
     rows = _with_pair(t, rows, pair, how="left")
     c, r = F.col("closing_price"), F.col("exchange_rate")
     shares = F.col("shares_outstanding") if has_shares else F.lit(None).cast("bigint")
@@ -202,10 +217,8 @@ def prices_with_currency(t: Tables, symbols=None, date: Optional[_dt.date] = Non
 def gbp_prices(t: Tables, symbols=None, date: Optional[_dt.date] = None,
                pair: tuple[str, str] = PAIR) -> DataFrame:
     """Prices that have a rate, converted by multiplication."""
-    rows = star(t, columns=["closing_price"])
+    rows = star(t if date is None else on_day(t, day_id(date)), columns=["closing_price"])
     rows = restrict_symbols(rows, [symbols] if isinstance(symbols, str) else symbols)
-    if date is not None:
-        rows = rows.where(F.col("date_value") == F.lit(date))
     rows = _with_pair(t, rows, pair)
     return rows.select("symbol", "company_name", F.col("date_value").alias("trade_date"),
                        F.col("closing_price").alias("price_usd"),

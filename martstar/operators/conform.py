@@ -24,6 +24,21 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
+def check_frames(spark, frames: dict[str, DataFrame], required: Sequence[str]) -> DataFrame:
+    """(frame, missing, has_rows, usable): a frame is usable with all required columns and a row.
+
+    One row of each frame is looked for, in one job for all.
+    """
+    out = None
+    for name, df in frames.items():
+        missing = ", ".join(require_columns(df, required))
+        found = df.select(F.lit(1).alias("x")).limit(1).agg(F.count(F.lit(1)).alias("n"))
+        row = found.select(F.lit(name).alias("frame"), F.lit(missing).alias("missing"), (F.col("n") > 0).alias("has_rows"),
+                           ((F.col("n") > 0) & F.lit(not missing)).alias("usable"))
+        out = row if out is None else out.unionByName(row)
+    return out if out is not None else spark.createDataFrame([], "frame string, missing string, has_rows boolean, usable boolean")
+
+
 def _c(name: str) -> Column:
     """Column by exact name (vendor names contain dots and spaces)."""
     return F.col(f"`{name}`")

@@ -1,17 +1,13 @@
-"""Keyed writes without a table format: upsert, insert-if-absent, dedupe, logs.
-
-``merge`` is a pure DataFrame function (latest batch row per key, then a full
-outer join on the key) so a ``MERGE INTO`` back end could replace it.
-``upsert_table`` is the physical side for Parquet: only the partitions that
-the batch touches are read, merged, staged in the shared checkpoint folder
-and swapped in with dynamic partition overwrite; a path is never overwritten
-while it is being read.
+"""Keyed writes as plans: upsert, insert-if-absent, dedupe, logs.
+
+``merge`` is a pure DataFrame function (latest batch row per key, then joins on
+the key) so a ``MERGE INTO`` back end could replace it; ``plans.loads`` applies it
+to the partitions that a batch touches.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 from typing import Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -251,70 +247,3 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column], start: _
 def dedupe_log(spark, ts: _dt.datetime, start: _dt.date, end: _dt.date, removed=0) -> DataFrame:
     return etl_log(spark, "DEDUPLICATION", "stock_prices,exchange_rates", ts, removed, "COMPLETED",
                    f"Deduplication completed for backfill period {start.isoformat()} to {end.isoformat()}")
-
-
-def _marker(spark: SparkSession, path: str) -> None:
-    spark.range(1).write.mode("overwrite").parquet(path)
-
-
-def _counts_of(stage: str) -> str:
-    return f"{stage.rstrip('/')}-counts"
-
-
-def stage_merge(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], stage: str,
-                set_cols: Optional[Sequence[str]] = None, partition_col: str = "year",
-                partition_of: Optional[Column] = None) -> None:
-    """Merge ``batch`` into the partitions of ``path`` it touches and write the
-    merged partitions plus the merge counts to ``stage`` (marked ``_READY``).
-
-    Only touched partitions are read: their values (a handful of years) are a
-    broadcast semi-join filter, which prunes directories at runtime.
-    """
-    part = partition_of if partition_of is not None else (F.col("date_id") / 10000).cast("int")
-    b = batch.withColumn(partition_col, part)
-    current = spark.read.parquet(path)
-    touched = b.select(partition_col).distinct()
-    target = current.join(F.broadcast(touched), partition_col, "left_semi")
-    state, counts = merge(target, b.select(*current.columns), keys, set_cols)
-    # counts first, beside the stage: they must describe the table before it
-    # changes, and rewriting the stage must not remove them
-    counts.write.mode("overwrite").parquet(_counts_of(stage))
-    (state.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(partition_col).parquet(stage))
-    _marker(spark, f"{stage}/_READY")
-
-
-def publish_stage(spark: SparkSession, path: str, stage: str, partition_col: str = "year") -> None:
-    """Replace the staged partitions of ``path`` (dynamic partition overwrite)
-    and mark the stage ``_DONE``; repeating it is harmless."""
-    (spark.read.parquet(stage).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    _marker(spark, f"{stage}/_DONE")
-
-
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                 set_cols: Optional[Sequence[str]] = None, partition_col: str = "year",
-                 partition_of: Optional[Column] = None, staging_root: Optional[str] = None,
-                 batch_id: Optional[str] = None) -> DataFrame:
-    """Physical upsert into a Parquet table partitioned by ``partition_col``.
-
-    1. the merged touched partitions are staged in the shared checkpoint
-       location (never the path being read), with the counts;
-    2. the stage replaces exactly those partitions (dynamic partition
-       overwrite).
-
-    With a ``batch_id`` the stage folder is deterministic, so a run that was
-    lost between the two steps (driver or executor failure) resumes: a
-    ``_READY`` stage is published without merging the batch a second time,
-    and a ``_DONE`` stage is left alone. Returns the merge counts.
-    """
-    from ..session import scratch_path
-    from ..tables import path_exists
-
-    name = f"merge-{batch_id}" if batch_id is not None else f"merge-{uuid.uuid4().hex}"
-    stage = staging_root or scratch_path(spark, name)
-    if not path_exists(spark, f"{stage}/_READY"):
-        stage_merge(spark, path, batch, keys, stage, set_cols, partition_col, partition_of)
-    if not path_exists(spark, f"{stage}/_DONE"):
-        publish_stage(spark, path, stage, partition_col)
-    return spark.read.parquet(_counts_of(stage))

@@ -38,6 +38,9 @@ def table_inventory(spark: SparkSession, t: Tables, landing_dir: Optional[str] =
         (F.col("_min_fact") > 0).alias("healthy"))
 
 
+WORD = 63  # days in one number
+
+
 def freshness(t: Tables, symbols: Optional[Sequence[str]] = None) -> DataFrame:
     """Latest price date per symbol (joined through ``dim_stocks``)."""
     # date_id orders as the dates do, so the fact needs no join for its maximum
@@ -57,20 +60,25 @@ def missing_dates(t: Tables, as_of: _dt.date, days: int = 10,
                   symbols: Optional[Sequence[str]] = None) -> DataFrame:
     """Non-weekend calendar days in [as_of - days, as_of] without a price row, per symbol.
 
-    Each stock row is expanded to the ``days + 1`` days of the window
-    (``explode(sequence)``), weekends are dropped through the calendar, and
-    the facts are removed with a ``left_anti`` join.
+    The days that a stock has are one bit each, gathered with ``bit_or`` (combined before
+    the shuffle) into one number per stock and ``WORD`` days; absent bits are expanded.
     """
-    cal = bounded(t.dim_date.where(~F.col("is_weekend")).select("date_id", "date_value"))
+    first = as_of - _dt.timedelta(days=days)
+    day = F.datediff(date_of_id(F.col("date_id")), F.lit(first))
+    held = (t.prices_where(low=first.year * 10000 + first.month * 100 + first.day).select("stock_id", day.alias("day"))
+            .where(F.col("day") <= days)
+            .groupBy("stock_id", F.floor(F.col("day") / WORD).alias("word"))
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("day") % WORD).cast("int"))).alias("bits")))
     stocks = t.dim_stocks.select("stock_id", "symbol")
     if symbols is not None:
         stocks = stocks.where(F.col("symbol").isin(list(symbols)))
-    window = F.sequence(F.date_sub(F.lit(as_of), days), F.lit(as_of))
-    grid = stocks.select("stock_id", "symbol", F.explode(window).alias("date_value")).join(cal, "date_value")
-    first = as_of - _dt.timedelta(days=days)
-    present = t.prices_where(low=first.year * 10000 + first.month * 100 + first.day)
-    return (grid.join(present.select("stock_id", "date_id"), ["stock_id", "date_id"], "left_anti")
-            .select("symbol", F.col("date_value").alias("missing_date")))
+    words = stocks.withColumn("word", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(days // WORD).cast("long"))))
+    places = F.sequence(F.lit(0), F.least(F.lit(WORD - 1), F.lit(days) - F.col("word") * WORD).cast("int"))
+    absent = F.filter(places, lambda i: F.getbit(F.coalesce("bits", F.lit(0).cast("long")), i) == 0)
+    out = words.join(held, ["stock_id", "word"], "left").select("symbol", "word", F.explode(absent).alias("place"))
+    out = out.select("symbol", F.date_add(F.lit(first), (F.col("word") * WORD + F.col("place")).cast("int")).alias("missing_date"))
+    cal = bounded(t.dim_date.where(~F.col("is_weekend")).select(F.col("date_value").alias("missing_date")))
+    return out.join(cal, "missing_date", "left_semi").select("symbol", "missing_date")
 
 
 def missing_counts(t: Tables, as_of: _dt.date, days: int = 5,
@@ -79,12 +87,24 @@ def missing_counts(t: Tables, as_of: _dt.date, days: int = 5,
             .agg(F.count(F.lit(1)).alias("missing_days")))
 
 
-def latest_rate(t: Tables, pair: tuple[str, str] = PAIR) -> DataFrame:
-    """Latest date and rate of the pair (``max_by``)."""
+def latest_rate(t: Tables, pair: tuple[str, str] = PAIR, quotes: Optional[DataFrame] = None) -> DataFrame:
+    """Latest date and rate of the pair (``max_by``).
+
+    Where the series has no rate (or a zero), the latest of ``quotes`` (records of
+    ``conform.conform_quote``) of the pair takes its place.
+    """
     r = pair_rates(t, pair).join(bounded(t.dim_date.select("date_id", "date_value")), "date_id")
-    return r.agg(F.max("date_value").alias("rate_date"),
-                 F.max_by("exchange_rate", "date_value").alias("exchange_rate")).select(
-        F.lit(f"{pair[0]}/{pair[1]}").alias("currency_pair"), "rate_date", "exchange_rate")
+    series = r.agg(F.max("date_value").alias("rate_date"), F.max_by("exchange_rate", "date_value").alias("exchange_rate"))
+    name = F.lit(f"{pair[0]}/{pair[1]}").alias("currency_pair")
+    if quotes is None:
+        return series.select(name, "rate_date", "exchange_rate")
+    own = quotes.where((F.col("from_currency") == pair[0]) & (F.col("to_currency") == pair[1]) & (F.col("exchange_rate") != 0))
+    order = F.struct("data_date", "created_at", "exchange_rate")
+    quote = own.agg(F.max(F.col("data_date").cast("date")).alias("q_date"), F.max_by("exchange_rate", order).alias("q_rate"))
+    has = F.coalesce(F.col("exchange_rate") != 0, F.lit(False))
+    return series.join(quote, how="cross").select(
+        name, F.when(has, F.col("rate_date")).otherwise(F.col("q_date")).alias("rate_date"),
+        F.when(has, F.col("exchange_rate")).otherwise(F.col("q_rate").cast("decimal(10,6)")).alias("exchange_rate"))
 
 
 def ingestion_status(spark: SparkSession, t: Tables, as_of: _dt.date, symbols: Sequence[str],

@@ -101,17 +101,22 @@ def validate_bars(df: DataFrame, as_of_ts: _dt.datetime, symbol: str = "symbol",
 def validate_batches(df: DataFrame, symbol: str = "symbol", ts: str = "timestamp",
                      source: str = "source", data_type: str = "data_type",
                      batch_symbol: str | None = None) -> DataFrame:
-    """Batch rules per (symbol, source, data_type): 1..10000 points, no duplicate
-    timestamps, one symbol, allowed source and type."""
-    key = [batch_symbol or symbol, source, data_type]
-    g = df.groupBy(*key).agg(
+    """Batch rules per (batch, source, data_type): 1..10000 points, no duplicate
+    timestamps, every point of the batch's symbol, allowed source and type.
+
+    ``batch_symbol`` names the column with the symbol a batch was asked for; without
+    it the points' own symbol is the batch and that rule cannot fail.
+    """
+    batch = batch_symbol or symbol
+    g = df.groupBy(batch, source, data_type).agg(
         F.count(F.lit(1)).alias("point_count"),
         F.count_distinct(ts).alias("distinct_ts"),
-        F.count_distinct(symbol).alias("symbols"))
+        F.count_distinct(symbol).alias("symbols"),
+        F.count_if(~F.col(symbol).eqNullSafe(F.col(batch))).alias("foreign_points"))
     rules = [
         rule(F.col("point_count") > 10000, "at most 10000 data points"),
         rule(F.col("distinct_ts") < F.col("point_count"), "Duplicate timestamps found in data points"),
-        rule(F.col("symbols") > 1, "Data point symbol does not match the batch symbol"),
+        rule(F.col("foreign_points") > 0, "Data point symbol does not match the batch symbol"),
         rule(~F.col(source).isin(*BAR_SOURCES), "source is not an accepted source"),
         rule(~F.col(data_type).isin(*BAR_TYPES), "data_type is not an accepted type"),
     ]

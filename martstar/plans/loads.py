@@ -107,6 +107,16 @@ def load_landing(c: Change, landing_dir: str, as_of_ts: _dt.datetime, dow: str =
     return _load(c, prices, rates, rejects, as_of_ts, dow)
 
 
+def load_records(c: Change, kind: str, records: DataFrame, as_of_ts: _dt.datetime, dow: str = "iso") -> dict[str, int]:
+    """The landing records of one kind ('stocks' or 'exchange'): a micro-batch of the stream."""
+    rows, rejects = JB.conformed(c.tables, kind, records, as_of_ts)
+    out = {"rejected": keep_rejects(c, rejects)}
+    rows = MG.staged(rows)
+    out["days_added"] = add_days(c, rows.select(F.col("date_value").alias("date")), dow)
+    rows = rows.drop("date_value")
+    return out | (load_prices(c, rows, as_of_ts) if kind == "stocks" else load_rates(c, rows))
+
+
 def _load(c: Change, prices: DataFrame, rates: DataFrame, rejects: DataFrame, as_of_ts, dow: str) -> dict[str, int]:
     out = {"rejected": keep_rejects(c, rejects)}
     prices, rates = MG.staged(prices), MG.staged(rates)

@@ -149,6 +149,11 @@ def _x2(spark, sf_dir):
     return edge(A.stock_performance(tables(spark, sf_dir)))
 
 
+@register("prices_with_currency_on")
+def _q6b(spark, sf_dir):
+    return edge(A.prices_with_currency(tables(spark, sf_dir), date=_dt.date(2001, 10, 2)))
+
+
 @register("gbp_prices")
 def _x3(spark, sf_dir):
     return edge(A.gbp_prices(tables(spark, sf_dir)))
@@ -286,7 +291,10 @@ def _c1(spark, sf_dir):
 
 @register("validate_batches")
 def _c2(spark, sf_dir):
-    out = V.validate_batches(_bars_input(_dirty(spark, sf_dir)))
+    """A batch is what was asked for by one symbol; k = 5 of the dirt key brings a foreign point."""
+    bars = _bars_input(_dirty(spark, sf_dir)).withColumnRenamed("symbol", "batch")
+    foreign = binding.dirt_key() == 5
+    out = V.validate_batches(bars.withColumn("symbol", F.when(foreign, F.lit("ZZZ")).otherwise(F.col("batch"))), batch_symbol="batch")
     return _joined_errors(out)
 
 
@@ -684,6 +692,14 @@ def _i10(spark, sf_dir):
     return edge(ST.latest_rate(tables(spark, sf_dir)))
 
 
+@register("latest_rate_quote")
+def _i10b(spark, sf_dir):
+    """The series has no rate of the pair, so the latest quote counts."""
+    t = tables(spark, sf_dir)
+    quotes = CF.conform_quote(_s7(spark, sf_dir), AS_OF, AS_OF_TS)
+    return edge(ST.latest_rate(t.with_(rates=t.rates.where(F.col("from_currency_id") > 1)), quotes=quotes))
+
+
 @register("ingestion_status")
 def _i11(spark, sf_dir):
     return edge(ST.ingestion_status(spark, tables(spark, sf_dir), AS_OF, TRACKED))
@@ -746,6 +762,14 @@ def _daily_frames(spark, sf_dir):
     return _s3(spark, sf_dir)  # the flattened daily payloads
 
 
+@register("check_frames")
+def _p2(spark, sf_dir):
+    """The flattened payloads, a symbol without any, and a frame that lacks a column."""
+    frames = _daily_frames(spark, sf_dir)
+    return CF.check_frames(spark, {"all": frames, "none": frames.where(F.col("Symbol") == "no such symbol"),
+                                   "short": frames.drop("Volume")}, CF.STOCK_REQUIRED)
+
+
 @register("conform_stock")
 def _p3(spark, sf_dir):
     out = CF.conform_stock(_daily_frames(spark, sf_dir), AS_OF, AS_OF_TS)
@@ -879,6 +903,7 @@ def _s1(spark, sf_dir):
 # -- jobs that change a warehouse: write the touched partitions, read back ------
 
 from .plans import loads as LO  # noqa: E402
+from .streaming import landing_stream as SL  # noqa: E402
 
 
 def _fresh(spark, name, t):
@@ -900,11 +925,15 @@ def _landing_files(spark, w, t):
     runs = [rec.where("_file = 'stocks_1.json'"), rec.where("_file = 'stocks_2.json'"), unknown]
     for i, run in enumerate(runs):
         LD.write_landing(run, f"{w.root}/landing", "stocks", AS_OF_TS + _dt.timedelta(minutes=i))
+    _landing_rates(spark, w, t)
+    return f"{w.root}/landing"
+
+
+def _landing_rates(spark, w, t):
     rates = t.rates.where(F.col("date_id") >= 20010915).select(
         F.lit("USD").alias("from_currency"), F.lit("GBP").alias("to_currency"),
         date_of_id(F.col("date_id")).cast("string").alias("data_date"), "exchange_rate")
     LD.write_landing(rates, f"{w.root}/landing", "exchange", AS_OF_TS)
-    return f"{w.root}/landing"
 
 
 def _loaded_warehouse(spark, sf_dir):
@@ -982,6 +1011,26 @@ def _d7(spark, sf_dir):
     return edge(w.open().prices.select("stock_id", "date_id", "closing_price", "volume"))
 
 
+@register("stream_load")
+def _stream(spark, sf_dir):
+    """Files that arrive in two steps: the streams of both kinds take what is there, stop, and go on
+    where they were when they are started again."""
+    t = tables(spark, sf_dir)
+    w = _fresh(spark, "stream", _facts_only(_target(t)))
+    rec = _price_records(t)
+    _landing_rates(spark, w, t)
+    for i, name in enumerate(("stocks_1.json", "stocks_2.json")):
+        LD.write_landing(rec.where(F.col("_file") == name), f"{w.root}/landing", "stocks", AS_OF_TS + _dt.timedelta(minutes=i))
+        for kind in ("stocks", "exchange"):
+            q = SL.stream_landing(spark, f"{w.root}/landing", w, f"{w.root}/checkpoint-{kind}", kind, as_of_ts=AS_OF_TS, dow="sunday0")
+            if not q.awaitTermination(3600):
+                q.stop()
+                raise RuntimeError(f"the stream of {kind} did not end")
+    return edge(w.open().prices.select(
+        "stock_id", "date_id", "opening_price", "high_price", "low_price", "closing_price", "volume",
+        "adjusted_close", "updated_at"))
+
+
 @register("job_retention")
 def _e8b(spark, sf_dir):
     t = tables(spark, sf_dir)

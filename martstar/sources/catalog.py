@@ -12,11 +12,13 @@ it changes, into new folders, defines the next version over the new and the old
 folders together and moves the view last. A reader that has opened a version
 keeps it, whatever is published meanwhile, and a lost job leaves the view as it
 was. ``CREATE DATABASE`` fails where the version exists, so of two writers of a
-version one gives up before it writes anything.
+version one gives up before it writes anything. The view also names the last
+batch of every feed that the version holds, so a replayed batch is recognised.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import uuid
@@ -136,6 +138,12 @@ class Warehouse:
             return 0
         return self.spark.table(f"{self.name}.current").first()["version"]
 
+    def applied(self, feed: str) -> int:
+        """The last batch of a feed that the current version holds, -1 if none."""
+        if not self.version():
+            return -1
+        return json.loads(self.spark.table(f"{self.name}.current").first()["applied"]).get(feed, -1)
+
     def open(self, version: Optional[int] = None) -> Tables:
         """The tables of a version, which stay what they are."""
         n = self.version() if version is None else version
@@ -191,6 +199,7 @@ class Change:
         self.db = warehouse.database(self.version)
         self.new: dict[str, tuple[str, str, dict[str, str]]] = {}  # table -> (columns, folder, partitions)
         self.written: list[tuple[str, str]] = []  # (table, folder): all that was written
+        self.applied: dict[str, int] = {}  # feed -> batch that this version brings
         self.buckets = buckets
 
     def __enter__(self) -> "Change":
@@ -271,7 +280,9 @@ class Change:
             self.spark.sql(f"DROP DATABASE {self.db} CASCADE")
             raise RuntimeError(f"{self.w.name} was published by another writer")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.w.name} LOCATION '{self.w.root}/_databases/{self.w.name}'")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.w.name}.current AS SELECT {self.version} AS version")
+        applied = json.loads(self.spark.table(f"{self.w.name}.current").first()["applied"]) if self.base else {}
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.w.name}.current AS SELECT {self.version} AS version, "
+                       f"'{json.dumps({**applied, **self.applied})}' AS applied")
 
 
 def refresh_statistics(spark: SparkSession, database: str, tables: Iterable[str] = ("prices", "rates")) -> DataFrame:

@@ -1,10 +1,9 @@
 """The landing load as Structured Streaming.
 
-``readStream`` picks up new JSON files in the landing directory; every
-micro-batch is validated and upserted into the Parquet facts with the same
-keyed merge as the batch load. The write is keyed and the merge replaces
-whole touched partitions, so a replayed batch (after a failure) or a late
-correction simply rewrites the same rows: no streaming state is needed.
+``readStream`` picks up new JSON files in the landing directory; every micro-batch
+is validated and upserted into the catalog warehouse with the same keyed merge as
+the batch load. No streaming state is needed: a late correction rewrites its key,
+and a replayed batch is known by its number.
 """
 
 from __future__ import annotations
@@ -15,10 +14,10 @@ from typing import Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dims as DM
-from ..operators import merge as MG
+from ..plans import loads as LO
 from ..sources import landing as L
-from ..tables import delete_path, read_warehouse
+from ..sources.catalog import Warehouse
+from ..tables import delete_path
 
 
 def landing_source(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -32,45 +31,33 @@ def landing_source(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return read(True).where(run).unionByName(read(False).where(~run))
 
 
-def stream_landing(spark: SparkSession, landing_dir: str, warehouse: str, checkpoint: str,
+def stream_landing(spark: SparkSession, landing_dir: str, warehouse: Warehouse, checkpoint: str,
                    kind: str = "stocks", once: bool = True, as_of_ts: Optional[_dt.datetime] = None,
                    dow: str = "iso"):
     """Start the stream; with ``once`` it processes what is there and stops
     (``trigger(availableNow=True)``).
 
-    New days go to ``dim_date`` before the facts that use them. Records that are
-    not valid or whose keys are unknown are kept under
-    ``warehouse/rejects/<kind>/batch=<id>``. The stage of a micro-batch is
-    removed when the next one begins, as it is committed then.
+    A micro-batch is one version of the warehouse: rejects, new days and the years it
+    touches, published together with the number of the batch. Readers see the state
+    before or after it. A batch that is replayed after a failure finds its number
+    and changes nothing.
     """
     src = landing_source(spark, f"{landing_dir.rstrip('/')}/{kind}", kind)
-    stages = f"{checkpoint.rstrip('/')}/staging/{kind}"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
+        if warehouse.applied(kind) >= batch_id:
+            return
         ts = as_of_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         # inside a micro-batch the frame is static: positions can be numbered
         records = L.with_volume_text(batch.withColumn("_pos", F.struct(
             F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))).drop("_block"))
-        valid, bad = L.split_valid(records, kind)
-        t = read_warehouse(spark, warehouse)
-        if kind == "stocks":
-            table, keys, changed = "prices", ["stock_id", "date_id"], MG.PRICE_SET
-            rows, unknown = MG.conform_price_batch(t, valid, ts)
-            columns = t.prices.columns
-        else:
-            table, keys, changed = "rates", ["from_currency_id", "to_currency_id", "date_id"], MG.RATE_SET
-            rows, unknown = MG.conform_rate_batch(t, valid, ts)
-            columns = t.rates.columns
-        rejects = bad.unionByName(unknown, allowMissingColumns=True)
-        rejects.select("_file", F.to_json(F.struct(*[c for c in rejects.columns if c != "_pos"])).alias("record")) \
-            .write.mode("overwrite").json(f"{warehouse.rstrip('/')}/rejects/{kind}/batch={batch_id}")
-        days = DM.date_rows(rows.select(F.col("date_value").alias("date")), "date", dow)
-        new_days = days.join(t.dim_date.select("date_value"), "date_value", "left_anti")
-        new_days.select(*t.dim_date.columns).write.mode("append").parquet(f"{warehouse.rstrip('/')}/dim_date")
-        MG.upsert_table(spark, f"{warehouse.rstrip('/')}/{table}", rows.select(*columns), keys, changed,
-                        staging_root=f"{stages}-{batch_id}")
-        for old in (f"{stages}-{batch_id - 1}", f"{stages}-{batch_id - 1}-counts"):
-            delete_path(spark, old)
+        # the files are read once; what follows runs in the warehouse's own session
+        stage = f"{warehouse.root}/_stream/{kind}-{batch_id}"
+        records.write.mode("overwrite").parquet(stage)
+        with warehouse.change() as c:
+            LO.load_records(c, kind, warehouse.spark.read.parquet(stage), ts, dow)
+            c.applied[kind] = batch_id
+        delete_path(spark, stage)
 
     w = src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")

@@ -6,11 +6,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from martstar.operators import merge as MG
 from martstar.plans import jobs
 from martstar.sources import landing as L
+from martstar.sources.catalog import Warehouse
 from martstar.streaming.landing_stream import stream_landing
-from martstar.tables import read_warehouse, write_warehouse
 from tests.helpers import make_tables
 
 D1, D2 = dt.date(2025, 8, 16), dt.date(2025, 8, 17)
@@ -72,46 +71,29 @@ def test_load_landing_is_idempotent(spark, tmpdir_path):
     assert new.dim_date.where(F.col("date_id") == 20250817).count() == 1
 
 
-def test_upsert_table_rewrites_only_touched_partitions(spark, tmpdir_path):
-    t = make_tables(spark, [("AAPL", dt.date(2024, 5, 1), 1, 1, 1, 1, 1, None),
-                            ("AAPL", D1, 2, 2, 2, 2, 2, None)], stocks=["AAPL"])
-    wh = f"{tmpdir_path}/wh"
-    write_warehouse(t, wh)
-    before_2024 = sorted(os.listdir(f"{wh}/prices/year=2024"))
-    batch = t.prices.where(F.col("date_id") == 20250816).withColumn("volume", F.lit(99).cast("bigint"))
-    for _ in range(2):  # a replayed batch gives the same table
-        MG.upsert_table(spark, f"{wh}/prices", batch, ["stock_id", "date_id"], MG.PRICE_SET,
-                        staging_root=f"{tmpdir_path}/stage-{_}")
-    got = read_warehouse(spark, wh).prices
-    assert got.count() == 2
-    assert got.where(F.col("date_id") == 20250816).first().volume == 99
-    assert sorted(os.listdir(f"{wh}/prices/year=2024")) == before_2024
-
-
 def test_stream_landing_upserts_new_files(spark, tmpdir_path):
     land = f"{tmpdir_path}/landing"
     _write_landing(land)
-    t = make_tables(spark, [("AAPL", D1, 1, 1, 1, 1, 1, None)], stocks=["AAPL", "MSFT"])
-    wh = f"{tmpdir_path}/wh"
-    write_warehouse(t, wh)
-    q = stream_landing(spark, land, wh, f"{tmpdir_path}/ckpt", once=True, as_of_ts=TS)
-    q.awaitTermination(120)
-    prices = read_warehouse(spark, wh).prices
-    assert prices.count() == 2
-    assert {r.stock_id for r in prices.collect()} == {1, 2}
-
-
-def test_upsert_resumes_after_a_lost_publish(spark, tmpdir_path):
-    t = make_tables(spark, [("AAPL", D1, 2, 2, 2, 2, 2, None)], stocks=["AAPL"])
-    wh = f"{tmpdir_path}/wh"
-    write_warehouse(t, wh)
-    batch = t.prices.withColumn("volume", F.col("volume") + 40)
-    stage = f"{tmpdir_path}/stage-b7"
-    # the run is lost after staging, before the swap
-    MG.stage_merge(spark, f"{wh}/prices", batch, ["stock_id", "date_id"], stage, MG.PRICE_SET)
-    assert read_warehouse(spark, wh).prices.first().volume == 2
-    # the replay publishes the staged merge instead of merging again
-    counts = MG.upsert_table(spark, f"{wh}/prices", batch.withColumn("volume", F.lit(999).cast("bigint")),
-                             ["stock_id", "date_id"], MG.PRICE_SET, staging_root=stage).first()
-    assert (counts.inserted, counts.updated) == (0, 1)
-    assert read_warehouse(spark, wh).prices.first().volume == 42
+    w = Warehouse(spark, "stream_files", f"{tmpdir_path}/wh")
+    w.create(make_tables(spark, [("AAPL", D1, 1, 1, 1, 1, 1, None)], stocks=["AAPL", "MSFT"]))
+    stream_landing(spark, land, w, f"{tmpdir_path}/ckpt", once=True, as_of_ts=TS).awaitTermination(120)
+    prices = w.open().prices
+    assert prices.count() == 2 and {r.stock_id for r in prices.collect()} == {1, 2}
+    assert w.applied("stocks") == 0 and w.applied("exchange") == -1
+    # nothing new: no batch, no version
+    n = w.version()
+    stream_landing(spark, land, w, f"{tmpdir_path}/ckpt", once=True, as_of_ts=TS).awaitTermination(120)
+    assert w.version() == n
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmpdir_path):
+    """The stream's own log is lost after the publish, so the batch comes again."""
+    land = f"{tmpdir_path}/landing"
+    _write_landing(land)
+    w = Warehouse(spark, "stream_replay", f"{tmpdir_path}/wh")
+    w.create(make_tables(spark, [("AAPL", D1, 1, 1, 1, 1, 1, None)], stocks=["AAPL", "MSFT"]))
+    for checkpoint in ("ckpt", "other"):
+        stream_landing(spark, land, w, f"{tmpdir_path}/{checkpoint}", once=True, as_of_ts=TS).awaitTermination(120)
+        assert (w.version(), w.open().prices.count()) == (2, 2)
+    stream_landing(spark, land, w, f"{tmpdir_path}/fx", "exchange", as_of_ts=TS).awaitTermination(120)
+    assert w.version() == 3 and w.applied("stocks") == 0 == w.applied("exchange") and w.open().rates.count() == 1

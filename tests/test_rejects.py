@@ -103,28 +103,15 @@ def test_full_rewrite_leaves_no_old_year(spark, tmpdir_path):
     assert read_warehouse(spark, tmpdir_path).prices.count() == 1
 
 
-def test_upsert_table_under_the_default_overwrite_mode(spark, tmpdir_path):
-    t = two_stocks(spark)
-    write_warehouse(t, tmpdir_path)
-    was = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-    try:
-        counts = MG.upsert_table(spark, f"{tmpdir_path}/prices", t.prices.withColumn("volume", F.lit(9).cast("long")),
-                                 ["stock_id", "date_id"], MG.PRICE_SET, staging_root=f"{tmpdir_path}/stage").first()
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", was)
-    assert (counts.inserted, counts.updated) == (0, 1)
-
-
 def test_stream_adds_days_and_keeps_rejects(spark, tmpdir_path):
-    wh = f"{tmpdir_path}/wh"
-    write_warehouse(two_stocks(spark), wh)
+    w = Warehouse(spark, "rejects_stream", f"{tmpdir_path}/wh")
+    w.create(two_stocks(spark))
     put(f"{tmpdir_path}/in", "a.json", [rec(day="2025-03-05"), rec("NOP", day="2025-03-05"), rec("XYZ"), rec(day="x")])
-    stream_landing(spark, f"{tmpdir_path}/in", wh, f"{tmpdir_path}/ckpt", as_of_ts=TS).awaitTermination(120)
-    t = read_warehouse(spark, wh)
+    stream_landing(spark, f"{tmpdir_path}/in", w, f"{tmpdir_path}/ckpt", as_of_ts=TS).awaitTermination(120)
+    t = w.open()
     assert t.prices.where("date_id = 20250305").count() == 2
     assert t.dim_date.where("date_id = 20250305").count() == 1
-    rejects = [json.loads(r.record)["symbol"] for r in spark.read.json(f"{wh}/rejects/stocks").collect()]
+    rejects = [json.loads(r.record)["symbol"] for r in spark.read.json(f"{w.root}/rejects/v=2").collect()]
     assert sorted(rejects) == ["KLM", "XYZ"]
 
 

@@ -19,19 +19,20 @@ def _errors(spark, o, h, lo, c, v, sym="AAPL"):
 
 
 def test_bar_cases(spark):
-    assert _errors(spark, 150.0, 155.0, 149.0, 154.0, 1000000) == []
-    assert "High price (149.0) cannot be less than low price (150.0)" in _errors(spark, 150.0, 149.0, 150.0, 149.5, 1)
-    assert "High price (155.0) cannot be less than close price (156.0)" in _errors(spark, 150.0, 155.0, 149.0, 156.0, 1)
-    assert "Low price (149.0) cannot be greater than close price (148.0)" in _errors(spark, 150.0, 155.0, 149.0, 148.0, 1)
-    assert "volume must be greater than or equal to 0" in _errors(spark, 150.0, 155.0, 149.0, 154.0, -1000)
-    assert "open must be greater than 0" in _errors(spark, -100.0, 155.0, 149.0, 154.0, 1)
-    assert "Cannot have price movement with zero volume" in _errors(spark, 150.0, 155.0, 149.0, 154.0, 0)
+    assert _errors(spark, 61.5, 64.0, 60.25, 63.75, 70010) == []
+    assert "High price (60.75) cannot be less than low price (61.5)" in _errors(spark, 61.5, 60.75, 61.5, 61.0, 1)
+    assert "High price (64.25) cannot be less than close price (65.5)" in _errors(spark, 61.5, 64.25, 60.25, 65.5, 1)
+    assert "Low price (60.25) cannot be greater than close price (58.5)" in _errors(spark, 61.5, 64.0, 60.25, 58.5, 1)
+    assert "volume must be greater than or equal to 0" in _errors(spark, 61.5, 64.0, 60.25, 63.75, -3)
+    assert "open must be greater than 0" in _errors(spark, -61.5, 64.0, 60.25, 63.75, 1)
+    assert "Cannot have price movement with zero volume" in _errors(spark, 61.5, 64.0, 60.25, 63.75, 0)
 
 
 def test_rate_cases(spark):
-    df = spark.createDataFrame([("USD", "GBP", -0.8, None, None, dt.datetime(2025, 8, 1), "alpha_vantage"),
-                                ("USD", "USD", 0.8, 0.79, 0.81, dt.datetime(2025, 8, 1), "alpha_vantage"),
-                                ("USD", "GBP", 0.9, 0.79, 0.81, dt.datetime(2025, 8, 1), "alpha_vantage")],
+    day = dt.datetime(2024, 3, 1)
+    df = spark.createDataFrame([("CHF", "SEK", -11.6, None, None, day, "alpha_vantage"),
+                                ("SEK", "SEK", 1.0, 0.97, 1.02, day, "alpha_vantage"),
+                                ("CHF", "SEK", 12.4, 11.5, 11.7, day, "alpha_vantage")],
                                "from_currency string, to_currency string, rate double, bid_rate double, "
                                "ask_rate double, timestamp timestamp, source string")
     errs = [r.errors for r in V.validate_rates(df, NOW).collect()]
