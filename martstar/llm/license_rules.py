@@ -1,10 +1,12 @@
 """Signature rules for licence scans.
 
-Every family is written by hand as (label, keyword, pattern of its name in
-normalised words, pattern of its versions). Four forms are derived from each
-family, in order of priority: a tag that declares it, a grant that names it,
-its name with a version, its bare name. Text signatures of licence bodies come
-first. Patterns run on lower-case words separated by single spaces.
+Hand-written are FAMILIES (label, keyword, pattern of the name in normalised words,
+pattern of the versions), BODIES (wordings of the licences themselves) and JOINED
+(names that are written as one word with their version). From each family three
+or four rules are derived, in order of priority: a tag that declares it, a grant
+that names it, its name with a version, its bare name; a joined name gives a tag,
+a grant and a versioned name. Bodies come first. Patterns run on lower-case
+words separated by single spaces.
 """
 
 from __future__ import annotations
@@ -132,6 +134,61 @@ BODIES = [
     ("wtfpl", "want", "do what the fuck you want to public"),
 ]
 
+_LATER = "(?: or (?:any )?later(?: version)?| only)?"
+
+# label, keyword, pattern: the version is part of the word, "GPLv2.1" being gplv2 1
+JOINED = [
+    ("gpl", "gplv1", "gplv1(?: 0)?"),
+    ("gpl", "gplv2", "gplv2(?: 0)?"),
+    ("gpl", "gplv3", "gplv3(?: 0)?"),
+    ("gpl", "gpl2", "gpl2(?: 0)?"),
+    ("gpl", "gpl3", "gpl3(?: 0)?"),
+    ("lgpl", "lgplv2", "lgplv2(?: [01])?"),
+    ("lgpl", "lgplv3", "lgplv3(?: 0)?"),
+    ("lgpl", "lgpl2", "lgpl2(?: [01])?"),
+    ("lgpl", "lgpl3", "lgpl3(?: 0)?"),
+    ("lgpl", "lgpl21", "lgpl21"),
+    ("agpl", "agplv3", "agplv3(?: 0)?"),
+    ("agpl", "agpl3", "agpl3(?: 0)?"),
+    ("gfdl", "gfdlv1", "gfdlv1(?: [123])?"),
+    ("apache", "apache2", "apache2(?: 0)?(?: licen[sc]ed?)?"),
+    ("apache", "apachev2", "apachev2(?: 0)?(?: licen[sc]ed?)?"),
+    ("apache", "apache20", "apache20"),
+    ("apache", "asl2", "asl2(?: 0)?"),
+    ("apache", "alv2", "alv2"),
+    ("mpl", "mplv1", "mplv1(?: [01])?"),
+    ("mpl", "mplv2", "mplv2(?: 0)?"),
+    ("mpl", "mpl2", "mpl2(?: 0)?"),
+    ("mpl", "mpl11", "mpl11"),
+    ("epl", "eplv1", "eplv1(?: 0)?"),
+    ("epl", "eplv2", "eplv2(?: 0)?"),
+    ("epl", "epl2", "epl2(?: 0)?"),
+    ("cddl", "cddlv1", "cddlv1(?: [01])?"),
+    ("eupl", "euplv1", "euplv1(?: [012])?"),
+    ("bsd-2-clause", "bsd2", f"bsd2(?: clause)?(?: {_L})?"),
+    ("bsd-3-clause", "bsd3", f"bsd3(?: clause)?(?: {_L})?"),
+    ("bsd-4-clause", "bsd4", f"bsd4(?: clause)?(?: {_L})?"),
+    ("boost", "bsl1", "bsl1 0"),
+    ("artistic", "artistic2", "artistic2(?: 0)?"),
+    ("cc-by", "ccby", "ccby(?: [1-4](?: [05])?)?"),
+    ("cc-by", "by4", "cc by4(?: 0)?"),
+    ("cc-by", "by3", "cc by3(?: 0)?"),
+    ("cc-by-sa", "ccbysa", "ccbysa(?: [1-4](?: [05])?)?"),
+    ("cc-by-nc", "ccbync", "ccbync(?: [1-4](?: [05])?)?"),
+    ("cc-by-nd", "ccbynd", "ccbynd(?: [1-4](?: [05])?)?"),
+    ("cc-by-nc-sa", "ccbyncsa", "ccbyncsa(?: [1-4](?: [05])?)?"),
+    ("cc-by-nc-nd", "ccbyncnd", "ccbyncnd(?: [1-4](?: [05])?)?"),
+    ("cc-by-sa", "sa4", "cc by sa4(?: 0)?"),
+    ("cc-by-nc", "nc4", "cc by nc4(?: 0)?"),
+    ("odbl", "odblv1", "odblv1(?: 0)?"),
+    ("sspl", "ssplv1", "ssplv1(?: 0)?"),
+    ("ofl", "oflv1", "oflv1(?: [01])?"),
+    ("wtfpl", "wtfplv2", "wtfplv2"),
+    ("osl", "oslv3", "oslv3(?: 0)?"),
+    ("afl", "aflv3", "aflv3(?: 0)?"),
+    ("upl", "uplv1", "uplv1(?: 0)?"),
+]
+
 # weight of a detection by tier: body or tag, grant, versioned name, bare name
 WEIGHTS = [1.0, 0.9, 0.8, 0.6]
 
@@ -150,6 +207,10 @@ def rules() -> list[tuple[int, int, str, str, str]]:
         if version:
             out.append((2, label, kw, f"(?:{name}) (?:version |v ?)?{version}(?: or (?:any )?later(?: version)?| only)?"))
         out.append((3, label, kw, f"(?:{name})"))
+    for label, kw, name in JOINED:
+        out.append((0, label, kw, f"(?:{_TAG})(?:{name}){_LATER}"))
+        out.append((1, label, kw, f"{_GRANT}(?:gnu )?(?:{name}){_LATER}"))
+        out.append((2, label, kw, f"(?:gnu )?(?:{name}){_LATER}"))
     out.sort(key=lambda r: r[0])  # stable: order within a tier is as written
     return [(i, *r) for i, r in enumerate(out)]
 

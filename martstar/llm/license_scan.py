@@ -18,9 +18,10 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martstar.llm.common import ascii_lower, text_of
+from martstar.llm.common import ascii_lower, let, text_of
 from martstar.llm.license_rules import BASE, WEIGHTS, gate_words, rules
 
+FIRST, LAST = "\x01", "\x02"  # marks; no word holds them
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # the two characters whose Unicode lower case brings in an ASCII letter
 ODD_LOWER = ("K", "İ")
@@ -52,30 +53,24 @@ def _rule_table() -> Column:
 
 
 def _intervals(line: str) -> Column:
-    """Array of (start, minus_end, tier, i, label) of all matches, sorted."""
-    hits = F.filter(
-        F.transform(
-            F.filter(_rule_table(), lambda r: F.array_contains(F.col("_kw"), r["kw"])),
-            lambda r: F.struct(
-                r["i"].alias("i"), r["tier"].alias("tier"), r["label"].alias("label"),
-                F.regexp_extract_all(F.col(line), r["rx"], F.lit(0)).alias("m"),
-                F.split(F.col(line), r["rx"], -1).alias("p"))),
-        lambda h: F.size(h["m"]) > 0)
-
-    def spans(h: Column) -> Column:
-        start = F.struct(F.lit(-1).alias("at"), F.expr(
-            "cast(array() as array<struct<start:int,minus_end:int,tier:int,i:int,label:string>>)").alias("out"))
-
-        def step(acc: Column, k: Column) -> Column:
-            first = acc["at"] + _spaces(F.element_at(h["p"], k))
-            n = _spaces(F.element_at(h["m"], k))
-            return F.struct(
-                (first + n).alias("at"),
-                F.concat(acc["out"], F.array(F.struct(
-                    first.alias("start"), (-(first + n + 1)).alias("minus_end"),
-                    h["tier"].alias("tier"), h["i"].alias("i"), h["label"].alias("label")))).alias("out"))
-
-        return F.aggregate(F.sequence(F.lit(1), F.size(h["m"])), start, step, lambda acc: acc["out"])
+    """Array of (start, minus_end, tier, i, label) of all matches, sorted.
+
+    A match begins and ends with whole words, so marks on its first and last word tell
+    its places once the line is cut into words: no sum runs along the matches.
+    """
+    hits = F.filter(_rule_table(), lambda r: F.array_contains(F.col("_kw"), r["kw"]) & F.regexp_like(F.col(line), r["rx"]))
+
+    def spans(r: Column) -> Column:
+        marked = F.regexp_replace(F.col(line), r["rx"], F.lit(f"{FIRST}$0{LAST}"))
+
+        def places(ws: Column) -> Column:
+            def of(found) -> Column:
+                return F.filter(F.transform(ws, lambda w, i: F.when(found(w), i)), lambda i: i.isNotNull())
+            ends = F.arrays_zip(of(lambda w: F.startswith(w, F.lit(FIRST))).alias("a"), of(lambda w: F.endswith(w, F.lit(LAST))).alias("z"))
+            return F.transform(ends, lambda x: F.struct(
+                x["a"].alias("start"), (-(x["z"] + 1)).alias("minus_end"), r["tier"].alias("tier"), r["i"].alias("i"), r["label"].alias("label")))
+
+        return let(F.split(F.trim(marked), " "), places)
 
     return F.array_sort(F.flatten(F.transform(hits, spans)))
 

@@ -2,7 +2,7 @@
 
 import re
 
-from martstar.llm.license_rules import BASE, BODIES, FAMILIES, rules
+from martstar.llm.license_rules import BASE, BODIES, FAMILIES, JOINED, WEIGHTS, rules
 from martstar.llm.license_scan import license_scan
 from tests.llm.helpers import SCHEMA, awkward, table
 
@@ -87,5 +87,57 @@ def test_long_text_of_licences(spark):
     assert (r.n_base, r.first_word, r.last_word, r.labels) == (4000, 0, 9998, "apache,mit")
 
 
+def brute_rules(t):
+    """(labels, score, surviving matches) by looking at every pair of matches."""
+    w = words(t)
+    line, found = f" {' '.join(w)} ", []
+    for i, tier, label, kw, rx in rules():
+        if kw in w:
+            for m in re.finditer(f"(?<= ){rx}(?= )", line):
+                at = line[:m.start()].count(" ") - 1
+                found.append((at, at + m[0].count(" ") + 1, tier, i, label))
+    stay = [a for a in found if not any(
+        b[0] <= a[0] and a[1] <= b[1] and b[2] <= a[2] and b != a and (b[:2] != a[:2] or (b[2], b[3]) < (a[2], a[3])) for b in found)]
+    base = set(brute(t)[4].split(",")) - {""}
+    labels = base | {a[4] for a in stay}
+    score = WEIGHTS[min(a[2] for a in stay)] if stay else WEIGHTS[-1] if base else 0.0
+    return ",".join(sorted(labels)), score, len(stay)
+
+
+def test_labels_and_scores_are_brute_force(spark):
+    import random
+
+    r = random.Random(8)
+    bits = ["mit license", "Apache-2.0", "GPLv3", "or later", "licensed under the", "BSD 3-Clause", "version 2", "lesser general public license",
+            "cc by sa 4.0", "SPDX-License-Identifier:", "and", "Mozilla Public License", "LGPLv2.1", "all rights reserved", "apache2"]
+    texts = TEXTS + [body for _, _, body in BODIES] + [" ".join(r.choice(bits) for _ in range(r.randint(1, 8))) for _ in range(120)]
+    got = scan(spark, texts)
+    for i, t in enumerate(texts):
+        assert (got[i].labels, got[i].score, got[i].n_found) == brute_rules(t), t
+
+
+def test_joined_spellings(spark):
+    cases = {"GPLv3": "gpl", "Apache2 LGPLv2.1": "apache,lgpl", "AGPLv3 only": "agpl", "CC-BY4": "cc-by", "licensed under GPLv2 or later": "gpl",
+             "MPLv2.0, BSD3": "bsd-3-clause,mpl", "gplv33": "", "ApacheV2": "apache"}
+    got = scan(spark, list(cases))
+    assert {t: got[i].labels for i, t in enumerate(cases)} == cases
+    assert got[4].score == WEIGHTS[1] and got[0].score == WEIGHTS[2]
+    for _, kw, rx in JOINED:
+        assert kw in rx and re.fullmatch("[a-z0-9]+", kw)
+
+
+def test_many_matches_take_linear_time(spark):
+    import time
+
+    times = []
+    for n in (10_000, 40_000):
+        d = table(spark, [(1, "mit license, " * n)])
+        t0 = time.perf_counter()
+        r = license_scan(d).first()
+        times.append(time.perf_counter() - t0)
+        assert (r.n_base, r.last_word, r.n_found) == (n, 2 * n - 2, n)
+    assert times[1] < 20
+
+
 def test_empty(spark):
     assert license_scan(spark.createDataFrame([], SCHEMA)).count() == 0
