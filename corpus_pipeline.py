@@ -16,6 +16,7 @@ from martstar.llm.packing import pack
 from martstar.llm.simhash_dedup import drop_near_copies
 from martstar.llm.toxicity import drop_toxic
 from martstar.session import scratch_path
+from martstar.tables import delete_path
 
 
 def toxicity(spark, docs, sf_dir):
@@ -59,11 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """Apply all stages to ``documents``."""
+    """Apply all stages to ``documents``; a stage's folder goes once the next one is written."""
     base = scratch_path(spark, f"corpus-{uuid.uuid4().hex}")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         path = f"{base}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

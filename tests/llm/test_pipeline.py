@@ -58,7 +58,7 @@ def test_stages_take_an_empty_table(spark):
 
 def test_registry(spark):
     queries, sql = E.queries(), E.oracle_sql()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in queries) == 1
     assert "pipeline" in queries and set(SQL) <= set(sql) and set(QUERIES) <= set(queries)
 
