@@ -187,19 +187,19 @@ def _period(col: str, start: _dt.date, end: _dt.date) -> Column:
 
 def backfill_load(spark: SparkSession, target: DataFrame, staging: DataFrame, keys: Sequence[str],
                   set_cols: Sequence[str], start: _dt.date, end: _dt.date, ts: _dt.datetime,
-                  table_name: str, what: str):
+                  table_name: str, what: str, seen: Optional[Observation] = None):
     """Upsert the staging rows of the period; log row counts the whole staging table."""
     in_period = staging.where(_period("date", start, end))
     if "year" in target.columns and "year" not in in_period.columns:
         in_period = in_period.withColumn("year", F.year("date"))
-    state, counts = merge(target, in_period.select(*target.columns), keys, set_cols)
+    state, counts = merge(target, in_period.select(*target.columns), keys, set_cols, seen)
     log = etl_log(spark, "BACKFILL", table_name, ts, staging.agg(F.count(F.lit(1))), "COMPLETED",
                   f"Historical {what} backfill for {start.isoformat()} to {end.isoformat()}")
     log = log.join(in_period.agg(F.count(F.lit(1)).alias("records_loaded")), how="cross")
     return state, counts, log
 
 
-def backfill_load_prices(spark, stock_prices: DataFrame, staging: DataFrame, start, end, ts):
+def backfill_load_prices(spark, stock_prices: DataFrame, staging: DataFrame, start, end, ts, seen=None):
     """Staging columns: symbol, date, open/high/low/close_price, volume, adjusted_close,
     backfill_timestamp."""
     st = staging.select("symbol", "date", "open_price", "high_price", "low_price", "close_price",
@@ -208,16 +208,16 @@ def backfill_load_prices(spark, stock_prices: DataFrame, staging: DataFrame, sta
                         F.col("backfill_timestamp").alias("updated_at"))
     return backfill_load(spark, stock_prices, st, ["symbol", "date"],
                          ["open_price", "high_price", "low_price", "close_price", "volume",
-                          "adjusted_close", "updated_at"], start, end, ts, "stock_prices", "stock data")
+                          "adjusted_close", "updated_at"], start, end, ts, "stock_prices", "stock data", seen)
 
 
-def backfill_load_rates(spark, exchange_rates: DataFrame, staging: DataFrame, start, end, ts):
+def backfill_load_rates(spark, exchange_rates: DataFrame, staging: DataFrame, start, end, ts, seen=None):
     """Staging columns: from_currency, to_currency, date, exchange_rate, backfill_timestamp."""
     st = staging.select("from_currency", "to_currency", "date", F.col("exchange_rate").alias("rate"),
                         F.col("backfill_timestamp").alias("created_at"),
                         F.col("backfill_timestamp").alias("updated_at"))
     return backfill_load(spark, exchange_rates, st, ["from_currency", "to_currency", "date"],
-                         ["rate", "updated_at"], start, end, ts, "exchange_rates", "exchange rate")
+                         ["rate", "updated_at"], start, end, ts, "exchange_rates", "exchange rate", seen)
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column], start: _dt.date,

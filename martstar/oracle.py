@@ -585,6 +585,8 @@ SELECT dd.date_value AS "Date", CAST(f.opening_price AS DOUBLE) AS "Open", CAST(
 FROM fact_stock_prices f JOIN dim_stocks ds ON f.stock_id = ds.stock_id JOIN dim_date dd ON f.date_id = dd.date_id
 """)
 
+SQL["standard_columns"] = SQL["payload_daily"].replace('AS "Symbol"', 'AS symbol').replace('f.volume AS "Volume"', 'CAST(f.volume AS DOUBLE) AS "Volume"')
+
 SQL["payload_crypto"] = with_binding("""
 SELECT CAST(dd.date_value AS TIMESTAMP) AS "DateTime", CAST(f.opening_price AS DOUBLE) AS "Open",
        CAST(f.high_price AS DOUBLE) AS "High", CAST(f.low_price AS DOUBLE) AS "Low",
@@ -1144,6 +1146,7 @@ SQL["landing_scan"] = SQL["valid_stock"]
 
 # -- jobs: the state that is read back from the written warehouse -------------
 SQL["job_load"] = SQL["upsert_prices"]
+SQL["job_backfill"] = SQL["backfill_load_prices"]
 SQL["stream_load"] = SQL["upsert_prices"]
 SQL["job_append"] = SQL["insert_new_prices"]
 SQL["job_retention"] = SQL["calendar_retention"]

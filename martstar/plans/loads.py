@@ -160,6 +160,20 @@ def append_absent(c: Change, rows: DataFrame, name: str = "prices") -> int:
     return seen.get["n"]
 
 
+def backfill(c: Change, prices: DataFrame, rates: DataFrame, start: _dt.date, end: _dt.date, as_of_ts: _dt.datetime) -> dict[str, int]:
+    """Staging rows of the period into the record tables; the years of the period are
+    read and written, and one batch of the log has a row for each table."""
+    years, out, logs = range(start.year, end.year + 1), {}, []
+    for name, staging, into in (("stock_prices", prices, MG.backfill_load_prices), ("exchange_rates", rates, MG.backfill_load_rates)):
+        seen = Observation()
+        state, _, row = into(c.spark, _of_years(c, name, years), staging, start, end, as_of_ts, seen)
+        c.put_partitions(name, state, years)
+        out |= {f"{name}_{k}": v for k, v in seen.get.items()}
+        logs.append(row.drop("records_loaded"))
+    log(c, logs[0].unionByName(logs[1]))
+    return out
+
+
 def dedupe(c: Change, start: _dt.date, end: _dt.date, as_of_ts: _dt.datetime) -> int:
     """B5 on both record tables in the years of the period, with a log row; rows removed."""
     years, gone = range(start.year, end.year + 1), 0

@@ -762,6 +762,14 @@ def _daily_frames(spark, sf_dir):
     return _s3(spark, sf_dir)  # the flattened daily payloads
 
 
+@register("standard_columns")
+def _s11(spark, sf_dir):
+    """The bars under the vendor's column names, renamed."""
+    b = _bars_named(tables(spark, sf_dir))
+    vendor = b.select("symbol", F.col("date_value").alias("date"), *[F.col(c).cast("double").alias(k) for k, c in _PRICE_FIELDS.items()])
+    return PL.standardize_columns(vendor)
+
+
 @register("check_frames")
 def _p2(spark, sf_dir):
     """The flattened payloads, a symbol without any, and a frame that lacks a column."""
@@ -1042,6 +1050,16 @@ def _e8b(spark, sf_dir):
     return w.open().dim_date.select(*DIM_COLS)
 
 
+@register("job_backfill")
+def _b23(spark, sf_dir):
+    """A month's staging rows; the year of the month is written, the record table read back."""
+    t = tables(spark, sf_dir)
+    w = _fresh(spark, "backfill", t.with_(stock_prices=_latest_stock_prices(t), exchange_rates=_latest_exchange_rates(t)))
+    with w.change() as c:
+        LO.backfill(c, _stock_staging(t), _rate_staging(t), *PERIOD, AS_OF_TS)
+    return edge(w.open().stock_prices.drop("year"))
+
+
 @register("job_dedupe")
 def _b5d(spark, sf_dir):
     w = _fresh(spark, "dedupe", tables(spark, sf_dir))

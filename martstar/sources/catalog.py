@@ -258,15 +258,15 @@ class Change:
             self.drop_partitions("year_ends", gone)
 
     def append(self, name: str, df: DataFrame) -> None:
-        """Rows of one more batch of a table that grows by batches."""
+        """Rows of one more batch of a table that grows by batches; one batch a version."""
         old = self.new.get(name)
-        df = with_partition(name, df, self.version)
         if old is None:
-            self.put(name, df.drop(BATCH))
+            self.put(name, df)
             return
         columns, home, parts = old
-        order = self.spark.table(f"{self.w.database(self.base)}.{name}").columns
-        path = self._write(name, df.select(*order))
+        if str(self.version) in parts:
+            raise ValueError(f"{name} has its batch of version {self.version}")
+        path = self._write(name, with_partition(name, df, self.version).select(*re.findall("`([^`]+)`", columns)))
         self.new[name] = (columns, home, {**parts, **written_folders(self.spark, name, path)})
 
     def __exit__(self, kind, error, trace) -> None:
