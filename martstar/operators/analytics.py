@@ -22,7 +22,7 @@ from .common import (Symbols, bounded, converted, day_id, latest_rate_date_id, l
 
 
 def _with_pair(t: Tables, rows: DataFrame, pair, how: str = "inner") -> DataFrame:
-    return rows.join(pair_rates(t, pair), "date_id", how)
+    return rows.join(bounded(pair_rates(t, pair)), "date_id", how)
 
 
 # -- Q1 / Q2 ---------------------------------------------------------------

@@ -276,6 +276,8 @@ class Change:
         for name, (columns, path, parts) in self.new.items():
             define(self.spark, self.db, name, columns, path, self.buckets or LEAST_BUCKETS)
             add_partitions(self.spark, self.db, name, parts)
+            if parts:  # sizes by which the planner chooses joins; only file lists are read
+                self.spark.sql(f"ANALYZE TABLE {self.db}.{name} COMPUTE STATISTICS NOSCAN")
         if self.w.version() != self.base:
             self.spark.sql(f"DROP DATABASE {self.db} CASCADE")
             raise RuntimeError(f"{self.w.name} was published by another writer")

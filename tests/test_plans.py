@@ -23,13 +23,28 @@ def test_top_k_before_rank(spark):
     assert p.index("Window [rank(") < p.index("TakeOrderedAndProject")
 
 
-def test_rolling_metrics_trim_before_shuffle(spark):
+def test_rolling_metrics_trim_before_shuffle(spark, monkeypatch):
     t = registry.tables(spark, SF_SMALL)
+    monkeypatch.setattr(A, "staged", lambda df: df)  # one plan to look at
     p = _plan(A.performance_details(t, binding.TRACKED))
     assert "WindowGroupLimit" in p
     assert "rank(" not in p  # all-time rank is computed by counting, not by a global window
 
 
+def test_rolling_metrics_read_the_last_years(spark):
+    from martstar.operators.common import star
+
+    t = registry.tables(spark, SF_SMALL)
+    rows = lambda tables, columns: star(tables, columns=columns)
+    last = A._last_rows(t, rows, 3).prices
+    years = {f.split("year=")[1][:4] for f in last.inputFiles()}
+    assert max(years) == str(t.last_year) and len(years) < 7
+    held = rows(t.with_(prices=last), []).groupBy("symbol").count().where("count < 3")
+    # whoever has fewer rows there trades no more in the last year
+    traded = star(t.with_(prices=t.prices_where(low=t.last_year * 10000)), columns=[]).select("symbol").distinct()
+    assert held.join(traded, "symbol").count() == 0
+
+
 def test_fact_scan_prunes_partitions(spark):
     df = registry.QUERIES["fact_scan"](spark, SF_SMALL)
     scan = [line for line in _plan(df).split("\n") if "FileScan" in line][0]
