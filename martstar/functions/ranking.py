@@ -1,18 +1,19 @@
 """RANK() within groups that grow with the data (all stocks of a day).
 
-A window by group sorts a whole group in one task. Here a group is cut into
-ranges of its value first:
+A window by group sorts a whole group in one task. That is done only while a count
+says that no group has more than ``whole`` rows; beyond, groups are cut into ranges
+of their value first:
 
-1. ``parts`` cut points per group from a mergeable quantile sketch; only sketches
-   are shuffled;
+1. ``parts`` values of each group, drawn by a hash (the least of each slot, combined
+   before the shuffle), are its cut points;
 2. every row falls into an open range between two cuts or on a cut. A value that
-   many rows hold becomes a cut, so ranges stay near 1/parts of the group;
+   many rows hold is drawn as a cut, so ranges stay near 1/parts of the group;
 3. counts per (group, range), again combined before the shuffle, give the number
    of rows in the ranges before;
 4. one shuffle by (group, range) ranks the rows inside. Rows on a cut are ties of
    each other, whose rank there is 1, so they are spread over many tasks.
 
-Equal values are always in one range, so ties are exact whatever the sketch says.
+Equal values are always in one range, so ranks are exact whatever was drawn.
 """
 
 from __future__ import annotations
@@ -22,24 +23,29 @@ from typing import Callable, Optional, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTS = 32
+PARTS = 16
+WHOLE = 1_000_000
 
 
 def grouped_rank(rows: DataFrame, group: str, value: str, name: str, spread: Sequence[str],
                  parts: int = PARTS, few: Callable[[DataFrame], DataFrame] = lambda df: df,
-                 counted: Optional[DataFrame] = None) -> DataFrame:
+                 counted: Optional[DataFrame] = None, whole: int = WHOLE) -> DataFrame:
     """``rows`` with ``name`` = RANK() OVER (PARTITION BY group ORDER BY value DESC NULLS FIRST).
 
     ``spread``: columns whose hash deals out ties. ``few``: what to do with tables
     of one row per group before a join, a broadcast hint where groups are bounded.
-    ``counted``: the same groups and values from a shorter plan, for the counts.
+    ``counted``: the same rows from a shorter plan, for cuts and counts. ``whole``: rows
+    that one task may sort; both ways give the same ranks.
     """
     v = F.col(value)
-    counted = (rows if counted is None else counted).select(group, value)
-    quantiles = [i / parts for i in range(1, parts)]
-    cuts = (counted.where(v.isNotNull()).groupBy(group)
-            .agg(F.array_distinct(F.percentile_approx(value, quantiles, 20 * parts)).alias("_cuts"))
-            .withColumnRenamed(group, "_group"))
+    counted = (rows if counted is None else counted).select(group, value, *spread)
+    most = counted.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= whole:
+        return rows.withColumn(name, F.rank().over(Window.partitionBy(group).orderBy(v.desc_nulls_first())))
+    drawn = (counted.where(v.isNotNull())
+             .groupBy(group, F.pmod(F.xxhash64(F.lit("slot"), *spread), F.lit(parts)).alias("_slot"))
+             .agg(F.min_by(value, F.xxhash64(*spread)).alias("_cut")))
+    cuts = drawn.groupBy(group).agg(F.collect_set("_cut").alias("_cuts")).withColumnRenamed(group, "_group")
     same = F.col(group).eqNullSafe(F.col("_group"))
 
     def placed(df: DataFrame) -> DataFrame:

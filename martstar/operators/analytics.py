@@ -89,15 +89,18 @@ def rank_desc_nulls_first(history: DataFrame, targets: DataFrame, value: str,
 
 def _last_rows(t: Tables, history, n: int) -> Tables:
     """The warehouse from the first of the last years in which every stock of ``history``
-    that trades in the last one has ``n`` rows: years are added backwards, one count each."""
+    that trades in the last one has ``n`` rows. The last two years are looked at, then
+    twice as many as before, one count each."""
     if t.prices_by_year is None or t.last_year is None:
         return t
-    first = t.prices_by_year.agg(F.min("year")).first()[0]
-    for year in range(t.last_year, first, -1):
-        counts = history(t.with_(prices=t.prices_where(low=year * 10000)), []).groupBy("symbol").agg(
+    span = 2
+    while t.last_year - span + 1 > t.first_year:
+        low = (t.last_year - span + 1) * 10000
+        counts = history(t.with_(prices=t.prices_where(low=low)), []).groupBy("symbol").agg(
             F.count(F.lit(1)).alias("n"), F.max("date_id").alias("last"))
         if counts.where((F.col("last") >= t.last_year * 10000) & (F.col("n") < n)).isEmpty():
-            return t.with_(prices=t.prices_where(low=year * 10000))
+            return t.with_(prices=t.prices_where(low=low))
+        span *= 2
     return t
 
 

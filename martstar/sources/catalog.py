@@ -156,7 +156,7 @@ class Warehouse:
             df, part = self.spark.table(full), layout(name).partition
             if part == FACT_PARTITION and name == "prices":
                 years = [int(v) for v in self.folders(n, name)]
-                got["prices_by_year"], got["last_year"] = df, max(years, default=None)
+                got["prices_by_year"], got["last_year"], got["first_year"] = df, max(years, default=None), min(years, default=None)
             # the record tables show their year, by which periods are pruned
             got[name] = df if part is None or name in RECORD_TABLES else df.drop(part)
         return Tables(**got)

@@ -33,10 +33,11 @@ class Tables:
     # of a written warehouse: the price fact with its year partition, and its last year
     prices_by_year: Optional[DataFrame] = None
     last_year: Optional[int] = None
+    first_year: Optional[int] = None
 
     def with_(self, **kw) -> "Tables":
         if "prices" in kw:  # another fact is not the one on disk
-            kw = {"prices_by_year": None, "last_year": None, "year_ends": None, **kw}
+            kw = {"prices_by_year": None, "last_year": None, "first_year": None, "year_ends": None, **kw}
         return replace(self, **kw)
 
     def prices_where(self, low=None, high=None) -> DataFrame:
@@ -179,6 +180,7 @@ def read_warehouse(spark: SparkSession, path: str) -> Tables:
                 years = [int(n.split("=")[1]) for n in list_names(spark, p) if n.startswith(f"{FACT_PARTITION}=")
                          and n.split("=")[1].isdigit()]
                 got["prices_by_year"], got["last_year"] = df, max(years, default=None)
+                got["first_year"] = min(years, default=None)
             df = df.drop(FACT_PARTITION)
         got[name] = df
     return Tables(**got)
