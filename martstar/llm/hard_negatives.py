@@ -39,6 +39,7 @@ SCALE = 256
 TOP = 5                       # positives of an anchor, negatives of a positive
 LOW, HIGH = 80, 100           # window of the negatives, in hundredths of the positive's score
 BLOCK_ROWS = 8192
+BLOCK_NUMBERS = 1 << 20       # components of a block, so that wide vectors make smaller blocks
 LEAST_BLOCKS = 32
 BATCH = 256                   # queries searched together
 CHUNK = 16                    # dimensions added between two prunings
@@ -308,7 +309,8 @@ def positives_and_negatives(embeddings: DataFrame, label: Column | None = None,
     if label is not None:
         rows = rows.withColumn("label", label)
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width")).first()
-    blocks, width = max(least_blocks, math.ceil(size["n"] / block_rows)), max(1, size["width"] or 0)
+    width = max(1, size["width"] or 0)
+    blocks = max(least_blocks, math.ceil(size["n"] / max(1, min(block_rows, BLOCK_NUMBERS // width))))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("number"), F.lit(blocks)))
     anchors = rows.where(_anchors(every)).select("block", "number", "vec_id", "label", "vec")
     everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
