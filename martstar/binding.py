@@ -8,12 +8,12 @@ exchange rate of a day is derived from the orders placed ``RATE_LAG`` days
 before, so rates reach to the last trading day and the first days have none.
 All rows of the tables are read.
 
-Scale notes: ``lineitem`` is the only large input. The tick -> bar step is a
-``groupBy`` with partial (map-side) aggregation, so a hot symbol or day is
-combined before the shuffle. The ``part`` side of the join is not broadcast
-by hint: it grows with the data, so the planner/AQE pick a broadcast only
-when the measured size is under the threshold and a (skew-split) sort-merge
-join otherwise. Bars are bounded by symbols x trading days.
+Scale notes: ``lineitem`` is the only large input. A build deals its rows out by
+stock once for each of the two tables of their size, and all that follows stays
+where the rows are: the join with ``part`` (hashed, as a task holds few parts), the
+bars, the returns and the write. A stock's day has hardly more than one trade, so
+combining before the shuffle would only fill memory and spill. Bars are bounded by
+symbols x trading days.
 
 The same derivation exists as SQL text (``BINDING_SQL``) for the DuckDB
 oracle.
@@ -22,13 +22,14 @@ oracle.
 from __future__ import annotations
 
 import datetime as _dt
+from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import schemas as S
 from .functions.calendar import calendar_columns, date_id_of
-from .tables import Tables
+from .tables import Tables, buckets_for
 
 # Fixed values of the test binding (FIXTURES.md section 1).
 AS_OF = _dt.date(2001, 11, 4)  # the last ship date
@@ -45,19 +46,31 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trade per line item: symbol, d, price, qty and the ordering key."""
+def ticks(spark: SparkSession, sf_dir: str, buckets: Optional[int] = None) -> DataFrame:
+    """One trade per line item: stock, d, price, qty and the ordering key.
+
+    With ``buckets`` the rows are dealt out by stock as the buckets of a table are, and
+    the parts come to them.
+    """
+    def keyed(df: DataFrame, partkey: str) -> DataFrame:
+        return df.withColumn("stock_id", stock_id_of(symbol_of(F.col(partkey))))
+
     li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate")
+        "l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("qty"),
+        "l_discount", F.to_date("l_shipdate").alias("d"))
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    on = li["l_partkey"] == part["p_partkey"]
+    if buckets:
+        li = keyed(li, "l_partkey").where(F.col("l_partkey").isNotNull()).repartition(buckets, "stock_id")
+        part = keyed(part, "p_partkey").repartition(buckets, "stock_id").hint("shuffle_hash")
+        on = (li["stock_id"] == part["stock_id"]) & (li["l_partkey"] == part["p_partkey"])
     disc = F.col("l_discount").cast("decimal(5,2)")
     price = (F.col("p_retailprice").cast("decimal(10,2)")
              * (F.lit(1).cast("decimal(5,2)") - disc)).cast(S.PRICE)
-    return (li.join(part, li.l_partkey == part.p_partkey)
-            .select(symbol_of(F.col("p_partkey")).alias("symbol"),
-                    F.to_date("l_shipdate").alias("d"),
-                    price.alias("price"),
-                    F.col("l_quantity").cast("bigint").alias("qty"),
+    symbol = symbol_of(F.col("p_partkey"))
+    return (li.join(part, on)
+            .select((li["stock_id"] if buckets else stock_id_of(symbol)).alias("stock_id"), symbol.alias("symbol"),
+                    "d", price.alias("price"), "qty",
                     # order of trades within a day: (order, line, part, discount)
                     # packed into one 38-digit decimal (room for order keys < 1e13
                     # and part keys < 1e12); a fixed-width key keeps the bar
@@ -67,6 +80,11 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(F.col("l_discount") * 100).cast("bigint").alias("disc")))
 
 
+def buckets_of(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets that hold the trades of the input, counted in the files' footers."""
+    return buckets_for(_read(spark, sf_dir, "lineitem").count())
+
+
 def symbol_of(partkey) -> "F.Column":
     return F.concat(F.lit("Stock#"), (F.floor(partkey / PARTS) + 1).cast("string"))
 
@@ -78,10 +96,21 @@ def trade_seq() -> "F.Column":
              + F.col("l_partkey")) * 100 + disc).cast(d38)
 
 
-def bars(tk: DataFrame) -> DataFrame:
-    return (tk.groupBy("symbol", "d")
-            .agg(F.min_by("price", "seq").alias("o"), F.max("price").alias("h"),
-                 F.min("price").alias("lo"), F.max_by("price", "seq").alias("c"),
+def bars(tk: DataFrame, dealt: bool = False) -> DataFrame:
+    """Daily bars of trades, combined before the shuffle.
+
+    Trades that lie ``dealt`` out by stock need no shuffle: they are aggregated in the
+    order of one sort, which the returns use too, so a task's memory holds trades only
+    and no map of bars that spills. The order of a day's trades is ``seq`` as longs.
+    """
+    first, last = F.min_by("price", "seq"), F.max_by("price", "seq")
+    if dealt:
+        trade = F.when(F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull() & F.col("disc").isNotNull(), F.struct(
+            F.col("l_orderkey") * 10 + F.col("l_linenumber"), F.col("l_partkey") * 100 + F.col("disc"), F.col("price").alias("price")))
+        first, last = F.min(trade)["price"], F.max(trade)["price"]
+    return (tk.groupBy("stock_id", "d")
+            .agg(first.alias("o"), F.max("price").alias("h"),
+                 F.min("price").alias("lo"), last.alias("c"),
                  F.sum("qty").cast("bigint").alias("v")))
 
 
@@ -89,29 +118,29 @@ def stock_id_of(symbol) -> "F.Column":
     return F.substring(symbol, 7, 100).cast("int")
 
 
-def build(spark: SparkSession, sf_dir: str,
-          checkpoint_bars: bool = False) -> Tables:
+def calendar_of(spark: SparkSession, sf_dir: str, days: DataFrame) -> DataFrame:
+    """``dim_date``: the trading days (column ``d``) and the days that have a rate."""
+    dates = days.union(_rate_orders(spark, sf_dir).select("d")).distinct()
+    return dates.select(*calendar_columns(F.col("d"), dow="sunday0"),
+                        F.lit(None).cast("timestamp").alias("created_at"))
+
+
+def _rate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_add(F.to_date("o_orderdate"), RATE_LAG).alias("d"))
+
+
+def build(spark: SparkSession, sf_dir: str, buckets: Optional[int] = None) -> Tables:
     """The whole warehouse as lazy DataFrames derived from ``sf_dir``.
 
-    ``checkpoint_bars`` writes the daily bars once to the shared checkpoint
-    folder (``DataFrame.checkpoint``) when several tables are written from
-    them, so the trade scan and bar aggregation run once per build and a
-    lost executor recomputes from the checkpoint, not from ``lineitem``.
+    With ``buckets`` the rows of ``prices`` and ``stock_prices`` come dealt out by stock as
+    the buckets of ``prices`` are, so that their writes shuffle nothing again.
     """
-    tk = ticks(spark, sf_dir)
-    br = bars(tk)
-    if checkpoint_bars:
-        from .session import checkpoint_dir
-
-        checkpoint_dir(spark)
-        br = br.checkpoint(eager=True)
-    orders = _read(spark, sf_dir, "orders").select(
-        "o_orderkey", F.date_add(F.to_date("o_orderdate"), RATE_LAG).alias("d"))
+    tk = ticks(spark, sf_dir, buckets)
+    br = bars(tk, dealt=bool(buckets))
+    orders = _rate_orders(spark, sf_dir)
     part = _read(spark, sf_dir, "part").select(symbol_of(F.col("p_partkey")).alias("symbol"))
-
-    dates = br.select("d").union(orders.select("d")).distinct()
-    dim_date = dates.select(*calendar_columns(F.col("d"), dow="sunday0"),
-                            F.lit(None).cast("timestamp").alias("created_at"))
+    dim_date = calendar_of(spark, sf_dir, br.select("d"))
 
     dim_stocks = (part.distinct().select(
         stock_id_of(F.col("symbol")).alias("stock_id"), "symbol",
@@ -134,12 +163,11 @@ def build(spark: SparkSession, sf_dir: str,
                      F.lit(None).cast("timestamp").alias("created_at"),
                      F.lit(None).cast("timestamp").alias("updated_at")))
 
-    w = Window.partitionBy("symbol").orderBy("d")
+    w = Window.partitionBy("stock_id").orderBy("d")
     pc = F.lag("c").over(w).cast("double")
     ret = F.round(F.try_divide(F.col("c").cast("double") - pc, pc) * 100, 6).try_cast(S.RETURN_PCT)
     prices = br.select(
-        stock_id_of(F.col("symbol")).alias("stock_id"),
-        date_id_of(F.col("d")).alias("date_id"),
+        "stock_id", date_id_of(F.col("d")).alias("date_id"),
         F.col("o").alias("opening_price"), F.col("h").alias("high_price"),
         F.col("lo").alias("low_price"), F.col("c").alias("closing_price"),
         F.col("v").alias("volume"), F.col("c").alias("adjusted_close"),

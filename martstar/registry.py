@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from . import binding
 from .binding import AS_OF, TRACKED
+from .functions.calendar import date_of_id
 from .operators import analytics as A
-from .session import scratch_path
+from .session import build_session, scratch_path
 from .sources.catalog import Warehouse, refresh_statistics
 from .tables import Tables, listing, path_exists, rename_path
 
@@ -76,7 +77,11 @@ def warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, Tables]:
     if key not in _OPENED:
         name = f"market_{key[2]}_{uuid.uuid4().hex[:8]}"
         w = Warehouse(spark, name, scratch_path(spark, name))
-        w.create(binding.build(spark, sf_dir, checkpoint_bars=True))
+        n = binding.buckets_of(spark, sf_dir)
+        own = build_session(spark, n)
+        Warehouse(own, name, w.root).create(binding.build(own, sf_dir, n), n, {
+            "dim_date": lambda p: binding.calendar_of(own, sf_dir, p.select(date_of_id(F.col("date_id")).alias("d")))},
+            dealt=("stock_prices",))
         _OPENED[key] = (w, w.open())
     return _OPENED[key]
 
@@ -470,7 +475,6 @@ def _s10(spark, sf_dir):
 
 # -- dimensions, keyed writes, backfill ------------------------------------
 
-from .functions.calendar import date_of_id  # noqa: E402
 from .operators import backfill as B  # noqa: E402
 from .operators import dims as DM  # noqa: E402
 from .operators import merge as MG  # noqa: E402

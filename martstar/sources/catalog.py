@@ -19,20 +19,17 @@ batch of every feed that the version holds, so a replayed batch is recognised.
 from __future__ import annotations
 
 import json
-import math
 import re
 import uuid
 from dataclasses import dataclass
-from typing import Iterable, Optional
+from typing import Callable, Iterable, Mapping, Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..tables import FACT_PARTITION, RECORD_TABLES, TABLE_NAMES, Tables, list_names
+from ..tables import FACT_PARTITION, LEAST_BUCKETS, RECORD_TABLES, TABLE_NAMES, Tables, buckets_for, list_names
 
 BATCH = "batch"  # partition of the tables that grow by appended batches
-BUCKET_ROWS = 2_000_000
-LEAST_BUCKETS = 8
 
 
 @dataclass(frozen=True)
@@ -68,8 +65,11 @@ def with_partition(name: str, df: DataFrame, batch: int = 0) -> DataFrame:
     return df.withColumn(part, year)
 
 
-def write_files(spark: SparkSession, name: str, df: DataFrame, path: str, buckets: int) -> None:
-    """Write rows of table ``name``, its partition column included, to a new folder."""
+def write_files(spark: SparkSession, name: str, df: DataFrame, path: str, buckets: int, dealt: bool = False) -> None:
+    """Write rows of table ``name``, its partition column included, to a new folder.
+
+    Rows that lie ``dealt`` out evenly over tasks stay there: a task writes a file per year.
+    """
     lay = layout(name)
     if lay.bucket:
         # one task per bucket, as the writer hashes alike: a bucket has a file per year
@@ -80,7 +80,8 @@ def write_files(spark: SparkSession, name: str, df: DataFrame, path: str, bucket
         spark.sql(f"DROP TABLE {holder}")  # an external table: its files stay
     elif lay.partition == FACT_PARTITION:
         # AQE sizes and splits the rebalanced partitions, however many rows a year holds
-        (df.hint("rebalance", lay.partition).sortWithinPartitions(lay.partition, lay.sort)
+        rows = df if dealt else df.hint("rebalance", lay.partition)
+        (rows.sortWithinPartitions(lay.partition, lay.sort)
          .write.option("maxRecordsPerFile", 5_000_000).partitionBy(lay.partition).parquet(path))
     elif lay.partition:
         df.write.partitionBy(lay.partition).parquet(path)
@@ -171,15 +172,20 @@ class Warehouse:
             out[value] = _location(info)
         return out
 
-    def create(self, t: Tables, buckets: Optional[int] = None) -> int:
-        """Publish all tables of ``t`` as the first version."""
+    def create(self, t: Tables, buckets: Optional[int] = None,
+               derived: Optional[Mapping[str, Callable[[DataFrame], DataFrame]]] = None, dealt: Iterable[str] = ()) -> int:
+        """Publish all tables of ``t`` as the first version; the ``derived`` ones are made from
+        the prices as they were written, so that the plan of the prices runs once. The rows of
+        the tables ``dealt`` lie evenly over tasks."""
         if buckets is None:
-            buckets = max(LEAST_BUCKETS, math.ceil(t.prices.count() / BUCKET_ROWS))
+            buckets = buckets_for(t.prices.count())
         with self.change(buckets) as c:
-            for name in TABLE_NAMES:
+            for name in sorted(TABLE_NAMES, key=lambda n: n != "prices"):
                 df = getattr(t, name)
+                if derived and name in derived:
+                    df = derived[name](self.spark.read.schema(t.prices.schema).parquet(c.new["prices"][1]))
                 if df is not None and name != "year_ends":
-                    c.put(name, df)
+                    c.put(name, df, name in dealt)
         return c.version
 
     def change(self, buckets: Optional[int] = None) -> "Change":
@@ -217,16 +223,16 @@ class Change:
                     self.new[name] = (_ddl(self.spark.table(old)), _location(info), parts)
         return self
 
-    def _write(self, name: str, df: DataFrame) -> str:
+    def _write(self, name: str, df: DataFrame, dealt: bool = False) -> str:
         path = f"{self.w.root}/{name}/v{self.version}-{uuid.uuid4().hex[:8]}"
-        write_files(self.spark, name, df, path, self.buckets or LEAST_BUCKETS)
+        write_files(self.spark, name, df, path, self.buckets or LEAST_BUCKETS, dealt)
         self.written.append((name, path))
         return path
 
-    def put(self, name: str, df: DataFrame) -> None:
+    def put(self, name: str, df: DataFrame, dealt: bool = False) -> None:
         """A table as a whole."""
         df = with_partition(name, df, self.version)
-        path = self._write(name, df)
+        path = self._write(name, df, dealt)
         self.new[name] = (_ddl(df), path, written_folders(self.spark, name, path) if layout(name).partition else {})
         if name == "prices":  # from what was written, not from its plan again
             ends = year_ends(self.spark.read.parquet(path)) if self.new[name][2] else year_ends(df.limit(0))

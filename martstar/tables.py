@@ -8,6 +8,7 @@ currency codes) and are stored unpartitioned.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, fields, replace
 from typing import Optional
 
@@ -64,6 +65,8 @@ class Tables:
 
 
 FACT_PARTITION = "year"
+BUCKET_ROWS = 1_000_000
+LEAST_BUCKETS = 8
 RECORD_TABLES = ("stock_prices", "exchange_rates")
 TABLE_SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_currency": S.DIM_CURRENCY,
             "prices": S.FACT_STOCK_PRICES, "rates": S.FACT_CURRENCY_RATES, "stock_prices": S.STOCK_PRICES,
@@ -71,6 +74,11 @@ TABLE_SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_curren
 TABLE_NAMES = [f.name for f in fields(Tables) if f.name in TABLE_SCHEMAS]
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets of a table: a task that sorts one, or joins it with a row per stock, stays in memory."""
+    return max(LEAST_BUCKETS, math.ceil(rows / BUCKET_ROWS))
+
+
 def write_warehouse(t: Tables, path: str, mode: str = "overwrite") -> None:
     """Write every present table as Parquet under ``path/<name>``.
 
