@@ -30,3 +30,8 @@ def test_dealt_build_has_the_same_rows(spark):
     for name in ("prices", "stock_prices"):
         a, b = ([tuple(r) for r in getattr(t, name).collect()] for t in (dealt, plain))
         assert a and sorted(map(str, a)) == sorted(map(str, b))
+
+
+def test_upsert_leaves_the_target_where_it_is(spark):
+    got = _shuffles(registry.QUERIES["upsert_prices"](spark, SF_SMALL))
+    assert not [x for x in got if "date_id" in x], got
