@@ -355,7 +355,7 @@ _PRICE_FIELDS = {PL.OPEN: "o", PL.HIGH: "h", PL.LOW: "lo", PL.CLOSE: "c", PL.VOL
 def _bars_named(t):
     rows = star(t, active_only=False, columns=["opening_price", "high_price", "low_price",
                                                "closing_price", "volume"])
-    return rows.select("symbol", "date_value", F.col("opening_price").alias("o"),
+    return rows.select("stock_id", "symbol", "date_value", F.col("opening_price").alias("o"),
                        F.col("high_price").alias("h"), F.col("low_price").alias("lo"),
                        F.col("closing_price").alias("c"), F.col("volume").alias("v"),
                        F.date_format("date_value", "yyyy-MM").alias("month"))
@@ -364,7 +364,8 @@ def _bars_named(t):
 @register("payload_daily")
 def _s3(spark, sf_dir):
     b = _bars_named(tables(spark, sf_dir))
-    p = PL.series_payloads(b, ["symbol", "month"], F.date_format("date_value", "yyyy-MM-dd"),
+    # a stock's rows lie in one bucket, so groups that name it need no shuffle
+    p = PL.series_payloads(b, ["stock_id", "symbol", "month"], F.date_format("date_value", "yyyy-MM-dd"),
                            {k: F.col(v) for k, v in _PRICE_FIELDS.items()}, PL.DAILY_KEY)
     return PL.flatten_daily(p)
 
@@ -374,7 +375,7 @@ def _s6(spark, sf_dir):
     b = _bars_named(tables(spark, sf_dir)).withColumn("market", F.lit("USD"))
     fields = {"1a. open (USD)": F.col("o"), "2a. high (USD)": F.col("h"), "3a. low (USD)": F.col("lo"),
               "4a. close (USD)": F.col("c"), PL.VOLUME: F.col("v")}
-    p = PL.series_payloads(b, ["symbol", "market", "month"], F.date_format("date_value", "yyyy-MM-dd"),
+    p = PL.series_payloads(b, ["stock_id", "symbol", "market", "month"], F.date_format("date_value", "yyyy-MM-dd"),
                            fields, PL.CRYPTO_KEY)
     return PL.flatten_crypto(p, code_col="symbol", market_col="market")
 

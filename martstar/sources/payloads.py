@@ -198,16 +198,17 @@ def series_payloads(rows: DataFrame, key_cols: list[str], ts: Column, fields: di
     """Build vendor-shaped payload texts from rows, one per group of ``key_cols``.
 
     ``fields`` maps vendor field names to columns. Choose a group that is the
-    payload's natural unit (e.g. one symbol-month) so its size stays bounded.
+    payload's natural unit (e.g. one symbol-month) so its size stays bounded. Groups hold
+    plain values; names and texts come when a payload is written.
     """
-    entry = F.struct(ts.alias("k"), F.map_from_arrays(
-        F.array(*[F.lit(k) for k in fields]), F.array(*[v.cast("string") for v in fields.values()]))
-        .alias("v"))
+    entry = F.struct(ts.alias("k"), *[v.alias(f"_{i}") for i, v in enumerate(fields.values())])
+    names = F.array(*[F.lit(k) for k in fields])
     key = series_key if isinstance(series_key, Column) else F.lit(series_key)
     meta = meta or {"1. Information": "Daily Prices"}
     meta_json = F.to_json(F.create_map(*[x for kv in meta.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]))
-    g = rows.groupBy(*key_cols).agg(F.map_from_entries(F.collect_list(entry)).alias("_series"),
-                                    F.first(key).alias("_key"))
+    g = rows.groupBy(*key_cols).agg(F.collect_list(entry).alias("_entries"), F.first(key).alias("_key"))
+    g = g.withColumn("_series", F.map_from_entries(F.transform("_entries", lambda e: F.struct(e["k"], F.map_from_arrays(
+        names, F.array(*[e[f"_{i}"].cast("string") for i in range(len(fields))]))))))
     body = F.concat(F.lit('{"Meta Data":'), meta_json, F.lit(',"'), F.col("_key"), F.lit('":'),
                     F.to_json("_series"), F.lit("}"))
     return g.select(*key_cols, body.alias("body"))

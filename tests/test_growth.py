@@ -32,6 +32,11 @@ def test_dealt_build_has_the_same_rows(spark):
         assert a and sorted(map(str, a)) == sorted(map(str, b))
 
 
+def test_payloads_group_where_the_bars_lie(spark):
+    for key in ("payload_crypto", "payload_daily"):
+        assert not _shuffles(registry.QUERIES[key](spark, SF_SMALL)), key
+
+
 def test_upsert_leaves_the_target_where_it_is(spark):
     got = _shuffles(registry.QUERIES["upsert_prices"](spark, SF_SMALL))
     assert not [x for x in got if "date_id" in x], got
