@@ -158,6 +158,7 @@ class Warehouse:
             if part == FACT_PARTITION and name == "prices":
                 years = [int(v) for v in self.folders(n, name)]
                 got["prices_by_year"], got["last_year"], got["first_year"] = df, max(years, default=None), min(years, default=None)
+                got["buckets"] = self.buckets_of(n, name)
             # the record tables show their year, by which periods are pruned
             got[name] = df if part is None or name in RECORD_TABLES else df.drop(part)
         return Tables(**got)
@@ -172,13 +173,17 @@ class Warehouse:
             out[value] = _location(info)
         return out
 
+    def buckets_of(self, version: int, name: str) -> int:
+        info = self.spark.sql(f"SHOW TABLE EXTENDED IN {self.database(version)} LIKE '{name}'").first()["information"]
+        return int(re.search(r"^Num Buckets: (\d+)$", info, re.M)[1])
+
     def create(self, t: Tables, buckets: Optional[int] = None,
                derived: Optional[Mapping[str, Callable[[DataFrame], DataFrame]]] = None, dealt: Iterable[str] = ()) -> int:
         """Publish all tables of ``t`` as the first version; the ``derived`` ones are made from
         the prices as they were written, so that the plan of the prices runs once. The rows of
         the tables ``dealt`` lie evenly over tasks."""
         if buckets is None:
-            buckets = buckets_for(t.prices.count())
+            buckets = t.buckets or buckets_for(t.prices.count())
         with self.change(buckets) as c:
             for name in sorted(TABLE_NAMES, key=lambda n: n != "prices"):
                 df = getattr(t, name)
@@ -218,7 +223,7 @@ class Change:
                 if self.spark.catalog.tableExists(old):
                     info = self.spark.sql(f"SHOW TABLE EXTENDED IN {self.w.database(self.base)} LIKE '{name}'").first()["information"]
                     if layout(name).bucket:
-                        self.buckets = int(re.search(r"^Num Buckets: (\d+)$", info, re.M)[1])
+                        self.buckets = self.w.buckets_of(self.base, name)
                     parts = self.w.folders(self.base, name) if layout(name).partition else {}
                     self.new[name] = (_ddl(self.spark.table(old)), _location(info), parts)
         return self

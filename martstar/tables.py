@@ -35,6 +35,7 @@ class Tables:
     prices_by_year: Optional[DataFrame] = None
     last_year: Optional[int] = None
     first_year: Optional[int] = None
+    buckets: Optional[int] = None  # of the price fact; rows chosen from it lie in the same ones
 
     def with_(self, **kw) -> "Tables":
         if "prices" in kw:  # another fact is not the one on disk

@@ -4,6 +4,7 @@ import re
 
 from martstar import binding, registry
 from martstar.session import build_session
+from martstar.sources.catalog import Warehouse
 from tests.conftest import SF_SMALL
 
 
@@ -40,3 +41,15 @@ def test_payloads_group_where_the_bars_lie(spark):
 def test_upsert_leaves_the_target_where_it_is(spark):
     got = _shuffles(registry.QUERIES["upsert_prices"](spark, SF_SMALL))
     assert not [x for x in got if "date_id" in x], got
+
+
+def test_a_copy_keeps_the_buckets(spark, tmp_path):
+    t = registry.tables(spark, SF_SMALL)
+    few = t.with_(prices=t.prices.where("date_id < 20010101"), stock_prices=None, exchange_rates=None)
+    assert few.buckets == t.buckets
+    src = Warehouse(spark, "growth_src", str(tmp_path / "src"))
+    src.create(few, 11)
+    own = src.open()
+    dst = Warehouse(spark, "growth_dst", str(tmp_path / "dst"))
+    dst.create(own.with_(prices=own.prices.where("date_id < 20000101")))
+    assert dst.open().buckets == 11
