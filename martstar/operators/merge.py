@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.calendar import date_id_of
 from ..tables import Tables, period_predicate
+from .common import bounded
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -74,6 +75,16 @@ def held_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataF
     return target.select(*keys).join(batch.select(*keys).distinct(), list(keys), "left_semi")
 
 
+def split_by_days(target: DataFrame, batch: DataFrame, col: str = "date_id") -> tuple[DataFrame, DataFrame]:
+    """The target's rows on the days of the batch, and its rows on all other days.
+
+    Only the former can hold a key of the batch: a join on the keys sorts those and not
+    the whole history, which streams past the days (bounded by the calendar).
+    """
+    days = bounded(staged(batch.select(col).distinct()))
+    return tuple(target.join(days, col, how).select(*target.columns) for how in ("left_semi", "left_anti"))
+
+
 def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert only rows whose key is absent (``ON CONFLICT DO NOTHING``)."""
     new = batch.join(held_keys(target, batch, keys), list(keys), "left_anti")
@@ -124,8 +135,9 @@ def upsert_prices(t: Tables, records: DataFrame, as_of_ts: _dt.datetime):
     """Returns (new price fact, counts, rejects, new dates for dim_date)."""
     rows, rejects = conform_price_batch(t, records, as_of_ts)
     rows = staged(rows)
-    state, counts = merge(t.prices, rows.select(*t.prices.columns), ["stock_id", "date_id"], PRICE_SET)
-    return state, counts, rejects, rows.select(F.col("date_value").alias("date"))
+    near, far = split_by_days(t.prices, rows)
+    state, counts = merge(near, rows.select(*t.prices.columns), ["stock_id", "date_id"], PRICE_SET)
+    return state.unionByName(far), counts, rejects, rows.select(F.col("date_value").alias("date"))
 
 
 def conform_rate_batch(t: Tables, records: DataFrame, as_of_ts: _dt.datetime,
@@ -166,7 +178,9 @@ def upsert_rates(t: Tables, records: DataFrame, as_of_ts: _dt.datetime):
 def insert_new_prices(t: Tables, records: DataFrame, as_of_ts: _dt.datetime) -> DataFrame:
     """D3: the insert-if-absent variant of the price load."""
     rows, _ = conform_price_batch(t, records, as_of_ts)
-    return insert_absent(t.prices, rows.select(*t.prices.columns), ["stock_id", "date_id"])
+    rows, keys = staged(rows).select(*t.prices.columns), ["stock_id", "date_id"]
+    near, _ = split_by_days(t.prices, rows)
+    return t.prices.unionByName(rows.join(held_keys(near, rows, keys), keys, "left_anti").select(*t.prices.columns))
 
 
 def etl_log(spark: SparkSession, operation_type: str, table_name: str, ts: _dt.datetime,

@@ -185,7 +185,7 @@ from .operators import metrics as M  # noqa: E402
 from .operators import quality as QC  # noqa: E402
 from .operators import returns as R  # noqa: E402
 from .operators import validate as V  # noqa: E402
-from .operators.common import star  # noqa: E402
+from .operators.common import since, star  # noqa: E402
 
 AS_OF_TS = _dt.datetime(2001, 11, 4)
 RESET_FROM = 20011001  # returns of these days are recomputed by the ETL step
@@ -528,7 +528,7 @@ def _x8(spark, sf_dir):
 def _price_records(t):
     """Landing records of the load: bars from BATCH_FROM with close + 1; a
     later file repeats the days from 2001-10-15 with close + 2 (last wins)."""
-    b = _bars_named(t).where(F.col("date_value") >= F.lit(BATCH_FROM))
+    b = _bars_named(since(t, BATCH_FROM)).where(F.col("date_value") >= F.lit(BATCH_FROM))
 
     def rec(delta, name):
         return b.select("symbol", F.col("date_value").cast("string").alias("data_date"),
@@ -581,7 +581,7 @@ def _latest_exchange_rates(t):
 
 
 def _stock_staging(t):
-    b = _bars_named(t).where(F.col("date_value") >= F.lit(_dt.date(2001, 9, 1)))
+    b = _bars_named(since(t, _dt.date(2001, 9, 1))).where(F.col("date_value") >= F.lit(_dt.date(2001, 9, 1)))
     return b.select("symbol", F.col("date_value").alias("date"), F.col("o").alias("open_price"),
                     F.col("h").alias("high_price"), F.col("lo").alias("low_price"),
                     F.col("c").alias("close_price"), F.col("v").alias("volume"),
@@ -985,7 +985,7 @@ def _e2c(spark, sf_dir):
     """A load of the last days fills their returns from the year's rows and one row per stock."""
     t = tables(spark, sf_dir)
     w = _fresh(spark, "returns", _facts_only(t).with_(prices=t.prices.where(F.col("date_id") < 20011101)))
-    rec = _bars_named(t).where(F.col("date_value") >= F.lit(DAILY_FROM)).select(
+    rec = _bars_named(since(t, DAILY_FROM)).where(F.col("date_value") >= F.lit(DAILY_FROM)).select(
         "symbol", F.col("date_value").cast("string").alias("data_date"), F.col("o").alias("open_price"), F.col("h").alias("high_price"),
         F.col("lo").alias("low_price"), F.col("c").alias("close_price"), F.col("v").alias("volume"))
     with w.change() as c:

@@ -66,7 +66,8 @@ class Tables:
 
 
 FACT_PARTITION = "year"
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS, MOST_BUCKET_ROWS = 250_000, 1_250_000
+DIRECT_BUCKETS = 200  # a shuffle to more (spark.shuffle.sort.bypassMergeThreshold) holds a map's rows in memory first
 LEAST_BUCKETS = 8
 RECORD_TABLES = ("stock_prices", "exchange_rates")
 TABLE_SCHEMAS = {"dim_stocks": S.DIM_STOCKS, "dim_date": S.DIM_DATE, "dim_currency": S.DIM_CURRENCY,
@@ -77,7 +78,7 @@ TABLE_NAMES = [f.name for f in fields(Tables) if f.name in TABLE_SCHEMAS]
 
 def buckets_for(rows: int) -> int:
     """Buckets of a table: a task that sorts one, or joins it with a row per stock, stays in memory."""
-    return max(LEAST_BUCKETS, math.ceil(rows / BUCKET_ROWS))
+    return max(LEAST_BUCKETS, min(DIRECT_BUCKETS, math.ceil(rows / BUCKET_ROWS)), math.ceil(rows / MOST_BUCKET_ROWS))
 
 
 def write_warehouse(t: Tables, path: str, mode: str = "overwrite") -> None:
